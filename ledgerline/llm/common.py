@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch handed to Python: texts may be long, so few.
-BATCH_ROWS = 512
+BATCH_ROWS = 128
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -49,12 +49,17 @@ def _sweep() -> None:
             return
 
 
+def own(spark: SparkSession, path: str) -> None:
+    """Have a path deleted when the driver ends."""
+    _made.append((spark, path))
+
+
 def keep(df: DataFrame, tag: str, files: int | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends there and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
-    _made.append((spark, path))
+    own(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._kept_path = path
     return out

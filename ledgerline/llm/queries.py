@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from . import common, quality, sharding
+from . import common, packing, quality, sharding, tokenfile
+
+
+def op4_token_file(spark, sf_dir):
+    return tokenfile.digest(common.table(spark, sf_dir, "documents"))
 
 
 def op7_quality_rules(spark, sf_dir):
     return quality.digest(common.table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark, sf_dir):
+    return packing.digest(common.table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark, sf_dir):
     return sharding.assign(common.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_quality_rules, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op4_token_file, op7_quality_rules, op9_packing, op10_sharding)}
 ORACLES = {"op7_quality_rules": quality.ORACLE, "op10_sharding": sharding.ORACLE}
