@@ -29,7 +29,7 @@ RULES = (
     Rule(0, "few_words", "n_words < 50"),
     Rule(1, "repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     Rule(2, "duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
-    Rule(3, "symbols", "n_symbols > n_words"),
+    Rule(3, "symbols", "5 * n_symbols > n_words"),
     Rule(4, "word_length", "word_chars < 2 * n_words or word_chars > 25 * n_words"),
 )
 #: Versioned policies: the rules whose failure rejects a document.
@@ -129,7 +129,7 @@ m AS (SELECT l.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
     (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(v.n, 0)::BIGINT AS n_repeat_words FROM l LEFT JOIN v USING (doc_id)),
 f AS (SELECT *, n_words < 50 AS f0, 100 * n_repeat_words > 50 * n_words AS f1, 100 * n_dup_lines > 50 * n_lines AS f2,
-    n_symbols > n_words AS f3, word_chars < 2 * n_words OR word_chars > 25 * n_words AS f4 FROM m)
+    5 * n_symbols > n_words AS f3, word_chars < 2 * n_words OR word_chars > 25 * n_words AS f4 FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f0 OR f1 AS base_failed,
     NOT (f0 OR f1 OR f2 OR f3 OR f4) AS kept, n_lines,
     (f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT)::BIGINT AS fail_bits FROM f

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from . import common, packing, quality, sharding, tokenfile
+from . import common, decontam, packing, quality, sharding, tokenfile, toxicity
+
+
+def op1_decontamination(spark, sf_dir):
+    return decontam.digest(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
 
 def op4_token_file(spark, sf_dir):
@@ -13,6 +17,10 @@ def op7_quality_rules(spark, sf_dir):
     return quality.digest(common.table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity.digest(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark, sf_dir):
     return packing.digest(common.table(spark, sf_dir, "documents"))
 
@@ -21,5 +29,5 @@ def op10_sharding(spark, sf_dir):
     return sharding.assign(common.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_file, op7_quality_rules, op9_packing, op10_sharding)}
-ORACLES = {"op7_quality_rules": quality.ORACLE, "op10_sharding": sharding.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op4_token_file, op7_quality_rules, op8_toxicity, op9_packing, op10_sharding)}
+ORACLES = {"op1_decontamination": decontam.ORACLE, "op7_quality_rules": quality.ORACLE, "op10_sharding": sharding.ORACLE}
