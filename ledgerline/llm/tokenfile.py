@@ -87,7 +87,14 @@ def _decode(n: int, x: np.ndarray, words: np.ndarray, f: np.ndarray, c: np.ndarr
 def pack_segment(doc_ids: list[int | None], codes: list[bytes], bits: int = BITS, lanes: int = LANES, steps: int = STEPS) -> bytes:
     """One segment from documents' ids, each as little-endian unsigned 32-bit integers."""
     ids = np.frombuffer(b"".join(codes), "<u4")
-    symbols, index, counts = np.unique(ids, return_inverse=True, return_counts=True) if len(ids) else (ids, ids, ids)
+    if len(ids) and int(ids.max()) < 1 << 22:
+        counts = np.bincount(ids)
+        symbols = np.flatnonzero(counts).astype("<u4")
+        rank = np.zeros(len(counts), np.int32)
+        rank[symbols] = np.arange(len(symbols), dtype=np.int32)
+        index, counts = rank[ids], counts[symbols]
+    else:
+        symbols, index, counts = np.unique(ids, return_inverse=True, return_counts=True)
     f = table(counts, bits) if len(ids) else np.zeros(0, np.uint64)
     c = np.cumsum(f) - f
     lanes = max(1, min(lanes, -(-len(ids) // 16)))
