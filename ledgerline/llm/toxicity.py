@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Labelled documents that the classifier is fitted on, of each label, those with the least hashes.
-SAMPLE = {1: 4000, 0: 8000}
+SAMPLE = {1: 2000, 0: 6000}
 #: Words and beginnings that the classifier may use, and the lengths of beginnings.
 FEATURES, STEMS = 8192, (3, 4, 5, 6)
 #: Tokens that a worker remembers the features of.
@@ -25,8 +25,8 @@ REMEMBERED = 1 << 19
 
 #: Letters that a sign may stand for.
 SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
-#: Log-probabilities of the channel: a sign for a letter, a sign for itself, a run of letters shortened.
-AS_LETTER, AS_SIGN, SHORTER = -1.0, -6.0, -0.5
+#: Log-probabilities of the channel: a sign for a letter, a sign for nothing, a run of letters shortened.
+AS_LETTER, AS_SIGN, SHORTER = -1.0, -9.0, -0.5
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+€]|[0-9@$!|+€][^\W\d_]|([^\W\d_])\1\1")
@@ -55,8 +55,12 @@ class CharModel:
         return p
 
 
+#: Letters that the model tells apart; all others are one class, so its counts are bounded.
+ALPHABET = " abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7) + "�"
+
+
 def _class(c: str) -> str:
-    return c if c < "ɐ" else "�"
+    return c if c in ALPHABET else "�"
 
 
 def grams(word: str):
@@ -74,7 +78,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             ways = [(c * n, 0.0 if n == j - i else SHORTER) for n in ([1, 2, j - i] if j - i > 2 else [j - i])]
         else:
-            ways = [(x * n, AS_LETTER * n) for x in SIGNS.get(c, "") for n in {1, j - i}] + [("", AS_SIGN)]
+            ways = [(x * n, AS_LETTER * n) for x in SIGNS.get(c, "") for n in {1, j - i}] + [("", AS_SIGN * (j - i))]
         out.append(ways)
         i = j
     return out
@@ -105,21 +109,25 @@ def _names(word: str):
             yield word[:n] + "*"
 
 
-def names(token: str, model: CharModel) -> set[str]:
-    """Features of a token in lower case: its words and their beginnings, as written and restored."""
-    out: set[str] = set()
-    for w in _LETTERS.findall(token):
-        out.update(_names(w))
+def readings(token: str, model: CharModel) -> list[str]:
+    """Words of a token in lower case: as written and, if it is in disguise, restored."""
+    if token.isalpha() and token.isascii() and not _DISGUISED.search(token):
+        return [token]
+    out = _LETTERS.findall(token)
     joined = _BETWEEN.sub("", token) if _SPACED.match(token) else token
     if joined is not token or _DISGUISED.search(token):
         core = joined.strip("\"'()[]{}<>.,;:?*&#%~_-")
         for way in {core, core.rstrip("!1|+$")}:
             if way:
-                for w in _LETTERS.findall(restore(way, model)):
-                    out.update(_names(w))
+                out += _LETTERS.findall(restore(way, model))
     return out
 
 
+def names(token: str, model: CharModel) -> set[str]:
+    """Features of a token: its words and their beginnings."""
+    return {f for w in readings(token, model) for f in _names(w)}
+
+
 def tokens(text: str) -> set[str]:
     """A text's tokens in lower case, and the runs of three or more signs that stand alone, as one token with spaces."""
     own = text.lower().split()
@@ -140,27 +148,31 @@ def held_out():
 
 
 def characters(docs: DataFrame) -> dict[str, int]:
-    """Letter trigrams of the whole corpus: Latin letters are told apart, others are one class, so they are bounded."""
+    """Trigrams of the letters of all words of the whole corpus, words framed as in grams()."""
+    import numpy as np
     import pyarrow as pa
 
-    def count(batches):
-        grams_of: Counter = Counter()
-        seen: Counter = Counter()
-
-        def fold():
-            for token, n in seen.items():
-                for w in _LETTERS.findall(token):
-                    for g in grams(w):
-                        grams_of[g] += n
-            seen.clear()
+    size = len(ALPHABET)
 
+    def count(batches):
+        place = np.zeros(0x110000, np.uint8)
+        for c in range(0x110000):
+            if chr(c).isalpha():
+                place[c] = size - 1
+        for k, c in enumerate(ALPHABET):
+            place[ord(c)] = k
+        total = np.zeros(size**3, np.int64)
         for b in batches:
-            for t in b.column(0).to_pylist():
-                seen.update((t or "").lower().split())
-            if len(seen) > 300_000:
-                fold()
-        fold()
-        yield pa.RecordBatch.from_arrays([pa.array(list(grams_of), pa.string()), pa.array(list(grams_of.values()), pa.int64())], ["g", "n"])
+            text = " ".join(t for t in b.column(0).to_pylist() if t).lower()
+            x = place[np.frombuffer(f" {text} ".encode("utf-32-le"), "<u4")]
+            x = x[np.concatenate(([True], (x[1:] > 0) | (x[:-1] > 0)))]
+            x = np.repeat(x, np.where(x == 0, 2, 1)).astype(np.int64)
+            y, z = x[1:-1], x[2:]
+            g = (x[:-2] * size + y) * size + z
+            total += np.bincount(g[(y > 0) | (z > 0)], minlength=len(total))
+        at = np.flatnonzero(total)
+        names = [ALPHABET[g // size // size] + ALPHABET[g // size % size] + ALPHABET[g % size] for g in at.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(total[at])], ["g", "n"])
 
     return {r[0]: r[1] for r in docs.select("text").mapInArrow(count, "g string, n bigint").groupBy("g").agg(F.sum("n")).collect()}
 
@@ -182,21 +194,34 @@ def fit(rows: list[tuple[str, int]], model: CharModel) -> tuple[float, dict[str,
     """Bias and weights of a logistic model over features that are much likelier under label 1."""
     import numpy as np
 
-    known: dict[str, frozenset] = {}
-    sets, ys = [], np.array([y for _, y in rows], float)
-    count = [Counter(), Counter()]
-    for text, y in rows:
-        own: set[str] = set()
-        for t in tokens(text):
-            if t not in known:
-                known[t] = frozenset(names(t, model))
-            own |= known[t]
-        sets.append(own)
-        count[y].update(own)
+    ys = np.array([y for _, y in rows], float)
     n1, n0 = ys.sum(), (1 - ys).sum()
     if not n1 or not n0:
         return (-8.0 if not n1 else 8.0), {}
-    ratio = {f: math.log((n + 0.5) / (n1 + 1)) - math.log((count[0][f] + 0.5) / (n0 + 1)) for f, n in count[1].items() if n >= max(2, 0.002 * n1)}
+    # Features of label 1 first; of the others only what could be chosen is counted, which keeps memory small.
+    known: dict[str, tuple] = {}
+
+    def of_text(text: str, within=None) -> set[str]:
+        own: set[str] = set()
+        for t in tokens(text):
+            if t not in known:
+                known[t] = tuple(f for f in names(t, model) if within is None or f in within)
+            own.update(known[t])
+        return own
+
+    toxic: Counter = Counter()
+    for text, y in rows:
+        if y:
+            toxic.update(of_text(text))
+    count = [Counter(), Counter({f: n for f, n in toxic.items() if n >= max(2, 0.002 * n1)})]
+    del toxic
+    known.clear()
+    sets = [of_text(text, count[1]) for text, _ in rows]
+    for own, y in zip(sets, ys):
+        if not y:
+            count[0].update(own)
+    known.clear()
+    ratio = {f: math.log((n + 0.5) / (n1 + 1)) - math.log((count[0][f] + 0.5) / (n0 + 1)) for f, n in count[1].items()}
     chosen = sorted((f for f in ratio if ratio[f] > 2), key=lambda f: (-ratio[f] * math.sqrt(count[1][f]), f))[:FEATURES]
     place = {f: k for k, f in enumerate(chosen)}
     pairs = [(i, place[f]) for i, own in enumerate(sets) for f in own if f in place]
@@ -240,7 +265,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     if hit is None:
                         if len(known) > REMEMBERED:
                             known.clear()
-                        hit = known[t] = tuple(f for f in names(t, model) if f in weights)
+                        hit = known[t] = tuple({f for w in readings(t, model) for f in (w, *[w[:n] + "*" for n in STEMS if n <= len(w)]) if f in weights})
                     if hit:
                         own.update(hit)
                 z = bias + sum(weights[f] for f in sorted(own))
