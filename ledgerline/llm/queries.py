@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, decontam, jaccard, packing, pii, quality, sharding, tokenfile, toxicity
+from . import common, decontam, jaccard, mixing, packing, pii, quality, sharding, tokenfile, toxicity
 
 
 def op1_decontamination(spark, sf_dir):
@@ -21,6 +21,10 @@ def op5_jaccard_join(spark, sf_dir):
     return jaccard.classes(common.table(spark, sf_dir, "documents"))
 
 
+def op6_language_model(spark, sf_dir):
+    return mixing.score(common.table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality.digest(common.table(spark, sf_dir, "documents"))
 
@@ -37,5 +41,5 @@ def op10_sharding(spark, sf_dir):
     return sharding.assign(common.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_personal_data, op4_token_file, op5_jaccard_join, op7_quality_rules, op8_toxicity, op9_packing, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_personal_data, op4_token_file, op5_jaccard_join, op6_language_model, op7_quality_rules, op8_toxicity, op9_packing, op10_sharding)}
 ORACLES = {"op1_decontamination": decontam.ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op7_quality_rules": quality.ORACLE, "op10_sharding": sharding.ORACLE}

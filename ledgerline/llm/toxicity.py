@@ -177,8 +177,8 @@ def characters(docs: DataFrame) -> dict[str, int]:
     return {r[0]: r[1] for r in docs.select("text").mapInArrow(count, "g string, n bigint").groupBy("g").agg(F.sum("n")).collect()}
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int]]:
-    """Texts and labels to fit on: at most SAMPLE of each label, never of held-out rows."""
+def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, y) to fit on: at most SAMPLE of each label, never of held-out rows."""
     marked = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     there = docs.select("doc_id").distinct()
     marked = marked.filter(~held_out()).join(there, "doc_id", "left_semi")
@@ -186,8 +186,22 @@ def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int]]:
     for y, n in SAMPLE.items():
         own = marked.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         picked = own if picked is None else picked.union(own)
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y").collect()
-    return [(r["text"] or "", r["y"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))]
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
+
+
+def fitted(rows: DataFrame, model: CharModel) -> tuple[float, dict[str, float]]:
+    """fit() on the bounded sample, in one task of an executor, which has the memory for it."""
+    import pyarrow as pa
+
+    sent = rows.sparkSession.sparkContext.broadcast(model.three)
+
+    def run(batches):
+        own = sorted((d, t or "", y) for b in batches for d, t, y in zip(*(b.column(i).to_pylist() for i in range(3))))
+        bias, weights = fit([(t, y) for _, t, y in own], CharModel(sent.value))
+        yield pa.RecordBatch.from_arrays([pa.array([None, *weights], pa.string()), pa.array([bias, *weights.values()], pa.float64())], ["feature", "weight"])
+
+    out = {r["feature"]: r["weight"] for r in rows.repartition(1).mapInArrow(run, "feature string, weight double").collect()}
+    return out.pop(None, -8.0), out
 
 
 def fit(rows: list[tuple[str, int]], model: CharModel) -> tuple[float, dict[str, float]]:
@@ -249,7 +263,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     common.tune(spark)
     model = CharModel(characters(docs))
-    bias, weights = fit(sample(docs, labels), model)
+    bias, weights = fitted(sample(docs, labels), model)
     sent = spark.sparkContext.broadcast((model.three, bias, weights))
     kind = dict(docs.dtypes)["doc_id"]
 
