@@ -23,6 +23,9 @@ def tune(spark: SparkSession) -> None:
     """Bound what a Python worker holds at once, by rows and by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1m")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "256m")
 
 
 def shared_dir(spark: SparkSession) -> str:

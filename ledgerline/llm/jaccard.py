@@ -29,6 +29,8 @@ OVER, UNDER = 7, 3
 SAMPLE, FREQUENT = 8192, 200_000
 #: Members of one tree; a larger token is dealt out in blocks of it, each pair of blocks once.
 TREE, LEAF = 4096, 32
+#: Members that are compared with a set in one task.
+HUB = 512
 #: Entries (token, set) that a task gathers before it hands them on.
 ENTRIES = 1 << 21
 
@@ -309,34 +311,49 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that link. Each set is made again, once, from the text of one of its documents."""
+    """The pairs that link. The text of one document of each set goes to the sets it is to be compared with.
+
+    Pairs meet at b. A set that very many are compared with is sent to several tasks, so none has them all.
+    """
     import pyarrow as pa
 
-    def remake(batches):
-        for b in batches:
-            keys = b.column(0).to_pylist()
-            made = shingles(b.column(1).to_pylist())
-            keep = [i for i, (k, own) in enumerate(zip(keys, made)) if key_of(own) == k]
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in keep], pa.int64()), pa.array([made[i].tobytes() for i in keep], pa.binary())], ["key", "own"])
+    hubs = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB).cast("int").alias("salts"))
+    members = pairs.join(hubs, "b").select(F.col("a").alias("key"), F.col("b").alias("dest"), F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("part"))
+    send = members.union(hubs.select(F.col("b").alias("key"), F.col("b").alias("dest"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("part")))
+    send = common.keep(send.join(sets.select("key", "least", "n"), "key"), "send")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    # The filter drops nothing; it lets Spark prune documents by a Bloom filter before they are dealt.
+    found = texts.join(send.filter("n > 0"), texts["doc_id"] == send["least"]).select("key", "dest", "salt", "part", "text")
+    unnamed = send.filter("least is null")
+    if not unnamed.isEmpty():
+
+        def name(batches):
+            for b in batches:
+                t = b.column(0).to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array([key_of(own) for own in shingles(t)], pa.int64()), b.column(0)], ["key", "text"])
+
+        found = found.union(unnamed.join(texts.filter("doc_id is null").select("text").mapInArrow(name, "key bigint, text binary"), "key").select("key", "dest", "salt", "part", "text"))
 
     def test(batches):
+        at, hub = None, None
         for b in batches:
             ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                ok.append(links(len(x), len(y), int((y[at] == x).sum())))
+            keys, dests, salts, parts = (b.column(i).to_pylist() for i in range(4))
+            for key, dest, salt, part, own in zip(keys, dests, salts, parts, shingles(b.column(4).to_pylist())):
+                if (dest, salt) != at:
+                    at, hub = (dest, salt), None
+                if key_of(own) != key:  # another text under the same doc_id
+                    ok.append(False)
+                elif part == 0:
+                    hub = own
+                    ok.append(False)
+                else:
+                    i = np.minimum(np.searchsorted(hub, own), len(hub) - 1)
+                    ok.append(links(len(own), len(hub), int((hub[i] == own).sum())))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    needed = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = sets.select("key", "least").join(needed, "key")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["least"])).select("key", "text")
-    found = common.keep(found.mapInArrow(remake, "key bigint, own binary").dropDuplicates(["key"]), "sets")
-    rows = pairs.join(found.select(F.col("key").alias("a"), F.col("own").alias("x")), "a").join(found.select(F.col("key").alias("b"), F.col("own").alias("y")), "b")
-    out = common.keep(rows.select("a", "b", "x", "y").mapInArrow(test, "a bigint, b bigint"), "links")
-    common.drop(found)
-    return out
+    dealt = found.repartition("dest", "salt").sortWithinPartitions("dest", "salt", "part")
+    return common.keep(dealt.mapInArrow(test, "a bigint, b bigint"), "links")
 
 
 def _across(runs: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
@@ -397,10 +414,11 @@ def classes(docs: DataFrame) -> DataFrame:
     common.tune(spark)
     buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = common.keep(_deal(docs, buckets), "dealt")
-    own = dealt.filter("bucket is null").select("doc_id", "key", "n", "vec")
+    own = common.keep(dealt.filter("bucket is null").select("doc_id", "key", "n", "vec"), "own")
     # Sets: one row a key, with the document that it can be made again from.
     sets = common.keep(own.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("vec").alias("vec")), "keys")
     runs = common.keep(_runs(dealt.filter("bucket is not null"), buckets), "runs")
+    common.drop(dealt)
     star = common.keep(_bounded(_explode(runs, "star").distinct(), sets), "pairs")
     found = _verified(star, sets, docs)
     parts = common.keep(common.components(found), "parts")
