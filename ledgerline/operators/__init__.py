@@ -1 +1 @@
-"""See README for what lives here."""
+"""Frame operators: staging, rules, linkage, candidates, owners, discovery, quality and relational recipes."""

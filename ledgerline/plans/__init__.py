@@ -1 +1 @@
-"""See README for what lives here."""
+"""Queries by name: relations derived from the benchmark tables, the operators over them, and SQL twins."""

@@ -1 +1 @@
-"""See README for what lives here."""
+"""Reading and writing files and tables, and rows from saved pages."""
