@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from . import common
 
 N, GROUPS = 5, 64
+#: A count that a coordinate cannot hold: a set with one has it everywhere, and pairs of this total size need no bound.
+FULL, UNBOUNDED = 65535, 1 << 22
 #: A pair links if OVER * intersection >= UNDER * (sum of sizes): 100 I >= 75 U.
 OVER, UNDER = 7, 3
 #: Documents in which shingles are counted to put the frequent last in the order; how many such shingles at most. The
@@ -99,7 +101,8 @@ def key_of(own: np.ndarray) -> int | None:
 
 
 def vector(own: np.ndarray) -> np.ndarray:
-    return np.bincount((own >> _U(58)).astype(np.int64), minlength=GROUPS).astype("<u4")
+    counts = np.bincount((own >> _U(58)).astype(np.int64), minlength=GROUPS)
+    return (counts if counts.max() < FULL else np.full(GROUPS, FULL)).astype("<u2")
 
 
 def links(n: int, m: int, common_n: int) -> bool:
@@ -145,7 +148,7 @@ def tree_pairs(size: np.ndarray, vec: np.ndarray, part: np.ndarray, side: np.nda
                 continue
             if 4 * a.most < 3 * b.least or 4 * b.most < 3 * a.least:
                 continue
-            if OVER * int(np.minimum(a.hi, b.hi).sum()) < UNDER * (a.least + b.least):
+            if OVER * int(np.minimum(a.hi, b.hi).sum()) < UNDER * (a.least + b.least) <= UNDER * UNBOUNDED:
                 continue
             if not a.kids and not b.kids:
                 for i in range(0, len(a.rows), 64):
@@ -161,7 +164,8 @@ def tree_pairs(size: np.ndarray, vec: np.ndarray, part: np.ndarray, side: np.nda
 
     def leaf(x: np.ndarray, y: np.ndarray, same: bool) -> None:
         bound = np.minimum(vec[x][:, None, :], vec[y][None, :, :]).sum(axis=2)
-        ok = (OVER * bound >= UNDER * (size[x][:, None] + size[y][None, :])) & (part[x][:, None] != part[y][None, :])
+        both = size[x][:, None] + size[y][None, :]
+        ok = ((OVER * bound >= UNDER * both) | (both > UNBOUNDED)) & (part[x][:, None] != part[y][None, :])
         i, j = np.nonzero(ok)
         out.extend((p, q) for p, q in zip(x[i].tolist(), y[j].tolist()) if not same or p < q)
 
@@ -301,13 +305,14 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            v, w = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64) for i in (2, 3))
-            ok = OVER * np.minimum(v, w).sum(axis=1) >= UNDER * (v.sum(axis=1) + w.sum(axis=1))
+            v, w = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u2").reshape(-1, GROUPS).astype(np.int64) for i in (2, 3))
+            n, m = (b.column(i).to_numpy() for i in (4, 5))
+            ok = (OVER * np.minimum(v, w).sum(axis=1) >= UNDER * (n + m)) | (n + m > UNBOUNDED)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok))
 
-    own = sets.select("key", "vec")
-    rows = pairs.join(own.select(F.col("key").alias("a"), F.col("vec").alias("va")), "a").join(own.select(F.col("key").alias("b"), F.col("vec").alias("vb")), "b")
-    return rows.select("a", "b", "va", "vb").mapInArrow(run, "a bigint, b bigint")
+    own = sets.select("key", "n", "vec")
+    rows = pairs.join(own.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("vec").alias("va")), "a").join(own.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("vec").alias("vb")), "b")
+    return rows.select("a", "b", "va", "vb", "na", "nb").mapInArrow(run, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -379,7 +384,7 @@ def _across(runs: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
             key = np.array([r[0] for r in held], np.int64)
             part = np.array([r[1] for r in held], np.int64)
             size = np.array([r[3] for r in held], np.int64)
-            vec = np.frombuffer(b"".join(r[4] for r in held), "<u4").reshape(-1, GROUPS)
+            vec = np.frombuffer(b"".join(r[4] for r in held), "<u2").reshape(-1, GROUPS)
             side = None if at[1] == at[2] else (np.array([r[2] for r in held]) != at[1]).astype(int)
             pairs = tree_pairs(size, vec, part, side)
             return [tuple(sorted((int(key[p]), int(key[q])))) for p, q in pairs]
@@ -417,7 +422,8 @@ def classes(docs: DataFrame) -> DataFrame:
     own = common.keep(dealt.filter("bucket is null").select("doc_id", "key", "n", "vec"), "own")
     # Sets: one row a key, with the document that it can be made again from.
     sets = common.keep(own.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("vec").alias("vec")), "keys")
-    runs = common.keep(_runs(dealt.filter("bucket is not null"), buckets), "runs")
+    # Tokens that the same sets have say the same: one of them is enough.
+    runs = common.keep(_runs(dealt.filter("bucket is not null"), buckets).dropDuplicates(["keys"]), "runs")
     common.drop(dealt)
     star = common.keep(_bounded(_explode(runs, "star").distinct(), sets), "pairs")
     found = _verified(star, sets, docs)
