@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-N, GROUPS = 5, 64
+N = 5
+#: Groups for sets of up to so many shingles: the larger a set, the more groups it takes for the bound to tell sets apart.
+GROUPS = ((256, 64), (2048, 256), (1 << 62, 1024))
 #: A count that a coordinate cannot hold: a set with one has it everywhere, and pairs of this total size need no bound.
 FULL, UNBOUNDED = 65535, 1 << 22
 #: A pair links if OVER * intersection >= UNDER * (sum of sizes): 100 I >= 75 U.
@@ -100,9 +102,23 @@ def key_of(own: np.ndarray) -> int | None:
     return k - (1 << 64) if k >> 63 else k
 
 
+def kind_of(n: int) -> int:
+    return next(k for k, (most, _) in enumerate(GROUPS) if n <= most)
+
+
 def vector(own: np.ndarray) -> np.ndarray:
-    counts = np.bincount((own >> _U(58)).astype(np.int64), minlength=GROUPS)
-    return (counts if counts.max() < FULL else np.full(GROUPS, FULL)).astype("<u2")
+    groups = GROUPS[kind_of(len(own))][1]
+    counts = np.bincount((own >> _U(65 - groups.bit_length())).astype(np.int64), minlength=groups)
+    return (counts if counts.max() < FULL else np.full(groups, FULL)).astype("<u2")
+
+
+def folded(vec: np.ndarray, groups: int) -> np.ndarray:
+    """Points (rows) with fewer groups: neighbouring counts are summed, as a shorter prefix of the hash would count."""
+    return vec.reshape(len(vec), groups, -1).sum(axis=2) if vec.shape[1] != groups else vec
+
+
+def points(raw: list[bytes], groups: int) -> np.ndarray:
+    return np.stack([folded(np.frombuffer(r, "<u2").astype(np.int64)[None], groups)[0] for r in raw])
 
 
 def links(n: int, m: int, common_n: int) -> bool:
@@ -178,6 +194,28 @@ def tree_pairs(size: np.ndarray, vec: np.ndarray, part: np.ndarray, side: np.nda
     return out
 
 
+def block_pairs(size: np.ndarray, raw: list[bytes], part: np.ndarray, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """tree_pairs() of points with different numbers of groups: those of one number in one tree, and next numbers across, folded."""
+    kinds = np.array([kind_of(int(n)) for n in size])
+    out: list[tuple[int, int]] = []
+    for k in range(len(GROUPS)):
+        for rows, across in ((np.flatnonzero(kinds == k), False), (np.flatnonzero((kinds == k) | (kinds == k + 1)), True)):
+            own = kinds[rows]
+            if len(rows) < 2 or (across and (own == own[0]).all()):
+                continue
+            if across:  # only sizes near the border can link across it
+                near = (own == k) & (4 * size[rows] >= 3 * GROUPS[k][0]) | (own == k + 1) & (3 * size[rows] <= 4 * GROUPS[k][0])
+                rows = rows[near]
+                if len(rows) < 2:
+                    continue
+            vec = points([raw[i] for i in rows.tolist()], GROUPS[k][1])
+            sides = None if side is None else side[rows]
+            if sides is not None and (sides == sides[0]).all():
+                continue
+            out += [(int(rows[p]), int(rows[q])) for p, q in tree_pairs(size[rows], vec, part[rows], sides) if not across or kinds[rows[p]] != kinds[rows[q]]]
+    return out
+
+
 def _frequent(docs: DataFrame) -> np.ndarray:
     ids = docs.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     batches = docs.select("doc_id", F.col("text").cast("binary").alias("t")).join(F.broadcast(ids), "doc_id").select("t").toArrow()
@@ -297,6 +335,21 @@ def _explode(runs: DataFrame, how: str) -> DataFrame:
     return runs.mapInArrow(run, f"{names[0]} bigint, {names[1]} bigint")
 
 
+def _stars(pairs: DataFrame) -> DataFrame:
+    """Of what each set may be compared with, the one met most often and the least; any choice would do, trees see to the rest."""
+    met = pairs.groupBy("a", "b").count()
+    best = met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("often"), F.min("b").alias("least"))
+    return best.select("a", F.explode(F.array_distinct(F.array("often", "least"))).alias("b"))
+
+
+def _between(runs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the least member of each component of a token and the least of its first component."""
+    members = _explode(runs, "all").join(parts.withColumnRenamed("node", "key"), "key", "left").select("token", "key", F.coalesce("component", "key").alias("part"))
+    first = members.groupBy("token", "part").agg(F.min("key").alias("key"))
+    heads = first.groupBy("token").agg(F.min(F.struct("part", "key")).alias("head"), F.count("*").alias("parts")).filter("parts > 1")
+    return first.join(heads, "token").filter(F.col("part") != F.col("head.part")).select(F.col("key").alias("a"), F.col("head.key").alias("b"))
+
+
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose count vectors allow the needed overlap."""
     import pyarrow as pa
@@ -305,10 +358,14 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            v, w = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u2").reshape(-1, GROUPS).astype(np.int64) for i in (2, 3))
-            n, m = (b.column(i).to_numpy() for i in (4, 5))
-            ok = (OVER * np.minimum(v, w).sum(axis=1) >= UNDER * (n + m)) | (n + m > UNBOUNDED)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok))
+            v, w, n, m = (b.column(i).to_pylist() for i in (2, 3, 4, 5))
+            ok = []
+            for x, y, p, q in zip(v, w, n, m):
+                x, y = (np.frombuffer(r, "<u2").astype(np.int64)[None] for r in (x, y))
+                groups = min(x.shape[1], y.shape[1])
+                overlap = int(np.minimum(folded(x, groups), folded(y, groups)).sum())
+                ok.append(p + q > UNBOUNDED or (OVER * overlap >= UNDER * (p + q)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     own = sets.select("key", "n", "vec")
     rows = pairs.join(own.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("vec").alias("va")), "a").join(own.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("vec").alias("vb")), "b")
@@ -384,10 +441,8 @@ def _across(runs: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
             key = np.array([r[0] for r in held], np.int64)
             part = np.array([r[1] for r in held], np.int64)
             size = np.array([r[3] for r in held], np.int64)
-            vec = np.frombuffer(b"".join(r[4] for r in held), "<u2").reshape(-1, GROUPS)
             side = None if at[1] == at[2] else (np.array([r[2] for r in held]) != at[1]).astype(int)
-            pairs = tree_pairs(size, vec, part, side)
-            return [tuple(sorted((int(key[p]), int(key[q])))) for p, q in pairs]
+            return [tuple(sorted((int(key[p]), int(key[q])))) for p, q in block_pairs(size, [r[4] for r in held], part, side)]
 
         out: set = set()
         for b in batches:
@@ -425,8 +480,11 @@ def classes(docs: DataFrame) -> DataFrame:
     # Tokens that the same sets have say the same: one of them is enough.
     runs = common.keep(_runs(dealt.filter("bucket is not null"), buckets).dropDuplicates(["keys"]), "runs")
     common.drop(dealt)
-    star = common.keep(_bounded(_explode(runs, "star").distinct(), sets), "pairs")
-    found = _verified(star, sets, docs)
+    found = _verified(common.keep(_bounded(_stars(_explode(runs, "star")), sets), "pairs"), sets, docs)
+    parts = common.keep(common.components(found), "parts")
+    # Once more, with components for sets: one member of each is compared.
+    again = _verified(common.keep(_bounded(_stars(_between(runs, parts)), sets), "pairs"), sets, docs)
+    found = found.union(again)
     parts = common.keep(common.components(found), "parts")
     more = _verified(common.keep(_across(runs, sets, parts), "pairs"), sets, docs)
     if not more.isEmpty():
