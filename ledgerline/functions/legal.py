@@ -46,7 +46,8 @@ def parties(text: Column) -> Column:
         return F.struct(kind.alias("role"), who["last"].alias("last"), who["first"].alias("first"))
 
     found = F.filter(F.zip_with(roles, values, one), lambda p: p["last"] != "")
-    return F.concat(*[F.filter(found, lambda p, k=k: p["role"] == k) for k in ("Grantor", "Grantee", "Trustee")])
+    in_role = lambda k: F.filter(found, lambda p: p["role"] == k)
+    return F.concat(*[in_role(k) for k in ("Grantor", "Grantee", "Trustee")])
 
 
 def table_parts(rows: Column) -> Column:

@@ -93,28 +93,26 @@ def link(pairs: DataFrame) -> DataFrame:
 def qa_sample(linked: DataFrame, key: str, size: int = 25, shares: tuple[tuple[str, int], ...] = (("High", 10), ("Medium", 8), ("Low", 7))) -> DataFrame:
     """Up to so many rows of each level by score, then low ones from their first on until ``size`` are drawn, without repeats.
 
-    Rows drawn again are dropped, so a refill may leave the sample short. Each level's top rows are taken by limits
-    that Spark runs as top-k; the rest works on at most ``size`` rows a level.
+    Rows drawn again are dropped, so a refill may leave the sample short. Rows are cut to the best of each level in many
+    buckets first, so that no level has to fit one task; what is left for the last step is bounded.
     """
     order = [F.desc("match_score_total"), F.asc(key)]
-    tops = None
-    for level, _ in shares:
-        top = linked.filter(F.col("match_confidence_level") == level).orderBy(*order).limit(size)
-        tops = top if tops is None else tops.unionByName(top)
+    bucket = F.pmod(F.xxhash64(key), F.lit(64))
+    some = linked.withColumn("level_rank", F.row_number().over(Window.partitionBy("match_confidence_level", bucket).orderBy(*order))).filter(F.col("level_rank") <= size)
     rank = Window.partitionBy("match_confidence_level").orderBy(*order)
-    ranked = tops.withColumn("level_rank", F.row_number().over(rank))
-    counts = {level: f"count_if(match_confidence_level = '{level}')" for level, _ in shares}
-    have = ranked.agg(*[F.expr(c).alias(level) for level, c in counts.items()])
-    left, picks = F.lit(size), []
+    tops = some.withColumn("level_rank", F.row_number().over(rank)).filter(F.col("level_rank") <= size)
+    # At most size rows a level: how many each has, up to that, is all that the shares depend on.
+    all_rows = Window.partitionBy()
+    left, n = F.lit(size), {}
     for level, share in shares:
-        n = F.least(F.col(level), F.lit(share), left)
-        left = left - n
-        picks.append(n.alias(f"n_{level}"))
-    bounds = have.select(*picks)
-    total = F.col("n_High") + F.col("n_Medium") + F.col("n_Low")
-    bounds = bounds.withColumn("n_Low", F.greatest(F.col("n_Low"), F.lit(size) - total))
-    keep = None
+        n[level] = F.least(F.count_if(F.col("match_confidence_level") == level).over(all_rows), F.lit(share), left)
+        left = left - n[level]
+    drawn = tops.withColumns({f"n_{k}": v for k, v in n.items()})
+    last = shares[-1][0]
+    keep = F.col("match_confidence_level").isNull()
     for level, _ in shares:
-        k = (F.col("match_confidence_level") == level) & (F.col("level_rank") <= F.col(f"n_{level}"))
-        keep = k if keep is None else keep | k
-    return ranked.crossJoin(F.broadcast(bounds)).filter(keep).select(*linked.columns, "level_rank")
+        most = F.col(f"n_{level}")
+        if level == last:
+            most = F.greatest(most, F.lit(size) - sum((F.col(f"n_{k}") for k, _ in shares), F.lit(0)))
+        keep = keep | ((F.col("match_confidence_level") == level) & (F.col("level_rank") <= most))
+    return drawn.filter(keep).select(*linked.columns, "level_rank")
