@@ -13,27 +13,36 @@ def chars(x: Column) -> Column:
     return F.filter(F.split(x, ""), lambda c: c != "")
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once: inside other lambdas a plain expression would be computed at every step."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def common_length(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence of two texts.
 
     The shorter text's positions are bits. A sign of the longer one is added where it stands in the shorter; carries
     move along the bits, and those left unset count the subsequence. Texts over BITS go row by row through the table.
     """
-    a, b = F.when(F.length(a) <= F.length(b), a).otherwise(b), F.when(F.length(a) <= F.length(b), b).otherwise(a)
-    xs, ys, n = chars(a), chars(b), F.length(a)
-    full = F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1
 
-    def step(v, y):
-        mask = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0).cast("long"), lambda m, i: F.when(F.get(xs, i) == y, m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))).otherwise(m))
-        return (v + v.bitwiseAND(mask)).bitwiseOR(v.bitwiseAND(F.bitwise_not(mask))).bitwiseAND(full)
+    def of(v: Column) -> Column:
+        xs, ys, n = v["xs"], v["ys"], F.size(v["xs"])
+        full = F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1
+
+        def step(bits, y):
+            mask = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0).cast("long"), lambda m, i: F.when(F.get(xs, i) == y, m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))).otherwise(m))
+            return let(mask, lambda m: (bits + bits.bitwiseAND(m)).bitwiseOR(bits.bitwiseAND(F.bitwise_not(m))).bitwiseAND(full))
+
+        short = F.bit_count(full.bitwiseAND(F.bitwise_not(F.aggregate(ys, full, step)))).cast("int")
 
-    bits = F.bit_count(full.bitwiseAND(F.bitwise_not(F.aggregate(ys, full, step)))).cast("int")
+        def row(old, y):
+            return F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0)), lambda r, i: F.concat(r, F.array(F.when(F.get(xs, i - 1) == y, F.get(old, i - 1) + 1).otherwise(F.greatest(F.get(old, i), F.element_at(r, -1))))))
 
-    def row(old, y):
-        return F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0)), lambda r, i: F.concat(r, F.array(F.when(F.get(xs, i - 1) == y, F.get(old, i - 1) + 1).otherwise(F.greatest(F.get(old, i), F.element_at(r, -1))))))
+        table = F.element_at(F.aggregate(ys, F.array_repeat(F.lit(0), n + 1), row), -1)
+        return F.when(n == 0, 0).when(n <= BITS, short).otherwise(table)
 
-    table = F.element_at(F.aggregate(ys, F.array_repeat(F.lit(0), n + 1), row), -1)
-    return F.when(n == 0, 0).when(n <= BITS, bits).otherwise(table)
+    ordered = let(F.struct(chars(a).alias("p"), chars(b).alias("q")), lambda v: F.when(F.size(v["p"]) <= F.size(v["q"]), F.struct(v["p"].alias("xs"), v["q"].alias("ys"))).otherwise(F.struct(v["q"].alias("xs"), v["p"].alias("ys"))))
+    return F.when(a == b, F.length(a)).when(a.isNotNull() & b.isNotNull(), let(ordered, of))
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -48,21 +57,23 @@ def token_set_ratio(a: Column, b: Column) -> Column:
     Else the best of the ratios between the common words, sorted, and these with the rest of either text, or between
     the rests with what both share.
     """
-    x, y = (F.array_distinct(F.filter(F.split(F.trim(t), r"\s+"), lambda w: w != "")) for t in (a, b))
-    both = F.array_intersect(x, y)
-    left, right = (F.array_join(F.array_sort(F.array_except(p, q)), " ") for p, q in ((x, y), (y, x)))
-    size, gap = F.length(F.array_join(both, " ")), F.when(F.size(both) > 0, 1).otherwise(0)
-    with_left, with_right = size + gap + F.length(left), size + gap + F.length(right)
-    apart = F.length(left) + F.length(right) - 2 * common_length(left, right)
-    rests = 100.0 * (1 - apart / (with_left + with_right))
-    shared = F.greatest(100.0 * (1 - (gap + F.length(left)) / (size + with_left)), 100.0 * (1 - (gap + F.length(right)) / (size + with_right)))
-    return (
-        F.when(a.isNull() | b.isNull(), None)
-        .when((F.size(x) == 0) | (F.size(y) == 0), 0.0)
-        .when((F.size(both) > 0) & ((left == "") | (right == "")), 100.0)
-        .when(F.size(both) > 0, F.greatest(rests, shared))
-        .otherwise(rests)
-    )
+    words = lambda t: F.array_distinct(F.filter(F.split(F.trim(t), r"\s+"), lambda w: w != ""))
+    rest = lambda p, q: F.array_join(F.array_sort(F.array_except(p, q)), " ")
+
+    def parts(v: Column) -> Column:
+        both = F.array_intersect(v["x"], v["y"])
+        return F.struct((F.size(v["x"]) == 0).alias("no_x"), (F.size(v["y"]) == 0).alias("no_y"), F.length(F.array_join(both, " ")).alias("size"), F.when(F.size(both) > 0, 1).otherwise(0).alias("gap"), rest(v["x"], v["y"]).alias("left"), rest(v["y"], v["x"]).alias("right"))
+
+    def of(v: Column) -> Column:
+        size, gap, left, right = v["size"], v["gap"], v["left"], v["right"]
+        with_left, with_right = size + gap + F.length(left), size + gap + F.length(right)
+        apart = F.length(left) + F.length(right) - 2 * common_length(left, right)
+        rests = 100.0 * (1 - apart / (with_left + with_right))
+        shared = F.greatest(100.0 * (1 - (gap + F.length(left)) / (size + with_left)), 100.0 * (1 - (gap + F.length(right)) / (size + with_right)))
+        return F.when(v["no_x"] | v["no_y"], 0.0).when((gap > 0) & ((left == "") | (right == "")), 100.0).when(gap > 0, F.greatest(rests, shared)).otherwise(rests)
+
+    own = let(F.struct(words(a).alias("x"), words(b).alias("y")), parts)
+    return F.when(a.isNotNull() & b.isNotNull(), let(own, of))
 
 
 def partial_ratio(a: Column, b: Column) -> Column:

@@ -119,8 +119,8 @@ def choose(candidates: DataFrame, key: str = "lead_id") -> DataFrame:
     good = (-best["s"] >= least) & (next_.isNull() | (next_["s"] - best["s"] >= gap)) & ~(sure & (best["s"] == 0))
     pick = (
         F.when(clear, F.struct(first["ord"].alias("ord"), F.lit("summary").alias("chosen_by"), first["score"].alias("score")))
-        .when(at_once.isNotNull(), F.struct(at_once["ord"], F.lit("at_once"), at_once["score"]))
-        .when(good, F.struct(best["ord"], F.lit("detail"), -best["s"]))
+        .when(at_once.isNotNull(), F.struct(at_once["ord"].alias("ord"), F.lit("at_once").alias("chosen_by"), at_once["score"].alias("score")))
+        .when(good, F.struct(best["ord"].alias("ord"), F.lit("detail").alias("chosen_by"), (-best["s"]).alias("score")))
     )
     return folded.withColumn("p", pick).filter("p is not null").select(key, "p.ord", "p.chosen_by", "p.score")
 

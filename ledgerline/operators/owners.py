@@ -22,8 +22,8 @@ def full_name(first: Column, last: Column) -> Column:
 
 def blend(name: Column, owner: Column, last_share: float) -> Column:
     """Last names and full names in parts, to the nearest whole number, halves to even; 0 without either name."""
-    last, guess = names.surname(name), names.owner_surname(owner)
-    lasts = F.when((last != "") & (guess != ""), similarity.token_set_ratio(last, guess)).otherwise(0.0)
+    both = F.struct(names.surname(name).alias("last"), names.owner_surname(owner).alias("guess"))
+    lasts = similarity.let(both, lambda v: F.when((v["last"] != "") & (v["guess"] != ""), similarity.token_set_ratio(v["last"], v["guess"])).otherwise(0.0))
     whole = numbers.half_even(lasts * last_share + similarity.token_set_ratio(name, owner) * (1 - last_share))
     return F.when((blank(name) != "") & (blank(owner) != ""), whole).otherwise(0.0)
 

@@ -129,7 +129,7 @@ cb AS (SELECT *, {N('rp_legal_tract')} AS t, {N('rp_legal_block')} AS b, {N('rp_
 al AS (SELECT who AS p, o AS q FROM cb UNION SELECT s, ad FROM cb UNION SELECT s, dl FROM cb UNION SELECT tgt, o FROM cb),
 {token_set_sql('p', 'q', 'al')},
 su AS (SELECT lead_id, ord, CASE WHEN who <> '' AND o <> '' THEN w.ts ELSE 0 END * 0.5::DOUBLE + CASE WHEN s <> '' AND ad <> '' THEN u.ts ELSE 0 END * 0.5::DOUBLE AS part FROM cb LEFT JOIN ts w ON w.a = who AND w.b = o LEFT JOIN ts u ON u.a = s AND u.b = ad),
-de AS (SELECT lead_id, ord, least(100.0, ({_HAS('TR', 't', 40.0)} + {_HAS('BLK', 'b', 30.0)} + CASE WHEN x <> '' AND (contains(dl, 'LT ' || x) OR contains(dl, 'LOT ' || x)) THEN 20.0 ELSE 0 END + {_HAS('SEC', 'c', 10.0)} + CASE WHEN s <> '' THEN d.ts / 100.0 * 30 ELSE 0 END)::DOUBLE / 130.0 * 100.0) AS lp,
+de AS (SELECT lead_id, ord, least(100.0, ({_HAS('TR', 'cb.t', 40.0)} + {_HAS('BLK', 'cb.b', 30.0)} + CASE WHEN x <> '' AND (contains(dl, 'LT ' || x) OR contains(dl, 'LOT ' || x)) THEN 20.0 ELSE 0 END + {_HAS('SEC', 'c', 10.0)} + CASE WHEN s <> '' THEN d.ts / 100.0 * 30 ELSE 0 END)::DOUBLE / 130.0 * 100.0) AS lp,
     CASE WHEN o <> '' AND tgt IS NOT NULL THEN CASE WHEN n.ts < 60 AND (tier LIKE 'T1%' OR tier LIKE 'Fallback%') THEN greatest(0.0, n.ts - 20) ELSE n.ts END WHEN tgt IS NOT NULL THEN 20.0 WHEN o <> '' THEN 30.0 ELSE 50.0 END AS op FROM cb LEFT JOIN ts d ON d.a = s AND d.b = dl LEFT JOIN ts n ON n.a = tgt AND n.b = o),
 sc AS (SELECT cb.lead_id, cb.ord, cb.confidence, cb.tier, su.part AS summary, CASE WHEN has_detail THEN greatest(0.0, least(100.0, lp * 0.70::DOUBLE + op * 0.30::DOUBLE)) END AS detail FROM cb JOIN su USING (lead_id, ord) JOIN de USING (lead_id, ord))"""
 
