@@ -1 +1,112 @@
+"""Scalar functions over texts, numbers and dates of the tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerline.functions import dates, legal, names, numbers, text
+from ledgerline.operators import relational
+from ledgerline.sources import html
+
+from . import derive
+from .linkage_q import clean_sql
+from .registry import query
+
+C = F.col
+RAW_NAMES = f"SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_partkey % 9 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN '  o''' || lower(party_last) || '   (x) ' ELSE party_last END AS last, CASE WHEN l_partkey % 5 = 0 THEN ' ' || party_first || ' III' WHEN l_partkey % 11 = 0 THEN 'MARY, ANN' ELSE party_first END AS first FROM (SELECT d.*, lead_id AS l_orderkey, line AS l_linenumber FROM ({derive.DEEDS}) d WHERE line <= 2) z"
+# An apostrophe that both dialects read: built from its number.
+RAW_NAMES = RAW_NAMES.replace("'  o'''", "'  o' || chr(39)")
+_PLAIN = lambda x: f"regexp_replace(trim(upper(regexp_replace(coalesce({x}, ''), '[^\\w\\s''-]', '', 'g'))), ' (JR|SR|I{{1,3}}|IV|V|VI{{0,3}}|IX|X)$', '')".replace("{{", "{").replace("}}", "}")
+
+
+@query("STR01 STR02 STR03 STR04 STR13", f"""WITH r AS ({RAW_NAMES}), s AS (SELECT *, trim(regexp_replace(coalesce(last, ''), '\\s+', ' ', 'g')) AS t FROM r)
+SELECT id, t AS squeezed, {clean_sql('last')} AS cleaned, trim({_PLAIN('last')} || ' ' || split_part({_PLAIN('first')}, ' ', 1)) AS searched, split_part(t, ' ', 1) AS party_last, trim(substr(t, 1 + length(split_part(t, ' ', 1)))) AS party_first, split_part(t, ' ', 1) AS first_word FROM s""")
+def cleaned_names(spark, sf_dir):
+    df = derive.relation(spark, sf_dir, RAW_NAMES)
+    p = names.party(C("last"))
+    return df.select("id", text.squeeze(C("last")).alias("squeezed"), names.cleaned(C("last")).alias("cleaned"), names.searched(C("last"), C("first")).alias("searched"), p["last"].alias("party_last"), p["first"].alias("party_first"), F.split_part(text.squeeze(C("last")), F.lit(" "), F.lit(1)).alias("first_word"))
+
+
+@query("STR16 STR17 STR28 STR29 STR05 STR06", f"""WITH l AS ({derive.LEADS}) SELECT lead_id, nullif(trim(coalesce(probate_lead_decedent_first, '') || ' ' || coalesce(probate_lead_decedent_last, '')), '') AS full_name, split_part(hcad_owner_full_name, ' ', -1) AS last_token,
+    length(trim(probate_lead_decedent_first || ' ' || probate_lead_decedent_last)) - length(replace(trim(probate_lead_decedent_first || ' ' || probate_lead_decedent_last), ' ', '')) >= 1 AS two_words, probate_lead_decedent_last IN ({', '.join(repr(x) for x in names.COMMON_SURNAMES)}) AS common FROM l""")
+def name_parts(spark, sf_dir):
+    df = derive.relation(spark, sf_dir, derive.LEADS)
+    both = "trim(probate_lead_decedent_first || ' ' || probate_lead_decedent_last)"
+    return df.select("lead_id", names.full(C("probate_lead_decedent_first"), C("probate_lead_decedent_last")).alias("full_name"), F.split_part("hcad_owner_full_name", F.lit(" "), F.lit(-1)).alias("last_token"), F.expr(f"length({both}) - length(replace({both}, ' ', '')) >= 1").alias("two_words"), C("probate_lead_decedent_last").isin(names.COMMON_SURNAMES).alias("common"))
+
+
+MONEY = "SELECT o_orderkey AS id, CASE CAST(o_orderkey % 7 AS int) WHEN 0 THEN '$' || CAST(o_custkey AS string) || ',234.50' WHEN 1 THEN 'Pending' WHEN 2 THEN '' WHEN 3 THEN 'n/a' WHEN 4 THEN '-5' WHEN 5 THEN NULL ELSE ' 12' END AS money, CASE WHEN o_orderkey % 3 = 0 THEN 'due: 1,' || CAST(100 + o_custkey % 900 AS string) || '.25 now 7' WHEN o_orderkey % 3 = 1 THEN 'none' ELSE '-.5x' END AS words, o_custkey AS n FROM orders"
+
+
+@query("NUM01 NUM02", f"""WITH m AS ({MONEY}) SELECT id, CASE WHEN lower(trim(translate(money, '$,', ''))) IN ('', 'pending') THEN NULL ELSE TRY_CAST(trim(translate(money, '$,', '')) AS DOUBLE) END AS money, TRY_CAST(replace(regexp_extract(words, '(-?[\\d,]*\\.?\\d+)', 1), ',', '') AS DOUBLE) AS first FROM m""")
+def money_texts(spark, sf_dir):
+    return derive.relation(spark, sf_dir, MONEY).select("id", numbers.currency(C("money")).alias("money"), numbers.first_number(C("words")).alias("first"))
+
+
+@query("NUM05 NUM06 NUM07 NUM08 NUM09", f"""WITH m AS ({MONEY}) SELECT id, n::DOUBLE / nullif(id % 4, 0) AS ratio, round(n * 100.0 / 7, 2)::DOUBLE AS pct, round(greatest(0.0, least(100.0, n / 8.0 - 3)), 2)::DOUBLE AS clipped, round_even(n / 2.0::DOUBLE, 0) AS even, coalesce(TRY_CAST(money AS DOUBLE), 0) AS zeroed FROM m""")
+def rounded_numbers(spark, sf_dir):
+    n = C("n").cast("double")
+    return derive.relation(spark, sf_dir, MONEY).select("id", numbers.ratio(n, C("id") % 4).alias("ratio"), numbers.percent(C("n"), F.lit(7)).cast("double").alias("pct"), numbers.clipped(n / 8.0 - 3).alias("clipped"), numbers.half_even(n / 2.0).alias("even"), numbers.or_zero(C("money")).alias("zeroed"))
+
+
+WRITTEN = "SELECT o_orderkey AS id, CASE CAST(o_orderkey % 6 AS int) WHEN 0 THEN y || '-' || m || '-' || d WHEN 1 THEN m || '/' || d || '/' || y WHEN 2 THEN m || '-' || d || '-' || y WHEN 3 THEN y || '/' || m || '/' || d WHEN 4 THEN '13/45/2020' ELSE '' END AS written, day FROM (SELECT o_orderkey, CAST(o_orderdate AS date) AS day, substr(CAST(CAST(o_orderdate AS date) AS string), 1, 4) AS y, substr(CAST(CAST(o_orderdate AS date) AS string), 6, 2) AS m, substr(CAST(CAST(o_orderdate AS date) AS string), 9, 2) AS d FROM orders) z"
+
+
+@query("DAT02 DAT03 DAT06 NUM04 UDF01", f"""WITH w AS ({WRITTEN}), p AS (SELECT *, coalesce(try_strptime(written, '%m/%d/%Y'), try_strptime(written, '%Y-%m-%d'), try_strptime(written, '%m-%d-%Y'), try_strptime(written, '%Y/%m/%d'))::DATE AS parsed FROM w)
+SELECT id, strftime(parsed, '%Y-%m-%d') AS parsed, abs(date_diff('day', parsed, DATE '1995-01-01'))::INTEGER AS apart FROM p""")
+def written_dates(spark, sf_dir):
+    parsed = dates.parse(C("written"))
+    return derive.relation(spark, sf_dir, WRITTEN).select("id", dates.written(parsed).alias("parsed"), dates.apart(parsed, F.lit("1995-01-01").cast("date")).alias("apart"))
+
+
+@query("DAT04 DAT05 SRC13 SRC25", f"""WITH w AS ({WRITTEN}), r AS (SELECT id, day, (day + INTERVAL (id % 50) DAY)::DATE AS stop FROM w), h AS (SELECT id, day, stop, (day + INTERVAL (floor((stop - day) / 2.0)::INT) DAY)::DATE AS mid FROM r), x AS (SELECT id, day, (day - INTERVAL 1 DAY)::DATE AS y, mid, stop FROM h)
+SELECT id, strftime(day, '%Y-%m-%d') AS first_from, strftime(mid, '%Y-%m-%d') AS first_to, strftime((mid + INTERVAL 1 DAY)::DATE, '%Y-%m-%d') AS second_from, strftime(stop, '%Y-%m-%d') AS second_to, strftime((day - INTERVAL 8 DAY)::DATE, '%Y-%m-%d') AS week_before,
+    strftime(CASE dayofweek(y) WHEN 0 THEN (y - INTERVAL 2 DAY)::DATE WHEN 6 THEN (y - INTERVAL 1 DAY)::DATE ELSE y END, '%Y-%m-%d') AS weekday FROM x""")
+def date_ranges(spark, sf_dir):
+    df = derive.relation(spark, sf_dir, WRITTEN).withColumn("h", dates.halves(C("day"), F.date_add("day", (C("id") % 50).cast("int"))))
+    w = dates.written
+    return df.select("id", w(C("h")[0]["first"]).alias("first_from"), w(C("h")[0]["last"]).alias("first_to"), w(C("h")[1]["first"]).alias("second_from"), w(C("h")[1]["last"]).alias("second_to"), w(F.date_sub("day", 8)).alias("week_before"), w(dates.weekday_before(C("day"))).alias("weekday"))
+
+
+LEGAL = f"SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN 'plain words only' WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN 'Lot: ' || CAST(p_size AS string) || ' Block: B' || CAST(p_partkey % 9 AS string) || ' Sec: 2 Comment: none' ELSE 'Desc: {derive.SUBDIVISIONS[0]} Lot: 5 Block: ' || CAST(p_partkey % 9 AS string) || ' Sec: 2 Related Docs' END AS t FROM part"
+
+
+@query("STR08", f"""WITH l AS ({LEGAL}) SELECT id, CASE WHEN t IS NULL THEN '' WHEN t LIKE 'plain%' THEN t WHEN t LIKE 'Desc%' THEN 'TEST ACRES' ELSE '' END AS description,
+    CASE WHEN t LIKE 'Lot%' THEN regexp_extract(t, 'Lot: (\\d+)', 1) WHEN t LIKE 'Desc%' THEN '5' ELSE '' END AS lot, coalesce(regexp_extract(t, 'Block: (\\w+)', 1), '') AS block, CASE WHEN t LIKE '%Sec: 2%' THEN '2' ELSE '' END AS sec FROM l""")
+def legal_texts(spark, sf_dir):
+    p = legal.parse(C("t"))
+    return derive.relation(spark, sf_dir, LEGAL).select("id", p["description"].alias("description"), p["lot"].alias("lot"), p["block"].alias("block"), p["sec"].alias("sec"))
+
+
+CELLS = "SELECT p_partkey AS id, '<table><tr><td><b>DESC:</b></td><td>' || p_name || '</td></tr><tr><td>Lot:</td><td> ' || CAST(p_size AS string) || ' </td></tr><tr><td>NOTE</td><td>' || p_brand || '</td></tr><tr><td>COMMENT:</td><td>' || p_type || '</td></tr><tr><td>one cell</td></tr></table>' AS h FROM part"
+
+
+@query("STR09", "SELECT p_partkey AS id, p_name || ' | COMMENT: ' || p_type || ' | OTHER_LEGAL: NOTE: ' || p_brand AS description, CAST(p_size AS VARCHAR) AS lot FROM part")
+def legal_tables(spark, sf_dir):
+    t = legal.table_parts(html.labelled(C("h")))
+    return derive.relation(spark, sf_dir, CELLS).select("id", t["description"].alias("description"), t["lot"].alias("lot"))
+
+
+CAPTIONS = f"SELECT k AS id, probate_lead_decedent_first AS f, probate_lead_decedent_last AS l, CASE CAST(k % 4 AS int) WHEN 0 THEN 'IN THE ESTATE OF: ' || 'ANNA BERTA ' || 'EXAMPLE' || ', DECEASED' WHEN 1 THEN 'In the Matter of Anna Sample' WHEN 2 THEN 'RE ESTATE OF ANNA B SAMPLE JR.' ELSE '' END AS caption FROM ({derive.LEADS}) z"
+
+
+@query("STR27", f"WITH c AS ({CAPTIONS}) SELECT id, CASE CAST(id % 4 AS int) WHEN 0 THEN 'Anna Berta' WHEN 1 THEN 'Anna' WHEN 2 THEN 'Anna B' ELSE '' END AS first, CASE CAST(id % 4 AS int) WHEN 0 THEN 'Example' WHEN 3 THEN '' ELSE 'Sample' END AS last FROM c")
+def caption_names(spark, sf_dir):
+    d = names.decedent(C("caption"))
+    return derive.relation(spark, sf_dir, CAPTIONS).select("id", d["first"].alias("first"), d["last"].alias("last"))
+
+
+LABELS = "SELECT p_partkey AS id, CASE CAST(p_partkey % 6 AS int) WHEN 0 THEN 'Foundation Type:' WHEN 1 THEN ' Heating / AC ' WHEN 2 THEN 'Room: Half-Bath' WHEN 3 THEN 'Grade Adjustment (x)' WHEN 4 THEN NULL ELSE 'Cost and Design' END AS label FROM part"
+
+
+@query("STR21", f"WITH l AS ({LABELS}) SELECT id, CASE CAST(id % 6 AS int) WHEN 0 THEN 'foundation_type' WHEN 1 THEN 'heating_ac' WHEN 2 THEN 'room_half_bath' WHEN 3 THEN 'grade_adjustment' WHEN 4 THEN '' ELSE 'cost_and_design' END AS k FROM l")
+def label_keys(spark, sf_dir):
+    return derive.relation(spark, sf_dir, LABELS).select("id", text.label_key(C("label")).alias("k"))
+
+
+@query("JSN10 SRT10 JSN12", "SELECT l_orderkey AS id, array_to_string(list(l_linenumber ORDER BY l_linenumber)[1:3], ',') AS firsts, count(*) AS n FROM lineitem GROUP BY l_orderkey")
+def json_lists(spark, sf_dir):
+    """Lists written as JSON text and read back."""
+    own = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("l"))
+    back = F.from_json(relational.json_or_null(C("l")), "array<int>")
+    return own.select(C("l_orderkey").alias("id"), F.array_join(F.slice(back, 1, 3), ",").alias("firsts"), F.size(back).cast("bigint").alias("n"))

@@ -1 +1,214 @@
+"""Records, files, pages, metadata and checks."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from ledgerline import schemas
+from ledgerline.operators import discovery, quality, relational
+from ledgerline.sources import files, html
+
+from . import derive
+from .leads_q import SCORED_SQL, packed, scored
+from .registry import query
+
+C = F.col
+
+
+@query("JSN08 JOIN09 AGG11 SRC10", f"WITH b AS ({derive.LEADS}) SELECT DISTINCT unnest(json_keys(to_json(b))) AS column_name FROM (SELECT * FROM b LIMIT 1) b")
+def json_keys(spark, sf_dir):
+    return discovery.keys(packed(spark, sf_dir))
+
+
+@query("JSN08 AGG11", "SELECT DISTINCT unnest(json_keys(props)) AS column_name FROM events")
+def event_keys(spark, sf_dir):
+    return discovery.keys(spark.read.parquet(f"{sf_dir}/events.parquet"), "props")
+
+
+@query("SET01", f"WITH b AS ({derive.LEADS}) SELECT DISTINCT unnest(json_keys(to_json(b))) AS column_name FROM (SELECT * FROM b LIMIT 1) b EXCEPT SELECT * FROM (VALUES {', '.join(f'({c!r})' for c in schemas.STAGED)}) t(column_name)")
+def new_json_keys(spark, sf_dir):
+    known = spark.createDataFrame([(c,) for c in schemas.STAGED], "column_name string")
+    return discovery.new_keys(discovery.keys(packed(spark, sf_dir)), known)
+
+
+SOURCE = "SELECT DISTINCT upper(p_type) AS column_name, CASE WHEN length(p_type) % 2 = 0 THEN '' ELSE 'kind ' || p_type END AS description, length(p_type) % 3 <> 0 AS is_nullable, CASE WHEN length(p_type) % 2 = 1 THEN '[''unique'']' END AS custom FROM part"
+SOURCE = SOURCE.replace("'[''unique'']'", "'[' || chr(39) || 'unique' || chr(39) || ']'")
+EXISTING = "SELECT DISTINCT lower(p_type) AS column_name, 'old ' || lower(p_type) AS description FROM part WHERE length(p_type) % 4 <> 1 UNION ALL SELECT 'only_old', 'kept text'"
+
+
+@query("JOIN10 SET06 SRC12 DQ04 JSN12 SNK08", f"""WITH s AS ({SOURCE}), e AS ({EXISTING}), j AS (SELECT lower(coalesce(s.column_name, e.column_name)) AS k, s.column_name AS sn, e.column_name AS en, s.description AS sd, e.description AS ed, is_nullable, custom FROM s FULL JOIN e ON lower(s.column_name) = lower(e.column_name))
+SELECT k, coalesce(en, sn) AS column_name, CASE WHEN sn IS NULL THEN ed ELSE coalesce(nullif(sd, ''), ed, '') END AS description, CASE WHEN sn IS NULL THEN 'old' ELSE array_to_string(list_filter([CASE WHEN NOT is_nullable THEN 'not_null' END, CASE WHEN custom IS NOT NULL THEN 'unique' END], lambda z: z IS NOT NULL), ',') END AS tests,
+    CASE WHEN en IS NULL THEN 'added' WHEN sn IS NULL THEN 'kept' ELSE 'merged' END AS origin FROM j""")
+def merged_metadata(spark, sf_dir):
+    source = derive.relation(spark, sf_dir, SOURCE).withColumn("custom_tests", discovery.read_tests(C("custom")))
+    existing = derive.relation(spark, sf_dir, EXISTING).withColumn("tests", F.array(F.lit("old")))
+    return discovery.merge(source, existing).withColumn("tests", F.array_join("tests", ","))
+
+
+CHECKED = ["has_data_contradiction", "reasoning_array", "r_score_acquisition"]
+
+
+@query("DQ01", f"WITH {SCORED_SQL} " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count_if({c} IS NULL)::BIGINT AS failures FROM scored" for c in CHECKED))
+def check_not_null(spark, sf_dir):
+    return quality.nulls(scored(spark, sf_dir), CHECKED)
+
+
+@query("DQ02", f"WITH {SCORED_SQL} SELECT mailing_state_raw AS value, count(*) AS failures FROM scored WHERE mailing_state_raw NOT IN ({', '.join(repr(x) for x in derive.STATES)}) GROUP BY 1")
+def check_accepted(spark, sf_dir):
+    return quality.not_accepted(scored(spark, sf_dir), "mailing_state_raw", derive.STATES)
+
+
+@query("DQ03 FLT12", f"WITH b AS ({derive.LEADS}) SELECT lead_id FROM b WHERE coalesce(probate_lead_case_number, '') = '' OR coalesce(hcad_account, '') = ''")
+def check_required_keys(spark, sf_dir):
+    raw = packed(spark, sf_dir)
+    key = lambda k: F.get_json_object("RAW_RECORD", f"$.{k}")
+    return quality.without(raw, [key("probate_lead_case_number"), key("hcad_account")]).select(key("lead_id").cast("bigint").alias("lead_id"))
+
+
+@query("DQ04", "SELECT 'p_name' AS column_name, 'unique' AS test, count(p_name) - count(DISTINCT p_name) AS failures FROM part UNION ALL SELECT 'p_partkey', 'unique', count(p_partkey) - count(DISTINCT p_partkey) FROM part UNION ALL SELECT 'p_size', 'not_null', count_if(p_size IS NULL)::BIGINT FROM part")
+def check_from_metadata(spark, sf_dir):
+    return quality.run(spark.read.parquet(f"{sf_dir}/part.parquet"), [("p_name", "unique"), ("p_partkey", "unique"), ("p_size", "not_null")])
+
+
+@query("DQ05 DQ06", f"SELECT * FROM (VALUES {', '.join(f'({c!r})' for c in schemas.ESSENTIAL if c not in derive.LEADS)}) t(missing)")
+def check_columns(spark, sf_dir):
+    df = derive.relation(spark, sf_dir, derive.LEADS)
+    assert not quality.wrong_delimiter(df)
+    return spark.createDataFrame([(c,) for c in quality.missing_columns(df, schemas.ESSENTIAL)], "missing string")
+
+
+@query("PRJ04 SNK05", None)
+def column_zones(spark, sf_dir):
+    """Zones of a report's columns; also the order that ordered() puts them in."""
+    leads = derive.relation(spark, sf_dir, derive.LEADS)
+    order = [c for cs in schemas.ZONES.values() for c in cs]
+    assert relational.ordered(leads, order).columns == [c for _, _, c in relational.zones(leads.columns, schemas.ZONES)]
+    return spark.createDataFrame(relational.zones(leads.columns, schemas.ZONES), "zone string, place int, column_name string")
+
+
+@query("PRJ05 PRJ07 PRJ08 NUM09 FLT02 FLT03 FLT06 FLT07", f"""WITH b AS ({derive.LEADS}) SELECT lead_id, coalesce(TRY_CAST(match_score_total AS DOUBLE), 0) AS match_score_total, 0::DOUBLE AS rp_signal_strength, NULL::VARCHAR AS hcad_search_status FROM b
+WHERE coalesce(TRY_CAST(match_score_total AS DOUBLE), 0) >= 3 AND coalesce(probate_lead_decedent_last, '') <> '' AND TRY_CAST(probate_lead_filing_date AS DATE) IS NOT NULL""")
+def defaulted_leads(spark, sf_dir):
+    df = relational.ensure_columns(derive.relation(spark, sf_dir, derive.LEADS), {"rp_signal_strength": ("double", 0), "hcad_search_status": ("string", None), "match_score_total": ("string", "9")})
+    df = relational.zeroed(df, ["match_score_total", "rp_signal_strength"]).filter("match_score_total >= 3")
+    dated = F.try_to_timestamp("probate_lead_filing_date", F.lit("yyyy-MM-dd")).isNotNull()
+    return df.filter((F.coalesce("probate_lead_decedent_last", F.lit("")) != "") & dated).select("lead_id", "match_score_total", "rp_signal_strength", "hcad_search_status")
+
+
+LAND = "SELECT l_orderkey AS id, l_linenumber AS ord, CASE WHEN l_partkey % 3 = 0 THEN 'AC' ELSE 'SF' END AS unit_type, l_quantity AS units, CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE floor(l_extendedprice) END AS market_value, CASE CAST(l_suppkey % 3 AS int) WHEN 0 THEN 'BASE AREA PRI' WHEN 1 THEN 'Garage, detached' ELSE 'PORCH' END AS kind, CAST(l_quantity AS int) AS area FROM lineitem"
+
+
+@query("AGG09 SRC19 SRC20 SRC22", f"""WITH l AS ({LAND}) SELECT id, coalesce(sum(units) FILTER (unit_type = 'SF'), 0)::DOUBLE AS lot_sqft, coalesce(sum(market_value), 0)::DOUBLE AS land_value, count(*)::INTEGER AS lines, coalesce(sum(area) FILTER (kind LIKE 'BASE%'), 0)::BIGINT AS base, sum(area)::BIGINT AS structure, coalesce(sum(area) FILTER (kind LIKE 'Garage%'), 0)::BIGINT AS garage FROM l GROUP BY id""")
+def nested_totals(spark, sf_dir):
+    """Totals over arrays of rows within a record."""
+    rows = derive.relation(spark, sf_dir, LAND)
+    own = rows.groupBy("id").agg(F.collect_list(F.struct("unit_type", "units", "market_value")).alias("land"), F.collect_list(F.struct(C("kind").alias("type"), "area")).alias("building"))
+    land, area = relational.land_totals(C("land")), relational.area_totals(C("building"))
+    return own.select("id", land["lot_sqft"].alias("lot_sqft"), land["land_value"].alias("land_value"), land["lines"].alias("lines"), area["base"].alias("base"), area["structure"].alias("structure"), area["garage"].alias("garage"))
+
+
+@query("SRC21", "SELECT p_partkey AS id, p_brand AS grade, '{\"room_count\":\"' || CAST(p_size AS VARCHAR) || '\"}' AS other FROM part")
+def known_and_other(spark, sf_dir):
+    rows = "SELECT p_partkey AS id, '<tr><td>Grade Adjustment</td><td>' || p_brand || '</td></tr><tr><td>Room Count:</td><td>' || CAST(p_size AS string) || '</td></tr>' AS h FROM part"
+    s = relational.split_known(html.characteristics(C("h")), ["grade_adjustment"])
+    return derive.relation(spark, sf_dir, rows).select("id", s["known"]["grade_adjustment"].alias("grade"), s["other"].alias("other"))
+
+
+@query("SRC20", "SELECT p_partkey AS id, CAST(p_size AS VARCHAR) || ',' || p_brand AS years FROM part")
+def column_under_header(spark, sf_dir):
+    rows = "SELECT p_partkey AS id, '<tr><th>Building</th><th>Year Built</th></tr><tr><td>1</td><td>' || CAST(p_size AS string) || '</td></tr><tr><td>2</td><td>' || p_brand || '</td></tr>' AS h FROM part"
+    return derive.relation(spark, sf_dir, rows).select("id", F.array_join(html.column_under(C("h"), "year built"), ",").alias("years"))
+
+
+GRID = "SELECT l_orderkey AS page, l_linenumber * 1000 + l_suppkey AS place, l_linenumber % 3 = 1 AS is_main, l_partkey AS cell FROM lineitem WHERE l_orderkey % 4 = 0"
+
+
+@query("SRC15 WIN04", f"WITH g AS (SELECT DISTINCT * FROM ({GRID}) z) SELECT page, place, cell, sum(CASE WHEN is_main THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY place, cell ROWS UNBOUNDED PRECEDING)::BIGINT AS group_no FROM g")
+def grid_groups(spark, sf_dir):
+    g = derive.relation(spark, sf_dir, GRID).distinct().withColumn("at", F.struct("place", "cell"))
+    return relational.groups_of_followers(g, "page", "at", C("is_main")).select("page", "place", "cell", "group_no")
+
+
+@query("SRC15 UDF10", "SELECT p_partkey AS id, 0 AS row_no, 'RP-' || CAST(p_partkey AS VARCHAR) AS first_cell, true AS is_main, 5 AS n FROM part UNION ALL SELECT p_partkey, 1, p_name, false, 1 FROM part")
+def grid_rows(spark, sf_dir):
+    rows = "SELECT p_partkey AS id, '<table><tr><td>RP-' || CAST(p_partkey AS string) || '</td><td>2<td>3</td><td>4</td><td>5</td></tr><tr><td>' || p_name || '</td></tr></table>' AS h FROM part"
+    g = html.grid_rows(derive.relation(spark, sf_dir, rows), "h")
+    return g.select("id", "row_no", F.get("cells", 0).alias("first_cell"), "is_main", F.size("cells").alias("n"))
+
+
+@query("SRC17 STR26", "SELECT p_partkey AS id, CAST(p_partkey AS VARCHAR) AS account, p_name AS owner, p_retailprice AS value, CAST(p_partkey * 3 AS VARCHAR) AS linked FROM part")
+def candidate_pages(spark, sf_dir):
+    rows = "SELECT p_partkey AS id, '<tr><td><a href=\"/d?acct=' || CAST(p_partkey * 3 AS string) || '\">' || CAST(p_partkey AS string) || '</a></td><td>' || p_name || '</td><td>a</td><td>z</td><td>1,200</td><td>$' || CAST(p_retailprice AS string) || '</td><td>Pending</td></tr>' AS h FROM part"
+    c = html.candidates(derive.relation(spark, sf_dir, rows), "h")
+    return c.select("id", C("hcad_account_summary").alias("account"), C("hcad_owner_summary").alias("owner"), C("hcad_market_value_summary").alias("value"), C("hcad_account_url").alias("linked"))
+
+
+@query("SRC14", "SELECT p_partkey AS id, p_name AS party, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS status FROM part")
+def table_rows(spark, sf_dir):
+    """Cells under the headers asked for, short rows filled."""
+    rows = "SELECT p_partkey AS id, '<table><tr><th>Case</th><th>Party</th><th>Status</th></tr><tr><td>1</td><td>' || p_name || '</td>' || CASE WHEN p_partkey % 2 = 0 THEN '<td>' || p_brand || '</td>' ELSE '' END || '</tr></table>' AS h FROM part"
+    return html.rows_by_header(derive.relation(spark, sf_dir, rows), "h", ["Party", "Status"]).select("id", C("Party").alias("party"), C("Status").alias("status"))
+
+
+@query("SRC14 SRC18 UDF10", None)
+def page_links(spark, sf_dir):
+    """Links of saved pages, which are not well formed."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", F.posexplode(html.links(C("html"))).alias("place", "l")).select("page_id", "place", "l.href", "l.text")
+
+
+PAGES = "SELECT o_custkey AS scan, o_orderkey AS page, o_orderkey % 3 AS first_key FROM orders"
+
+
+@query("SRC16 WIN05", f"WITH p AS ({PAGES}) SELECT * FROM p QUALIFY lag(first_key) OVER (PARTITION BY scan ORDER BY page) IS DISTINCT FROM first_key")
+def repeated_pages(spark, sf_dir):
+    return relational.new_pages(derive.relation(spark, sf_dir, PAGES), "scan", "page", "first_key")
+
+
+def _folder(spark) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerline-")
+    import uuid
+
+    return f"{base}/files-{uuid.uuid4().hex}"
+
+
+@query("SRC01 SRC02 SRC03 SRC04 SRC05 SNK01 SNK02 SNK03 SNK04", "SELECT o_orderkey AS id, 'a;b' || chr(10) || o_orderpriority || '\"q' AS t, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'x' END AS filled, o_custkey AS n FROM orders")
+def delimited_files(spark, sf_dir):
+    """Fields with the delimiter, quotes and line ends in them, written and read back, both ways of quoting."""
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").select(C("o_orderkey").alias("id"), F.concat(F.lit("a;b\n"), "o_orderpriority", F.lit('"q')).alias("t"), F.when(C("o_orderkey") % 2 == 0, None).otherwise("x").alias("filled"), C("o_custkey").alias("n"))
+    at = _folder(spark)
+    files.write(df.filter("id % 2 = 0"), f"{at}/a", ";", quote_all=True)
+    files.write(df.filter("id % 2 = 1"), f"{at}/b", ",")
+    one = files.read(spark, f"{at}/a", ";", filled=True).select(C("id").cast("bigint").alias("id"), "t", "filled", C("n").cast("bigint").alias("n"))
+    two = files.read(spark, f"{at}/b", ",", schema="id bigint, t string, filled string, n bigint")
+    return one.union(two)
+
+
+@query("SRC06 SRC07 SRC08 SRC09", "SELECT 'b' AS newest, 2 AS n")
+def newest_file(spark, sf_dir):
+    """The file changed last, samples and files of other kinds left aside."""
+    import time
+
+    at = _folder(spark)
+    for name in ("a", "b"):
+        files.write(spark.range(1).coalesce(1), f"{at}/{name}")
+        time.sleep(1.1)
+    spark.range(1).coalesce(1).write.json(f"{at}/c")
+    path = files.newest(spark, at, "*.csv", but="_QA_SAMPLE.csv")
+    n = files.listing(spark, at).count()
+    return spark.createDataFrame([(path.rsplit("/", 2)[-2], n)], "newest string, n int")
+
+
+@query("SRC10 SRC11 SNK06 SNK07", "SELECT n_regionkey AS region, 2 * count(*) AS n FROM nation GROUP BY 1")
+def warehouse_tables(spark, sf_dir):
+    """A table that is rebuilt, then appended to."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    import uuid
+
+    name = f"nation_{uuid.uuid4().hex}"
+    files.rebuild(nation, name)
+    files.append(nation, name)
+    return spark.table(name).groupBy(C("n_regionkey").alias("region")).agg(F.count("*").alias("n"))
 
