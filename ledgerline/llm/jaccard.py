@@ -33,6 +33,8 @@ OVER, UNDER = 7, 3
 SAMPLE, FREQUENT = 8192, 200_000
 #: Members of one tree; a larger token is dealt out in blocks of it, each pair of blocks once.
 TREE, LEAF = 4096, 32
+#: Turns of comparing components before the trees.
+TURNS = 4
 #: Members that are compared with a set in one task.
 HUB = 512
 #: Entries (token, set) that a task gathers before it hands them on.
@@ -217,14 +219,19 @@ def block_pairs(size: np.ndarray, raw: list[bytes], part: np.ndarray, side: np.n
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
+    """Shingles that three documents or more of a bounded sample have, counted by the executors."""
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            sets = shingles(b.column(0).to_pylist())
+            if sets:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["h"])
+
     ids = docs.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    batches = docs.select("doc_id", F.col("text").cast("binary").alias("t")).join(F.broadcast(ids), "doc_id").select("t").toArrow()
-    sets = shingles(batches.column(0).to_pylist()) if batches.num_rows else []
-    if not sets:
-        return np.zeros(0, _U)
-    v, c = np.unique(np.concatenate(sets), return_counts=True)
-    v, c = v[c >= 3], c[c >= 3]
-    return np.sort(v[np.argsort(-c, kind="stable")[:FREQUENT]])
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("t")).join(F.broadcast(ids), "doc_id").select("t")
+    often = texts.mapInArrow(run, "h bigint").groupBy("h").count().filter("count >= 3").orderBy(F.desc("count"), "h").limit(FREQUENT)
+    return np.sort(often.select("h").toArrow().column(0).to_numpy().view(np.uint64))
 
 
 SETS = "bucket int, doc_id bigint, key bigint, n bigint, vec binary, toks binary, keys binary"
@@ -342,11 +349,11 @@ def _stars(pairs: DataFrame) -> DataFrame:
     return best.select("a", F.explode(F.array_distinct(F.array("often", "least"))).alias("b"))
 
 
-def _between(runs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the least member of each component of a token and the least of its first component."""
+def _between(runs: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of a member of each component of a token and a member of one of its components, others each turn."""
     members = _explode(runs, "all").join(parts.withColumnRenamed("node", "key"), "key", "left").select("token", "key", F.coalesce("component", "key").alias("part"))
-    first = members.groupBy("token", "part").agg(F.min("key").alias("key"))
-    heads = first.groupBy("token").agg(F.min(F.struct("part", "key")).alias("head"), F.count("*").alias("parts")).filter("parts > 1")
+    first = members.groupBy("token", "part").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key")).alias("k")).select("token", "part", F.col("k.key").alias("key"))
+    heads = first.groupBy("token").agg(F.min(F.struct(F.xxhash64("part", F.lit(turn)).alias("h"), "part", "key")).alias("head"), F.count("*").alias("parts")).filter("parts > 1")
     return first.join(heads, "token").filter(F.col("part") != F.col("head.part")).select(F.col("key").alias("a"), F.col("head.key").alias("b"))
 
 
@@ -482,13 +489,15 @@ def classes(docs: DataFrame) -> DataFrame:
     common.drop(dealt)
     found = _verified(common.keep(_bounded(_stars(_explode(runs, "star")), sets), "pairs"), sets, docs)
     parts = common.keep(common.components(found), "parts")
-    # Once more, with components for sets: one member of each is compared.
-    again = _verified(common.keep(_bounded(_stars(_between(runs, parts)), sets), "pairs"), sets, docs)
-    found = found.union(again)
-    parts = common.keep(common.components(found), "parts")
+    # Again, with components for sets: a member of each is compared, another each turn, while that links many.
+    for turn in range(TURNS):
+        again = _verified(common.keep(_bounded(_stars(_between(runs, parts, turn)), sets), "pairs"), sets, docs)
+        if again.isEmpty():
+            break
+        parts = common.keep(common.components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)), "parts")
     more = _verified(common.keep(_across(runs, sets, parts), "pairs"), sets, docs)
     if not more.isEmpty():
-        parts = common.keep(common.components(found.union(more)), "parts")
+        parts = common.keep(common.components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "parts")
     named = sets.select("key", "least").join(parts.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     tops = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of = named.join(tops, "component").select("key", "component_id")
