@@ -77,12 +77,18 @@ def token_set_ratio(a: Column, b: Column) -> Column:
 
 
 def partial_ratio(a: Column, b: Column) -> Column:
-    """The best ratio of the shorter text to any stretch of the longer one of its length, or cut at the ends."""
-    a, b = F.when(F.length(a) <= F.length(b), a).otherwise(b), F.when(F.length(a) <= F.length(b), b).otherwise(a)
+    """The best ratio of the shorter text to any stretch of the longer one of its length, or cut at the ends; of two of one length, either way."""
+
+    def of(v: Column) -> Column:
+        x, y = v["x"], v["y"]
+        n, m = F.length(x), F.length(y)
+        stretch = lambda i: F.substring(y, F.greatest(i, F.lit(1)), n - F.greatest(1 - i, F.lit(0)))
+        best = F.array_max(F.transform(F.sequence(2 - n, m), lambda i: ratio(x, stretch(i))))
+        return F.when(n == 0, F.when(m == 0, 100.0).otherwise(0.0)).otherwise(best)
+
+    way = lambda p, q: let(F.struct(p.alias("x"), q.alias("y")), of)
     n, m = F.length(a), F.length(b)
-    stretch = lambda i: F.substring(b, F.greatest(i, F.lit(1)), n - F.greatest(1 - i, F.lit(0)))
-    best = F.array_max(F.transform(F.sequence(2 - n, m), lambda i: ratio(a, stretch(i))))
-    return F.when(a.isNull() | b.isNull(), None).when(n == 0, F.when(m == 0, 100.0).otherwise(0.0)).otherwise(best)
+    return F.when(n < m, way(a, b)).when(n > m, way(b, a)).when(a == b, 100.0).when(n == m, F.greatest(way(a, b), way(b, a)))
 
 
 def sounds(x: Column) -> Column:

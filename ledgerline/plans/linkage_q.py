@@ -133,7 +133,7 @@ def similar_names(spark, sf_dir):
     return derive.relation(spark, sf_dir, OWNER_PAIRS).select("a", "b", F.round(similarity.token_set_ratio(C("a"), C("b")), 6).alias("score"))
 
 
-@query("SIM04", f"""WITH p AS ({NAME_PAIRS}), o AS (SELECT a AS l, b AS r, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS t FROM p),
+@query("SIM04", f"""WITH p AS ({NAME_PAIRS}), o AS (SELECT a AS l, b AS r, CASE WHEN length(a) <= length(b) THEN a ELSE b END AS s, CASE WHEN length(a) <= length(b) THEN b ELSE a END AS t FROM p UNION ALL SELECT a, b, b, a FROM p WHERE length(a) = length(b)),
 w AS (SELECT l, r, s, substr(t, greatest(i, 1)::INTEGER, (length(s) - greatest(1 - i, 0))::INTEGER) AS u FROM o, unnest(range(2 - length(s), length(t) + 1)) x(i)),
 d AS (SELECT s, u, {ratio_sql('s', 'u')} AS q FROM (SELECT DISTINCT s, u FROM w)) SELECT l AS a, r AS b, round(max(q), 6) AS score FROM w JOIN d USING (s, u) GROUP BY ALL""")
 def similar_parts(spark, sf_dir):
