@@ -34,7 +34,7 @@ SAMPLE, FREQUENT = 8192, 200_000
 #: Members of one tree; a larger token is dealt out in blocks of it, each pair of blocks once.
 TREE, LEAF = 4096, 32
 #: Turns of comparing components before the trees.
-TURNS = 4
+TURNS = 2
 #: Members that are compared with a set in one task.
 HUB = 512
 #: Entries (token, set) that a task gathers before it hands them on.

@@ -108,3 +108,24 @@ def test_trees_find_all_pairs_within_the_bound():
         want = {(i, j) for i in range(n) for j in range(i + 1, n) if part[i] != part[j] and 4 * size[i] >= 3 * size[j] and 4 * size[j] >= 3 * size[i] and 7 * np.minimum(vec[i], vec[j]).sum() >= 3 * (size[i] + size[j])}
         got = [tuple(sorted(p)) for p in jaccard.tree_pairs(size, vec, part)]
         assert len(got) == len(set(got)) and want <= set(got)
+
+
+def test_components_of_chains_stars_and_cliques(spark):
+    from ledgerline.llm import common
+
+    rng = random.Random(6)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(i, j) for i in range(300, 308) for j in range(300, 308)] + [(1, 1), (-5, 2), (2, -5)]
+    edges += [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(60)]
+    rng.shuffle(edges)
+    top = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        top[b] = a
+    got = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
+    assert got == {x: find(x) for x in top if sum(find(x) == find(y) for y in top) > 1}
