@@ -8,7 +8,7 @@ on the sets themselves.
 One tree over a whole corpus would prune little and fit no machine, so the space is dealt first: sets that reach the
 similarity share one of the first tokens of each under any fixed order (about a quarter of each set), so each such token
 has a tree of its own over the sets that have it. Trees would still meet all pairs of a group of near copies. Two
-passes avoid that: first each set is compared with the least of its token only, and what is linked is one component;
+passes avoid that: first each set is compared with one or two others of its tokens only, and what is linked is one component;
 then trees look for pairs of different components, and pass over boxes that hold one component. What is lost are links
 within a component that is already connected, none between components.
 """
@@ -23,7 +23,7 @@ from . import common
 
 N = 5
 #: Groups for sets of up to so many shingles: the larger a set, the more groups it takes for the bound to tell sets apart.
-GROUPS = ((256, 64), (2048, 256), (1 << 62, 1024))
+GROUPS = ((512, 256), (4096, 1024), (1 << 62, 4096))
 #: A count that a coordinate cannot hold: a set with one has it everywhere, and pairs of this total size need no bound.
 FULL, UNBOUNDED = 65535, 1 << 22
 #: A pair links if OVER * intersection >= UNDER * (sum of sizes): 100 I >= 75 U.
@@ -156,7 +156,7 @@ class Box:
 def tree_pairs(size: np.ndarray, vec: np.ndarray, part: np.ndarray, side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Pairs of rows in different components whose bound reaches the needed overlap. side: of two blocks, only pairs across them."""
     out: list[tuple[int, int]] = []
-    size, vec = size.astype(np.int64), vec.astype(np.int64)
+    size, vec = size.astype(np.int64), vec.astype(np.int32)
 
     def meet(a: Box, b: Box) -> None:
         stack = [(a, b)]
@@ -319,42 +319,44 @@ def _runs(entries: DataFrame, buckets: int) -> DataFrame:
     return entries.select("bucket", "toks", "keys").repartition("bucket").mapInArrow(run, "token bigint, keys binary")
 
 
-def _explode(runs: DataFrame, how: str) -> DataFrame:
-    """how 'star': pairs (a, b) of each member and the least of its token. how 'all': (token, key)."""
+def _members(runs: DataFrame) -> DataFrame:
+    """Rows (token, key, degree): who has a token, and how many of these tokens each has."""
     import pyarrow as pa
 
-    names = ["a", "b"] if how == "star" else ["token", "key"]
-
     def run(batches):
         for b in batches:
-            left, right = [], []
-            for token, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                k = np.frombuffer(raw, "<i8")
-                left.append(k[1:] if how == "star" else np.full(len(k), token))
-                right.append(np.full(len(k) - 1, k[0]) if how == "star" else k)
-            if not left:
-                continue
-            x, y = np.concatenate(left), np.concatenate(right)
-            if how == "star":
-                x, y = np.unique(np.stack((x, y)), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names)
+            keys = [np.frombuffer(raw, "<i8") for raw in b.column(1).to_pylist()]
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), [len(k) for k in keys])), pa.array(np.concatenate(keys))], ["token", "key"])
 
-    return runs.mapInArrow(run, f"{names[0]} bigint, {names[1]} bigint")
+    rows = runs.mapInArrow(run, "token bigint, key bigint")
+    return rows.join(rows.groupBy("key").agg(F.count("*").alias("degree")), "key").select("token", "key", "degree")
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
-    """Of what each set may be compared with, the one met most often and the least; any choice would do, trees see to the rest."""
-    met = pairs.groupBy("a", "b").count()
-    best = met.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("often"), F.min("b").alias("least"))
-    return best.select("a", F.explode(F.array_distinct(F.array("often", "least"))).alias("b"))
+    """Of what each set may be compared with (a, b, degree of b), the one met most often and the one of most tokens.
+
+    Any choice would do, trees see to the rest. Of near copies of one text that text has most tokens, as each copy lacks
+    those that it changed; it links copies that are too far from each other to link.
+    """
+    met = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("degree").alias("degree"))
+    best = met.groupBy("a").agg(F.max_by("b", F.struct("n", "degree", "b")).alias("often"), F.max_by("b", F.struct("degree", "n", "b")).alias("most"))
+    return best.select("a", F.explode(F.array_distinct(F.array("often", "most"))).alias("b"))
 
 
-def _between(runs: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of a member of each component of a token and a member of one of its components, others each turn."""
-    members = _explode(runs, "all").join(parts.withColumnRenamed("node", "key"), "key", "left").select("token", "key", F.coalesce("component", "key").alias("part"))
-    first = members.groupBy("token", "part").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key")).alias("k")).select("token", "part", F.col("k.key").alias("key"))
-    heads = first.groupBy("token").agg(F.min(F.struct(F.xxhash64("part", F.lit(turn)).alias("h"), "part", "key")).alias("head"), F.count("*").alias("parts")).filter("parts > 1")
-    return first.join(heads, "token").filter(F.col("part") != F.col("head.part")).select(F.col("key").alias("a"), F.col("head.key").alias("b"))
+def _between(members: DataFrame, parts: DataFrame | None, turn: int) -> DataFrame:
+    """Pairs (a, b, degree) of a member of each component of a token and a member of one of its components.
+
+    Without components every set is one. On even turns members of most tokens are taken, else others each turn.
+    """
+    rank = F.col("degree") if turn % 2 == 0 else F.xxhash64("key", F.lit(turn))
+    if parts is None:
+        first = members.select("token", F.col("key").alias("part"), F.struct(rank.alias("r"), "key", "degree").alias("k"))
+    else:
+        named = members.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("part", F.coalesce("component", "key"))
+        first = named.groupBy("token", "part").agg(F.max(F.struct(rank.alias("r"), "key", "degree")).alias("k"))
+    heads = first.groupBy("token").agg(F.max(F.struct("k", "part")).alias("head"), F.count("*").alias("parts")).filter("parts > 1")
+    return first.join(heads, "token").filter(F.col("part") != F.col("head.part")).select(F.col("k.key").alias("a"), F.col("head.k.key").alias("b"), F.col("head.k.degree").alias("degree"))
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -425,11 +427,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     return common.keep(dealt.mapInArrow(test, "a bigint, b bigint"), "links")
 
 
-def _across(runs: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
+def _across(members: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs of different components that the trees let through. parts: (node, component) of sets with a link so far."""
     import pyarrow as pa
 
-    members = _explode(runs, "all").join(parts.withColumnRenamed("node", "key"), "key", "left")
+    members = members.join(parts.withColumnRenamed("node", "key"), "key", "left")
     members = members.select("token", "key", F.coalesce("component", "key").alias("part"))
     mixed = members.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("m")).filter("p <> q")
     mixed = common.keep(mixed.select("token", F.ceil(F.col("m") / TREE).cast("int").alias("blocks")), "mixed")
@@ -487,15 +489,16 @@ def classes(docs: DataFrame) -> DataFrame:
     # Tokens that the same sets have say the same: one of them is enough.
     runs = common.keep(_runs(dealt.filter("bucket is not null"), buckets).dropDuplicates(["keys"]), "runs")
     common.drop(dealt)
-    found = _verified(common.keep(_bounded(_stars(_explode(runs, "star")), sets), "pairs"), sets, docs)
+    members = common.keep(_members(runs), "members")
+    found = _verified(common.keep(_bounded(_stars(_between(members, None, 0)), sets), "pairs"), sets, docs)
     parts = common.keep(common.components(found), "parts")
     # Again, with components for sets: a member of each is compared, another each turn, while that links many.
     for turn in range(TURNS):
-        again = _verified(common.keep(_bounded(_stars(_between(runs, parts, turn)), sets), "pairs"), sets, docs)
+        again = _verified(common.keep(_bounded(_stars(_between(members, parts, turn)), sets), "pairs"), sets, docs)
         if again.isEmpty():
             break
         parts = common.keep(common.components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)), "parts")
-    more = _verified(common.keep(_across(runs, sets, parts), "pairs"), sets, docs)
+    more = _verified(common.keep(_across(members, sets, parts), "pairs"), sets, docs)
     if not more.isEmpty():
         parts = common.keep(common.components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "parts")
     named = sets.select("key", "least").join(parts.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
