@@ -153,12 +153,11 @@ class Box:
             self.kids = tuple(Box(h, size, vec, part) for h in halves)
 
 
-def tree_pairs(size: np.ndarray, vec: np.ndarray, part: np.ndarray, side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs of rows in different components whose bound reaches the needed overlap. side: of two blocks, only pairs across them."""
-    out: list[tuple[int, int]] = []
+def tree_pairs(size: np.ndarray, vec: np.ndarray, part: np.ndarray, side: np.ndarray | None = None):
+    """Pairs of rows in different components whose bound reaches the needed overlap, in arrays of two columns. side: of two blocks, only pairs across them."""
     size, vec = size.astype(np.int64), vec.astype(np.int32)
 
-    def meet(a: Box, b: Box) -> None:
+    def meet(a: Box, b: Box):
         stack = [(a, b)]
         while stack:
             a, b = stack.pop()
@@ -171,7 +170,7 @@ def tree_pairs(size: np.ndarray, vec: np.ndarray, part: np.ndarray, side: np.nda
             if not a.kids and not b.kids:
                 for i in range(0, len(a.rows), 64):
                     for j in range(0, len(b.rows), 64):
-                        leaf(a.rows[i : i + 64], b.rows[j : j + 64], a is b)
+                        yield leaf(a.rows[i : i + 64], b.rows[j : j + 64], a is b)
             elif a is b:
                 x, y = a.kids
                 stack += [(x, x), (x, y), (y, y)]
@@ -180,26 +179,26 @@ def tree_pairs(size: np.ndarray, vec: np.ndarray, part: np.ndarray, side: np.nda
             else:
                 stack += [(a, x) for x in b.kids]
 
-    def leaf(x: np.ndarray, y: np.ndarray, same: bool) -> None:
-        bound = np.minimum(vec[x][:, None, :], vec[y][None, :, :]).sum(axis=2)
+    def leaf(x: np.ndarray, y: np.ndarray, same: bool) -> np.ndarray:
+        bound = np.stack([np.minimum(v, vec[y]).sum(axis=1) for v in vec[x]])
         both = size[x][:, None] + size[y][None, :]
         ok = ((OVER * bound >= UNDER * both) | (both > UNBOUNDED)) & (part[x][:, None] != part[y][None, :])
         i, j = np.nonzero(ok)
-        out.extend((p, q) for p, q in zip(x[i].tolist(), y[j].tolist()) if not same or p < q)
+        p, q = x[i], y[j]
+        keep = p < q if same else np.ones(len(p), bool)
+        return np.stack((p[keep], q[keep]), axis=1)
 
     rows = np.arange(len(size))
     if side is None:
         root = Box(rows, size, vec, part)
-        meet(root, root)
+        yield from meet(root, root)
     else:
-        meet(Box(rows[side == 0], size, vec, part), Box(rows[side == 1], size, vec, part))
-    return out
+        yield from meet(Box(rows[side == 0], size, vec, part), Box(rows[side == 1], size, vec, part))
 
 
-def block_pairs(size: np.ndarray, raw: list[bytes], part: np.ndarray, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+def block_pairs(size: np.ndarray, raw: list[bytes], part: np.ndarray, side: np.ndarray | None = None):
     """tree_pairs() of points with different numbers of groups: those of one number in one tree, and next numbers across, folded."""
     kinds = np.array([kind_of(int(n)) for n in size])
-    out: list[tuple[int, int]] = []
     for k in range(len(GROUPS)):
         for rows, across in ((np.flatnonzero(kinds == k), False), (np.flatnonzero((kinds == k) | (kinds == k + 1)), True)):
             own = kinds[rows]
@@ -214,8 +213,9 @@ def block_pairs(size: np.ndarray, raw: list[bytes], part: np.ndarray, side: np.n
             sides = None if side is None else side[rows]
             if sides is not None and (sides == sides[0]).all():
                 continue
-            out += [(int(rows[p]), int(rows[q])) for p, q in tree_pairs(size[rows], vec, part[rows], sides) if not across or kinds[rows[p]] != kinds[rows[q]]]
-    return out
+            for pairs in tree_pairs(size[rows], vec, part[rows], sides):
+                pairs = rows[pairs]
+                yield pairs[kinds[pairs[:, 0]] != kinds[pairs[:, 1]]] if across else pairs
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
@@ -451,23 +451,37 @@ def _across(members: DataFrame, sets: DataFrame, parts: DataFrame) -> DataFrame:
             part = np.array([r[1] for r in held], np.int64)
             size = np.array([r[3] for r in held], np.int64)
             side = None if at[1] == at[2] else (np.array([r[2] for r in held]) != at[1]).astype(int)
-            return [tuple(sorted((int(key[p]), int(key[q])))) for p, q in block_pairs(size, [r[4] for r in held], part, side)]
+            for pairs in block_pairs(size, [r[4] for r in held], part, side):
+                if len(pairs):
+                    yield np.sort(key[pairs], axis=1)
+
+        out: list[np.ndarray] = []
+
+        def told():
+            pairs = np.unique(np.concatenate(out), axis=0)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        def solved():
+            n = sum(map(len, out))
+            for pairs in solve():
+                out.append(pairs)
+                n += len(pairs)
+                if n > 1 << 18:
+                    yield told()
+                    n = 0
 
-        out: set = set()
         for b in batches:
             for token, key, part, i, j, block, n, vec in zip(*(b.column(c).to_pylist() for c in range(8))):
                 if (token, i, j) != at:
                     if held:
-                        out.update(solve())
+                        yield from solved()
                     held, at = [], (token, i, j)
                 held.append((key, part, block, n, vec))
-            if len(out) > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
-                out = set()
         if held:
-            out.update(solve())
+            yield from solved()
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+            yield told()
 
     return rows.select("token", "key", "part", "i", "j", "block", "n", "vec").mapInArrow(run, "a bigint, b bigint").distinct()
 

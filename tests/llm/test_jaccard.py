@@ -106,7 +106,7 @@ def test_trees_find_all_pairs_within_the_bound():
         vec[n // 2 :] = np.maximum(0, vec[: n - n // 2] + rng.integers(-1, 2, (n - n // 2, 8)))
         size, part = vec.sum(axis=1), rng.integers(0, max(1, n // 3), n)
         want = {(i, j) for i in range(n) for j in range(i + 1, n) if part[i] != part[j] and 4 * size[i] >= 3 * size[j] and 4 * size[j] >= 3 * size[i] and 7 * np.minimum(vec[i], vec[j]).sum() >= 3 * (size[i] + size[j])}
-        got = [tuple(sorted(p)) for p in jaccard.tree_pairs(size, vec, part)]
+        got = [tuple(sorted(p)) for pairs in jaccard.tree_pairs(size, vec, part) for p in pairs.tolist()]
         assert len(got) == len(set(got)) and want <= set(got)
 
 
