@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -76,6 +77,12 @@ def drop(df: DataFrame) -> None:
         _made[:] = [x for x in _made if x[1] != path]
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what is no longer referred to; else they stay until the driver happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _contracted(edges: DataFrame) -> DataFrame:
     """Edges of each partition as stars: every node of it to the least that it reaches within the partition."""
     import pyarrow as pa

@@ -34,7 +34,7 @@ SAMPLE, FREQUENT = 8192, 200_000
 #: Members of one tree; a larger token is dealt out in blocks of it, each pair of blocks once.
 TREE, LEAF = 4096, 32
 #: Turns of comparing components before the trees.
-TURNS = 2
+TURNS = 1
 #: Members that are compared with a set in one task.
 HUB = 512
 #: Entries (token, set) that a task gathers before it hands them on.
@@ -111,16 +111,23 @@ def kind_of(n: int) -> int:
 def vector(own: np.ndarray) -> np.ndarray:
     groups = GROUPS[kind_of(len(own))][1]
     counts = np.bincount((own >> _U(65 - groups.bit_length())).astype(np.int64), minlength=groups)
+    if counts.max() < 256:
+        return counts.astype("u1")
     return (counts if counts.max() < FULL else np.full(groups, FULL)).astype("<u2")
 
 
+def point(raw: bytes) -> np.ndarray:
+    """A point as a row of 64-bit integers."""
+    return np.frombuffer(raw, "u1" if any(len(raw) == g for _, g in GROUPS) else "<u2").astype(np.int64)[None]
+
+
 def folded(vec: np.ndarray, groups: int) -> np.ndarray:
     """Points (rows) with fewer groups: neighbouring counts are summed, as a shorter prefix of the hash would count."""
     return vec.reshape(len(vec), groups, -1).sum(axis=2) if vec.shape[1] != groups else vec
 
 
 def points(raw: list[bytes], groups: int) -> np.ndarray:
-    return np.stack([folded(np.frombuffer(r, "<u2").astype(np.int64)[None], groups)[0] for r in raw])
+    return np.stack([folded(point(r), groups)[0].astype(np.int32) for r in raw])
 
 
 def links(n: int, m: int, common_n: int) -> bool:
@@ -370,7 +377,7 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             v, w, n, m = (b.column(i).to_pylist() for i in (2, 3, 4, 5))
             ok = []
             for x, y, p, q in zip(v, w, n, m):
-                x, y = (np.frombuffer(r, "<u2").astype(np.int64)[None] for r in (x, y))
+                x, y = point(x), point(y)
                 groups = min(x.shape[1], y.shape[1])
                 overlap = int(np.minimum(folded(x, groups), folded(y, groups)).sum())
                 ok.append(p + q > UNBOUNDED or (OVER * overlap >= UNDER * (p + q)))
@@ -503,16 +510,21 @@ def classes(docs: DataFrame) -> DataFrame:
     # Tokens that the same sets have say the same: one of them is enough.
     runs = common.keep(_runs(dealt.filter("bucket is not null"), buckets).dropDuplicates(["keys"]), "runs")
     common.drop(dealt)
+    common.release(spark)
     members = common.keep(_members(runs), "members")
     found = _verified(common.keep(_bounded(_stars(_between(members, None, 0)), sets), "pairs"), sets, docs)
     parts = common.keep(common.components(found), "parts")
+    common.release(spark)
     # Again, with components for sets: a member of each is compared, another each turn, while that links many.
-    for turn in range(TURNS):
+    for turn in range(1, TURNS + 1):
         again = _verified(common.keep(_bounded(_stars(_between(members, parts, turn)), sets), "pairs"), sets, docs)
         if again.isEmpty():
             break
         parts = common.keep(common.components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)), "parts")
-    more = _verified(common.keep(_across(members, sets, parts), "pairs"), sets, docs)
+        common.release(spark)
+    across = common.keep(_across(members, sets, parts), "pairs")
+    common.release(spark)
+    more = _verified(across, sets, docs)
     if not more.isEmpty():
         parts = common.keep(common.components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "parts")
     named = sets.select("key", "least").join(parts.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
