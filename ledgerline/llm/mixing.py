@@ -8,7 +8,9 @@ of it had not been counted. For scoring all is frozen, so a text's score does no
 word that recurs is scored once.
 
 Counts are of all training words: words are counted in chunks of documents, dealt by their hash, summed, and what is
-known of each word goes back to the chunks that hold it. The tables have a fixed size whatever the corpus.
+known of each word goes back to the chunks that hold it. Words are dealt by their first OWN bytes, so counts under all
+bytes before are exact where the words lie and need no table; below OWN bytes they are those of the table of five. The
+other tables are sized by the contexts that the corpus has, at most half full.
 """
 
 from __future__ import annotations
@@ -21,10 +23,14 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Contexts and the bits of their tables: place in the word; the last one, two, three and five bytes; all bytes before.
-TABLES = (("place", 16), ("one", 16), ("two", 18), ("three", 20), ("five", 20), ("all", 20))
-OFFSETS = np.cumsum([0, *(1 << b for _, b in TABLES)])
-SLOTS = int(OFFSETS[-1])
+#: Contexts and the least bits of their tables: place in the word; the last one, two, three and five bytes.
+TABLES = (("place", 16), ("one", 16), ("two", 18), ("three", 20), ("five", 20))
+BITS = tuple(b for _, b in TABLES)
+SLOTS = sum(1 << b for b in BITS)
+#: Predictors: the tables and all bytes before. Words of the same first OWN bytes are in one task and batch.
+PREDICTORS, OWN = len(TABLES) + 1, 5
+#: Contexts that are looked at to size the tables, one of so many; slots for each key, at least.
+LOOKED, ROOM = 64, 2
 #: Slots of a piece of the tables as it is summed.
 PIECE = 1 << 16
 #: Words of a chunk of documents; bytes of words that are predicted at once when counting and when learning.
@@ -36,7 +42,7 @@ DELTA, RATE = 0.2, 0.15
 SEEN = 10
 #: Learning weighs a word by this power of its count.
 POWER = 0.75
-GATES, LEVELS = (len(TABLES) + 1) * SEEN, 33
+GATES, LEVELS = (PREDICTORS + 1) * SEEN, 33
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U = np.uint64
@@ -70,26 +76,46 @@ def _contexts(flat: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
     return [np.minimum(pos, 15).astype(_U), back[0], two, three, five, every]
 
 
-def steps(parts: list[bytes]):
-    """For each bit of every byte of the words: slots (tables x bytes) and the bits; first the word of each byte."""
+def offsets(bits=BITS) -> list[int]:
+    return np.cumsum([0, *(1 << b for b in bits)]).tolist()
+
+
+def _bases(parts: list[bytes]):
+    """Bytes of the words with their ends, the word of each, its place, and a hash of every context."""
     joined = b"\n".join(parts) + b"\n"
     flat = np.frombuffer(joined, np.uint8)
     lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
     word = np.repeat(np.arange(len(parts)), lengths)
     start = np.repeat(np.cumsum(lengths) - lengths, lengths)
     bases = [(c + _U(1)) * _U(0xD6E8FEB86659FD93 + 2 * k) for k, c in enumerate(_contexts(flat, start))]
-    bases = [b ^ (b >> _U(29)) for b in bases]
+    return flat, word, np.arange(len(flat)) - start, [b ^ (b >> _U(29)) for b in bases]
+
 
-    def bits():
+def steps(parts: list[bytes], bits=BITS):
+    """For each bit of every byte of the words: slots (tables x bytes), a key of all before, and the bits; first the word and place of each byte."""
+    flat, word, pos, bases = _bases(parts)
+
+    def each():
         node = np.ones(len(flat), _U)
         for k in range(7, -1, -1):
             bit = flat >> np.uint8(k) & np.uint8(1)
             mark = node * _U(0xA24BAED4963EE407)
-            slots = [((b + mark) * _U(0x9FB21C651E98DF25) >> _U(64 - size)).astype(np.int64) for b, (_, size) in zip(bases, TABLES)]
-            yield slots, bit
+            slots = [((b + mark) * _U(0x9FB21C651E98DF25) >> _U(64 - size)).astype(np.int64) for b, size in zip(bases, bits)]
+            yield slots, bases[-1] + mark, bit
             node = node << _U(1) | bit.astype(_U)
 
-    return word, bits()
+    return word, pos, each()
+
+
+def looked_at(parts: list[bytes]) -> list[np.ndarray]:
+    """Keys (context and node) of one in LOOKED contexts of each table."""
+    flat, _, _, bases = _bases(parts)
+    out = []
+    for b in bases[:-1]:
+        at = np.flatnonzero((b * _U(0x9FB21C651E98DF25) >> _U(40)) % _U(LOOKED) == 0)
+        byte = flat[at].astype(_U)
+        out.append(np.unique(np.concatenate([b[at] + (byte >> _U(8 - k) | _U(1 << k)) * _U(0xA24BAED4963EE407) for k in range(8)])))
+    return out
 
 
 def batches_of(parts: list[bytes], size: int):
@@ -104,29 +130,45 @@ def batches_of(parts: list[bytes], size: int):
         yield a, len(parts)
 
 
-def count(parts: list[bytes], counts: np.ndarray, tables: np.ndarray) -> None:
-    """Add words, each as often as counted, to tables (SLOTS x 2)."""
-    flat = tables.reshape(-1)
+def whole_batches(parts: list[bytes], size: int) -> list[np.ndarray]:
+    """Places of words in batches of about ``size`` bytes or more; words of the same first OWN bytes are in one batch."""
+    group = np.fromiter((zlib.crc32(w[:OWN]) for w in parts), np.int64, len(parts))
+    order = np.argsort(group, kind="stable")
+    ends = np.append(np.flatnonzero(np.diff(group[order])) + 1, len(parts))
+    held = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))[order] + 1)
+    out, a, before = [], 0, 0
+    for b in ends.tolist():
+        if b > a and (held[b - 1] - before >= size or b == len(parts)):
+            out.append(order[a:b])
+            a, before = b, held[b - 1]
+    return out
+
+
+def count(parts: list[bytes], counts: np.ndarray, tables: np.ndarray, bits=BITS) -> None:
+    """Add words, each as often as counted, to tables (slots x 2)."""
+    flat, first = tables.reshape(-1), offsets(bits)
     for a, b in batches_of(parts, COUNTED):
-        word, bits = steps(parts[a:b])
+        word, _, each = steps(parts[a:b], bits)
         weight = counts[a:b].astype(np.float64)[word]
-        seen = list(bits)
-        for k, (_, size) in enumerate(TABLES):
-            at = np.concatenate([slots[k] * 2 + bit for slots, bit in seen])
-            own = np.bincount(at, np.tile(weight, 8), 2 << size)
-            flat[2 * OFFSETS[k] : 2 * OFFSETS[k + 1]] += own.astype(flat.dtype)
+        seen = list(each)
+        for k, size in enumerate(bits):
+            at = np.concatenate([slots[k] * 2 + bit for slots, _, bit in seen])
+            if size > 18:
+                np.add.at(flat, at + 2 * first[k], np.tile(weight, 8).astype(flat.dtype))
+            else:
+                flat[2 * first[k] : 2 * first[k + 1]] += np.bincount(at, np.tile(weight, 8), 2 << size).astype(flat.dtype)
 
 
 class Mixer:
-    def __init__(self, tables: np.ndarray, weights: np.ndarray | None = None, refine: np.ndarray | None = None):
-        self.tables = tables
+    def __init__(self, tables: np.ndarray, weights: np.ndarray | None = None, refine: np.ndarray | None = None, bits=BITS):
+        self.tables, self.bits, self.offsets = tables, bits, offsets(bits)
         self.weights = self.first_weights() if weights is None else weights
         self.refine = np.zeros((GATES * LEVELS, 2)) if refine is None else refine
 
     @staticmethod
     def first_weights() -> np.ndarray:
         """The longest context that was seen is trusted the more, the oftener it was; the next shorter one has the rest."""
-        w = np.zeros((GATES, len(TABLES) + 1))
+        w = np.zeros((GATES, PREDICTORS + 1))
         for g in range(GATES):
             k, often = g // SEEN - 1, g % SEEN / (SEEN - 1)
             if k >= 0:
@@ -135,14 +177,24 @@ class Mixer:
                 w[g, k - 1] = 0.5 - 0.5 * often
         return w
 
-    def inputs(self, slots, bit=None):
-        """Odds of the predictors (tables + 1 x bytes), the last a constant, and the gates. bit: an occurrence of it is left out."""
-        odds = np.empty((len(slots) + 1, len(slots[0])))
+    @staticmethod
+    def whole(key, bit, weight, far):
+        """Counts under all bytes before, of the bytes that are OWN places in: exact, as all words that share them are here."""
+        _, same = np.unique(key[far], return_inverse=True)
+        return np.bincount(same * 2 + bit[far], weight[far], 2 * (int(same.max()) + 1) if len(same) else 0).reshape(-1, 2)[same]
+
+    def inputs(self, slots, own, far, bit=None):
+        """Odds of the predictors (and a constant, x bytes) and the gates. own: whole() of ``far``. bit: an occurrence of it is left out."""
+        odds = np.empty((PREDICTORS + 1, len(slots[0])))
         gate = np.zeros(len(slots[0]), np.int64)
-        for k, own in enumerate(slots):
-            n = self.tables[OFFSETS[k] + own].astype(np.float64)
+        for k in range(PREDICTORS):
+            if k < len(slots):
+                n = self.tables[self.offsets[k] + slots[k]].astype(np.float64)
+            else:
+                n = self.tables[self.offsets[k - 1] + slots[k - 1]].astype(np.float64)
+                n[far] = own
             if bit is not None:
-                n[np.arange(len(own)), bit] -= 1
+                n[np.arange(len(n)), bit] -= 1
                 np.maximum(n, 0, out=n)
             odds[k] = np.log((n[:, 1] + DELTA) / (n[:, 0] + DELTA))
             total = n[:, 0] + n[:, 1]
@@ -155,13 +207,14 @@ class Mixer:
 
     def learn(self, parts: list[bytes], counts: np.ndarray) -> float:
         """Learn from training words, online; returns the weight of what was learned from."""
-        total, cuts = 0.0, list(batches_of(parts, LEARNED))
-        for nth, (a, b) in enumerate(cuts):
-            word, bits = steps(parts[a:b])
-            weight = counts[a:b].astype(np.float64)[word] ** POWER
+        total, cuts = 0.0, whole_batches(parts, LEARNED)
+        for nth, at in enumerate(cuts):
+            word, pos, each = steps([parts[i] for i in at.tolist()], self.bits)
+            often, far = counts[at].astype(np.float64)[word], np.flatnonzero(pos >= OWN)
+            weight = often**POWER
             rate = RATE / (1 + nth / 8)
-            for slots, bit in bits:
-                odds, gate = self.inputs(slots, bit)
+            for slots, key, bit in each:
+                odds, gate = self.inputs(slots, self.whole(key, bit, often, far), far, bit)
                 z = self.mix(odds, gate)
                 error = weight * (bit - 1 / (1 + np.exp(-z)))
                 mass = np.bincount(gate, weight, GATES) + 1e-9
@@ -178,22 +231,24 @@ class Mixer:
     def level(z):
         return np.clip(np.rint(z * 2), -(LEVELS // 2), LEVELS // 2).astype(np.int64) + LEVELS // 2
 
-    def score(self, parts: list[bytes]) -> np.ndarray:
-        """log10 of the probability of each word, its end included."""
+    def score(self, parts: list[bytes], counts: np.ndarray | None = None) -> np.ndarray:
+        """log10 of the probability of each word, its end included. counts: of training, over all words that share OWN first bytes with one of them."""
         out = np.zeros(len(parts))
         middle = (np.arange(GATES * LEVELS) % LEVELS - LEVELS // 2) / 2
         seen = self.refine.sum(axis=1)
         refined = np.log((self.refine[:, 1] + 8 / (1 + np.exp(-middle))) / (self.refine[:, 0] + 8 / (1 + np.exp(middle))))
         refined = np.clip(np.where(seen > 0, refined, middle), -12, 12)
-        for a, b in batches_of(parts, LEARNED):
-            word, bits = steps(parts[a:b])
+        counts = np.zeros(len(parts)) if counts is None else counts
+        for at in whole_batches(parts, LEARNED):
+            word, pos, each = steps([parts[i] for i in at.tolist()], self.bits)
+            often, far = counts[at].astype(np.float64)[word], np.flatnonzero(pos >= OWN)
             lost = np.zeros(len(word))
-            for slots, bit in bits:
-                odds, gate = self.inputs(slots)
+            for slots, key, bit in each:
+                odds, gate = self.inputs(slots, self.whole(key, bit, often, far), far)
                 z = self.mix(odds, gate)
                 z = (z + refined[gate * LEVELS + self.level(z)]) / 2
                 lost += np.log1p(np.exp(np.where(bit == 1, -z, z)))
-            out[a:b] = -np.bincount(word, lost, b - a) / np.log(10)
+            out[at] = -np.bincount(word, lost, len(at)) / np.log(10)
         return out
 
 
@@ -226,7 +281,7 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
             train = np.repeat(np.array([not is_held_out(d) for d in ids], bool), n)
             counts = np.bincount(t[train], minlength=len(local)).astype("<u4")
             own = list(local)
-            where = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in own), np.int64, len(own))
+            where = np.fromiter((xxhash.xxh3_64_intdigest(w[:OWN]) % buckets for w in own), np.int64, len(own))
             order = np.argsort(where, kind="stable")
             cuts = np.searchsorted(where[order], np.arange(buckets + 1)).tolist()
             rows = [(chunk, None, ids, n.astype("<u4").tobytes(), t.astype("<u4").tobytes(), None, None, None)]
@@ -296,18 +351,40 @@ def _train_rows(b):
         yield [own[i] for i in kept.tolist()], n[kept]
 
 
-def _tables(vocabulary: DataFrame, tasks: int) -> np.ndarray:
+def _sized(vocabulary: DataFrame, tasks: int) -> tuple:
+    """Bits of each table, so that the keys of training words fill at most one slot in ROOM."""
     import pyarrow as pa
 
     def run(batches):
-        tables = np.zeros((SLOTS, 2), np.float32)
+        seen = [[np.zeros(0, _U)] for _ in TABLES]
+        for b in batches:
+            for parts, _ in _train_rows(b):
+                for x, y in batches_of(parts, COUNTED):
+                    for own, keys in zip(seen, looked_at(parts[x:y])):
+                        own.append(keys)
+        for k, own in enumerate(seen):
+            keys = np.unique(np.concatenate(own)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k, np.int32)), pa.array(keys)], ["k", "key"])
+
+    rows = vocabulary.select("words", "counts").coalesce(tasks).mapInArrow(run, "k int, key bigint").distinct().groupBy("k").count().collect()
+    keys = {r["k"]: LOOKED * r["count"] for r in rows}
+    return tuple(max(least, (ROOM * keys.get(k, 0)).bit_length()) for k, least in enumerate(BITS))
+
+
+def _tables(vocabulary: DataFrame, tasks: int, bits: tuple) -> np.ndarray:
+    import pyarrow as pa
+
+    total_slots = sum(1 << b for b in bits)
+
+    def run(batches):
+        tables = np.zeros((total_slots, 2))
         for b in batches:
             for parts, n in _train_rows(b):
-                count(parts, n, tables)
-        for k in range(0, SLOTS // PIECE):
+                count(parts, n, tables, bits)
+        for k in range(0, total_slots // PIECE):
             own = tables[k * PIECE : (k + 1) * PIECE]
             if own.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["piece", "own"])
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([own.astype(np.float32).tobytes()], pa.binary())], ["piece", "own"])
 
     def add(batches):
         total: dict = {}
@@ -319,18 +396,18 @@ def _tables(vocabulary: DataFrame, tasks: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([own.astype(np.float32).tobytes()], pa.binary())], ["piece", "own"])
 
     pieces = vocabulary.select("words", "counts").coalesce(tasks).mapInArrow(run, "piece int, own binary")
-    out = np.zeros((SLOTS, 2), np.float32)
-    for r in pieces.repartition("piece").mapInArrow(add, "piece int, own binary").toLocalIterator():  # SLOTS * 8 bytes in all
+    out = np.zeros((total_slots, 2), np.float32)
+    for r in pieces.repartition("piece").mapInArrow(add, "piece int, own binary").toLocalIterator():  # total_slots * 8 bytes in all
         out[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(r["own"], np.float32).reshape(-1, 2)
     return out
 
 
-def _learned(vocabulary: DataFrame, tasks: int, tables) -> tuple[np.ndarray, np.ndarray]:
+def _learned(vocabulary: DataFrame, tasks: int, tables, bits: tuple) -> tuple[np.ndarray, np.ndarray]:
     """Weights averaged over tasks, by what each learned from, and the sums of their last tables."""
     import pyarrow as pa
 
     def run(batches):
-        m, mass = Mixer(tables.value), 0.0
+        m, mass = Mixer(tables.value, bits=bits), 0.0
         for b in batches:
             for parts, n in _train_rows(b):
                 mass += m.learn(parts, n)
@@ -360,14 +437,16 @@ def score(docs: DataFrame) -> DataFrame:
     vocabulary = common.keep(_vocabulary(chunks), "vocabulary")
     n_train, v_train, n_words = (x or 0 for x in vocabulary.agg(F.sum("n_train"), F.sum("v_train"), F.sum("n_words")).first())
     tasks = min(TASKS, max(1, -(-n_words // TASK_WORDS)))
-    tables = spark.sparkContext.broadcast(_tables(vocabulary, tasks))
-    learned = spark.sparkContext.broadcast(_learned(vocabulary, tasks, tables))
+    bits = _sized(vocabulary, tasks)
+    tables = spark.sparkContext.broadcast(_tables(vocabulary, tasks, bits))
+    learned = spark.sparkContext.broadcast(_learned(vocabulary, tasks, tables, bits))
 
     def known(batches):
-        m = Mixer(tables.value, *learned.value)
+        m = Mixer(tables.value, *learned.value, bits)
         for b in batches:
             for parts, raw, at, idx, vidx in zip(*(b.column(i).to_pylist() for i in range(5))):
-                n, lp = np.frombuffer(raw, "<i8"), m.score(parts.split(b"\n"))
+                n = np.frombuffer(raw, "<i8")
+                lp = m.score(parts.split(b"\n"), n)
                 rows = [(c, i, n[v].astype("<i8").tobytes(), lp[v].tobytes()) for c, i, v in zip(at, idx, (np.frombuffer(v, "<u4") for v in vidx))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), *[pa.binary()] * 3])], ["chunk", "idx", "n", "lp"])
 
