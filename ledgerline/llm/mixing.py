@@ -7,6 +7,10 @@ weights and that table learn online, a batch of words after another, and each wo
 of it had not been counted. For scoring all is frozen, so a text's score does not hang on the order of texts, and a
 word that recurs is scored once.
 
+Across words, a predictor under the word before is mixed in: how often each pair of words occurs in all training text,
+by a hash of both. How far it is trusted against the spelling hangs on how often the word before was seen, and is what
+makes training text likeliest, each occurrence as if it had not been counted. Pairs are scored once a chunk.
+
 Counts are of all training words: words are counted in chunks of documents, dealt by their hash, summed, and what is
 known of each word goes back to the chunks that hold it. Words are dealt by their first OWN bytes, so counts under all
 bytes before are exact where the words lie and need no table; below OWN bytes they are those of the table of five. The
@@ -42,6 +46,9 @@ DELTA, RATE = 0.2, 0.15
 SEEN = 10
 #: Learning weighs a word by this power of its count.
 POWER = 0.75
+#: Gates of the predictor under the word before, by the logarithm of that word's count; odds against the spelling, in
+#: quarters of a nat from the least on, the first for none.
+TRUST, ODDS, LEAST = 80, 200, -100
 GATES, LEVELS = (PREDICTORS + 1) * SEEN, 33
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -257,7 +264,7 @@ VOCABULARY = "n_train bigint, v_train bigint, n_words bigint, words binary, coun
 
 
 def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
-    """Documents as numbers of their chunk's words (bucket null), and the chunk's words by bucket with training counts."""
+    """Documents as numbers of their chunk's words with those words' hashes (bucket null), and the chunk's words by bucket with training counts."""
     import pyarrow as pa
     from pyspark import TaskContext
 
@@ -284,7 +291,8 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
             where = np.fromiter((xxhash.xxh3_64_intdigest(w[:OWN]) % buckets for w in own), np.int64, len(own))
             order = np.argsort(where, kind="stable")
             cuts = np.searchsorted(where[order], np.arange(buckets + 1)).tolist()
-            rows = [(chunk, None, ids, n.astype("<u4").tobytes(), t.astype("<u4").tobytes(), None, None, None)]
+            names_of = np.fromiter(map(xxhash.xxh3_64_intdigest, own), "<u8", len(own))
+            rows = [(chunk, None, ids, n.astype("<u4").tobytes(), t.astype("<u4").tobytes(), names_of.tobytes(), None, None)]
             for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if y > x:
                     at = order[x:y]
@@ -344,6 +352,124 @@ def _vocabulary(chunks: DataFrame) -> DataFrame:
     return own.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(run, VOCABULARY)
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte of all, which compresses well."""
+    return a.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<i8").reshape(-1)
+
+
+def follows(sizes: np.ndarray, toks: np.ndarray):
+    """Pairs of a word and the one before, which is the end at the start of a text: (before, word) of each distinct pair, and the pair of each token."""
+    prev, ends = np.empty(len(toks), np.int64), np.cumsum(sizes)
+    prev[1:], prev[ends - sizes] = toks[:-1], toks[ends - 1]
+    size = int(toks.max()) + 1
+    pairs, which = np.unique(prev * size + toks, return_inverse=True)
+    return pairs // size, pairs % size, which
+
+
+def _named(before: np.ndarray, word: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    x = hashes[before] * _U(0x9E3779B97F4A7C15) ^ hashes[word]
+    x = (x ^ x >> _U(32)) * _U(0xD6E8FEB86659FD93)
+    return x ^ x >> _U(29)
+
+
+def _pairs(chunks: DataFrame) -> DataFrame:
+    """(chunk, bucket, n): how often each of a chunk's pairs occurs in all training text, in the order of their hashes."""
+    import pyarrow as pa
+
+    own = chunks.filter("bucket is null").select("chunk", "doc_ids", "n_words", "toks", "words")
+    # At least 256 buckets, so that a bucket settles a hash's first byte, and about two chunks' tokens a bucket.
+    shift = 64 - max(8, (own.count() // 2).bit_length())
+
+    def send(batches):
+        for b in batches:
+            for chunk, ids, sizes, toks, hashes in zip(*(b.column(i).to_pylist() for i in range(5))):
+                sizes, toks = np.frombuffer(sizes, "<u4").astype(np.int64), np.frombuffer(toks, "<u4").astype(np.int64)
+                before, word, which = follows(sizes, toks)
+                train = np.repeat(np.array([not is_held_out(d) for d in ids], bool), sizes)
+                n = np.bincount(which[train], minlength=len(word))
+                key = _named(before, word, np.frombuffer(hashes, "<u8"))
+                order = np.argsort(key, kind="stable")
+                key, n = key[order], n[order]
+                where = (key >> _U(shift)).astype(np.int64)
+                cuts = np.concatenate(([0], np.flatnonzero(np.diff(where)) + 1, [len(where)])).tolist()
+                short = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
+                rows = [(chunk, int(where[x]), short[x:y].tobytes(), _planes(n[x:y])) for x, y in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary(), pa.binary()])], ["chunk", "bucket", "keys", "n"])
+
+    def solve(at, rows):
+        keys = []
+        for _, raw, _ in rows:
+            k = np.zeros((len(raw) // 7, 8), np.uint8)
+            k[:, :7] = np.frombuffer(raw, np.uint8).reshape(-1, 7)
+            keys.append(k.view("<u8").reshape(-1))
+        _, which = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.zeros(int(which.max()) + 1, np.int64)
+        np.add.at(total, which, np.concatenate([_from_planes(n) for _, _, n in rows]))
+        cuts = np.cumsum([0, *map(len, keys)]).tolist()
+        out = [_planes(total[which[x:y]]) for x, y in zip(cuts[:-1], cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([at] * len(rows), pa.int64()), pa.array(out, pa.binary())], ["chunk", "bucket", "n"])
+
+    def run(batches):
+        at, rows = None, []
+        for b in batches:
+            for bucket, *row in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if bucket != at:
+                    if rows:
+                        yield solve(at, rows)
+                    at, rows = bucket, []
+                rows.append(row)
+        if rows:
+            yield solve(at, rows)
+
+    sent = own.mapInArrow(send, "chunk bigint, bucket bigint, keys binary, n binary").select("bucket", "chunk", "keys", "n")
+    return sent.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(run, "chunk bigint, bucket bigint, n binary")
+
+
+def trust_gate(n: np.ndarray) -> np.ndarray:
+    """By how often the word before was seen; 0 for never."""
+    return np.minimum(TRUST - 1, (2 * np.log2(n + 1.0)).astype(np.int64))
+
+
+def evidence(m: np.ndarray, before: np.ndarray, pair: np.ndarray, lp: np.ndarray) -> np.ndarray:
+    """Training occurrences (m of each pair) by gate and by odds of the pair's share against the spelling, one occurrence left out."""
+    at = np.flatnonzero(m)
+    n, c = before[at] - 1, pair[at] - 1
+    odds = np.log(np.maximum(c, 1) / np.maximum(n, 1)) - lp[at] * np.log(10)
+    cell = np.where(c > 0, np.clip(np.rint(4 * odds).astype(np.int64) - LEAST + 1, 1, ODDS - 1), 0)
+    return np.bincount(trust_gate(n) * ODDS + cell, m[at], TRUST * ODDS).reshape(TRUST, ODDS)
+
+
+def trusted(seen: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """For each gate the weight of the predictor under the word before that makes the evidence likeliest."""
+    odds = np.exp((np.arange(ODDS) + LEAST - 1) / 4)
+    odds[0] = 0
+    total, share = seen.sum(axis=1), np.full(TRUST, 0.5)
+    for _ in range(rounds):
+        own = share[:, None] * odds
+        share = (seen * own / (own + 1 - share[:, None])).sum(axis=1) / np.maximum(total, 1)
+        share = np.clip(share, 0, 0.999)
+    share[0] = 0
+    return share
+
+
+def _trust(joined: DataFrame) -> np.ndarray:
+    import pyarrow as pa
+
+    def run(batches):
+        total = np.zeros(TRUST * ODDS)
+        for b in batches:
+            for raw in b.column(0).to_pylist():
+                total += np.frombuffer(raw)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["seen"])
+
+    rows = joined.select("seen").coalesce(TASKS).mapInArrow(run, "seen binary").collect()
+    return trusted(sum((np.frombuffer(r["seen"]) for r in rows), np.zeros(TRUST * ODDS)).reshape(TRUST, ODDS))
+
+
 def _train_rows(b):
     for parts, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
         own, n = parts.split(b"\n"), np.frombuffer(raw, "<i8")
@@ -434,6 +560,8 @@ def score(docs: DataFrame) -> DataFrame:
     common.tune(spark)
     buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     chunks = common.keep(_chunks(docs, buckets), "chunks")
+    pairs = common.keep(_pairs(chunks), "pairs")
+    common.release(spark)
     vocabulary = common.keep(_vocabulary(chunks), "vocabulary")
     n_train, v_train, n_words = (x or 0 for x in vocabulary.agg(F.sum("n_train"), F.sum("v_train"), F.sum("n_words")).first())
     tasks = min(TASKS, max(1, -(-n_words // TASK_WORDS)))
@@ -451,33 +579,60 @@ def score(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), *[pa.binary()] * 3])], ["chunk", "idx", "n", "lp"])
 
     back = vocabulary.select("words", "counts", "chunks", "idx", "vidx").mapInArrow(known, "chunk bigint, idx binary, n binary, lp binary")
-    back = back.selectExpr("chunk", "0 as part", "cast(null as array<bigint>) as doc_ids", "cast(null as binary) as n_words", "cast(null as binary) as toks", "idx", "n", "lp")
-    own = chunks.filter("bucket is null").selectExpr("chunk", "1 as part", "doc_ids", "n_words", "toks", "cast(null as binary) as idx", "cast(null as binary) as n", "cast(null as binary) as lp")
-    rows = back.union(own).repartition("chunk").sortWithinPartitions("chunk", "part")
+    none = [f"cast(null as {k}) as {c}" for c, k in (("doc_ids", "array<bigint>"), ("n_words", "binary"), ("toks", "binary"), ("hashes", "binary"))]
+    back = back.selectExpr("chunk", "0 as part", "0L as bucket", *none, "idx", "n", "lp")
+    counted = pairs.selectExpr("chunk", "1 as part", "bucket", *none, "cast(null as binary) as idx", "n", "cast(null as binary) as lp")
+    own = chunks.filter("bucket is null").selectExpr("chunk", "2 as part", "0L as bucket", "doc_ids", "n_words", "toks", "words as hashes", *(f"cast(null as binary) as {c}" for c in ("idx", "n", "lp")))
+    rows = back.union(counted).union(own).repartition("chunk").sortWithinPartitions("chunk", "part", "bucket")
     per = float(n_train + v_train + 1)
 
-    def total(batches):
-        held = []
+    def join(batches):
+        held, counted = [], []
         for b in batches:
-            for part, ids, sizes, toks, *own in zip(*(b.column(i).to_pylist() for i in range(1, 8))):
+            for part, ids, sizes, toks, hashes, *own in zip(*(b.column(i).to_pylist() for i in (1, *range(3, 10)))):
                 if part == 0:
                     held.append(tuple(np.frombuffer(x, k) for x, k in zip(own, ("<u4", "<i8", "<f8"))))
                     continue
+                if part == 1:
+                    counted.append(_from_planes(own[1]))
+                    continue
                 size = 1 + max(int(i.max()) for i, _, _ in held)
                 n, lp = np.zeros(size, np.int64), np.zeros(size)
                 for i, c, p in held:
                     n[i], lp[i] = c, p
-                held = []
-                sizes, toks = np.frombuffer(sizes, "<u4").astype(np.int64), np.frombuffer(toks, "<u4")
+                lengths = np.frombuffer(sizes, "<u4").astype(np.int64)
+                before, word, which = follows(lengths, np.frombuffer(toks, "<u4").astype(np.int64))
+                pair = np.empty(len(word), np.int64)
+                pair[np.argsort(_named(before, word, np.frombuffer(hashes, "<u8")), kind="stable")] = np.concatenate(counted)
+                held, counted = [], []
+                train = np.repeat(np.array([not is_held_out(d) for d in ids], bool), lengths)
+                seen = evidence(np.bincount(which[train], minlength=len(word)), n[before], pair, lp[word])
+                row = (ids, sizes, toks, _planes(n), lp.tobytes(), _planes(pair), seen.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(row, [pa.list_(pa.int64()), *[pa.binary()] * 6])], ["doc_ids", "n_words", "toks", "n", "lp", "pair", "seen"])
+
+    joined = common.keep(rows.mapInArrow(join, "doc_ids array<bigint>, n_words binary, toks binary, n binary, lp binary, pair binary, seen binary"), "joined")
+    common.drop(pairs)
+    common.release(spark)
+    share = _trust(joined)
+
+    def total(batches):
+        for b in batches:
+            for ids, sizes, toks, n, lp, pair in zip(*(b.column(i).to_pylist() for i in range(6))):
+                sizes, toks = np.frombuffer(sizes, "<u4").astype(np.int64), np.frombuffer(toks, "<u4").astype(np.int64)
+                n, lp, pair = _from_planes(n), np.frombuffer(lp), _from_planes(pair)
+                before, word, which = follows(sizes, toks)
+                own = share[trust_gate(n[before])]
+                mixed = np.logaddexp(np.log(1 - own) + lp[word] * np.log(10), np.log(np.maximum(own * pair, 1e-300) / np.maximum(n[before], 1))) / np.log(10)
+                mixed = np.where(own * pair > 0, mixed, np.log10(1 - own) + lp[word])
                 at = np.cumsum(sizes) - sizes
                 base = np.log10((n + 1) / per)
                 lengths = len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array([is_held_out(d) for d in ids]), pa.array(sizes), pa.array(np.add.reduceat((n > 0).astype(np.int64)[toks], at)), pa.array(np.full(lengths, n_train, np.int64)), pa.array(np.add.reduceat(base[toks], at)), pa.array(np.add.reduceat(lp[toks], at))],
+                    [pa.array(ids, pa.int64()), pa.array([is_held_out(d) for d in ids]), pa.array(sizes), pa.array(np.add.reduceat((n > 0).astype(np.int64)[toks], at)), pa.array(np.full(lengths, n_train, np.int64)), pa.array(np.add.reduceat(base[toks], at)), pa.array(np.add.reduceat(mixed[which], at))],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    return rows.mapInArrow(total, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    return joined.select("doc_ids", "n_words", "toks", "n", "lp", "pair").mapInArrow(total, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
 def bits_per_byte(scored: DataFrame, docs: DataFrame) -> DataFrame:

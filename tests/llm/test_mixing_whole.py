@@ -62,3 +62,46 @@ def test_counts_of_all_bytes_are_exact(monkeypatch):
             for j, n in zip(far.tolist(), got.tolist()):
                 assert n == seen[own[word[j]][: pos[j]], flat[j] >> b + 1 | 1 << 7 - b]
     assert sorted(places) == list(range(len(known)))
+
+
+def test_order_of_words_counts(spark):
+    rng = random.Random(7)
+    word = [f"{a}{b}" for a in ("al", "be", "ga", "de") for b in ("pha", "ta", "mma", "lta", "rus")]
+    chain = {w: rng.sample(word, 2) for w in word}
+
+    def walk(n):
+        out = [rng.choice(word)]
+        while len(out) < n:
+            out.append(rng.choice(chain[out[-1]]))
+        return out
+
+    texts = [walk(40) for _ in range(150)]
+    held = next(i for i in range(1000, 2000) if mixing.is_held_out(i) and mixing.is_held_out(i + 7))
+    new = walk(60)
+    mixed = sorted(new)
+    rows = {r["doc_id"]: r for r in mixing.score(docs(spark, [*map(" ".join, texts), (held, " ".join(new)), (held + 7, " ".join(mixed))])).collect()}
+    assert rows[held]["base_score"] == rows[held + 7]["base_score"] or abs(rows[held]["base_score"] - rows[held + 7]["base_score"]) < 1e-9
+    assert rows[held]["score"] > 0.7 * rows[held + 7]["score"]
+
+
+def test_pairs_are_counted_over_all_chunks(spark):
+    texts = [*(" ".join(made(s, 30, "ab")) for s in range(40)), "", "a", "a a a"]
+    seen = {}
+    for i, t in enumerate(texts):
+        own = [b"", *mixing.words(t.encode()), b""]
+        for p in zip(own, own[1:]):
+            seen[p] = seen.get(p, 0) + (not mixing.is_held_out(i + 1))
+    chunks = mixing._chunks(docs(spark, texts).repartition(5), 8).cache()
+    got = {}
+    for r in mixing._pairs(chunks).orderBy("chunk", "bucket").collect():
+        got.setdefault(r["chunk"], []).extend(mixing._from_planes(r["n"]).tolist())
+    rows = chunks.collect()
+    for r in rows:
+        if r["bucket"] is None:
+            local = {}
+            for o in rows:
+                if o["chunk"] == r["chunk"] and o["bucket"] is not None:
+                    local |= dict(zip(np.frombuffer(o["idx"], "<u4").tolist(), bytes(o["words"]).split(b"\n")))
+            before, word, _ = mixing.follows(np.frombuffer(r["n_words"], "<u4").astype(np.int64), np.frombuffer(r["toks"], "<u4").astype(np.int64))
+            order = np.argsort(mixing._named(before, word, np.frombuffer(r["words"], "<u8")), kind="stable")
+            assert got[r["chunk"]] == [seen[local[before[i]], local[word[i]]] for i in order.tolist()]
