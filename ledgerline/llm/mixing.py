@@ -3,9 +3,9 @@
 A word is coded bit by bit, bytes then an end sign; the empty word ends a text. Several predictors, each a table of bit
 counts under a hashed context inside the word, give their odds; a gate, the longest context that was seen and how
 often, picks the weights that mix them in the logistic domain; a last table, by gate and odds, refines the mixture. The
-weights and that table learn online, a batch of words after another, and each word is predicted as if one occurrence
-of it had not been counted. For scoring all is frozen, so a text's score does not hang on the order of texts, and a
-word that recurs is scored once.
+weights learn online, a batch of words after another; once they are settled, that table is filled from all training
+words. Each word is predicted as if one occurrence of it had not been counted. For scoring all is frozen, so a text's
+score does not hang on the order of texts, and the spelling of a word that recurs is scored once.
 
 Across words, a predictor under the word before is mixed in: how often each pair of words occurs in all training text,
 by a hash of both. How far it is trusted against the spelling hangs on how often the word before was seen, and is what
@@ -227,13 +227,21 @@ class Mixer:
                 mass = np.bincount(gate, weight, GATES) + 1e-9
                 for k in range(len(odds)):
                     self.weights[:, k] += rate * np.bincount(gate, error * odds[k], GATES) / mass
-                if 2 * nth >= len(cuts) - 1:
-                    cell = gate * LEVELS + self.level(z)
-                    for v in (0, 1):
-                        self.refine[:, v] += np.bincount(cell, weight * (bit == v), GATES * LEVELS)
             total += float(weight.sum())
         return total
 
+    def settle(self, parts: list[bytes], counts: np.ndarray) -> None:
+        """Fill the last table from training words, all of them, with the weights as they are."""
+        for at in whole_batches(parts, LEARNED):
+            word, pos, each = steps([parts[i] for i in at.tolist()], self.bits)
+            often, far = counts[at].astype(np.float64)[word], np.flatnonzero(pos >= OWN)
+            weight = often**POWER
+            for slots, key, bit in each:
+                odds, gate = self.inputs(slots, self.whole(key, bit, often, far), far, bit)
+                cell = gate * LEVELS + self.level(self.mix(odds, gate))
+                for v in (0, 1):
+                    self.refine[:, v] += np.bincount(cell, weight * (bit == v), GATES * LEVELS)
+
     @staticmethod
     def level(z):
         return np.clip(np.rint(z * 2), -(LEVELS // 2), LEVELS // 2).astype(np.int64) + LEVELS // 2
@@ -529,7 +537,7 @@ def _tables(vocabulary: DataFrame, tasks: int, bits: tuple) -> np.ndarray:
 
 
 def _learned(vocabulary: DataFrame, tasks: int, tables, bits: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """Weights averaged over tasks, by what each learned from, and the sums of their last tables."""
+    """Weights averaged over tasks, by what each learned from, and the last table of all training words under them."""
     import pyarrow as pa
 
     def run(batches):
@@ -537,14 +545,24 @@ def _learned(vocabulary: DataFrame, tasks: int, tables, bits: tuple) -> tuple[np
         for b in batches:
             for parts, n in _train_rows(b):
                 mass += m.learn(parts, n)
-        yield pa.RecordBatch.from_arrays([pa.array([mass]), pa.array([m.weights.tobytes()], pa.binary()), pa.array([m.refine.tobytes()], pa.binary())], ["mass", "weights", "refine"])
+        yield pa.RecordBatch.from_arrays([pa.array([mass]), pa.array([m.weights.tobytes()], pa.binary())], ["mass", "weights"])
 
-    rows = [r for r in vocabulary.select("words", "counts").coalesce(tasks).mapInArrow(run, "mass double, weights binary, refine binary").collect() if r["mass"] > 0]
+    own = vocabulary.select("words", "counts").coalesce(tasks)
+    rows = [r for r in own.mapInArrow(run, "mass double, weights binary").collect() if r["mass"] > 0]
     if not rows:
         return Mixer(None).weights, Mixer(None).refine
     rows.sort(key=lambda r: bytes(r["weights"]))
     weights = sum(r["mass"] * np.frombuffer(r["weights"]).reshape(GATES, -1) for r in rows) / sum(r["mass"] for r in rows)
-    return weights, sum(np.frombuffer(r["refine"]).reshape(-1, 2) for r in rows)
+
+    def settle(batches):
+        m = Mixer(tables.value, weights, bits=bits)
+        for b in batches:
+            for parts, n in _train_rows(b):
+                m.settle(parts, n)
+        yield pa.RecordBatch.from_arrays([pa.array([m.refine.tobytes()], pa.binary())], ["refine"])
+
+    refined = sorted(bytes(r["refine"]) for r in own.mapInArrow(settle, "refine binary").collect())
+    return weights, sum(np.frombuffer(r).reshape(-1, 2) for r in refined)
 
 
 def score(docs: DataFrame) -> DataFrame:

@@ -105,3 +105,16 @@ def test_pairs_are_counted_over_all_chunks(spark):
             before, word, _ = mixing.follows(np.frombuffer(r["n_words"], "<u4").astype(np.int64), np.frombuffer(r["toks"], "<u4").astype(np.int64))
             order = np.argsort(mixing._named(before, word, np.frombuffer(r["words"], "<u8")), kind="stable")
             assert got[r["chunk"]] == [seen[local[before[i]], local[word[i]]] for i in order.tolist()]
+
+
+def test_last_table_has_all_words(spark):
+    """However many batches there are, each bit of each training word is in it."""
+    known = sorted({w.encode() for w in made(8, 12000)})
+    counts = np.full(len(known), 3)
+    assert len(mixing.whole_batches(known, mixing.LEARNED)) > 1
+    tables = np.zeros((mixing.SLOTS, 2), np.float32)
+    mixing.count(known, counts, tables)
+    m = mixing.Mixer(tables)
+    m.learn(known, counts)
+    m.settle(known, counts)
+    assert np.isclose(m.refine.sum(), 8 * 3**mixing.POWER * sum(len(w) + 1 for w in known))
