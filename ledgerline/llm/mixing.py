@@ -99,7 +99,7 @@ def _bases(parts: list[bytes]):
 
 
 def steps(parts: list[bytes], bits=BITS):
-    """For each bit of every byte of the words: slots (tables x bytes), a key of all before, and the bits; first the word and place of each byte."""
+    """For each bit of every byte of the words: slots (tables x bytes) and the bits; first the word of each byte, its place, the byte and a hash of all before."""
     flat, word, pos, bases = _bases(parts)
 
     def each():
@@ -108,10 +108,10 @@ def steps(parts: list[bytes], bits=BITS):
             bit = flat >> np.uint8(k) & np.uint8(1)
             mark = node * _U(0xA24BAED4963EE407)
             slots = [((b + mark) * _U(0x9FB21C651E98DF25) >> _U(64 - size)).astype(np.int64) for b, size in zip(bases, bits)]
-            yield slots, bases[-1] + mark, bit
+            yield slots, bit
             node = node << _U(1) | bit.astype(_U)
 
-    return word, pos, each()
+    return word, pos, flat, bases[-1], each()
 
 
 def looked_at(parts: list[bytes]) -> list[np.ndarray]:
@@ -155,17 +155,46 @@ def count(parts: list[bytes], counts: np.ndarray, tables: np.ndarray, bits=BITS)
     """Add words, each as often as counted, to tables (slots x 2)."""
     flat, first = tables.reshape(-1), offsets(bits)
     for a, b in batches_of(parts, COUNTED):
-        word, _, each = steps(parts[a:b], bits)
+        word, *_, each = steps(parts[a:b], bits)
         weight = counts[a:b].astype(np.float64)[word]
         seen = list(each)
         for k, size in enumerate(bits):
-            at = np.concatenate([slots[k] * 2 + bit for slots, _, bit in seen])
+            at = np.concatenate([slots[k] * 2 + bit for slots, bit in seen])
             if size > 18:
                 np.add.at(flat, at + 2 * first[k], np.tile(weight, 8).astype(flat.dtype))
             else:
                 flat[2 * first[k] : 2 * first[k + 1]] += np.bincount(at, np.tile(weight, 8), 2 << size).astype(flat.dtype)
 
 
+class Whole:
+    """Counts under all bytes before, of the bytes that are OWN places in: exact, as all words that share them are here.
+
+    Sorted once by what is before and the byte, bytes of the same leading bits under the same bytes are runs.
+    """
+
+    def __init__(self, base, flat, pos, weight):
+        self.far = np.flatnonzero(pos >= OWN)
+        order = np.argsort(base[self.far], kind="stable")
+        byte, base = flat[self.far], base[self.far]
+        order = order[np.argsort((np.cumsum(np.diff(base[order], prepend=base[order[:1]]) != 0) << 8) | byte[order], kind="stable")]
+        self.byte, self.weight, self.order = byte[order], weight[self.far][order], order
+        self.change = np.diff(base[order], prepend=base[order[:1]] + _U(1)) != 0
+
+    def counts(self, k: int) -> np.ndarray:
+        """Of the k-th bit from the least, a row for each of ``far``."""
+        if not len(self.order):
+            return np.zeros((0, 2))
+        high = self.byte >> np.uint8(k) >> np.uint8(1)
+        new = self.change.copy()
+        new[1:] |= high[1:] != high[:-1]
+        at = np.flatnonzero(new)
+        bit = (self.byte >> np.uint8(k) & np.uint8(1)).astype(bool)
+        one, both = np.add.reduceat(np.where(bit, self.weight, 0.0), at), np.add.reduceat(self.weight, at)
+        out = np.empty((len(self.order), 2))
+        out[self.order] = np.stack([both - one, one], axis=1)[np.cumsum(new) - 1]
+        return out
+
+
 class Mixer:
     def __init__(self, tables: np.ndarray, weights: np.ndarray | None = None, refine: np.ndarray | None = None, bits=BITS):
         self.tables, self.bits, self.offsets = tables, bits, offsets(bits)
@@ -184,14 +213,8 @@ class Mixer:
                 w[g, k - 1] = 0.5 - 0.5 * often
         return w
 
-    @staticmethod
-    def whole(key, bit, weight, far):
-        """Counts under all bytes before, of the bytes that are OWN places in: exact, as all words that share them are here."""
-        _, same = np.unique(key[far], return_inverse=True)
-        return np.bincount(same * 2 + bit[far], weight[far], 2 * (int(same.max()) + 1) if len(same) else 0).reshape(-1, 2)[same]
-
     def inputs(self, slots, own, far, bit=None):
-        """Odds of the predictors (and a constant, x bytes) and the gates. own: whole() of ``far``. bit: an occurrence of it is left out."""
+        """Odds of the predictors (and a constant, x bytes) and the gates. own: counts under all bytes before, of ``far``. bit: an occurrence of it is left out."""
         odds = np.empty((PREDICTORS + 1, len(slots[0])))
         gate = np.zeros(len(slots[0]), np.int64)
         for k in range(PREDICTORS):
@@ -216,28 +239,30 @@ class Mixer:
         """Learn from training words, online; returns the weight of what was learned from."""
         total, cuts = 0.0, whole_batches(parts, LEARNED)
         for nth, at in enumerate(cuts):
-            word, pos, each = steps([parts[i] for i in at.tolist()], self.bits)
-            often, far = counts[at].astype(np.float64)[word], np.flatnonzero(pos >= OWN)
+            word, pos, flat, base, each = steps([parts[i] for i in at.tolist()], self.bits)
+            often = counts[at].astype(np.float64)[word]
+            whole = Whole(base, flat, pos, often)
             weight = often**POWER
             rate = RATE / (1 + nth / 8)
-            for slots, key, bit in each:
-                odds, gate = self.inputs(slots, self.whole(key, bit, often, far), far, bit)
+            for k, (slots, bit) in zip(range(7, -1, -1), each):
+                odds, gate = self.inputs(slots, whole.counts(k), whole.far, bit)
                 z = self.mix(odds, gate)
                 error = weight * (bit - 1 / (1 + np.exp(-z)))
                 mass = np.bincount(gate, weight, GATES) + 1e-9
-                for k in range(len(odds)):
-                    self.weights[:, k] += rate * np.bincount(gate, error * odds[k], GATES) / mass
+                for c in range(len(odds)):
+                    self.weights[:, c] += rate * np.bincount(gate, error * odds[c], GATES) / mass
             total += float(weight.sum())
         return total
 
     def settle(self, parts: list[bytes], counts: np.ndarray) -> None:
         """Fill the last table from training words, all of them, with the weights as they are."""
         for at in whole_batches(parts, LEARNED):
-            word, pos, each = steps([parts[i] for i in at.tolist()], self.bits)
-            often, far = counts[at].astype(np.float64)[word], np.flatnonzero(pos >= OWN)
+            word, pos, flat, base, each = steps([parts[i] for i in at.tolist()], self.bits)
+            often = counts[at].astype(np.float64)[word]
+            whole = Whole(base, flat, pos, often)
             weight = often**POWER
-            for slots, key, bit in each:
-                odds, gate = self.inputs(slots, self.whole(key, bit, often, far), far, bit)
+            for k, (slots, bit) in zip(range(7, -1, -1), each):
+                odds, gate = self.inputs(slots, whole.counts(k), whole.far, bit)
                 cell = gate * LEVELS + self.level(self.mix(odds, gate))
                 for v in (0, 1):
                     self.refine[:, v] += np.bincount(cell, weight * (bit == v), GATES * LEVELS)
@@ -255,11 +280,12 @@ class Mixer:
         refined = np.clip(np.where(seen > 0, refined, middle), -12, 12)
         counts = np.zeros(len(parts)) if counts is None else counts
         for at in whole_batches(parts, LEARNED):
-            word, pos, each = steps([parts[i] for i in at.tolist()], self.bits)
-            often, far = counts[at].astype(np.float64)[word], np.flatnonzero(pos >= OWN)
+            word, pos, flat, base, each = steps([parts[i] for i in at.tolist()], self.bits)
+            often = counts[at].astype(np.float64)[word]
+            whole = Whole(base, flat, pos, often)
             lost = np.zeros(len(word))
-            for slots, key, bit in each:
-                odds, gate = self.inputs(slots, self.whole(key, bit, often, far), far)
+            for k, (slots, bit) in zip(range(7, -1, -1), each):
+                odds, gate = self.inputs(slots, whole.counts(k), whole.far)
                 z = self.mix(odds, gate)
                 z = (z + refined[gate * LEVELS + self.level(z)]) / 2
                 lost += np.log1p(np.exp(np.where(bit == 1, -z, z)))
@@ -271,6 +297,16 @@ CHUNKS = "chunk bigint, bucket int, doc_ids array<bigint>, n_words binary, toks
 VOCABULARY = "n_train bigint, v_train bigint, n_words bigint, words binary, counts binary, chunks array<bigint>, idx array<binary>, vidx array<binary>"
 
 
+def _planes(a: np.ndarray, kind: str = "<i8") -> bytes:
+    """Numbers, byte by byte of all, which compresses well."""
+    return a.astype(kind).view(np.uint8).reshape(len(a), -1).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind: str = "<i8") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(raw, np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
+
+
 def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
     """Documents as numbers of their chunk's words with those words' hashes (bucket null), and the chunk's words by bucket with training counts."""
     import pyarrow as pa
@@ -300,7 +336,7 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(where, kind="stable")
             cuts = np.searchsorted(where[order], np.arange(buckets + 1)).tolist()
             names_of = np.fromiter(map(xxhash.xxh3_64_intdigest, own), "<u8", len(own))
-            rows = [(chunk, None, ids, n.astype("<u4").tobytes(), t.astype("<u4").tobytes(), names_of.tobytes(), None, None)]
+            rows = [(chunk, None, ids, n.astype("<u4").tobytes(), _planes(t, "<u4"), names_of.tobytes(), None, None)]
             for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if y > x:
                     at = order[x:y]
@@ -360,15 +396,6 @@ def _vocabulary(chunks: DataFrame) -> DataFrame:
     return own.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(run, VOCABULARY)
 
 
-def _planes(a: np.ndarray) -> bytes:
-    """Whole numbers, byte by byte of all, which compresses well."""
-    return a.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def _from_planes(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<i8").reshape(-1)
-
-
 def follows(sizes: np.ndarray, toks: np.ndarray):
     """Pairs of a word and the one before, which is the end at the start of a text: (before, word) of each distinct pair, and the pair of each token."""
     prev, ends = np.empty(len(toks), np.int64), np.cumsum(sizes)
@@ -389,13 +416,13 @@ def _pairs(chunks: DataFrame) -> DataFrame:
     import pyarrow as pa
 
     own = chunks.filter("bucket is null").select("chunk", "doc_ids", "n_words", "toks", "words")
-    # At least 256 buckets, so that a bucket settles a hash's first byte, and about two chunks' tokens a bucket.
+    # At least 256 buckets, and about two chunks' tokens a bucket.
     shift = 64 - max(8, (own.count() // 2).bit_length())
 
     def send(batches):
         for b in batches:
             for chunk, ids, sizes, toks, hashes in zip(*(b.column(i).to_pylist() for i in range(5))):
-                sizes, toks = np.frombuffer(sizes, "<u4").astype(np.int64), np.frombuffer(toks, "<u4").astype(np.int64)
+                sizes, toks = np.frombuffer(sizes, "<u4").astype(np.int64), _from_planes(toks, "<u4").astype(np.int64)
                 before, word, which = follows(sizes, toks)
                 train = np.repeat(np.array([not is_held_out(d) for d in ids], bool), sizes)
                 n = np.bincount(which[train], minlength=len(word))
@@ -404,16 +431,11 @@ def _pairs(chunks: DataFrame) -> DataFrame:
                 key, n = key[order], n[order]
                 where = (key >> _U(shift)).astype(np.int64)
                 cuts = np.concatenate(([0], np.flatnonzero(np.diff(where)) + 1, [len(where)])).tolist()
-                short = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
-                rows = [(chunk, int(where[x]), short[x:y].tobytes(), _planes(n[x:y])) for x, y in zip(cuts[:-1], cuts[1:])]
+                rows = [(chunk, int(where[x]), _planes(np.diff(key[x:y], prepend=_U(0)), "<u8"), _planes(n[x:y])) for x, y in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary(), pa.binary()])], ["chunk", "bucket", "keys", "n"])
 
     def solve(at, rows):
-        keys = []
-        for _, raw, _ in rows:
-            k = np.zeros((len(raw) // 7, 8), np.uint8)
-            k[:, :7] = np.frombuffer(raw, np.uint8).reshape(-1, 7)
-            keys.append(k.view("<u8").reshape(-1))
+        keys = [np.cumsum(_from_planes(raw, "<u8"), dtype=_U) for _, raw, _ in rows]
         _, which = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.zeros(int(which.max()) + 1, np.int64)
         np.add.at(total, which, np.concatenate([_from_planes(n) for _, _, n in rows]))
@@ -581,10 +603,12 @@ def score(docs: DataFrame) -> DataFrame:
     pairs = common.keep(_pairs(chunks), "pairs")
     common.release(spark)
     vocabulary = common.keep(_vocabulary(chunks), "vocabulary")
+    common.release(spark)
     n_train, v_train, n_words = (x or 0 for x in vocabulary.agg(F.sum("n_train"), F.sum("v_train"), F.sum("n_words")).first())
     tasks = min(TASKS, max(1, -(-n_words // TASK_WORDS)))
     bits = _sized(vocabulary, tasks)
     tables = spark.sparkContext.broadcast(_tables(vocabulary, tasks, bits))
+    common.release(spark)
     learned = spark.sparkContext.broadcast(_learned(vocabulary, tasks, tables, bits))
 
     def known(batches):
@@ -619,7 +643,7 @@ def score(docs: DataFrame) -> DataFrame:
                 for i, c, p in held:
                     n[i], lp[i] = c, p
                 lengths = np.frombuffer(sizes, "<u4").astype(np.int64)
-                before, word, which = follows(lengths, np.frombuffer(toks, "<u4").astype(np.int64))
+                before, word, which = follows(lengths, _from_planes(toks, "<u4").astype(np.int64))
                 pair = np.empty(len(word), np.int64)
                 pair[np.argsort(_named(before, word, np.frombuffer(hashes, "<u8")), kind="stable")] = np.concatenate(counted)
                 held, counted = [], []
@@ -629,14 +653,15 @@ def score(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(row, [pa.list_(pa.int64()), *[pa.binary()] * 6])], ["doc_ids", "n_words", "toks", "n", "lp", "pair", "seen"])
 
     joined = common.keep(rows.mapInArrow(join, "doc_ids array<bigint>, n_words binary, toks binary, n binary, lp binary, pair binary, seen binary"), "joined")
-    common.drop(pairs)
+    for kept in (pairs, chunks, vocabulary):
+        common.drop(kept)
     common.release(spark)
     share = _trust(joined)
 
     def total(batches):
         for b in batches:
             for ids, sizes, toks, n, lp, pair in zip(*(b.column(i).to_pylist() for i in range(6))):
-                sizes, toks = np.frombuffer(sizes, "<u4").astype(np.int64), np.frombuffer(toks, "<u4").astype(np.int64)
+                sizes, toks = np.frombuffer(sizes, "<u4").astype(np.int64), _from_planes(toks, "<u4").astype(np.int64)
                 n, lp, pair = _from_planes(n), np.frombuffer(lp), _from_planes(pair)
                 before, word, which = follows(sizes, toks)
                 own = share[trust_gate(n[before])]

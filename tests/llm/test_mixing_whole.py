@@ -54,12 +54,10 @@ def test_counts_of_all_bytes_are_exact(monkeypatch):
     for at in mixing.whole_batches(known, mixing.LEARNED):
         own = [known[i] for i in at.tolist()]
         places += at.tolist()
-        word, pos, each = mixing.steps(own)
-        far = np.flatnonzero(pos >= mixing.OWN)
-        flat = b"\n".join(own) + b"\n"
-        for b, (_, key, bit) in zip(range(7, -1, -1), each):
-            got = mixing.Mixer.whole(key, bit, counts[at].astype(float)[word], far)
-            for j, n in zip(far.tolist(), got.tolist()):
+        word, pos, flat, base, _ = mixing.steps(own)
+        whole = mixing.Whole(base, flat, pos, counts[at].astype(float)[word])
+        for b in range(8):
+            for j, n in zip(whole.far.tolist(), whole.counts(b).tolist()):
                 assert n == seen[own[word[j]][: pos[j]], flat[j] >> b + 1 | 1 << 7 - b]
     assert sorted(places) == list(range(len(known)))
 
@@ -102,7 +100,7 @@ def test_pairs_are_counted_over_all_chunks(spark):
             for o in rows:
                 if o["chunk"] == r["chunk"] and o["bucket"] is not None:
                     local |= dict(zip(np.frombuffer(o["idx"], "<u4").tolist(), bytes(o["words"]).split(b"\n")))
-            before, word, _ = mixing.follows(np.frombuffer(r["n_words"], "<u4").astype(np.int64), np.frombuffer(r["toks"], "<u4").astype(np.int64))
+            before, word, _ = mixing.follows(np.frombuffer(r["n_words"], "<u4").astype(np.int64), mixing._from_planes(r["toks"], "<u4").astype(np.int64))
             order = np.argsort(mixing._named(before, word, np.frombuffer(r["words"], "<u8")), kind="stable")
             assert got[r["chunk"]] == [seen[local[before[i]], local[word[i]]] for i in order.tolist()]
 
