@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Labelled documents that the classifier is fitted on, of each label, those with the least hashes.
-SAMPLE = {1: 2000, 0: 6000}
+SAMPLE = {1: 4000, 0: 8000}
 #: Words and beginnings that the classifier may use, and the lengths of beginnings.
 FEATURES, STEMS = 8192, (3, 4, 5, 6)
 #: Tokens that a worker remembers the features of.
@@ -55,12 +55,13 @@ class CharModel:
         return p
 
 
-#: Letters that the model tells apart; all others are one class, so its counts are bounded.
-ALPHABET = " abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7) + "�"
+#: Letters that the model tells apart, those in lower case below U+0250; all others are one class, so its counts are bounded.
+ALPHABET = " " + "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and chr(c) == chr(c).lower()) + "�"
+_KNOWN = frozenset(ALPHABET)
 
 
 def _class(c: str) -> str:
-    return c if c in ALPHABET else "�"
+    return c if c in _KNOWN else "�"
 
 
 def grams(word: str):
@@ -169,7 +170,7 @@ def characters(docs: DataFrame) -> dict[str, int]:
             x = np.repeat(x, np.where(x == 0, 2, 1)).astype(np.int64)
             y, z = x[1:-1], x[2:]
             g = (x[:-2] * size + y) * size + z
-            total += np.bincount(g[(y > 0) | (z > 0)], minlength=len(total))
+            np.add.at(total, g[(y > 0) | (z > 0)], 1)
         at = np.flatnonzero(total)
         names = [ALPHABET[g // size // size] + ALPHABET[g // size % size] + ALPHABET[g % size] for g in at.tolist()]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(total[at])], ["g", "n"])
