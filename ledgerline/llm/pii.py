@@ -12,6 +12,7 @@ import hashlib
 import math
 import random
 import re
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,9 @@ from . import common
 KINDS = ("email", "ip", "card", "phone")
 #: Tokens of a segment at most; characters on each side of a cue that are looked at.
 SPAN, AROUND = 24, 48
-#: Documents that contexts for fitting are taken from, those with the least hashes; contexts taken; contexts generated.
-SAMPLE, TAKEN, MADE = 2000, 120, 280
+#: Documents that contexts for fitting are taken from, those with the least hashes; base spans of a kind, and other runs of
+#: digits, that a document gives at most; contexts generated.
+SAMPLE, EACH, MADE = 2000, 2, 280
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -30,6 +32,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
+_DIGITS = re.compile("[0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -245,17 +248,15 @@ def contexts(texts: list[str], seed: int = 11) -> list[tuple[str, list[tuple[int
         out.append((before + value + after, [] if kind is None else [(kind, len(before), len(before) + len(value))]))
 
     for text in texts:
-        spans = base(text)
+        spans, left = base(text), [EACH] * len(KINDS)
         for k, s, e in spans:
-            if sum(a < e and s < b for _, a, b in spans) == 1 and not _CUE.search(text[max(0, s - 40) : s]) and not _CUE.search(text[e : e + 40]):
+            if left[k] and sum(a < e and s < b for _, a, b in spans) == 1 and not _CUE.search(text[max(0, s - 40) : s]) and not _CUE.search(text[e : e + 40]):
+                left[k] -= 1
                 before, after = text[max(0, s - 40) : s], text[e : e + 40]
                 put(before, k, text[s:e], after)
                 put(before, k, _forms(k, text[s:e], rng), after)
-        for m in _DIGIT.finditer(text):
-            if len(out) < TAKEN and not spans:
-                put(text[max(0, m.start() - 40) : m.start()], None, text[m.start() : m.end() + 40], "")
-        if len(out) >= TAKEN:
-            break
+        for m in islice(_DIGITS.finditer(text), 0 if spans else EACH):
+            put(text[max(0, m.start() - 40) : m.start()], None, text[m.start() : m.end() + 40], "")
     word = lambda: "".join(rng.choice("aeinorst") for _ in range(rng.randint(2, 7)))
     for i in range(MADE):
         before, after = f"{word()} {word()} ", rng.choice(["", ",", "."]) + f" {word()} {word()}"
