@@ -1,8 +1,8 @@
 """Operator 2, personal data by a semi-Markov conditional random field.
 
-Plain patterns find the base spans. Beside them, around digits and at-signs, every run of up to SPAN tokens is a
-candidate segment; features of the whole segment score it as each kind of personal data, and dynamic programming over
-segments of bounded length chooses boundaries and kinds together. The weights are fitted by conditional likelihood on
+Plain patterns find the base spans. Beside them, around digits and at-signs, runs of up to SPAN tokens and of 7 to 80
+characters are candidate segments, of the kinds whose looser pattern they match as a whole (_NEEDS) and of no others;
+features of the whole segment score it as each of these, and dynamic programming chooses boundaries and kinds together. The weights are fitted by conditional likelihood on
 generated contexts and on a bounded sample of documents, in which base spans are also rewritten in other common forms.
 """
 
