@@ -3,15 +3,26 @@
 from __future__ import annotations
 
 import atexit
-import gc
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch handed to Python: texts may be long, so few.
+#: Rows that a Python worker makes objects of at once: texts may be long, so few.
 BATCH_ROWS = 128
+#: Settings under which operators run jobs of their own: what a worker holds at once is bounded by rows and by bytes, joins may
+#: prune by Bloom filters, and a job's shuffle files go when it ends.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1m",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -20,21 +31,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tune(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once, by rows and by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1m")
-    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "256m")
+@contextmanager
+def tuned(spark: SparkSession):
+    """SETTINGS for the length of a block; then the session has its own again."""
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    try:
+        for k, v in SETTINGS.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def collect(df: DataFrame) -> list:
+    """Rows of a small result of a job under SETTINGS."""
+    with tuned(df.sparkSession):
+        return df.collect()
+
+
+def is_empty(df: DataFrame) -> bool:
+    with tuned(df.sparkSession):
+        return df.isEmpty()
+
+
+def sliced(batches):
+    """Arrow batches in slices of few rows, for frames that are handed back and run under whatever settings the caller has."""
+    for b in batches:
+        for at in range(0, b.num_rows, BATCH_ROWS):
+            yield b.slice(at, BATCH_ROWS)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary one, in local mode only."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="ledgerline-")
         spark.conf.set("spark.checkpoint.dir", base)
+        own(spark, base)
     return base
 
 
@@ -58,29 +97,29 @@ def own(spark: SparkSession, path: str) -> None:
     _made.append((spark, path))
 
 
-def keep(df: DataFrame, tag: str, files: int | None = None) -> DataFrame:
-    """Write a frame to the shared folder and read it back: lineage ends there and a lost executor loses nothing."""
+def keep(df: DataFrame, tag: str, files: int | None = None, by: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it back: lineage ends there and a lost executor loses nothing.
+
+    by: a column whose values get folders of their own, which drop() can delete one at a time.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
+    writer = (df.coalesce(files) if files else df).write.option("compression", "zstd")
     own(spark, path)
+    with tuned(spark):
+        (writer.partitionBy(by) if by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._kept_path = path
     return out
 
 
-def drop(df: DataFrame) -> None:
-    """Delete what keep() wrote, once nothing reads it any more."""
+def drop(df: DataFrame, part: str | None = None) -> None:
+    """Delete what keep() wrote, or the folder column=value of it, once nothing reads it any more."""
     path = getattr(df, "_kept_path", None)
     if path:
-        _delete(df.sparkSession, path)
-        _made[:] = [x for x in _made if x[1] != path]
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of what is no longer referred to; else they stay until the driver happens to collect garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+        _delete(df.sparkSession, f"{path}/{part}" if part else path)
+        if not part:
+            _made[:] = [x for x in _made if x[1] != path]
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
@@ -124,7 +163,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     for _ in range(rounds):
         # A star forest: no node that points at another is pointed at, or points twice.
         ends = cur.select(F.col("a").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(cur.select("b", F.lit(0), F.lit(1)).distinct())
-        if ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("into").alias("into")).filter("out > 1 or (out > 0 and into > 0)").isEmpty():
+        if is_empty(ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("into").alias("into")).filter("out > 1 or (out > 0 and into > 0)")):
             break
         # Larger neighbours of a go to the least of a and its neighbours.
         sym = cur.union(cur.select("b", "a"))

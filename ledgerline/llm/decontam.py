@@ -87,7 +87,6 @@ def build(docs: DataFrame, vocabulary: DataFrame | None = None, column: str = "t
     import pyarrow as pa
 
     spark = docs.sparkSession
-    common.tune(spark)
     wanted = None
     if vocabulary is not None:
         wanted = spark.sparkContext.broadcast(frozenset(w for r in vocabulary.toLocalIterator() for w in words(r[0])))
@@ -148,7 +147,6 @@ def search(index: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     import pyarrow as pa
 
     spark = index.sparkSession
-    common.tune(spark)
     blocks, block, size = [], [], 0
     for name, text in items.toLocalIterator():
         block.append((name, words(text)))

@@ -238,7 +238,8 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     ids = docs.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("t")).join(F.broadcast(ids), "doc_id").select("t")
     often = texts.mapInArrow(run, "h bigint").groupBy("h").count().filter("count >= 3").orderBy(F.desc("count"), "h").limit(FREQUENT)
-    return np.sort(often.select("h").toArrow().column(0).to_numpy().view(np.uint64))
+    with common.tuned(docs.sparkSession):
+        return np.sort(often.select("h").toArrow().column(0).to_numpy().view(np.uint64))
 
 
 SETS = "bucket int, doc_id bigint, key bigint, n bigint, vec binary, toks binary, keys binary"
@@ -403,7 +404,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     # The filter drops nothing; it lets Spark prune documents by a Bloom filter before they are dealt.
     found = texts.join(send.filter("n > 0"), texts["doc_id"] == send["least"]).select("key", "dest", "salt", "part", "text")
     unnamed = send.filter("least is null")
-    if not unnamed.isEmpty():
+    if not common.is_empty(unnamed):
 
         def name(batches):
             for b in batches:
@@ -501,7 +502,6 @@ def classes(docs: DataFrame) -> DataFrame:
     that reach no other. Only doc_id and text are read. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    common.tune(spark)
     buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = common.keep(_deal(docs, buckets), "dealt")
     own = common.keep(dealt.filter("bucket is null").select("doc_id", "key", "n", "vec"), "own")
@@ -510,22 +510,18 @@ def classes(docs: DataFrame) -> DataFrame:
     # Tokens that the same sets have say the same: one of them is enough.
     runs = common.keep(_runs(dealt.filter("bucket is not null"), buckets).dropDuplicates(["keys"]), "runs")
     common.drop(dealt)
-    common.release(spark)
     members = common.keep(_members(runs), "members")
     found = _verified(common.keep(_bounded(_stars(_between(members, None, 0)), sets), "pairs"), sets, docs)
     parts = common.keep(common.components(found), "parts")
-    common.release(spark)
     # Again, with components for sets: a member of each is compared, another each turn, while that links many.
     for turn in range(1, TURNS + 1):
         again = _verified(common.keep(_bounded(_stars(_between(members, parts, turn)), sets), "pairs"), sets, docs)
-        if again.isEmpty():
+        if common.is_empty(again):
             break
         parts = common.keep(common.components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(again)), "parts")
-        common.release(spark)
     across = common.keep(_across(members, sets, parts), "pairs")
-    common.release(spark)
     more = _verified(across, sets, docs)
-    if not more.isEmpty():
+    if not common.is_empty(more):
         parts = common.keep(common.components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "parts")
     named = sets.select("key", "least").join(parts.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     tops = named.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -597,18 +597,14 @@ def score(docs: DataFrame) -> DataFrame:
     import pyarrow as pa
 
     spark = docs.sparkSession
-    common.tune(spark)
     buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     chunks = common.keep(_chunks(docs, buckets), "chunks")
     pairs = common.keep(_pairs(chunks), "pairs")
-    common.release(spark)
     vocabulary = common.keep(_vocabulary(chunks), "vocabulary")
-    common.release(spark)
     n_train, v_train, n_words = (x or 0 for x in vocabulary.agg(F.sum("n_train"), F.sum("v_train"), F.sum("n_words")).first())
     tasks = min(TASKS, max(1, -(-n_words // TASK_WORDS)))
     bits = _sized(vocabulary, tasks)
     tables = spark.sparkContext.broadcast(_tables(vocabulary, tasks, bits))
-    common.release(spark)
     learned = spark.sparkContext.broadcast(_learned(vocabulary, tasks, tables, bits))
 
     def known(batches):
@@ -655,7 +651,6 @@ def score(docs: DataFrame) -> DataFrame:
     joined = common.keep(rows.mapInArrow(join, "doc_ids array<bigint>, n_words binary, toks binary, n binary, lp binary, pair binary, seen binary"), "joined")
     for kept in (pairs, chunks, vocabulary):
         common.drop(kept)
-    common.release(spark)
     share = _trust(joined)
 
     def total(batches):

@@ -99,7 +99,6 @@ def pack(docs: DataFrame, path: str, cap: int = CAP, end: int = 2, with_ids: boo
     import pyarrow as pa
 
     spark = docs.sparkSession
-    common.tune(spark)
     spec = tokens.spec(spark, path)
     tail = int(end).to_bytes(4, "little")
 
@@ -132,7 +131,7 @@ def pack(docs: DataFrame, path: str, cap: int = CAP, end: int = 2, with_ids: boo
     groups = sized.groupBy("part_of", "deal").agg(F.count("*").alias("docs"), F.sum("full").alias("fulls"))
     before = Window.partitionBy("part_of").orderBy("deal").rowsBetween(Window.unboundedPreceding, -1)
     groups = common.keep(groups.select("part_of", "deal", "docs", "fulls", F.coalesce(F.sum("docs").over(before), F.lit(0)).alias("docs_before"), F.coalesce(F.sum("fulls").over(before), F.lit(0)).alias("fulls_before")), "groups")
-    totals = {r[0]: (r[1], r[2]) for r in groups.groupBy("part_of").agg(F.sum("docs"), F.sum("fulls")).collect()}  # at most cap rows
+    totals = {r[0]: (r[1], r[2]) for r in common.collect(groups.groupBy("part_of").agg(F.sum("docs"), F.sum("fulls")))}  # at most cap rows
     where, n_bins = places(plan({x: n for x, (n, _) in totals.items() if x}, cap))
     base, at = {}, n_bins
     for x in sorted(totals):
@@ -147,7 +146,7 @@ def pack(docs: DataFrame, path: str, cap: int = CAP, end: int = 2, with_ids: boo
     def place(batches):
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
         kinds = [None, pa.int32()] + [pa.int64()] * 5
-        for b in batches:
+        for b in common.sliced(batches):
             out = [[] for _ in names]
             ids, index = [], []
             code = b.column(6).to_pylist() if with_ids else None

@@ -329,7 +329,6 @@ def scan(docs: DataFrame, weights: Weights | None = None) -> DataFrame:
     """
     import pyarrow as pa
 
-    common.tune(docs.sparkSession)
     weights = fit(sample(docs)) if weights is None else weights
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -367,7 +366,6 @@ def redact(docs: DataFrame) -> DataFrame:
     """The documents with personal data replaced, all columns kept; n_chars, if there, counts the new text."""
     import pyarrow as pa
 
-    common.tune(docs.sparkSession)
     weights = fit(sample(docs))
     place = docs.columns.index("text")
 

@@ -8,87 +8,118 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 #: Bits of the hash that can be used; 15 hexadecimal digits of an MD5.
 BITS = 60
-LIMIT = 32 << 20
+#: The byte limit of a shard where none is given: a share of all bytes, so that writers are kept busy, within these bounds.
+SHARES, LEAST, MOST = 64, 32 << 10, 256 << 20
 
 
-def hash_bits(key: str = "doc_id", text: str = "text"):
+def limit_of(total: int) -> int:
+    return max(LEAST, min(MOST, total // SHARES))
+
+
+def hash_bits(key: str = "doc_id", text: str = "text") -> Column:
     """60 bits from the key and, so that rows sharing one key still part, the text."""
     digest = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).cast("binary"))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def directory(sized: DataFrame, limit: int) -> DataFrame:
-    """Shards of rows (h, n_bytes): (lo, hi, depth, prefix, shard_bytes, oversized), disjoint ranges of h that cover all of it.
+def size(text: str = "text") -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def _total(sized: DataFrame) -> int:
+    return common.collect(sized.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))))[0][0]
+
+
+def directory(sized: DataFrame, limit: int, total: int) -> list[tuple[int, DataFrame]]:
+    """Shards of rows (h, n_bytes) of so many bytes: [(bits, leaves)], leaves (leaf, depth, prefix, shard_bytes, oversized).
 
     One aggregate at the depth that an even hash needs gives the leaves; the sizes of all shallower prefixes are sums
-    of leaves. Leaves that are still too large are refined eight bits deeper, alone. A prefix of all 60 bits that is
-    over the limit holds rows equal in key and text, or one row over the limit; it stays whole and is marked.
+    of leaves. Rows whose leaf has no depth are over the limit there and find theirs in the next entry, eight bits deeper,
+    where they alone are looked at. A leaf over the limit with one hash holds rows equal in key and text, or one row over
+    the limit; no bit would split it, so it is a shard of all 60 bits and marked.
     """
-    total = sized.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    depth, base, rows, found = min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + 2), 0, sized, None
+    bits, base, rows, out = min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + 2), 0, sized, []
     while True:
-        leaves = rows.groupBy(F.shiftright("h", BITS - depth).alias("leaf")).agg(F.sum("n_bytes").alias("leaf_bytes"))
-        up = leaves.select("leaf", "leaf_bytes", F.explode(F.sequence(F.lit(base), F.lit(depth))).alias("depth"))
-        up = up.withColumn("prefix", F.expr(f"shiftright(leaf, {depth} - depth)"))
-        sums = up.groupBy("depth", "prefix").agg(F.sum("leaf_bytes").alias("shard_bytes"))
-        last = depth == BITS
-        fits = sums.withColumn("oversized", F.col("shard_bytes") > limit).filter((F.col("shard_bytes") <= limit) | ((F.col("depth") == BITS) if last else F.lit(False)))
-        best = up.join(fits, ["depth", "prefix"]).groupBy("leaf").agg(F.min(F.struct("depth", "prefix", "shard_bytes", "oversized")).alias("s"))
-        level = common.keep(leaves.select("leaf").join(best, "leaf", "left").select("leaf", "s.*"), "directory")
-        shards = level.filter("depth is not null").select("depth", "prefix", "shard_bytes", "oversized").distinct()
-        found = shards if found is None else found.union(shards)
+        leaves = rows.groupBy(F.shiftright("h", BITS - bits).alias("leaf")).agg(F.sum("n_bytes").alias("leaf_bytes"), F.min("h").alias("lo"), F.max("h").alias("hi"))
+        leaves = common.keep(leaves, "leaves")
+        up = leaves.select("leaf", "leaf_bytes", F.explode(F.sequence(F.lit(base), F.lit(bits))).alias("depth"))
+        up = up.withColumn("prefix", F.expr(f"shiftright(leaf, {bits} - depth)"))
+        fits = up.groupBy("depth", "prefix").agg(F.sum("leaf_bytes").alias("shard_bytes")).filter(F.col("shard_bytes") <= limit)
+        best = up.join(fits, ["depth", "prefix"]).groupBy("leaf").agg(F.min(F.struct("depth", "prefix", "shard_bytes")).alias("s"))
+        own = lambda name, whole: F.coalesce(f"s.{name}", F.when(F.col("lo") == F.col("hi"), whole)).alias(name)
+        level = leaves.join(best, "leaf", "left").select(
+            "leaf", own("depth", F.lit(BITS)), own("prefix", F.col("lo")), own("shard_bytes", F.col("leaf_bytes")), (F.col("s").isNull() & (F.col("lo") == F.col("hi"))).alias("oversized")
+        )
+        level = common.keep(level, "directory")
+        common.drop(leaves)
+        out.append((bits, level))
         left = level.filter("depth is null").select("leaf")
-        if last or left.isEmpty():
-            break
-        rows = rows.join(left, F.shiftright("h", BITS - depth) == F.col("leaf"), "left_semi")
-        base, depth = depth + 1, min(BITS, depth + 8)
-    return found
+        if common.is_empty(left):
+            return out
+        rows = rows.join(left, F.shiftright("h", BITS - bits) == F.col("leaf"), "left_semi")
+        base, bits = bits + 1, min(BITS, bits + 8)
 
 
-def assign(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id", text: str = "text") -> DataFrame:
+def looked_up(rows: DataFrame, levels: list[tuple[int, DataFrame]]) -> DataFrame:
+    """Adds shard, depth, shard_bytes and oversized to rows with their hash __h, which goes. Every row looks up its own leaves."""
+    for k, (bits, leaves) in enumerate(levels):
+        own = leaves.filter("depth is not null").select(F.col("leaf").alias("__leaf"), F.struct("depth", "prefix", "shard_bytes", "oversized").alias(f"__s{k}"))
+        rows = rows.withColumn("__leaf", F.shiftright("__h", BITS - bits)).join(own, "__leaf", "left").drop("__leaf")
+    found = [f"__s{k}" for k in range(len(levels))]
+    rows = rows.withColumn("__s", F.coalesce(*found))
+    bits = F.when(F.col("__s.depth") == 0, "").otherwise(F.expr("lpad(bin(__s.prefix), __s.depth, '0')"))
+    out = rows.withColumns({"shard": bits, "depth": F.col("__s.depth").cast("int"), "shard_bytes": F.col("__s.shard_bytes"), "oversized": F.col("__s.oversized")})
+    return out.drop("__h", "__s", *found)
+
+
+def assign(docs: DataFrame, limit: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's key, n_bytes, shard (its prefix as bits, '' for the undivided whole), depth, shard_bytes, oversized.
 
-    Null texts count 0 bytes and null keys hash as ''. Equal rows share a shard. An empty table gives no rows. Columns
-    other than key and text are neither read nor returned.
+    limit: bytes of a shard; limit_of() all bytes if not given. Null texts count 0 bytes and null keys hash as ''. Equal
+    rows share a shard. An empty table gives no rows. Columns other than key and text are neither read nor returned.
+    """
+    sized = common.keep(docs.select(F.col(key).alias("key"), hash_bits(key, text).alias("h"), size(text).alias("n_bytes")), "sized")
+    total = _total(sized)
+    levels = directory(sized, limit_of(total) if limit is None else limit, total)
+    return looked_up(sized.withColumnRenamed("h", "__h"), levels).select(F.col("key").alias(key), "n_bytes", "shard", "depth", "shard_bytes", "oversized")
+
+
+def write(docs: DataFrame, path: str, limit: int | None = None, key: str = "doc_id", text: str = "text") -> list[tuple[int, DataFrame]]:
+    """Write one folder a shard (shard=b0101), all columns kept, and return the directory.
+
+    Nulls, repeats and empty tables are as in assign(). Rows with equal key and text go to one folder; a shard that no bit
+    would split is written there by several tasks, each about the limit. A column named shard is replaced.
     """
-    sized = common.keep(docs.select(F.col(key).alias("key"), hash_bits(key, text).alias("h"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes")), "sized")
-    shards = directory(sized, limit)
-    depths = [r[0] for r in shards.select("depth").distinct().collect()]  # at most 61
-    keyed = sized.withColumn("depth", F.explode(F.array(*[F.lit(d) for d in sorted(depths)]))) if depths else sized.withColumn("depth", F.lit(0))
-    keyed = keyed.withColumn("prefix", F.expr(f"shiftright(h, {BITS} - depth)"))
-    bits = F.when(F.col("depth") == 0, "").otherwise(F.expr("lpad(bin(prefix), depth, '0')"))
-    return keyed.join(shards, ["depth", "prefix"]).select(F.col("key").alias(key), "n_bytes", bits.alias("shard"), F.col("depth").cast("int").alias("depth"), "shard_bytes", "oversized")
-
-
-def write(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Write one folder a shard (shard=0101) and return assign()'s rows. Rows with equal key and text go together."""
-    placed = common.keep(assign(docs, limit, key, text), "placed")
-    h = hash_bits(key, text)
-    shards = placed.select("shard", "depth").distinct()
-    depths = [r[0] for r in shards.select("depth").distinct().collect()]
-    out = docs.withColumn("__h", h).withColumn("__d", F.explode(F.array(*[F.lit(d) for d in depths])))
-    out = out.withColumn("__s", F.when(F.col("__d") == 0, "").otherwise(F.expr(f"lpad(bin(shiftright(__h, {BITS} - __d)), __d, '0')")))
-    out = out.join(shards.select(F.col("shard").alias("__s"), F.col("depth").alias("__d")), ["__s", "__d"])
-    out = out.withColumn("shard", F.concat(F.lit("b"), "__s")).drop("__h", "__d", "__s")
-    out.repartition("shard").write.partitionBy("shard").parquet(path)
-    return placed
+    sized = common.keep(docs.select(hash_bits(key, text).alias("h"), size(text).alias("n_bytes")), "sized")
+    total = _total(sized)
+    limit = limit_of(total) if limit is None else limit
+    levels = directory(sized, limit, total)
+    common.drop(sized)
+    # Rows are numbered where they are read, so a task that runs again numbers them alike.
+    rows = docs.select(hash_bits(key, text).alias("__h"), F.monotonically_increasing_id().alias("__n"), F.struct(*[c for c in docs.columns if c != "shard"]).alias("row"))
+    rows = looked_up(rows, levels)
+    parts = F.when(F.col("oversized"), F.ceil(F.col("shard_bytes") / limit)).otherwise(1)
+    rows = rows.select("row.*", F.concat(F.lit("b"), "shard").alias("shard"), F.pmod("__n", parts).alias("__part"))
+    with common.tuned(docs.sparkSession):
+        rows.repartition("shard", "__part").drop("__part").write.partitionBy("shard").parquet(path)
+    return levels
 
 
 ORACLE = f"""
 WITH k AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h FROM documents),
-u AS (SELECT k.*, d::INTEGER AS depth, h >> (60 - d)::INTEGER AS prefix FROM k, range(0, 61) t(d)),
+t AS (SELECT greatest({LEAST}, least({MOST}, coalesce(sum(n_bytes), 0)::BIGINT // {SHARES})) AS most FROM k),
+u AS (SELECT k.*, d::INTEGER AS depth, h >> (60 - d)::INTEGER AS prefix FROM k, range(0, 61) r(d)),
 s AS (SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes FROM u GROUP BY ALL),
-b AS (SELECT u.*, s.shard_bytes, row_number() OVER (PARTITION BY h, doc_id, n_bytes, depth) AS copy FROM u JOIN s USING (depth, prefix)
-      WHERE s.shard_bytes <= {LIMIT} OR depth = 60)
+b AS (SELECT u.*, s.shard_bytes FROM u JOIN s USING (depth, prefix), t WHERE s.shard_bytes <= most OR depth = 60)
 SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth, '0') END AS shard, depth, shard_bytes,
-    shard_bytes > {LIMIT} AS oversized
-FROM (SELECT *, min(depth) OVER (PARTITION BY h, doc_id, n_bytes) AS least FROM b) WHERE depth = least
+    shard_bytes > most AS oversized
+FROM (SELECT *, min(depth) OVER (PARTITION BY h, doc_id, n_bytes) AS least FROM b) z, t WHERE depth = least
 """

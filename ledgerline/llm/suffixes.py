@@ -419,7 +419,6 @@ def ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     did is a hash of doc_id and text. Rows equal in both share it, and are repeats of each other as a whole.
     """
     spark = docs.sparkSession
-    common.tune(spark)
     buckets = parts = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     own = docs.select(F.xxhash64("doc_id", "text").alias("did"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     decided = common.keep(_decided(_entries(own, buckets), parts), "decided")

@@ -23,6 +23,8 @@ BITS, LANES, STEPS = 18, 2048, 128
 LOW = np.uint64(1 << 31)
 #: Tokens of a segment, but for one document that is longer.
 SEGMENT = 1 << 20
+#: Segments whose starts (24 bytes each) are broadcast; those of more are joined.
+SENT = 1 << 18
 
 
 class Damaged(ValueError):
@@ -178,13 +180,12 @@ class Segment:
 def write(docs: DataFrame, path: str, out: str, end: int = 2, segment: int = SEGMENT) -> None:
     """Write the token file of a table: rows (part, nth, n_docs, n_tokens, payload), documents in ascending doc_id order.
 
-    doc_id is long, null first; rows with equal doc_id stand together. A null text is empty and has the end id alone.
+    doc_id is long, null first; rows with equal doc_id stand together, in an order by their texts alone. A null text is empty and has the end id alone.
     """
     import pyarrow as pa
     from pyspark import TaskContext
 
     spark = docs.sparkSession
-    common.tune(spark)
     spec = tokens.spec(spark, path)
     tail = int(end).to_bytes(4, "little")
 
@@ -210,19 +211,20 @@ def write(docs: DataFrame, path: str, out: str, end: int = 2, segment: int = SEG
         if ids:
             yield flush()
 
-    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id")
-    placed.mapInArrow(encode, "part int, nth int, n_docs bigint, n_tokens bigint, payload binary").write.option("compression", "none").parquet(out)
+    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    rows = placed.mapInArrow(encode, "part int, nth int, n_docs bigint, n_tokens bigint, payload binary")
+    with common.tuned(spark):
+        rows.write.option("compression", "none").parquet(out)
 
 
 def read(spark, out: str, with_ids: bool = False) -> DataFrame:
     """Read a token file back: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, and ids if asked for."""
     import pyarrow as pa
 
-    common.tune(spark)
     segments = spark.read.schema("part int, nth int, n_docs bigint, n_tokens bigint, payload binary").parquet(out)
-    totals = sorted(tuple(r) for r in segments.groupBy("part").agg(F.sum("n_tokens")).collect())  # one a writing task
+    totals = sorted(tuple(r) for r in common.collect(segments.groupBy("part").agg(F.sum("n_tokens"), F.count("*"))))  # one a writing task
     base, at = {}, 0
-    for part, n in totals:
+    for part, n, _ in totals:
         base[part], at = at, at + n
     before = Window.partitionBy("part").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
     starts = segments.select("part", "nth", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("before"))
@@ -246,7 +248,8 @@ def read(spark, out: str, with_ids: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays + ([pa.array(texts, pa.list_(pa.int32()))] if with_ids else []), ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids)
 
     extra = ", ids array<int>" if with_ids else ""
-    rows = segments.select("part", "nth", "payload").join(F.broadcast(starts) if sum(1 for _ in totals) < 10_000 else starts, ["part", "nth"]).select("part", "before", "payload")
+    few = sum(n for *_, n in totals) <= SENT
+    rows = segments.select("part", "nth", "payload").join(F.broadcast(starts) if few else starts, ["part", "nth"]).select("part", "before", "payload")
     return rows.mapInArrow(decode, f"doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint{extra}")
 
 

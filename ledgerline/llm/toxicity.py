@@ -18,8 +18,8 @@ from . import common
 
 #: Labelled documents that the classifier is fitted on, of each label, those with the least hashes.
 SAMPLE = {1: 4000, 0: 8000}
-#: Words and beginnings that the classifier may use, and the lengths of beginnings.
-FEATURES, STEMS = 8192, (3, 4, 5, 6)
+#: Lengths of the beginnings of words that are features beside the words.
+STEMS = (3, 4, 5, 6)
 #: Tokens that a worker remembers the features of.
 REMEMBERED = 1 << 19
 
@@ -175,7 +175,7 @@ def characters(docs: DataFrame) -> dict[str, int]:
         names = [ALPHABET[g // size // size] + ALPHABET[g // size % size] + ALPHABET[g % size] for g in at.tolist()]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(total[at])], ["g", "n"])
 
-    return {r[0]: r[1] for r in docs.select("text").mapInArrow(count, "g string, n bigint").groupBy("g").agg(F.sum("n")).collect()}
+    return {r[0]: r[1] for r in common.collect(docs.select("text").mapInArrow(count, "g string, n bigint").groupBy("g").agg(F.sum("n")))}
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -190,79 +190,102 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
 
 
+def _of_texts(model: CharModel, texts, within=None):
+    """The features of each text, those of ``within`` only if it is given. What tokens say is remembered, up to a bound."""
+    known: dict[str, tuple] = {}
+    for text in texts:
+        own: set[str] = set()
+        for t in tokens(text or ""):
+            hit = known.get(t)
+            if hit is None:
+                if len(known) > REMEMBERED:
+                    known.clear()
+                hit = known[t] = tuple(f for f in names(t, model) if within is None or f in within)
+            own.update(hit)
+        yield own
+
+
 def fitted(rows: DataFrame, model: CharModel) -> tuple[float, dict[str, float]]:
-    """fit() on the bounded sample, in one task of an executor, which has the memory for it."""
+    """Bias and weights from the bounded sample. Features are counted where the texts lie; one task fits the weights.
+
+    Only features that enough toxic texts of the sample have are looked at, so what meets in a task or at the driver is a
+    list of their numbers for each text, never a text.
+    """
+    import numpy as np
     import pyarrow as pa
 
-    sent = rows.sparkSession.sparkContext.broadcast(model.three)
+    spark = rows.sparkSession
+    kept = common.keep(rows.select("text", "y"), "sample")
+    sent = spark.sparkContext.broadcast(model.three)
+
+    def count(batches):
+        own: Counter = Counter()
+        of = CharModel(sent.value)
+        for b in batches:
+            for names_of in _of_texts(of, b.column(0).to_pylist()):
+                own.update(names_of)
+        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64())], ["feature", "n"])
+
+    n1 = kept.filter("y = 1").count()
+    often = kept.filter("y = 1").select("text").mapInArrow(count, "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    found = sorted((r["feature"], r["n"]) for r in common.collect(often.filter(F.col("n") >= max(2, 0.002 * n1))))
+    place = spark.sparkContext.broadcast({f: k for k, (f, _) in enumerate(found)})
+
+    def number(batches):
+        of, within = CharModel(sent.value), place.value
+        for b in batches:
+            sets = [np.array(sorted(within[f] for f in own), "<i4").tobytes() for own in _of_texts(of, b.column(0).to_pylist(), within)]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(sets, pa.binary())], ["y", "own"])
 
     def run(batches):
-        own = sorted((d, t or "", y) for b in batches for d, t, y in zip(*(b.column(i).to_pylist() for i in range(3))))
-        bias, weights = fit([(t, y) for _, t, y in own], CharModel(sent.value))
-        yield pa.RecordBatch.from_arrays([pa.array([None, *weights], pa.string()), pa.array([bias, *weights.values()], pa.float64())], ["feature", "weight"])
+        own = sorted((y, raw) for b in batches for y, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        bias, weights = fit([y for y, _ in own], [np.frombuffer(raw, "<i4") for _, raw in own], len(found))
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *weights], pa.int64()), pa.array([bias, *weights.values()], pa.float64())], ["k", "weight"])
 
-    out = {r["feature"]: r["weight"] for r in rows.repartition(1).mapInArrow(run, "feature string, weight double").collect()}
-    return out.pop(None, -8.0), out
+    numbered = kept.mapInArrow(number, "y int, own binary").repartition(1).mapInArrow(run, "k bigint, weight double")
+    out = {r["k"]: r["weight"] for r in common.collect(numbered)}
+    common.drop(kept)
+    return out.pop(-1, -8.0), {found[k][0]: w for k, w in out.items()}
 
 
-def fit(rows: list[tuple[str, int]], model: CharModel) -> tuple[float, dict[str, float]]:
-    """Bias and weights of a logistic model over features that are much likelier under label 1."""
+def fit(ys: list[int], sets: list, size: int) -> tuple[float, dict[int, float]]:
+    """Bias and weights of a logistic model over features, numbered below size, that are much likelier under label 1."""
     import numpy as np
 
-    ys = np.array([y for _, y in rows], float)
-    n1, n0 = ys.sum(), (1 - ys).sum()
+    y = np.array(ys, float)
+    n1, n0 = y.sum(), (1 - y).sum()
     if not n1 or not n0:
         return (-8.0 if not n1 else 8.0), {}
-    # Features of label 1 first; of the others only what could be chosen is counted, which keeps memory small.
-    known: dict[str, tuple] = {}
-
-    def of_text(text: str, within=None) -> set[str]:
-        own: set[str] = set()
-        for t in tokens(text):
-            if t not in known:
-                known[t] = tuple(f for f in names(t, model) if within is None or f in within)
-            own.update(known[t])
-        return own
-
-    toxic: Counter = Counter()
-    for text, y in rows:
-        if y:
-            toxic.update(of_text(text))
-    count = [Counter(), Counter({f: n for f, n in toxic.items() if n >= max(2, 0.002 * n1)})]
-    del toxic
-    known.clear()
-    sets = [of_text(text, count[1]) for text, _ in rows]
-    for own, y in zip(sets, ys):
-        if not y:
-            count[0].update(own)
-    known.clear()
-    ratio = {f: math.log((n + 0.5) / (n1 + 1)) - math.log((count[0][f] + 0.5) / (n0 + 1)) for f, n in count[1].items()}
-    chosen = sorted((f for f in ratio if ratio[f] > 2), key=lambda f: (-ratio[f] * math.sqrt(count[1][f]), f))[:FEATURES]
-    place = {f: k for k, f in enumerate(chosen)}
-    pairs = [(i, place[f]) for i, own in enumerate(sets) for f in own if f in place]
-    at, of = (np.array(x, np.int64) for x in (zip(*pairs) if pairs else ((), ())))
+    at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    of = np.concatenate(sets).astype(np.int64)
+    toxic, other = np.bincount(of, y[at], size), np.bincount(of, 1 - y[at], size)
+    ratio = np.log((toxic + 0.5) / (n1 + 1)) - np.log((other + 0.5) / (n0 + 1))
+    chosen = np.flatnonzero(ratio > 2)
+    place = np.full(size, -1)
+    place[chosen] = np.arange(len(chosen))
+    at, of = at[place[of] >= 0], place[of][place[of] >= 0]
     prior = math.log(n1 / n0)
-    w, bias, moved, moved_b = np.array([0.5 * ratio[f] for f in chosen]), -2.0, np.zeros(len(chosen)), 0.0
+    w, bias, moved, moved_b = 0.5 * ratio[chosen], -2.0, np.zeros(len(chosen)), 0.0
     for _ in range(300):
-        z = np.clip(bias + np.bincount(at, w[of], len(ys)) if len(of) else np.full(len(ys), bias), -30, 30)
-        e = 1 / (1 + np.exp(-z)) - ys
-        g = (np.bincount(of, e[at], len(chosen)) if len(of) else 0) + 0.5 * w
+        z = np.clip(bias + np.bincount(at, w[of], len(y)), -30, 30)
+        e = 1 / (1 + np.exp(-z)) - y
+        g = np.bincount(of, e[at], len(chosen)) + 0.5 * w
         moved, moved_b = 0.9 * moved + g, 0.9 * moved_b + e.sum()
         w = np.maximum(0, w - 0.5 * moved / (10 + n1))
-        bias -= 0.5 * moved_b / (10 + len(ys))
-    return float(min(bias, prior, -1.0)), {f: float(v) for f, v in zip(chosen, w) if v > 1e-3}
+        bias -= 0.5 * moved_b / (10 + len(y))
+    return float(min(bias, prior, -1.0)), {int(k): float(v) for k, v in zip(chosen, w) if v > 1e-3}
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Adds held_out, score and predicted to (doc_id, text). The model is fitted here; labels are read of rows not held out only.
 
-    Null and empty texts get the score of a text without evidence. Without labels of both kinds the score is constant:
+    The classifier is fitted on at most SAMPLE labelled documents of each label, and uses every word and beginning of theirs
+    that is much likelier under label 1; the character model counts the whole corpus. Null and empty texts get the score of a text without evidence. Without labels of both kinds the score is constant:
     near 1 if all are toxic, else near 0. Equal texts score alike. An empty table gives no rows.
     """
     import pyarrow as pa
 
     spark = docs.sparkSession
-    common.tune(spark)
     model = CharModel(characters(docs))
     bias, weights = fitted(sample(docs, labels), model)
     sent = spark.sparkContext.broadcast((model.three, bias, weights))
@@ -271,7 +294,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches):
         three, bias, weights = sent.value
         model, known = CharModel(three), {}
-        for b in batches:
+        for b in common.sliced(batches):
             scores = []
             for text in b.column(1).to_pylist():
                 own: set[str] = set()

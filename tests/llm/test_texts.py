@@ -137,12 +137,32 @@ def test_quality(spark):
         assert r["base_failed"] == failed and not (failed and r["kept"])
     assert quality.digest(docs(spark, [])).collect() == []
     book = quality.ledger(docs(spark, texts))
-    rows = {r["rule"]: r for r in quality.ablate(book, "standard-1").collect()}
-    total = sum(1 for r in got.values() if r["fail_bits"])
-    assert {r["n_rejected"] for r in rows.values()} == {total}
-    for rule in quality.RULES:
-        assert rows[rule.name]["n_failed"] == sum(1 for r in got.values() if r["fail_bits"] >> rule.bit & 1)
-        assert rows[rule.name]["n_only"] == sum(1 for r in got.values() if r["fail_bits"] == 1 << rule.bit)
+    standard = quality.policy("standard", 1)
+    rows = {r["rule"]: r for r in quality.ablate(book, standard).collect()}
+    own = [r["fail_bits"] & standard.mask for r in got.values()]
+    assert {r["n_rejected"] for r in rows.values()} == {sum(map(bool, own))} and set(rows) == set(standard.rules)
+    for rule in quality.RULES[:5]:
+        assert rows[rule.name]["n_failed"] == sum(b >> rule.bit & 1 for b in own)
+        assert rows[rule.name]["n_only"] == own.count(1 << rule.bit) == sum(r["sole_rule"] == rule.name for r in got.values())
+    kept = {(r["policy"], r["version"]): r["n_kept"] for r in quality.compare(book).collect()}
+    assert kept == {(p.name, p.version): sum(not r["fail_bits"] & p.mask for r in got.values()) for p in quality.POLICIES}
+
+
+def test_measurements_of_lines_and_signs(spark):
+    text = "- one\n * two...\n\nTHREE 3… \n- one\nfour"
+    r = quality.digest(docs(spark, [text, None, (None, "x"), (None, "x")])).collect()
+    assert sum(x["doc_id"] is None for x in r) == 2
+    r = next(x for x in r if x["doc_id"] == 1)
+    assert (r["n_lines"], r["n_bullet_lines"], r["n_ellipsis_lines"], r["n_dup_lines"], r["n_dup_line_chars"], r["n_digits"], r["n_capitals"], r["n_letters"]) == (5, 3, 2, 1, 5, 1, 5, 18)
+
+
+def test_a_stored_ledger_answers_to_any_policy(spark, tmp_path):
+    texts = ["a b c " * 40, "plain words " * 40, "9 " * 60, None]
+    quality.write(docs(spark, texts), str(tmp_path / "book"))
+    book = quality.read(spark, str(tmp_path / "book"))
+    assert "text" not in book.columns and book.count() == 4
+    lenient = quality.Policy("lenient", 2, ("digits",))
+    assert sorted(r["doc_id"] for r in quality.judge(book, lenient).filter("kept").collect()) == [1, 2, 4]
 
 
 def toxic_corpus(seed, n=400):
@@ -181,6 +201,36 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert one == two
 
 
+def ways(token):
+    """All readings of a lattice with their channel's log-probability."""
+    out = [("", 0.0)]
+    for own in toxicity.lattice(token):
+        out = [(w + t, s + c) for w, s in out for t, c in own]
+    return out
+
+
+def test_restored_words_are_the_likeliest_of_all_paths():
+    rng = random.Random(4)
+    counts: dict = {}
+    for _ in range(300):
+        for g in toxicity.grams("".join(rng.choice("abeilost") for _ in range(rng.randint(1, 7)))):
+            counts[g] = counts.get(g, 0) + 1
+    model = toxicity.CharModel(counts)
+    score = lambda w, c: c + sum(map(model, toxicity.grams(w)))
+    for _ in range(80):
+        token = "".join(rng.choice("abeilost013457@$!") * rng.choice([1, 1, 1, 3]) for _ in range(rng.randint(1, 4)))
+        scores = [(score(w, c), w) for w, c in ways(token)]
+        word = toxicity.restore(token, model)
+        assert abs(max(s for s, w in scores if w == word) - max(scores)[0]) < 1e-9, token
+
+
+def test_repeated_rows_score_alike(spark):
+    texts, labels = toxic_corpus(3, 150)
+    lab = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    rows = toxicity.digest(docs(spark, [*texts, *texts[:20], *texts[:20]]), lab).collect()
+    assert len(rows) == 190 and len({(r["doc_id"], r["score"]) for r in rows}) == 150
+
+
 def test_toxicity_of_awkward_tables(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert toxicity.digest(docs(spark, []), none).collect() == []
@@ -205,8 +255,25 @@ def test_sharding(spark, tmp_path):
         if n:
             assert sum(v for k, v in size.items() if k.startswith(n[:-1])) > limit
     assert {r["shard"] for r in sharding.assign(docs(spark, texts), 1 << 30).collect()} == {""}
-    assert sharding.assign(docs(spark, []), limit).collect() == []
-    placed = sharding.write(docs(spark, texts), str(tmp_path / "out"), limit)
+    assert sharding.assign(docs(spark, []), limit).collect() == [] and sharding.limit_of(0) == sharding.LEAST
+    sharding.write(docs(spark, texts), str(tmp_path / "out"), limit)
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.count() == len(texts) and "rank" in back.columns and placed.count() == len(texts)
-    assert {r[0][1:] for r in back.select("shard").distinct().collect()} == set(size)
+    assert back.count() == len(texts) and set(docs(spark, []).columns) < set(back.columns)
+    own = {}
+    for r in back.collect():
+        own[r["shard"][1:]] = own.get(r["shard"][1:], 0) + len((r["text"] or "").encode())
+    assert own == size
+
+
+def test_sharding_goes_deeper_where_it_must(spark):
+    """Leaves that are over the limit are refined alone, more than once, and one that no bit splits is given up at once."""
+    texts = [(i, "x" * 50) for i in range(40)] + [(7, "y" * 900)] * 5 + [(100 + i, "") for i in range(50)]
+    h = {r[0]: r[1] for r in docs(spark, texts).select("doc_id", sharding.hash_bits()).collect()}
+    rows = sharding.assign(docs(spark, texts), 50).collect()
+    assert sum(r["oversized"] and r["depth"] == 60 for r in rows) == 5 and len(h) == 90
+    size = {}
+    for r in rows:
+        size[r["shard"]] = size.get(r["shard"], 0) + r["n_bytes"]
+    assert all(v <= 50 or len(k) == 60 for k, v in size.items()) and max(map(len, size)) == 60
+    sized = docs(spark, texts).select(sharding.hash_bits().alias("h"), sharding.size().alias("n_bytes"))
+    assert len(sharding.directory(sized, 50, 6500)) >= 2
