@@ -9,9 +9,10 @@ A whole corpus would need as many rounds as its longest document has bytes, so i
 short, aligned pieces, without loss. A string's anchor is the place of the least hash in it, so equal strings have
 anchors at equal offsets. Strings of one anchor whose offsets lie in one stretch of WIDTH form a cell; all of them hold
 the cell's core, so equal strings lie in cells with equal cores. Only cells whose core occurs twice matter: where two
-are equal as a whole, all their strings are repeated; different ones with one core go through the construction, whose
-documents they are, LENGTH + WIDTH - 1 columns wide. A core with more than MEMBERS different cells is dealt further by
-its strings themselves: a stretch of one string is its own core, and equal cores are equal strings.
+are equal as a whole (two 64-bit hashes, of the core and of all), all their strings are repeated; different ones with one
+core go through the construction, whose documents they are, LENGTH + WIDTH - 1 columns wide. A core with more than MEMBERS
+different cells is dealt further by its strings themselves: a stretch of one string is its own core, and equal cores (by a
+128-bit hash) are equal strings. The construction's sequential files are scratch of one task and are lost only with it.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ from . import common
 LENGTH, WIDTH, GRAM = 400, 64, 16
 COLUMNS = LENGTH + WIDTH - 1
 #: Documents of one construction.
-MEMBERS = 4096
-#: Bytes whose strings are found at once; entries that a task gathers before it hands them on.
-SLICE, ENTRIES = 4 << 20, 1 << 20
+MEMBERS = 1 << 14
+#: Bytes whose strings are found at once; cells of a chunk.
+SLICE, ENTRIES = 1 << 20, 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -207,26 +208,55 @@ def _range_min(v: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 _ENTRY = np.dtype([("core", "<u8"), ("whole", "<u8"), ("did", "<i8"), ("first", "<u4"), ("lo", "u1"), ("hi", "u1")])
+_PLACE = np.dtype([("did", "<i8"), ("first", "<u4"), ("lo", "u1"), ("hi", "u1")])
+_CELL = np.dtype([("core", "<u8"), ("whole", "<u8"), ("again", "u1")])
 _ASK = np.dtype([("did", "<i8"), ("group", "<u8"), ("first", "<u4"), ("lo", "u1"), ("hi", "u1"), ("how", "u1")])
 _RANGE = np.dtype([("did", "<i8"), ("lo", "<u4"), ("hi", "<u4")])
 #: What is asked for: a cell to compare with, one to decide on, one of a core with too many cells.
 WITH, ON, MANY = 0, 1, 2
+#: In a reply: the cell is repeated; its bytes are asked for, as HOW more.
+REPEATED, HOW = 1, 2
+CHUNKS = "chunk bigint, own boolean, bucket int, cells binary, sizes binary, cuts binary, places binary"
 
 
-def _entries(docs: DataFrame, buckets: int) -> DataFrame:
+def _batch(rows, names, kinds):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names)
+
+
+def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
+    """Cells, a chunk of ENTRIES at a time: one row with where all stand (own), and for each bucket its different cells, once each.
+
+    However often a cell occurs in a chunk it is sent once, so a cell that is all over the corpus is sent once a chunk.
+    """
     import pyarrow as pa
+    from pyspark import TaskContext
+
+    names = [c.split()[0] for c in CHUNKS.split(", ")]
+    kinds = [pa.int64(), pa.bool_(), pa.int32(), *[pa.binary()] * 4]
 
     def run(batches):
         held: list[np.ndarray] = []
-        size = 0
+        size, chunk = 0, TaskContext.get().partitionId() << 32
 
         def flush():
             e = np.concatenate(held)
             where = (e["core"] % _U(buckets)).astype(np.int64)
-            order = np.argsort(where, kind="stable")
-            e, cuts = e[order], np.searchsorted(where[order], np.arange(buckets + 1)).tolist()
-            rows = [(k, e[x:y].tobytes()) for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "raw"])
+            order = np.lexsort((e["whole"], e["core"], where))
+            e, where = e[order], where[order]
+            new = np.ones(len(e), bool)
+            new[1:] = (e["core"][1:] != e["core"][:-1]) | (e["whole"][1:] != e["whole"][:-1])
+            at = np.flatnonzero(new)
+            sizes = np.diff(np.append(at, len(e)))
+            cell, place = np.empty(len(at), _CELL), np.empty(len(e), _PLACE)
+            cell["core"], cell["whole"], cell["again"] = e["core"][at], e["whole"][at], sizes > 1
+            for k in _PLACE.names:
+                place[k] = e[k]
+            cuts = np.searchsorted(where[at], np.arange(buckets + 1))
+            rows = [(chunk, True, None, None, sizes.astype("<u4").tobytes(), cuts.astype("<u4").tobytes(), place.tobytes())]
+            rows += [(chunk, False, k, cell[x:y].tobytes(), None, None, None) for k, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x]
+            return _batch(rows, names, kinds)
 
         for b in batches:
             dids = np.array(b.column(0).to_pylist(), np.int64)
@@ -235,13 +265,63 @@ def _entries(docs: DataFrame, buckets: int) -> DataFrame:
                 e["core"], e["whole"], e["did"], e["first"], e["lo"], e["hi"] = core, whole, dids[which], first, lo, hi
                 held.append(e)
                 size += len(e)
-            if size >= ENTRIES:
-                yield flush()
-                held, size = [], 0
+                if size >= ENTRIES:
+                    yield flush()
+                    held, size, chunk = [], 0, chunk + 1
         if size:
             yield flush()
 
-    return docs.select("did", "text").mapInArrow(run, "bucket int, raw binary")
+    return docs.select("did", "text").mapInArrow(run, CHUNKS)
+
+
+def _replies(chunks: DataFrame) -> DataFrame:
+    """For each bucket of a chunk what becomes of its cells: a byte each, and the cores of those that are asked for."""
+    import pyarrow as pa
+
+    names, kinds = ["chunk", "bucket", "status", "cores"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+
+    def solve(bucket, rows):
+        parts = [np.frombuffer(raw, _CELL) for _, raw in rows]
+        c = np.concatenate(parts)
+        order = np.lexsort((c["whole"], c["core"]))  # stable: of equal cells the first chunk's comes first
+        c = c[order]
+        new = np.ones(len(c), bool)
+        new[1:] = c["core"][1:] != c["core"][:-1]
+        one = new.copy()
+        one[1:] |= c["whole"][1:] != c["whole"][:-1]
+        kind, group = np.cumsum(one) - 1, np.cumsum(new) - 1
+        single = np.bincount(kind, 1 + c["again"].astype(np.int64)) == 1
+        first = np.flatnonzero(one)
+        kinds_of, open_of = np.bincount(group[first]), np.bincount(group[first], single)
+        # One cell of each kind is asked for, where a core has two kinds or more and some are not yet decided.
+        wanted = ((kinds_of > 1) & (open_of > 0))[group[first]]
+        how = np.where(kinds_of[group[first]] > MEMBERS, MANY, np.where(single, ON, WITH))
+        status = np.where(single[kind], 0, REPEATED).astype("u1")
+        status[first[wanted]] += (HOW * (1 + how[wanted])).astype("u1")
+        back, core = np.empty(len(c), "u1"), np.empty(len(c), "<u8")
+        back[order], core[order] = status, c["core"]
+        out, at = [], 0
+        for (chunk, _), own in zip(rows, parts):
+            s = back[at : at + len(own)]
+            if s.any():
+                out.append((chunk, bucket, s.tobytes(), core[at : at + len(own)][s >= HOW].tobytes()))
+            at += len(own)
+        return _batch(out, names, kinds)
+
+    def run(batches):
+        at, rows = None, []
+        for b in batches:
+            for bucket, *row in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if bucket != at:
+                    if rows:
+                        yield solve(at, rows)
+                    at, rows = bucket, []
+                rows.append(row)
+        if rows:
+            yield solve(at, rows)
+
+    sent = chunks.filter("not own").select("bucket", "chunk", "cells").repartition("bucket").sortWithinPartitions("bucket", "chunk")
+    return sent.mapInArrow(run, "chunk bigint, bucket int, status binary, cores binary")
 
 
 def _dealt(x: np.ndarray, parts: int, kind: int):
@@ -252,56 +332,45 @@ def _dealt(x: np.ndarray, parts: int, kind: int):
     return [(k, kind, x[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
 
 
-def _batch(rows, names, kinds):
-    import pyarrow as pa
-
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names)
-
-
-def _decided(entries: DataFrame, parts: int) -> DataFrame:
+def _decided(chunks: DataFrame, replies: DataFrame, parts: int) -> DataFrame:
     """Rows (part, kind, raw): ranges of repeated strings (kind 0) and cells whose bytes are asked for (kind 1)."""
     import pyarrow as pa
 
-    def run(batches):
-        raw = [r for b in batches for r in b.column(0).to_pylist()]
-        if not raw:
-            return
-        e = np.frombuffer(b"".join(raw), _ENTRY)
-        del raw
-        order = np.argsort(e["core"], kind="stable")
-        core = e["core"][order]
-        new = np.concatenate(([True], core[1:] != core[:-1], [True]))
-        sizes = np.diff(np.flatnonzero(new))
-        e = e[order[np.repeat(sizes > 1, sizes)]]
-        if not len(e):
-            return
-        e = e[np.lexsort((e["did"], e["whole"], e["core"]))]
-        one = np.ones(len(e), bool)
-        one[1:] = (e["core"][1:] != e["core"][:-1]) | (e["whole"][1:] != e["whole"][:-1])
-        i = np.flatnonzero(one)
-        count = np.diff(np.append(i, len(e)))
-        again = np.repeat(count > 1, count)
-        own = e[again]
+    names, kinds = ["part", "kind", "raw"], [pa.int32(), pa.int32(), pa.binary()]
+
+    def solve(replied, sizes, cuts, places):
+        sizes, cuts, place = np.frombuffer(sizes, "<u4").astype(np.int64), np.frombuffer(cuts, "<u4"), np.frombuffer(places, _PLACE)
+        status, core = np.zeros(len(sizes), "u1"), np.zeros(len(sizes), "<u8")
+        for bucket, s, cores in replied:
+            own = slice(int(cuts[bucket]), int(cuts[bucket + 1]))
+            status[own] = np.frombuffer(s, "u1")
+            core[own][status[own] >= HOW] = np.frombuffer(cores, "<u8")
+        own = place[np.repeat(status & REPEATED > 0, sizes)]
         r = np.empty(len(own), _RANGE)
         r["did"], r["lo"] = own["did"], own["first"]
         r["hi"] = own["first"] + (own["hi"].astype(np.int64) - own["lo"])
-        names, kinds = ["part", "kind", "raw"], [pa.int32(), pa.int32(), pa.binary()]
-        yield _batch(_dealt(r, parts, 0), names, kinds)
-        # One cell of each kind; cores with two kinds or more, of which some are not yet decided.
-        c, single = e[i], count == 1
-        new = np.concatenate(([True], c["core"][1:] != c["core"][:-1]))
-        group = np.cumsum(new) - 1
-        kinds_of, open_of = np.bincount(group), np.bincount(group, single)
-        wanted = (kinds_of > 1) & (open_of > 0)
-        keep = wanted[group]
-        c, single, many = c[keep], single[keep], kinds_of[group[keep]] > MEMBERS
-        a = np.empty(len(c), _ASK)
-        for k in ("did", "first", "lo", "hi"):
-            a[k] = c[k]
-        a["group"], a["how"] = c["core"], np.where(many, MANY, np.where(single, ON, WITH))
-        yield _batch(_dealt(a, parts, 1), names, kinds)
-
-    return entries.repartition("bucket").select("raw").mapInArrow(run, "part int, kind int, raw binary")
+        asked = np.flatnonzero(status >= HOW)
+        first = place[(np.cumsum(sizes) - sizes)[asked]]
+        a = np.empty(len(asked), _ASK)
+        for k in _PLACE.names:
+            a[k] = first[k]
+        a["group"], a["how"] = core[asked], status[asked] // HOW - 1
+        return _batch(_dealt(r, parts, 0) + _dealt(a, parts, 1), names, kinds)
+
+    def run(batches):
+        replied = []
+        for b in batches:
+            for _, bucket, status, cores, *own in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if bucket is not None:
+                    replied.append((bucket, status, cores))
+                    continue
+                yield solve(replied, *own)
+                replied = []
+
+    none = [F.lit(None).cast("binary").alias(c) for c in ("sizes", "cuts", "places")]
+    own = chunks.filter("own").select("chunk", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("status"), F.lit(None).cast("binary").alias("cores"), "sizes", "cuts", "places")
+    rows = replies.select("chunk", "bucket", "status", "cores", *none).union(own)
+    return rows.repartition("chunk").sortWithinPartitions("chunk", F.col("bucket").asc_nulls_last()).mapInArrow(run, "part int, kind int, raw binary")
 
 
 PIECES = "grp bigint, did bigint, first bigint, lo int, hi int, how int, gap int, raw binary, h1 bigint, h2 bigint"
@@ -421,13 +490,18 @@ def ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     spark = docs.sparkSession
     buckets = parts = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     own = docs.select(F.xxhash64("doc_id", "text").alias("did"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    decided = common.keep(_decided(_entries(own, buckets), parts), "decided")
+    chunks = common.keep(_chunks(own, buckets), "cells", by="own")
+    replies = common.keep(_replies(chunks), "replies")
+    common.drop(chunks, "own=false")
+    decided = common.keep(_decided(chunks, replies, parts), "decided")
+    common.drop(chunks)
+    common.drop(replies)
     found = decided.filter("kind = 0")
     asked = decided.filter("kind = 1")
-    if not asked.isEmpty():
+    if not common.is_empty(asked):
         pieces = common.keep(_pieces(asked, own, parts), "pieces")
         found = found.union(common.keep(_constructed(pieces, parts), "constructed"))
-        if not pieces.filter(f"how = {MANY}").isEmpty():
+        if not common.is_empty(pieces.filter(f"how = {MANY}")):
             found = found.union(common.keep(_counted(pieces, parts), "counted"))
         common.drop(pieces)
     return found, own, parts
