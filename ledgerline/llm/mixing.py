@@ -14,7 +14,9 @@ makes training text likeliest, each occurrence as if it had not been counted. Pa
 Counts are of all training words: words are counted in chunks of documents, dealt by their hash, summed, and what is
 known of each word goes back to the chunks that hold it. Words are dealt by their first OWN bytes, so counts under all
 bytes before are exact where the words lie and need no table; below OWN bytes they are those of the table of five. The
-other tables are sized by the contexts that the corpus has, at most half full.
+other tables are sized by the contexts that the corpus has, at most half full, up to 2^MOST slots each, which bounds what
+is broadcast; beyond that contexts of five bytes share slots, and what goes on growing are the exact counts: of words, of
+their beginnings, of pairs of words.
 """
 
 from __future__ import annotations
@@ -33,14 +35,14 @@ BITS = tuple(b for _, b in TABLES)
 SLOTS = sum(1 << b for b in BITS)
 #: Predictors: the tables and all bytes before. Words of the same first OWN bytes are in one task and batch.
 PREDICTORS, OWN = len(TABLES) + 1, 5
-#: Contexts that are looked at to size the tables, one of so many; slots for each key, at least.
-LOOKED, ROOM = 64, 2
+#: Contexts that are looked at to size the tables, one of so many; slots for each key, at least; bits of a table at most.
+LOOKED, ROOM, MOST = 64, 2, 24
 #: Slots of a piece of the tables as it is summed.
 PIECE = 1 << 16
 #: Words of a chunk of documents; bytes of words that are predicted at once when counting and when learning.
 CHUNK, COUNTED, LEARNED = 1 << 21, 1 << 18, 1 << 16
-#: Tasks that count or learn, at most, so that tables in flight are bounded; words for each.
-TASKS, TASK_WORDS = 64, 400_000
+#: Words of a task that counts or learns.
+TASK_WORDS = 200_000
 DELTA, RATE = 0.2, 0.15
 #: Gates of a table, by the logarithm of how often its context was seen; odds told apart by the last table.
 SEEN = 10
@@ -53,6 +55,10 @@ GATES, LEVELS = (PREDICTORS + 1) * SEEN, 33
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U = np.uint64
+#: Counts are looked up as two numbers of 16 bits, larger ones in proportion; their logarithms, and gates by their sum (-1 for none).
+_FULL = (1 << 16) - 1
+_LOG = np.log(np.arange(_FULL + 1) + DELTA).astype(np.float32)
+_LEVEL = np.concatenate(([-1], np.minimum(SEEN - 1, np.log2(np.arange(1, 2 * _FULL + 1) + 0.5)).astype(np.int64)))
 
 
 def is_held_out(doc_id) -> bool:
@@ -195,8 +201,17 @@ class Whole:
         return out
 
 
+def packed(tables: np.ndarray) -> np.ndarray:
+    """Counts (slots x 2) as one number of 32 bits a slot; what is there stays there."""
+    most = tables.max(axis=1, initial=1)
+    n = tables * (_FULL / np.maximum(most, _FULL))[:, None] if (most > _FULL).any() else tables
+    n = np.maximum(np.rint(n), tables > 0).astype(np.uint32)
+    return n[:, 0] | n[:, 1] << np.uint32(16)
+
+
 class Mixer:
-    def __init__(self, tables: np.ndarray, weights: np.ndarray | None = None, refine: np.ndarray | None = None, bits=BITS):
+    def __init__(self, tables: np.ndarray | None, weights: np.ndarray | None = None, refine: np.ndarray | None = None, bits=BITS):
+        """tables: counts as packed() gives them. weights: a row a predictor, and one for a constant; a column a gate."""
         self.tables, self.bits, self.offsets = tables, bits, offsets(bits)
         self.weights = self.first_weights() if weights is None else weights
         self.refine = np.zeros((GATES * LEVELS, 2)) if refine is None else refine
@@ -204,36 +219,39 @@ class Mixer:
     @staticmethod
     def first_weights() -> np.ndarray:
         """The longest context that was seen is trusted the more, the oftener it was; the next shorter one has the rest."""
-        w = np.zeros((GATES, PREDICTORS + 1))
+        w = np.zeros((PREDICTORS + 1, GATES))
         for g in range(GATES):
             k, often = g // SEEN - 1, g % SEEN / (SEEN - 1)
             if k >= 0:
-                w[g, k] = 0.5 + 0.5 * often
+                w[k, g] = 0.5 + 0.5 * often
             if k >= 1:
-                w[g, k - 1] = 0.5 - 0.5 * often
+                w[k - 1, g] = 0.5 - 0.5 * often
         return w
 
     def inputs(self, slots, own, far, bit=None):
         """Odds of the predictors (and a constant, x bytes) and the gates. own: counts under all bytes before, of ``far``. bit: an occurrence of it is left out."""
-        odds = np.empty((PREDICTORS + 1, len(slots[0])))
+        odds = np.empty((PREDICTORS + 1, len(slots[0])), np.float32)
         gate = np.zeros(len(slots[0]), np.int64)
         for k in range(PREDICTORS):
             if k < len(slots):
-                n = self.tables[self.offsets[k] + slots[k]].astype(np.float64)
+                n = self.tables[slots[k] + self.offsets[k]]
             else:
-                n = self.tables[self.offsets[k - 1] + slots[k - 1]].astype(np.float64)
-                n[far] = own
+                n[far] = packed(own)
+            zero, one = n & np.uint32(_FULL), n >> np.uint32(16)
             if bit is not None:
-                n[np.arange(len(n)), bit] -= 1
-                np.maximum(n, 0, out=n)
-            odds[k] = np.log((n[:, 1] + DELTA) / (n[:, 0] + DELTA))
-            total = n[:, 0] + n[:, 1]
-            gate = np.where(total >= 0.5, SEEN * (k + 1) + np.minimum(SEEN - 1, np.log2(total + 0.5).astype(np.int64)), gate)
+                one -= np.minimum(one, bit)
+                zero -= np.minimum(zero, bit ^ np.uint8(1))
+            np.subtract(_LOG[one], _LOG[zero], out=odds[k])
+            level = _LEVEL[zero + one]
+            np.copyto(gate, level + SEEN * (k + 1), where=level >= 0)
         odds[-1] = 0.3
         return odds, gate
 
     def mix(self, odds, gate):
-        return np.clip((self.weights[gate].T * odds).sum(axis=0), -12, 12)
+        z = np.zeros(len(gate), np.float32)
+        for w, own in zip(self.weights.astype(np.float32), odds):
+            z += w[gate] * own
+        return np.clip(z, -12, 12)
 
     def learn(self, parts: list[bytes], counts: np.ndarray) -> float:
         """Learn from training words, online; returns the weight of what was learned from."""
@@ -250,7 +268,7 @@ class Mixer:
                 error = weight * (bit - 1 / (1 + np.exp(-z)))
                 mass = np.bincount(gate, weight, GATES) + 1e-9
                 for c in range(len(odds)):
-                    self.weights[:, c] += rate * np.bincount(gate, error * odds[c], GATES) / mass
+                    self.weights[c] += rate * np.bincount(gate, error * odds[c], GATES) / mass
             total += float(weight.sum())
         return total
 
@@ -293,27 +311,46 @@ class Mixer:
         return out
 
 
-CHUNKS = "chunk bigint, bucket int, doc_ids array<bigint>, n_words binary, toks binary, words binary, idx binary, counts binary"
-VOCABULARY = "n_train bigint, v_train bigint, n_words bigint, words binary, counts binary, chunks array<bigint>, idx array<binary>, vidx array<binary>"
+#: Rows of a chunk: one of its documents (own), and one for each bucket with its words there.
+CHUNKS = "chunk bigint, own boolean, bucket int, doc_ids array<bigint>, sizes binary, n_bytes binary, toks binary, hashes binary, rank binary, words binary, counts binary"
+#: Rows of a bucket: its words (kind 0), and for each chunk where its words are among them (kind 1).
+VOCABULARY = "bucket int, kind int, chunk bigint, n_train bigint, v_train bigint, n_words bigint, words binary, counts binary, places binary"
+
+
+def _pressed(raw: bytes) -> bytes:
+    import pyarrow as pa
+
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _plain(raw: bytes) -> bytes:
+    import pyarrow as pa
+
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
 
 
 def _planes(a: np.ndarray, kind: str = "<i8") -> bytes:
-    """Numbers, byte by byte of all, which compresses well."""
-    return a.astype(kind).view(np.uint8).reshape(len(a), -1).T.tobytes()
+    """Numbers, byte by byte of all, which compresses well, compressed."""
+    return _pressed(a.astype(kind).view(np.uint8).reshape(len(a), -1).T.tobytes())
 
 
 def _from_planes(raw: bytes, kind: str = "<i8") -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.frombuffer(raw, np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
+    return np.frombuffer(_plain(raw), np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
 
 
-def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
-    """Documents as numbers of their chunk's words with those words' hashes (bucket null), and the chunk's words by bucket with training counts."""
+def _rows(rows: list[tuple], schema: str):
+    """An Arrow batch of rows, or none of columns."""
     import pyarrow as pa
-    from pyspark import TaskContext
 
-    names = [c.split()[0] for c in CHUNKS.split(", ")]
-    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), *[pa.binary()] * 5]
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+    names, own = zip(*(c.split() for c in schema.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, k in zip(list(zip(*rows)) or [[]] * len(own), own)], list(names))
+
+
+def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
+    """Documents as numbers of their chunk's words with those words' hashes, and the chunk's words by bucket with training counts."""
+    from pyspark import TaskContext
 
     class Local(dict):
         def __missing__(self, word):
@@ -323,34 +360,38 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         import xxhash
 
-        chunk, local, ids, sizes, toks = TaskContext.get().partitionId() << 32, Local(), [], [], []
+        chunk, local, ids, sizes, n_bytes, toks = TaskContext.get().partitionId() << 32, Local(), [], [], [], []
 
         def flush():
-            nonlocal chunk, local, ids, sizes, toks
+            nonlocal chunk, local, ids, sizes, n_bytes, toks
             t = np.concatenate(toks) if toks else np.zeros(0, np.int64)
             n = np.array(sizes, np.int64)
             train = np.repeat(np.array([not is_held_out(d) for d in ids], bool), n)
-            counts = np.bincount(t[train], minlength=len(local)).astype("<u4")
+            counts = np.bincount(t[train], minlength=len(local))
             own = list(local)
             where = np.fromiter((xxhash.xxh3_64_intdigest(w[:OWN]) % buckets for w in own), np.int64, len(own))
             order = np.argsort(where, kind="stable")
+            rank = np.empty(len(own), np.int64)
+            rank[order] = np.arange(len(own))
             cuts = np.searchsorted(where[order], np.arange(buckets + 1)).tolist()
             names_of = np.fromiter(map(xxhash.xxh3_64_intdigest, own), "<u8", len(own))
-            rows = [(chunk, None, ids, n.astype("<u4").tobytes(), _planes(t, "<u4"), names_of.tobytes(), None, None)]
+            rows = [(chunk, True, None, ids, _planes(n, "<u4"), _planes(np.array(n_bytes), "<u4"), _planes(t, "<u4"), names_of.tobytes(), _planes(rank, "<u4"), None, None)]
             for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if y > x:
                     at = order[x:y]
-                    rows.append((chunk, b, None, None, None, b"\n".join([own[i] for i in at.tolist()]), at.astype("<u4").tobytes(), counts[at].tobytes()))
-            chunk, local, ids, sizes, toks = chunk + 1, Local(), [], [], []
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                    rows.append((chunk, False, b, *[None] * 6, _pressed(b"\n".join([own[i] for i in at.tolist()])), _planes(counts[at], "<u4")))
+            chunk, local, ids, sizes, n_bytes, toks = chunk + 1, Local(), [], [], [], []
+            return _rows(rows, CHUNKS)
 
         held = 0
         for b in batches:
-            lists = [[*words(t), b""] for t in b.column(1).to_pylist()]
+            texts = b.column(1).to_pylist()
+            lists = [[*words(t), b""] for t in texts]
             size = sum(map(len, lists))
             toks.append(np.fromiter((i for x in lists for i in map(local.__getitem__, x)), np.int64, size).astype(np.int32))
             ids += b.column(0).to_pylist()
             sizes += map(len, lists)
+            n_bytes += (len(t or b"") for t in texts)
             held += size
             if held >= CHUNK:
                 yield flush()
@@ -362,37 +403,31 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _vocabulary(chunks: DataFrame) -> DataFrame:
-    """A row a bucket: its words, their training counts over all chunks, and for each chunk where its words stand."""
-    import pyarrow as pa
-
-    names = [c.split()[0] for c in VOCABULARY.split(", ")]
-    kinds = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.binary())]
+    """Of each bucket its words with their training counts over all chunks, and for each chunk where its words stand among them."""
+
+    def solve(bucket, rows):
+        known: dict = {}
+        vidx = [np.fromiter((known.setdefault(w, len(known)) for w in _plain(parts).split(b"\n")), np.int64) for _, parts, _ in rows]
+        total = np.zeros(len(known), np.int64)
+        for v, (_, _, counts) in zip(vidx, rows):
+            total[v] += _from_planes(counts, "<u4")
+        yield _rows([(bucket, 0, None, int(total.sum()), int((total > 0).sum()), len(known), _pressed(b"\n".join(known)), _planes(total), None)], VOCABULARY)
+        for at in range(0, len(rows), 256):
+            yield _rows([(bucket, 1, chunk, *[None] * 5, _planes(v, "<u4")) for (chunk, _, _), v in zip(rows[at : at + 256], vidx[at : at + 256])], VOCABULARY)
 
     def run(batches):
         at, rows = None, []
-
-        def solve():
-            known: dict = {}
-            vidx = []
-            for _, parts, _, _ in rows:
-                vidx.append(np.fromiter((known.setdefault(w, len(known)) for w in parts.split(b"\n")), np.int64))
-            total = np.zeros(len(known), np.int64)
-            for v, row in zip(vidx, rows):
-                total[v] += np.frombuffer(row[3], "<u4")
-            row = (int(total.sum()), int((total > 0).sum()), len(known), b"\n".join(known), total.astype("<i8").tobytes(), [r[0] for r in rows], [r[2] for r in rows], [v.astype("<u4").tobytes() for v in vidx])
-            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(row, kinds)], names)
-
         for b in batches:
-            for bucket, *row in zip(*(b.column(i).to_pylist() for i in range(5))):
+            for bucket, *row in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if bucket != at:
                     if rows:
-                        yield solve()
+                        yield from solve(at, rows)
                     at, rows = bucket, []
                 rows.append(row)
         if rows:
-            yield solve()
+            yield from solve(at, rows)
 
-    own = chunks.filter("bucket is not null").select("bucket", "chunk", "words", "idx", "counts")
+    own = chunks.filter("not own").select("bucket", "chunk", "words", "counts")
     return own.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(run, VOCABULARY)
 
 
@@ -413,16 +448,14 @@ def _named(before: np.ndarray, word: np.ndarray, hashes: np.ndarray) -> np.ndarr
 
 def _pairs(chunks: DataFrame) -> DataFrame:
     """(chunk, bucket, n): how often each of a chunk's pairs occurs in all training text, in the order of their hashes."""
-    import pyarrow as pa
-
-    own = chunks.filter("bucket is null").select("chunk", "doc_ids", "n_words", "toks", "words")
+    own = chunks.filter("own").select("chunk", "doc_ids", "sizes", "toks", "hashes")
     # At least 256 buckets, and about two chunks' tokens a bucket.
     shift = 64 - max(8, (own.count() // 2).bit_length())
 
     def send(batches):
         for b in batches:
             for chunk, ids, sizes, toks, hashes in zip(*(b.column(i).to_pylist() for i in range(5))):
-                sizes, toks = np.frombuffer(sizes, "<u4").astype(np.int64), _from_planes(toks, "<u4").astype(np.int64)
+                sizes, toks = _from_planes(sizes, "<u4").astype(np.int64), _from_planes(toks, "<u4").astype(np.int64)
                 before, word, which = follows(sizes, toks)
                 train = np.repeat(np.array([not is_held_out(d) for d in ids], bool), sizes)
                 n = np.bincount(which[train], minlength=len(word))
@@ -432,7 +465,7 @@ def _pairs(chunks: DataFrame) -> DataFrame:
                 where = (key >> _U(shift)).astype(np.int64)
                 cuts = np.concatenate(([0], np.flatnonzero(np.diff(where)) + 1, [len(where)])).tolist()
                 rows = [(chunk, int(where[x]), _planes(np.diff(key[x:y], prepend=_U(0)), "<u8"), _planes(n[x:y])) for x, y in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary(), pa.binary()])], ["chunk", "bucket", "keys", "n"])
+                yield _rows(rows, "chunk bigint, bucket bigint, keys binary, n binary")
 
     def solve(at, rows):
         keys = [np.cumsum(_from_planes(raw, "<u8"), dtype=_U) for _, raw, _ in rows]
@@ -441,7 +474,7 @@ def _pairs(chunks: DataFrame) -> DataFrame:
         np.add.at(total, which, np.concatenate([_from_planes(n) for _, _, n in rows]))
         cuts = np.cumsum([0, *map(len, keys)]).tolist()
         out = [_planes(total[which[x:y]]) for x, y in zip(cuts[:-1], cuts[1:])]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([at] * len(rows), pa.int64()), pa.array(out, pa.binary())], ["chunk", "bucket", "n"])
+        return _rows([(r[0], at, n) for r, n in zip(rows, out)], "chunk bigint, bucket bigint, n binary")
 
     def run(batches):
         at, rows = None, []
@@ -493,16 +526,16 @@ def _trust(joined: DataFrame) -> np.ndarray:
         total = np.zeros(TRUST * ODDS)
         for b in batches:
             for raw in b.column(0).to_pylist():
-                total += np.frombuffer(raw)
+                total += np.frombuffer(_plain(raw))
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["seen"])
 
-    rows = joined.select("seen").coalesce(TASKS).mapInArrow(run, "seen binary").collect()
+    rows = common.collect(joined.select("seen").mapInArrow(run, "seen binary"))
     return trusted(sum((np.frombuffer(r["seen"]) for r in rows), np.zeros(TRUST * ODDS)).reshape(TRUST, ODDS))
 
 
 def _train_rows(b):
     for parts, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-        own, n = parts.split(b"\n"), np.frombuffer(raw, "<i8")
+        own, n = _plain(parts).split(b"\n"), _from_planes(raw)
         kept = np.flatnonzero(n)
         yield [own[i] for i in kept.tolist()], n[kept]
 
@@ -522,39 +555,42 @@ def _sized(vocabulary: DataFrame, tasks: int) -> tuple:
             keys = np.unique(np.concatenate(own)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k, np.int32)), pa.array(keys)], ["k", "key"])
 
-    rows = vocabulary.select("words", "counts").coalesce(tasks).mapInArrow(run, "k int, key bigint").distinct().groupBy("k").count().collect()
+    rows = common.collect(vocabulary.coalesce(tasks).mapInArrow(run, "k int, key bigint").distinct().groupBy("k").count())
     keys = {r["k"]: LOOKED * r["count"] for r in rows}
-    return tuple(max(least, (ROOM * keys.get(k, 0)).bit_length()) for k, least in enumerate(BITS))
+    return tuple(max(least, min(MOST, (ROOM * keys.get(k, 0)).bit_length())) for k, least in enumerate(BITS))
 
 
 def _tables(vocabulary: DataFrame, tasks: int, bits: tuple) -> np.ndarray:
-    import pyarrow as pa
-
+    """Counts of all tables, packed. Tasks count on their own and hand on the pieces that they have anything in."""
     total_slots = sum(1 << b for b in bits)
 
     def run(batches):
-        tables = np.zeros((total_slots, 2))
+        tables = np.zeros((total_slots, 2), np.float32)
         for b in batches:
             for parts, n in _train_rows(b):
                 count(parts, n, tables, bits)
         for k in range(0, total_slots // PIECE):
             own = tables[k * PIECE : (k + 1) * PIECE]
             if own.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([own.astype(np.float32).tobytes()], pa.binary())], ["piece", "own"])
+                yield _rows([(k, _planes(own.reshape(-1), "<f4"))], "piece int, own binary")
 
     def add(batches):
-        total: dict = {}
+        at, total = None, None
         for b in batches:
             for k, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = np.frombuffer(raw, np.float32)
-                total[k] = total[k] + own if k in total else own.astype(np.float64)
-        for k, own in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([own.astype(np.float32).tobytes()], pa.binary())], ["piece", "own"])
-
-    pieces = vocabulary.select("words", "counts").coalesce(tasks).mapInArrow(run, "piece int, own binary")
-    out = np.zeros((total_slots, 2), np.float32)
-    for r in pieces.repartition("piece").mapInArrow(add, "piece int, own binary").toLocalIterator():  # total_slots * 8 bytes in all
-        out[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(r["own"], np.float32).reshape(-1, 2)
+                if k != at:
+                    if total is not None:
+                        yield _rows([(at, _planes(packed(total.reshape(-1, 2)), "<u4"))], "piece int, own binary")
+                    at, total = k, np.zeros(2 * PIECE)
+                total += _from_planes(raw, "<f4")
+        if total is not None:
+            yield _rows([(at, _planes(packed(total.reshape(-1, 2)), "<u4"))], "piece int, own binary")
+
+    pieces = vocabulary.coalesce(tasks).mapInArrow(run, "piece int, own binary")
+    out = np.zeros(total_slots, np.uint32)
+    with common.tuned(vocabulary.sparkSession):
+        for r in pieces.repartition("piece").sortWithinPartitions("piece").mapInArrow(add, "piece int, own binary").toLocalIterator():  # 4 bytes a slot in all
+            out[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = _from_planes(r["own"], "<u4")
     return out
 
 
@@ -569,112 +605,124 @@ def _learned(vocabulary: DataFrame, tasks: int, tables, bits: tuple) -> tuple[np
                 mass += m.learn(parts, n)
         yield pa.RecordBatch.from_arrays([pa.array([mass]), pa.array([m.weights.tobytes()], pa.binary())], ["mass", "weights"])
 
-    own = vocabulary.select("words", "counts").coalesce(tasks)
-    rows = [r for r in own.mapInArrow(run, "mass double, weights binary").collect() if r["mass"] > 0]
+    own = vocabulary.coalesce(tasks)
+    rows = [r for r in common.collect(own.mapInArrow(run, "mass double, weights binary")) if r["mass"] > 0]
     if not rows:
         return Mixer(None).weights, Mixer(None).refine
     rows.sort(key=lambda r: bytes(r["weights"]))
-    weights = sum(r["mass"] * np.frombuffer(r["weights"]).reshape(GATES, -1) for r in rows) / sum(r["mass"] for r in rows)
+    weights = sum(r["mass"] * np.frombuffer(r["weights"]).reshape(-1, GATES) for r in rows) / sum(r["mass"] for r in rows)
 
     def settle(batches):
         m = Mixer(tables.value, weights, bits=bits)
         for b in batches:
             for parts, n in _train_rows(b):
                 m.settle(parts, n)
-        yield pa.RecordBatch.from_arrays([pa.array([m.refine.tobytes()], pa.binary())], ["refine"])
+        yield _rows([(m.refine.tobytes(),)], "refine binary")
 
-    refined = sorted(bytes(r["refine"]) for r in own.mapInArrow(settle, "refine binary").collect())
+    refined = sorted(bytes(r["refine"]) for r in common.collect(own.mapInArrow(settle, "refine binary")))
     return weights, sum(np.frombuffer(r).reshape(-1, 2) for r in refined)
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """A row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes.
+JOINED = "doc_ids array<bigint>, sizes binary, n_bytes binary, toks binary, n binary, lp binary, pair binary, seen binary"
 
-    Learned from documents that are not held out; a null doc_id counts as ''. Null and empty texts are the end alone.
-    With nothing to learn from, counts are 0, base scores 0 and every bit an even chance. Only doc_id and text are read;
-    equal rows have equal scores; an empty table gives no rows.
-    """
-    import pyarrow as pa
 
-    spark = docs.sparkSession
-    buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    chunks = common.keep(_chunks(docs, buckets), "chunks")
-    pairs = common.keep(_pairs(chunks), "pairs")
-    vocabulary = common.keep(_vocabulary(chunks), "vocabulary")
-    n_train, v_train, n_words = (x or 0 for x in vocabulary.agg(F.sum("n_train"), F.sum("v_train"), F.sum("n_words")).first())
-    tasks = min(TASKS, max(1, -(-n_words // TASK_WORDS)))
-    bits = _sized(vocabulary, tasks)
-    tables = spark.sparkContext.broadcast(_tables(vocabulary, tasks, bits))
-    learned = spark.sparkContext.broadcast(_learned(vocabulary, tasks, tables, bits))
+def _joined(chunks: DataFrame, pairs: DataFrame, vocabulary: DataFrame, tables, learned, bits: tuple) -> DataFrame:
+    """A row a chunk: its documents, with the count and the spelling's score of each word and the count of each pair."""
 
     def known(batches):
-        m = Mixer(tables.value, *learned.value, bits)
+        m, n, lp = Mixer(tables.value, *learned.value, bits), None, None
         for b in batches:
-            for parts, raw, at, idx, vidx in zip(*(b.column(i).to_pylist() for i in range(5))):
-                n = np.frombuffer(raw, "<i8")
-                lp = m.score(parts.split(b"\n"), n)
-                rows = [(c, i, n[v].astype("<i8").tobytes(), lp[v].tobytes()) for c, i, v in zip(at, idx, (np.frombuffer(v, "<u4") for v in vidx))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), *[pa.binary()] * 3])], ["chunk", "idx", "n", "lp"])
-
-    back = vocabulary.select("words", "counts", "chunks", "idx", "vidx").mapInArrow(known, "chunk bigint, idx binary, n binary, lp binary")
-    none = [f"cast(null as {k}) as {c}" for c, k in (("doc_ids", "array<bigint>"), ("n_words", "binary"), ("toks", "binary"), ("hashes", "binary"))]
-    back = back.selectExpr("chunk", "0 as part", "0L as bucket", *none, "idx", "n", "lp")
-    counted = pairs.selectExpr("chunk", "1 as part", "bucket", *none, "cast(null as binary) as idx", "n", "cast(null as binary) as lp")
-    own = chunks.filter("bucket is null").selectExpr("chunk", "2 as part", "0L as bucket", "doc_ids", "n_words", "toks", "words as hashes", *(f"cast(null as binary) as {c}" for c in ("idx", "n", "lp")))
-    rows = back.union(counted).union(own).repartition("chunk").sortWithinPartitions("chunk", "part", "bucket")
-    per = float(n_train + v_train + 1)
+            rows = []
+            for bucket, kind, chunk, parts, counts, places in zip(*(b.column(i).to_pylist() for i in range(6))):
+                if kind == 0:
+                    n = _from_planes(counts)
+                    lp = m.score(_plain(parts).split(b"\n"), n)
+                else:
+                    v = _from_planes(places, "<u4")
+                    rows.append((chunk, bucket, _planes(n[v]), _planes(lp[v], "<f4")))
+            yield _rows(rows, "chunk bigint, bucket bigint, n binary, lp binary")
+
+    own = ("doc_ids", "sizes", "n_bytes", "toks", "hashes", "rank")
+    none = [f"cast(null as {'array<bigint>' if c == 'doc_ids' else 'binary'}) as {c}" for c in own]
+    sent = vocabulary.select("bucket", "kind", "chunk", "words", "counts", "places").repartition("bucket").sortWithinPartitions("bucket", "kind", "chunk")
+    back = sent.mapInArrow(known, "chunk bigint, bucket bigint, n binary, lp binary").selectExpr("chunk", "0 as part", "bucket", "n", "lp", *none)
+    counted = pairs.selectExpr("chunk", "1 as part", "bucket", "n", "cast(null as binary) as lp", *none)
+    rows = chunks.filter("own").selectExpr("chunk", "2 as part", "0L as bucket", "cast(null as binary) as n", "cast(null as binary) as lp", *own)
+    rows = back.union(counted).union(rows).repartition("chunk").sortWithinPartitions("chunk", "part", "bucket")
 
     def join(batches):
-        held, counted = [], []
+        ns, lps, counted = [], [], []
         for b in batches:
-            for part, ids, sizes, toks, hashes, *own in zip(*(b.column(i).to_pylist() for i in (1, *range(3, 10)))):
+            for part, n, lp, ids, sizes, n_bytes, toks, hashes, rank in zip(*(b.column(i).to_pylist() for i in (1, *range(3, 11)))):
                 if part == 0:
-                    held.append(tuple(np.frombuffer(x, k) for x, k in zip(own, ("<u4", "<i8", "<f8"))))
+                    ns.append(_from_planes(n))
+                    lps.append(_from_planes(lp, "<f4"))
                     continue
                 if part == 1:
-                    counted.append(_from_planes(own[1]))
+                    counted.append(_from_planes(n))
                     continue
-                size = 1 + max(int(i.max()) for i, _, _ in held)
-                n, lp = np.zeros(size, np.int64), np.zeros(size)
-                for i, c, p in held:
-                    n[i], lp[i] = c, p
-                lengths = np.frombuffer(sizes, "<u4").astype(np.int64)
+                order = _from_planes(rank, "<u4")
+                n, lp = np.concatenate(ns)[order], np.concatenate(lps)[order]
+                lengths = _from_planes(sizes, "<u4").astype(np.int64)
                 before, word, which = follows(lengths, _from_planes(toks, "<u4").astype(np.int64))
                 pair = np.empty(len(word), np.int64)
                 pair[np.argsort(_named(before, word, np.frombuffer(hashes, "<u8")), kind="stable")] = np.concatenate(counted)
-                held, counted = [], []
+                ns, lps, counted = [], [], []
                 train = np.repeat(np.array([not is_held_out(d) for d in ids], bool), lengths)
                 seen = evidence(np.bincount(which[train], minlength=len(word)), n[before], pair, lp[word])
-                row = (ids, sizes, toks, _planes(n), lp.tobytes(), _planes(pair), seen.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(row, [pa.list_(pa.int64()), *[pa.binary()] * 6])], ["doc_ids", "n_words", "toks", "n", "lp", "pair", "seen"])
+                yield _rows([(ids, sizes, n_bytes, toks, _planes(n), _planes(lp, "<f4"), _planes(pair), _pressed(seen.tobytes()))], JOINED)
+
+    return rows.mapInArrow(join, JOINED)
+
 
-    joined = common.keep(rows.mapInArrow(join, "doc_ids array<bigint>, n_words binary, toks binary, n binary, lp binary, pair binary, seen binary"), "joined")
+def score(docs: DataFrame) -> DataFrame:
+    """A row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte.
+
+    Learned from documents that are not held out; a null doc_id counts as ''. Null and empty texts are the end alone.
+    bits_per_byte: of the score over n_bytes and the end. With nothing to learn from, counts are 0, base scores 0 and
+    every bit an even chance. Only doc_id and text are read; equal rows have equal scores; an empty table gives no rows.
+    """
+    import pyarrow as pa
+
+    spark = docs.sparkSession
+    buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    chunks = common.keep(_chunks(docs, buckets), "chunks", by="own")
+    vocabulary = common.keep(_vocabulary(chunks), "vocabulary")
+    common.drop(chunks, "own=false")
+    pairs = common.keep(_pairs(chunks), "pairs")
+    n_train, v_train, n_words = (x or 0 for x in common.collect(vocabulary.agg(F.sum("n_train"), F.sum("v_train"), F.sum("n_words")))[0])
+    tasks = max(1, -(-n_words // TASK_WORDS))
+    own = vocabulary.filter("kind = 0").select("words", "counts")
+    bits = _sized(own, tasks)
+    tables = spark.sparkContext.broadcast(_tables(own, tasks, bits))
+    learned = spark.sparkContext.broadcast(_learned(own, tasks, tables, bits))
+    joined = common.keep(_joined(chunks, pairs, vocabulary, tables, learned, bits), "joined")
     for kept in (pairs, chunks, vocabulary):
         common.drop(kept)
     share = _trust(joined)
+    per = float(n_train + v_train + 1)
 
     def total(batches):
         for b in batches:
-            for ids, sizes, toks, n, lp, pair in zip(*(b.column(i).to_pylist() for i in range(6))):
-                sizes, toks = np.frombuffer(sizes, "<u4").astype(np.int64), _from_planes(toks, "<u4").astype(np.int64)
-                n, lp, pair = _from_planes(n), np.frombuffer(lp), _from_planes(pair)
+            for ids, sizes, n_bytes, toks, n, lp, pair in zip(*(b.column(i).to_pylist() for i in range(7))):
+                sizes, toks = _from_planes(sizes, "<u4").astype(np.int64), _from_planes(toks, "<u4").astype(np.int64)
+                n, lp, pair = _from_planes(n), _from_planes(lp, "<f4").astype(float), _from_planes(pair)
                 before, word, which = follows(sizes, toks)
                 own = share[trust_gate(n[before])]
                 mixed = np.logaddexp(np.log(1 - own) + lp[word] * np.log(10), np.log(np.maximum(own * pair, 1e-300) / np.maximum(n[before], 1))) / np.log(10)
                 mixed = np.where(own * pair > 0, mixed, np.log10(1 - own) + lp[word])
                 at = np.cumsum(sizes) - sizes
                 base = np.log10((n + 1) / per)
-                lengths = len(ids)
+                cols = [np.add.reduceat(x, at) for x in ((n > 0).astype(np.int64)[toks], base[toks], mixed[which])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array([is_held_out(d) for d in ids]), pa.array(sizes), pa.array(np.add.reduceat((n > 0).astype(np.int64)[toks], at)), pa.array(np.full(lengths, n_train, np.int64)), pa.array(np.add.reduceat(base[toks], at)), pa.array(np.add.reduceat(mixed[which], at))],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                    [pa.array(ids, pa.int64()), pa.array([is_held_out(d) for d in ids]), pa.array(sizes), pa.array(cols[0]), pa.array(np.full(len(ids), n_train, np.int64)), pa.array(cols[1]), pa.array(cols[2]), pa.array(_from_planes(n_bytes, "<u4").astype(np.int64))],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"],
                 )
 
-    return joined.select("doc_ids", "n_words", "toks", "n", "lp", "pair").mapInArrow(total, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    rows = joined.select("doc_ids", "sizes", "n_bytes", "toks", "n", "lp", "pair").mapInArrow(total, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint")
+    return rows.withColumn("bits_per_byte", -F.col("score") / F.lit(np.log10(2).item()) / (F.col("n_bytes") + 1))
 
 
-def bits_per_byte(scored: DataFrame, docs: DataFrame) -> DataFrame:
-    """Total bits over total bytes, apart for held-out documents and others; doc_id must be unique."""
-    sized = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("n_bytes"))
-    rows = scored.join(sized, scored["doc_id"].eqNullSafe(sized["doc_id"]))
-    return rows.groupBy("held_out").agg((-F.sum("score") / F.lit(np.log10(2).item()) / F.sum("n_bytes")).alias("bits_per_byte"))
+def bits_per_byte(scored: DataFrame) -> DataFrame:
+    """Total bits over total bytes, ends included, apart for held-out documents and others."""
+    return scored.groupBy("held_out").agg((-F.sum("score") / F.lit(np.log10(2).item()) / F.sum(F.col("n_bytes") + 1)).alias("bits_per_byte"))

@@ -35,8 +35,8 @@ def test_base_scores_and_counts(spark):
         r, own = rows[i + 1], [*plain_words(t), b""]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i + 1], len(own), sum(w in count for w in own), n)
         assert math.isclose(r["base_score"], sum(math.log10((count.get(w, 0) + 1) / (n + v + 1)) for w in own), rel_tol=1e-9)
-        assert r["score"] < 0
-    per_byte = {r["held_out"]: r["bits_per_byte"] for r in mixing.bits_per_byte(mixing.score(docs(spark, corpus(1))), docs(spark, corpus(1))).collect()}
+        assert r["score"] < 0 and r["n_bytes"] == len((t or "").encode()) and math.isclose(r["bits_per_byte"], -r["score"] / math.log10(2) / (r["n_bytes"] + 1))
+    per_byte = {r["held_out"]: r["bits_per_byte"] for r in mixing.bits_per_byte(mixing.score(docs(spark, corpus(1)))).collect()}
     assert per_byte[True] < 4.5 and per_byte[False] < per_byte[True] + 0.5
 
 
@@ -48,7 +48,7 @@ def test_bits_are_probabilities():
     counts = np.array([parts.count(w) for w in known])
     tables = np.zeros((mixing.SLOTS, 2), np.float32)
     mixing.count(known, counts, tables)
-    m = mixing.Mixer(tables)
+    m = mixing.Mixer(mixing.packed(tables))
     assert m.learn(known, counts) > 0
     signs = [bytes([c]) for c in range(256) if c != 10]
     short = [b"", *signs]
@@ -67,8 +67,8 @@ def test_learning_helps():
     tables = np.zeros((mixing.SLOTS, 2), np.float32)
     mixing.count(known, counts, tables)
     new = [w for t in corpus(9, 50) for w in plain_words(t)]
-    plain = mixing.Mixer(np.zeros((mixing.SLOTS, 2), np.float32)).score(new).sum()
-    m = mixing.Mixer(tables)
+    plain = mixing.Mixer(np.zeros(mixing.SLOTS, np.uint32)).score(new).sum()
+    m = mixing.Mixer(mixing.packed(tables))
     m.learn(known, counts)
     assert m.score(new).sum() > 0.5 * plain
 

@@ -34,7 +34,7 @@ def test_tables_grow(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BITS", (4, 4, 4, 4, 4))
     texts = [" ".join(made(s, 100)) for s in range(60)]
     known = {w for i, t in enumerate(texts) if not mixing.is_held_out(i + 1) for w in [*mixing.words(t.encode()), b""]}
-    bits = mixing._sized(mixing._vocabulary(mixing._chunks(docs(spark, texts), 8)), 2)
+    bits = mixing._sized(mixing._vocabulary(mixing._chunks(docs(spark, texts), 8)).filter("kind = 0").select("words", "counts"), 2)
     # The keys are an estimate from one context in LOOKED.
     assert len(keys_of(known, 5)) <= 1 << bits[-1] <= 8 * len(keys_of(known, 5))
 
@@ -93,18 +93,24 @@ def test_pairs_are_counted_over_all_chunks(spark):
     got = {}
     for r in mixing._pairs(chunks).orderBy("chunk", "bucket").collect():
         got.setdefault(r["chunk"], []).extend(mixing._from_planes(r["n"]).tolist())
-    rows = chunks.collect()
+    rows = chunks.orderBy("chunk", "bucket").collect()
     for r in rows:
-        if r["bucket"] is None:
-            local = {}
-            for o in rows:
-                if o["chunk"] == r["chunk"] and o["bucket"] is not None:
-                    local |= dict(zip(np.frombuffer(o["idx"], "<u4").tolist(), bytes(o["words"]).split(b"\n")))
-            before, word, _ = mixing.follows(np.frombuffer(r["n_words"], "<u4").astype(np.int64), mixing._from_planes(r["toks"], "<u4").astype(np.int64))
-            order = np.argsort(mixing._named(before, word, np.frombuffer(r["words"], "<u8")), kind="stable")
+        if r["own"]:
+            own = [w for o in rows if o["chunk"] == r["chunk"] and not o["own"] for w in mixing._plain(o["words"]).split(b"\n")]
+            local = [own[i] for i in mixing._from_planes(r["rank"], "<u4").tolist()]
+            before, word, _ = mixing.follows(*(mixing._from_planes(r[k], "<u4").astype(np.int64) for k in ("sizes", "toks")))
+            order = np.argsort(mixing._named(before, word, np.frombuffer(r["hashes"], "<u8")), kind="stable")
             assert got[r["chunk"]] == [seen[local[before[i]], local[word[i]]] for i in order.tolist()]
 
 
+def test_counts_of_16_bits():
+    """Large counts keep their proportion, and none that is there goes."""
+    n = np.array([[0, 0], [3, 70000], [1e9, 1], [65535, 65535], [2e6, 1e6]])
+    p = mixing.packed(n)
+    zero, one = p & 0xFFFF, p >> 16
+    assert zero.tolist() == [0, 3, 65535, 65535, 65535] and one.tolist()[:4] == [0, 65535, 1, 65535] and abs(int(one[4]) - 32767) <= 1
+
+
 def test_last_table_has_all_words(spark):
     """However many batches there are, each bit of each training word is in it."""
     known = sorted({w.encode() for w in made(8, 12000)})
@@ -112,7 +118,7 @@ def test_last_table_has_all_words(spark):
     assert len(mixing.whole_batches(known, mixing.LEARNED)) > 1
     tables = np.zeros((mixing.SLOTS, 2), np.float32)
     mixing.count(known, counts, tables)
-    m = mixing.Mixer(tables)
+    m = mixing.Mixer(mixing.packed(tables))
     m.learn(known, counts)
     m.settle(known, counts)
     assert np.isclose(m.refine.sum(), 8 * 3**mixing.POWER * sum(len(w) + 1 for w in known))
