@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,28 @@ def sliced(batches):
             yield b.slice(at, BATCH_ROWS)
 
 
+def pressed(raw: bytes) -> bytes:
+    import pyarrow as pa
+
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def plain(raw: bytes) -> bytes:
+    import pyarrow as pa
+
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+
+
+def planes(a: np.ndarray, kind: str = "<i8") -> bytes:
+    """Numbers, byte by byte of all, which compresses well, compressed."""
+    return pressed(a.astype(kind).view(np.uint8).reshape(len(a), np.dtype(kind).itemsize).T.tobytes())
+
+
+def from_planes(raw: bytes, kind: str = "<i8") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(plain(raw), np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary one, in local mode only."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

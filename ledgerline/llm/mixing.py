@@ -317,26 +317,7 @@ CHUNKS = "chunk bigint, own boolean, bucket int, doc_ids array<bigint>, sizes bi
 VOCABULARY = "bucket int, kind int, chunk bigint, n_train bigint, v_train bigint, n_words bigint, words binary, counts binary, places binary"
 
 
-def _pressed(raw: bytes) -> bytes:
-    import pyarrow as pa
-
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
-
-
-def _plain(raw: bytes) -> bytes:
-    import pyarrow as pa
-
-    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
-
-
-def _planes(a: np.ndarray, kind: str = "<i8") -> bytes:
-    """Numbers, byte by byte of all, which compresses well, compressed."""
-    return _pressed(a.astype(kind).view(np.uint8).reshape(len(a), -1).T.tobytes())
-
-
-def _from_planes(raw: bytes, kind: str = "<i8") -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.frombuffer(_plain(raw), np.uint8).reshape(width, -1).T.copy().view(kind).reshape(-1)
+_pressed, _plain, _planes, _from_planes = common.pressed, common.plain, common.planes, common.from_planes
 
 
 def _rows(rows: list[tuple], schema: str):

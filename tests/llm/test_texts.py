@@ -32,9 +32,9 @@ def brute_hits(text, items):
     return len(ws), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(ws)
 
 
-@pytest.mark.parametrize("block", [1 << 20, 40])
-def test_contamination(spark, monkeypatch, block):
-    monkeypatch.setattr(decontam, "BLOCK", block)
+@pytest.mark.parametrize("size", [1 << 20, 40])
+def test_contamination(spark, monkeypatch, size):
+    monkeypatch.setattr(decontam, "WORDS", size)
     rng = random.Random(6)
     vocabulary = ["a", "b", "straße", "Été", "x1"]
     prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
@@ -60,6 +60,29 @@ def test_proximity(spark):
     assert got == [(1, 0, 2), (2, 0, 1), (4, 0, 1), (4, 1, 3)]
 
 
+def test_one_index_serves_any_benchmark(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "MARKS", 4)
+    index = decontam.build(docs(spark, ["a b c d", "c d e", "x a b", None]))
+    for text, hits in (("a b", [2, 0, 2, 0]), ("c d", [2, 2, 0, 0]), ("d e f", [0, 0, 0, 0]), ("a a", [0, 0, 0, 0])):
+        rows = decontam.search(index, spark.createDataFrame([("i", text), ("j", text)], "name string, text string")).collect()
+        assert [r["n_hit"] for r in sorted(rows, key=lambda r: r["doc_id"])] == hits and all(r["items"] == (["i", "j"] if r["n_hit"] else []) for r in rows)
+
+
+def test_spans_against_all_stretches():
+    rng = random.Random(2)
+    for _ in range(200):
+        texts = [[rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(rng.randint(0, 12))] for _ in range(3)]
+        flat = [w for t in texts for w in (*t, None)]
+        terms = sorted({w for t in texts for w in t})
+        at = [[i for i, w in enumerate(flat) if w == t] for t in terms]
+        seg = decontam.Index(terms, decontam.np.array([len(x) for x in at], int), decontam.np.array([i for x in at for i in x], int), decontam.np.array([len(t) for t in texts]))
+        want, slop = rng.sample([b"a", b"b", b"c"], rng.randint(1, 3)), rng.randint(0, 3)
+        got = seg.near(want, slop)
+        whole = lambda i, j: None not in flat[i : j + 1] and set(want) <= set(flat[i : j + 1])
+        least = [(i, j) for j in range(len(flat)) for i in range(max(0, j - len(want) - slop + 1), j + 1) if whole(i, j) and not whole(i + 1, j) and not (j and i < j and whole(i, j - 1))]
+        assert got == least
+
+
 def plain_base(text):
     out = []
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
