@@ -39,6 +39,8 @@ TURNS = 1
 HUB = 512
 #: Entries (token, set) that a task gathers before it hands them on.
 ENTRIES = 1 << 21
+#: Entries of one token among these from which on they are dealt by their sets, over all buckets.
+HOT = 2048
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _U = np.uint64
@@ -242,30 +244,47 @@ def _frequent(docs: DataFrame) -> np.ndarray:
         return np.sort(often.select("h").toArrow().column(0).to_numpy().view(np.uint64))
 
 
-SETS = "bucket int, doc_id bigint, key bigint, n bigint, vec binary, toks binary, keys binary"
+SETS = "bucket int, doc_id bigint, key bigint, n bigint, vec binary, toks binary, keys binary, homes binary, hot binary"
 
 
 def _deal(docs: DataFrame, buckets: int) -> DataFrame:
-    """Rows of documents (bucket null) and rows of entries for a bucket (tokens of 32 bits and set keys, side by side)."""
+    """Rows of documents (bucket null) and rows of entries for a bucket (tokens of 32 bits and set keys, side by side).
+
+    A token belongs to the bucket that its hash names, its home. Entries of one that is hot go to buckets by their set, with
+    their homes; the home is told that the token is hot, as tasks in which it is not send theirs there.
+    """
     import pyarrow as pa
 
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
     names = [c.split()[0] for c in SETS.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
 
     def run(batches):
         late = frequent.value
         toks, keys, held, sent = [], [], 0, set()
 
+        def dealt(where, home, t, k, told):
+            order = np.argsort(where, kind="stable")
+            home, t, k = home[order].astype("<u4"), t[order], k[order]
+            cuts = np.searchsorted(where[order], np.arange(buckets + 1)).tolist()
+            return [(b, *[None] * 4, t[x:y].tobytes(), k[x:y].tobytes(), home[x:y].tobytes() if told else None, None) for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+
         def flush():
             nonlocal toks, keys, held
             t = _mix(np.concatenate(toks)) if toks else np.zeros(0, _U)
             k = np.repeat(np.array([x[0] for x in keys], np.int64), [x[1] for x in keys]) if keys else np.zeros(0, np.int64)
-            where = ((t >> _U(32)) % _U(buckets)).astype(np.int64)
-            order = np.argsort(where, kind="stable")
-            t, k = (t & _U(0xFFFFFFFF)).astype("<u4")[order], k[order].astype("<i8")
-            cuts = np.searchsorted(where[order], np.arange(buckets + 1))
-            rows = [(b, None, None, None, None, t[x:y].tobytes(), k[x:y].tobytes()) for b, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if y > x]
+            home, t = ((t >> _U(32)) % _U(buckets)).astype(np.int64), (t & _U(0xFFFFFFFF)).astype("<u4")
+            name = home << 32 | t
+            order = np.argsort(name, kind="stable")
+            name, home, t, k = name[order], home[order], t[order], k[order].astype("<i8")
+            first = np.flatnonzero(np.diff(name, prepend=name[:1] - 1))
+            sizes = np.diff(np.append(first, len(name)))
+            hot = np.repeat(sizes > HOT, sizes)
+            rows = dealt(home[~hot], home[~hot], t[~hot], k[~hot], False)
+            if hot.any():
+                rows += dealt((_mix(k[hot].view(_U)) % _U(buckets)).astype(np.int64), home[hot], t[hot], k[hot], True)
+                own = first[sizes > HOT]
+                rows += [(b, *[None] * 4, None, None, None, t[own[home[own] == b]].tobytes()) for b in np.unique(home[own]).tolist()]
             toks, keys, held = [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)] if rows else [pa.array([], kind) for kind in kinds], names)
 
@@ -273,7 +292,7 @@ def _deal(docs: DataFrame, buckets: int) -> DataFrame:
             rows = []
             for doc, own in zip(b.column(0).to_pylist(), shingles(b.column(1).to_pylist())):
                 key = key_of(own)
-                rows.append((None, doc, key, len(own), vector(own).tobytes() if len(own) else None, None, None))
+                rows.append((None, doc, key, len(own), vector(own).tobytes() if len(own) else None, *[None] * 4))
                 if key is None or key in sent:
                     continue
                 if len(sent) < 1 << 20:
@@ -297,34 +316,51 @@ def _deal(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, SETS)
 
 
-def _runs(entries: DataFrame, buckets: int) -> DataFrame:
-    """Tokens that two sets or more have: (token, keys), keys ascending signed 64-bit integers in bytes."""
+def _runs(entries: DataFrame) -> DataFrame:
+    """Tokens that two sets or more have: (token, keys, hot, s, n), keys ascending signed 64-bit integers in bytes.
+
+    A hot token has several rows, and one for a single set may be among them. s: a sum over the keys' hashes, of n keys.
+    """
     import pyarrow as pa
 
     def run(batches):
-        toks, keys, where = [], [], []
+        toks, keys, told, marked = [], [], [], [np.zeros(0, np.int64)]
         for b in batches:
-            for bucket, t, k in zip(*(b.column(i).to_pylist() for i in range(3))):
-                toks.append(np.frombuffer(t, "<u4"))
+            for bucket, t, k, homes, hot in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if hot is not None:
+                    marked.append(np.frombuffer(hot, "<u4").astype(np.int64) | bucket << 32)
+                    continue
+                toks.append(np.frombuffer(t, "<u4").astype(np.int64) | (bucket if homes is None else np.frombuffer(homes, "<u4").astype(np.int64)) << 32)
                 keys.append(np.frombuffer(k, "<i8"))
-                where.append(np.full(len(toks[-1]), bucket, np.int64))
+                told.append(np.full(len(keys[-1]), homes is not None))
         if not toks:
             return
-        t = np.concatenate(toks).astype(np.int64) | np.concatenate(where) << 32
-        k = np.concatenate(keys)
-        del toks, keys, where
+        t, k, told = np.concatenate(toks), np.concatenate(keys), np.concatenate(told)
+        del toks, keys
         order = np.lexsort((k, t))
-        t, k = t[order], k[order]
+        t, k, told = t[order], k[order], told[order]
         new = np.ones(len(t), bool)
         new[1:] = (t[1:] != t[:-1]) | (k[1:] != k[:-1])
-        t, k = t[new], k[new]
+        t, k, told = t[new], k[new], told[new]
         cuts = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1], [True])))
-        long = np.flatnonzero(np.diff(cuts) > 1)
+        hot = (np.add.reduceat(told, cuts[:-1]) > 0) | np.isin(t[cuts[:-1]], np.concatenate(marked))
+        long = np.flatnonzero((np.diff(cuts) > 1) | hot)
+        sums = np.add.reduceat(_mix(k.view(_U)), cuts[:-1]).view(np.int64)
         for at in range(0, len(long), 4096):
-            rows = [(int(t[cuts[i]]), k[cuts[i] : cuts[i + 1]].tobytes()) for i in long[at : at + 4096].tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["token", "keys"])
+            own = long[at : at + 4096]
+            raw = [k[cuts[i] : cuts[i + 1]].tobytes() for i in own.tolist()]
+            cols = [pa.array(t[cuts[own]]), pa.array(raw, pa.binary()), pa.array(hot[own]), pa.array(sums[own]), pa.array(cuts[own + 1] - cuts[own])]
+            yield pa.RecordBatch.from_arrays(cols, ["token", "keys", "hot", "s", "n"])
+
+    return entries.select("bucket", "toks", "keys", "homes", "hot").repartition("bucket").mapInArrow(run, "token bigint, keys binary, hot boolean, s bigint, n bigint")
+
 
-    return entries.select("bucket", "toks", "keys").repartition("bucket").mapInArrow(run, "token bigint, keys binary")
+def _distinct(runs: DataFrame) -> DataFrame:
+    """Tokens that the same sets have say the same: one of them is enough. Of hot ones, sums over all their sets are compared."""
+    few = runs.filter("not hot").dropDuplicates(["keys"])
+    sums = runs.filter("hot").groupBy("token").agg(F.sum(F.col("s").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("s").cast("decimal(38,0)")).alias("z"), F.sum("n").alias("n"))
+    kept = sums.filter("n > 1").groupBy("s", "z", "n").agg(F.min("token").alias("token")).select("token")
+    return few.union(runs.filter("hot").join(kept, "token", "left_semi").select(*few.columns)).select("token", "keys")
 
 
 def _members(runs: DataFrame) -> DataFrame:
@@ -507,9 +543,10 @@ def classes(docs: DataFrame) -> DataFrame:
     own = common.keep(dealt.filter("bucket is null").select("doc_id", "key", "n", "vec"), "own")
     # Sets: one row a key, with the document that it can be made again from.
     sets = common.keep(own.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("vec").alias("vec")), "keys")
-    # Tokens that the same sets have say the same: one of them is enough.
-    runs = common.keep(_runs(dealt.filter("bucket is not null"), buckets).dropDuplicates(["keys"]), "runs")
+    every = common.keep(_runs(dealt.filter("bucket is not null")), "every")
     common.drop(dealt)
+    runs = common.keep(_distinct(every), "runs")
+    common.drop(every)
     members = common.keep(_members(runs), "members")
     found = _verified(common.keep(_bounded(_stars(_between(members, None, 0)), sets), "pairs"), sets, docs)
     parts = common.keep(common.components(found), "parts")

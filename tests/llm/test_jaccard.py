@@ -68,10 +68,11 @@ def test_components_are_those_of_all_pairs(spark, seed):
 
 
 def test_small_trees_hubs_and_groups(spark, monkeypatch):
-    """Blocks of a large token, several tasks a hub, and sets on both sides of a change of groups."""
+    """Blocks of a large token, hot tokens, several tasks a hub, and sets on both sides of a change of groups."""
     monkeypatch.setattr(jaccard, "TREE", 5)
     monkeypatch.setattr(jaccard, "HUB", 2)
     monkeypatch.setattr(jaccard, "LEAF", 2)
+    monkeypatch.setattr(jaccard, "HOT", 3)
     monkeypatch.setattr(jaccard, "GROUPS", ((40, 16), (80, 32), (1 << 62, 64)))
     texts = dict(enumerate(corpus(3), 10))
     assert table(jaccard.classes(docs(spark, list(texts.items())))) == brute(texts)
