@@ -19,6 +19,7 @@ PATTERNS = {
     "subdivision": r"(?i)(?:SUBD|SUBDIVISION)[:\s#-]*\s*(.*?)(?=\s*(?:LOT:|BLOCK:|SEC:|SECTION:|ABSTRACT:|SURVEY:|TRACT:|$))",
     "description": r"(?i)(?:DESC|DESCRIPTION)[:\s#-]*\s*(.*?)(?=\s*(?:LOT:|BLOCK:|SEC:|SECTION:|SUBD:|SUBDIVISION:|ABSTRACT:|SURVEY:|TRACT:|$))",
 }
+# Roles of parties and the name that follows each.
 PARTY_PATTERN = r"(?i)(Grantor|Grantee|Trustee|GTR|GTE|TR)[:\s]+\s*(.*?)(?=\s*(?:Grantor|Grantee|Trustee|GTR|GTE|TR|$))"
 # Property searches in their order.
 TIERS = ["T0_ExactLotBlockSubdivision", "T1_GranteeLastName_Subdivision", "T1_GrantorLastName_Subdivision", "T2_ExactLegal", "T3_DropSec", "Fallback_Owner_SubdivisionContains", "T4_Subdivision_Block"]
@@ -110,12 +111,18 @@ def full_text(tract: Column, block: Column, subdivision: Column, lot: Column, se
     return joined(labelled("TR", t), labelled("BLK", b), F.when(s != "", s), labelled("LOT", x), labelled("SEC", c))
 
 
-def query(tier: str, tract: Column, block: Column, subdivision: Column, section: Column, lot: Column, grantee_last: Column, decedent_last: Column) -> Column:
-    """(legal, owner) that a tier searches by; both null where it cannot. A common surname without block and tract is too broad."""
-    t, b, s, c = map(no_nan, (tract, block, subdivision, section))
+def normalized(tract: Column, block: Column, subdivision: Column, section: Column, lot: Column, grantee_last: Column, decedent_last: Column) -> Column:
+    """What queries are made of, as a struct: to be bound once for all tiers of a lead."""
     x = plain_lot(lot)
-    x = F.when(x == "NAN", "").otherwise(x)
-    who = F.nullif(no_nan(grantee_last if "Grantee" in tier else decedent_last), F.lit(""))
+    none = F.lit("")
+    parts = {"tract": no_nan(tract), "block": no_nan(block), "subdivision": no_nan(subdivision), "section": no_nan(section), "lot": F.when(x == "NAN", "").otherwise(x)}
+    return F.struct(*[v.alias(k) for k, v in parts.items()], F.nullif(no_nan(grantee_last), none).alias("grantee"), F.nullif(no_nan(decedent_last), none).alias("decedent"))
+
+
+def query(tier: str, v: Column) -> Column:
+    """(legal, owner) that a tier searches by, from normalized(); both null where it cannot. A common surname without block and tract is too broad."""
+    t, b, s, c, x = (v[k] for k in ("tract", "block", "subdivision", "section", "lot"))
+    who = v["grantee" if "Grantee" in tier else "decedent"]
     tr, blk, sub = labelled("TR", t), labelled("BLK", b), F.when(s != "", s)
     none = F.lit(None).cast("string")
     owner = none

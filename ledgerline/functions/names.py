@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .text import blank, empty_as_null, squeeze
 
 # Words that end the name of a firm or an estate; those of them that mark a firm; words that mark an entity.
-NOT_SURNAMES = ["JR", "SR", "II", "III", "IV", "TRUST", "ESTATE", "EST", "LLC", "INC", "LP", "LTD", "CO", "BANK"]
+NOT_SURNAMES = ["JR", "SR", "II", "III", "IV", "V", "TRUST", "ESTATE", "EST", "LLC", "INC", "LP", "LTD", "CO", "BANK"]
 FIRM_WORDS = ["LLC", "INC", "LP", "LTD", "CO", "BANK", "TRUST", "ESTATE", "EST"]
 ENTITY_WORDS = ["LLC", "INC", "LP", "LTD", "CORP", "CO ", "TRUST", "BANK", "ESTATE", "EST ", "PROPERTIES", "INVESTMENTS", "FUND", "GROUP", "REALTY", "HOLDINGS", "ASSOCIATION", "ASSN", "VENTURES", "LLP"]
 # Surnames too common to search for by themselves, in a property search and in a deed search.
@@ -44,6 +44,14 @@ NICKNAMES = {
 # Phrases before a name in a caption, the longest that fits first; words that are no part of a name.
 CAPTION_PHRASES = ["IN THE CONSERVATORSHIP OF", "IN THE GUARDIANSHIP OF", "IN THE GUARDIANSHIP", "IN THE MATTER OF", "RE ESTATE OF"]
 CAPTION_FILLERS = ["ESTATE", "IN", "THE", "OF", "DECEASED"]
+# A suffix at the end of a caption, the name of an estate's person, and a run of names.
+CAPTION_SUFFIX = r"(?i)\s+(?:Jr\.?|Sr\.?|I{2,3}|IV)$"
+CAPTION_ESTATE = r"(?i)ESTATE OF[:\s]*(.+?)(?:,|\s+DECEASED)"
+CAPTION_RUN = "\\b[A-Za-z][A-Za-z'’\\-]+\u0001[A-Za-z'’\\-\u0001]+\\b"
+#: Space between two words of names, which is marked first: a pattern that repeats words would go as deep as there are words.
+CAPTION_SPACE = r"(?<=[A-Za-z'’\-][A-Za-z'’\-])\s+(?=[A-Za-z][A-Za-z'’\-])"
+# What a name to search for drops, and the suffixes that its last name loses.
+SEARCH_DROPS, SEARCH_SUFFIX = r"(?U)[^\w\s'-]", r"(?U)\s+(JR|SR|I{1,3}|IV|V|VI{0,3}|IX|X)$"
 
 
 def words(x: Column) -> Column:
@@ -57,9 +65,11 @@ def cleaned(x: Column) -> Column:
 
 
 def searched(last: Column, first: Column) -> Column:
-    """For searching: LAST FIRST, the first word of the first name only, without a suffix."""
-    plain = lambda x: F.regexp_replace(F.trim(F.upper(F.regexp_replace(blank(x), r"(?U)[^\w\s'-]", ""))), r" (JR|SR|I{1,3}|IV|V|VI{0,3}|IX|X)$", "")
-    return F.trim(F.concat(plain(last), F.lit(" "), F.split_part(plain(first), F.lit(" "), F.lit(1))))
+    """For searching: LAST FIRST, the last name without a suffix, the first word of the first name only."""
+    trimmed = lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    plain = lambda x: trimmed(F.upper(F.regexp_replace(blank(x), SEARCH_DROPS, "")))
+    family = trimmed(F.regexp_replace(plain(last), SEARCH_SUFFIX, ""))
+    return F.trim(F.concat(family, F.lit(" "), F.coalesce(F.get(F.split(plain(first), r"(?U)\s+"), 0), F.lit(""))))
 
 
 def party(x: Column) -> Column:
@@ -71,7 +81,7 @@ def party(x: Column) -> Column:
 def surname(full: Column) -> Column:
     """The last word that can be a surname; else the last word; else empty."""
     w = words(F.upper(full))
-    fit = F.filter(w, lambda x: ~F.regexp_replace(x, r"[.,]", "").isin(NOT_SURNAMES))
+    fit = F.filter(w, lambda x: ~x.isin(NOT_SURNAMES))
     return F.when(F.size(fit) > 0, F.try_element_at(fit, F.lit(-1))).otherwise(F.coalesce(F.try_element_at(w, F.lit(-1)), F.lit("")))
 
 
@@ -110,15 +120,15 @@ def decedent(caption: Column) -> Column:
     A suffix goes, capitals are softened, one phrase before the name goes; then: what stands after ESTATE OF; else the
     longest run of words; else all words that are not fillers. No entity recognition is used: it needs a model.
     """
-    text = F.regexp_replace(F.trim(blank(caption)), r"(?i)\s+(?:Jr\.?|Sr\.?|I{2,3}|IV)$", "")
+    text = F.regexp_replace(F.trim(blank(caption)), CAPTION_SUFFIX, "")
     text = F.when(F.upper(caption) == caption, F.initcap(F.lower(text))).otherwise(text)
-    strip = lambda t, p: F.when(F.upper(t).startswith(p), F.regexp_replace(F.substring(t, len(p) + 1, 10_000), r"^[:, ]+|[:, ]+$", ""))
+    strip = lambda t, p: F.when(F.upper(t).startswith(p), F.regexp_replace(F.substr(t, F.lit(len(p) + 1)), r"^[:, ]+|[:, ]+$", ""))
     text = F.coalesce(*[strip(text, p) for p in CAPTION_PHRASES], text)
-    estate = F.regexp_extract(text, r"(?i)ESTATE OF[:\s]*(.+?)(?:,|\s+DECEASED)", 1)
-    runs = F.regexp_extract_all(text, F.lit(r"(\b[A-Za-z][A-Za-z'’\-]+(?:\s+[A-Za-z][A-Za-z'’\-]+)+\b)"), F.lit(1))
+    estate = F.regexp_extract(text, CAPTION_ESTATE, 1)
+    runs = F.regexp_extract_all(F.regexp_replace(text, CAPTION_SPACE, "\u0001"), F.lit(CAPTION_RUN), F.lit(0))
     longest = F.aggregate(runs, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
     rest = F.filter(words(F.regexp_replace(text, ",", " ")), lambda w: w.rlike(r"^[A-Za-z]+$") & ~F.upper(w).isin(CAPTION_FILLERS))
-    chosen = F.when(estate != "", words(estate)).when(longest != "", words(longest)).when(F.size(rest) >= 2, rest).otherwise(F.array().cast("array<string>"))
+    chosen = F.when(estate != "", words(estate)).when(longest != "", F.split(longest, "\u0001")).when(F.size(rest) >= 2, rest).otherwise(F.array().cast("array<string>"))
     two = F.size(chosen) >= 2
     first = F.when(two, F.array_join(F.slice(chosen, 1, F.greatest(F.size(chosen) - 1, F.lit(0))), " ")).otherwise(F.coalesce(F.get(chosen, 0), F.lit("")))
     return F.struct(first.alias("first"), F.when(two, F.try_element_at(chosen, F.lit(-1))).otherwise("").alias("last"))

@@ -18,7 +18,7 @@ def queries(leads: DataFrame) -> DataFrame:
     """A row a lead and tier: tier, ord, legal and owner query, and the query's state."""
     c = F.col
     args = (c("rp_legal_tract"), c("rp_legal_block"), c("rp_legal_description_text"), c("rp_legal_sec"), c("rp_legal_lot"), c("grantee_last"), c("probate_lead_decedent_last"))
-    each = F.array(*[F.struct(F.lit(k).alias("ord"), F.lit(t).alias("tier"), legal.query(t, *args).alias("q")) for k, t in enumerate(legal.TIERS)])
+    each = similarity.let(legal.normalized(*args), lambda v: F.array(*[F.struct(F.lit(k).alias("ord"), F.lit(t).alias("tier"), legal.query(t, v).alias("q")) for k, t in enumerate(legal.TIERS)]))
     rows = leads.withColumn("t", F.explode(each)).select("*", "t.ord", "t.tier", c("t.q.legal").alias("legal_query"), c("t.q.owner").alias("owner_query")).drop("t")
     state = F.when(c("legal_query") == legal.TOO_BROAD, legal.TOO_BROAD).when(c("legal_query").isNull() & c("owner_query").isNull(), "NO_QUERY_FORMED").otherwise("READY")
     return rows.withColumn("query_state", state)
@@ -39,21 +39,20 @@ def search(queried: DataFrame, properties: DataFrame) -> DataFrame:
 
     A text that contains a query contains all its stretches of three characters. The two sides meet, by equality, on
     the stretch of the query that the fewest properties have; queries too short for that meet on their first
-    character. The contains test decides, so nothing is lost.
+    character. The contains test decides, so nothing is lost. Leads ask alike, so each legal text is searched for once;
+    what is indexed is a property's number under each stretch, its columns come last.
     """
     c = F.col
     ready = queried.filter("query_state = 'READY'")
     text = F.upper(blank(c("legal_text")))
-    indexed = properties.select("*", F.explode(grams(text, 3)).alias("gram"))
-    often = indexed.groupBy("gram").count()
-    asked = ready.filter(F.length("legal_query") >= 3)
-    wanted = asked.select("lead_id", "tier", F.explode(grams(c("legal_query"), 3)).alias("gram")).join(often, "gram", "left")
-    rare = wanted.groupBy("lead_id", "tier").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "gram")).alias("r")).select("lead_id", "tier", c("r.gram").alias("gram"))
-    pairs = asked.join(rare, ["lead_id", "tier"]).join(indexed, "gram")
-    short = ready.filter(F.length("legal_query") < 3).withColumn("gram", F.substring("legal_query", 1, 1))
-    pairs = pairs.unionByName(short.join(properties.select("*", F.explode(grams(text, 1)).alias("gram")), "gram"))
-    pairs = pairs.filter(text.contains(c("legal_query")))
-    return pairs.filter(c("owner_query").isNull() | F.upper(blank(c("owner_name"))).contains(c("owner_query"))).drop("gram")
+    asked = ready.select("legal_query").distinct()
+    index = properties.select("property_id", F.explode(grams(text, 3)).alias("gram"))
+    wanted = asked.filter(F.length("legal_query") >= 3).select("legal_query", F.explode(grams(c("legal_query"), 3)).alias("gram")).join(index.groupBy("gram").count(), "gram", "left")
+    rare = wanted.groupBy("legal_query").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "gram")).alias("r")).select("legal_query", c("r.gram").alias("gram"))
+    short = asked.filter(F.length("legal_query") < 3).withColumn("gram", F.substring("legal_query", 1, 1))
+    pairs = rare.join(index, "gram").unionByName(short.join(properties.select("property_id", F.explode(grams(text, 1)).alias("gram")), "gram")).drop("gram")
+    found = pairs.join(properties, "property_id").filter(text.contains(c("legal_query")))
+    return ready.join(found, "legal_query").filter(c("owner_query").isNull() | F.upper(blank(c("owner_name"))).contains(c("owner_query")))
 
 
 def status(found: Column, error: Column) -> Column:

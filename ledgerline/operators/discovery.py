@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,23 @@ def merge(source: DataFrame, existing: DataFrame) -> DataFrame:
     )
 
 
+def yml(model: str, merged: DataFrame) -> str:
+    """A schema file of a model from merge()'s rows, columns in order; a table's metadata is small."""
+    lines = ["version: 2", "models:", f"  - name: {json.dumps(model)}", "    columns:"]
+    for r in merged.select("column_name", "description", "tests").orderBy("column_name").collect():
+        lines += [f"      - name: {json.dumps(r['column_name'])}", f"        description: {json.dumps(r['description'] or '')}"]
+        lines += ["        tests:", *(f"          - {t}" for t in r["tests"])] if r["tests"] else []
+    return "\n".join(lines) + "\n"
+
+
+def write_yml(content: str, path: str, dry_run: bool = False) -> str:
+    """Write a schema file of the driver, or in a dry run only return what would be written."""
+    if not dry_run:
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(content)
+    return content
+
+
 def tests():
     """not_null for what may not be null, then a column's own tests."""
     return F.concat(F.when(~F.col("is_nullable"), F.array(F.lit("not_null"))).otherwise(F.array().cast("array<string>")), F.coalesce("custom_tests", F.array().cast("array<string>")))

@@ -59,15 +59,21 @@ def tier_weight(tier: Column) -> Column:
 
 
 def features(pairs: DataFrame) -> DataFrame:
-    """Cleaned names, phonetic keys and the six features of pairs (decedent_*, party_*, filing_date, rp_file_date, rp_party_type, rp_instrument_type, rp_search_tier)."""
-    clean = {f"cleaned_{who}_{n}": names.cleaned(F.col(f"{who}_{n}")) for who in ("decedent", "party") for n in ("last", "first")}
-    out = pairs.withColumns(clean)
+    """Cleaned names, phonetic keys and the six features of pairs (decedent_*, party_*, filing_date, rp_file_date, rp_party_type, rp_instrument_type, rp_search_tier).
+
+    Names are alike over and over, so they are cleaned and compared once for each two of them.
+    """
+    out = pairs
+    for n in ("last", "first"):
+        two = pairs.select(F.col(f"decedent_{n}").alias("__d"), F.col(f"party_{n}").alias("__p")).distinct()
+        two = two.withColumns({f"cleaned_decedent_{n}": names.cleaned(F.col("__d")), f"cleaned_party_{n}": names.cleaned(F.col("__p"))})
+        own = {f"name_{n}_score": similarity.ratio(F.col(f"cleaned_decedent_{n}"), F.col(f"cleaned_party_{n}"))}
+        if n == "last":
+            own |= {f"soundex_{who}_last": similarity.sounds(F.col(f"cleaned_{who}_last")) for who in ("decedent", "party")}
+        two = two.withColumns(own)
+        out = out.join(two, out[f"decedent_{n}"].eqNullSafe(two["__d"]) & out[f"party_{n}"].eqNullSafe(two["__p"])).drop("__d", "__p")
     return out.withColumns(
         {
-            "soundex_decedent_last": similarity.sounds(F.col("cleaned_decedent_last")),
-            "soundex_party_last": similarity.sounds(F.col("cleaned_party_last")),
-            "name_last_score": similarity.ratio(F.col("cleaned_decedent_last"), F.col("cleaned_party_last")),
-            "name_first_score": similarity.ratio(F.col("cleaned_decedent_first"), F.col("cleaned_party_first")),
             "days_apart": dates.apart(F.col("rp_file_date"), F.col("filing_date")),
             "date_proximity_score": nearness(dates.apart(F.col("rp_file_date"), F.col("filing_date"))),
             "party_role_score": role_score(F.col("rp_party_type")),

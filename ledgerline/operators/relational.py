@@ -45,6 +45,22 @@ def new_pages(pages: DataFrame, scan: str, page: str, first_key: str) -> DataFra
     return pages.withColumn("__before", before).filter(~F.col("__before").eqNullSafe(F.col(first_key)) | F.col(first_key).isNull()).drop("__before")
 
 
+def pages_read(pages: DataFrame, scan: str, page: str, first_key: str, rows: str, empty: int, most: int) -> DataFrame:
+    """The pages that a scan reads before it stops: at one that begins like the page before, at so many empty ones in a row, or after the most that it may.
+
+    A page that ends the scan is not read, but for empty ones, which are read and give nothing.
+    """
+    order = Window.partitionBy(scan).orderBy(page)
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    none = F.coalesce(F.col(rows), F.lit(0)) == 0
+    again = F.coalesce(F.lag(first_key).over(order) == F.col(first_key), F.lit(False)) & ~none
+    numbered = pages.withColumns({"__nth": F.row_number().over(order), "__again": again, "__full": F.sum(F.when(none, 0).otherwise(1)).over(upto)})
+    run = F.sum(F.when(none, 1).otherwise(0)).over(Window.partitionBy(scan, "__full").orderBy(page).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    stops = numbered.withColumn("__run", run)
+    stopped = F.max(F.when(F.col("__again") | (F.lag("__run").over(order) >= empty), 1).otherwise(0)).over(upto)
+    return stops.withColumn("__stopped", stopped).filter((F.col("__stopped") == 0) & (F.col("__nth") <= most)).drop("__nth", "__again", "__full", "__run", "__stopped")
+
+
 def listed(df: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:
     """Values of a key in order, as often as they come, blanks left out."""
     there = df.filter(F.trim(F.coalesce(F.col(value), F.lit(""))) != "")
@@ -64,48 +80,73 @@ def right_wins(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return out.withColumns({c: F.when(F.col("__there"), F.col(f"__{c}")).otherwise(F.col(c)) for c in both}).drop("__there", *[f"__{c}" for c in both])
 
 
-def near_dates(leads: DataFrame, deeds: DataFrame, key: str, filed: str, recorded: str, days: int = 365) -> DataFrame:
-    """Leads and deeds of one key, recorded within so many days of the filing.
+def beginning_with(terms: DataFrame, rows: DataFrame, term: str, name: str) -> DataFrame:
+    """terms and rows of which the name begins with the term.
+
+    An equi-join: each name meets the terms as its own beginnings, of the lengths that terms have (at most as many as a
+    term has characters). Empty and null terms find nothing.
+    """
+    terms = terms.filter(F.length(term) > 0)
+    lengths = sorted(r[0] for r in terms.select(F.length(term)).distinct().collect())
+    fit = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length(name))
+    starts = rows.withColumn("__start", F.explode(F.transform(fit, lambda n: F.substring(F.col(name), F.lit(1), n))))
+    return terms.join(starts, F.col(term) == F.col("__start")).drop("__start")
+
+
+def near_dates(leads: DataFrame, deeds: DataFrame, term: str, name: str, filed: str, recorded: str, days: int = 365) -> DataFrame:
+    """Leads and deeds whose name begins with a lead's search term, recorded within so many days of the filing.
 
-    Besides the key, the sides meet on the stretch of days that a date falls in and its two neighbours, so that a key
+    Besides the name, the sides meet on the stretch of days that a date falls in and its two neighbours, so that a name
     with very many deeds is dealt by time as well.
     """
     number = lambda d: F.floor(F.unix_date(d) / days)
     left = leads.withColumn("__stretch", F.explode(F.array(*[number(F.col(filed)) + i for i in (-1, 0, 1)])))
-    right = deeds.withColumn("__stretch", number(F.col(recorded)))
-    return left.join(right, [key, "__stretch"]).filter(dates.within(F.col(recorded), F.col(filed), days)).drop("__stretch")
+    left = left.withColumn("__term", F.concat(term, F.lit("|"), F.col("__stretch")))
+    lengths = sorted(r[0] for r in leads.filter(F.length(term) > 0).select(F.length(term)).distinct().collect())
+    fit = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length(name))
+    right = deeds.withColumn("__start", F.explode(F.transform(fit, lambda n: F.substring(F.col(name), F.lit(1), n))))
+    right = right.withColumn("__start", F.concat("__start", F.lit("|"), number(F.col(recorded))))
+    return left.filter(F.length(term) > 0).join(right, F.col("__term") == F.col("__start")).filter(dates.within(F.col(recorded), F.col(filed), days)).drop("__stretch", "__term", "__start")
 
 
 def tiered_names(leads: DataFrame, parties: DataFrame, variants: int = 3, last_names: bool = False) -> DataFrame:
     """Parties by name, tier by tier: the name itself; up to so many other forms of the first name; then, where nothing was found and the
-    surname is rare, the surname alone (off by default).
+    surname is rare, the surname alone (off by default). A name that has been searched for is not searched for again.
 
-    leads: lead_id, last, first. parties: party_last, party_first and more. Returns both with the term and the tier.
+    leads: lead_id, last, first, as written; terms are standardized. parties: party_last, party_first and more; a party is
+    found whose name begins with the term. Returns both with the term and the tier.
     """
     c = F.col
-    base = leads.withColumn("term1", F.trim(F.concat("last", F.lit(" "), F.coalesce("first", F.lit("")))))
+    base = leads.withColumn("term1", names.searched(c("last"), c("first")))
     one = base.select("*", c("term1").alias("search_term"), F.lit("TIER_1_EXACT_STD").alias("tier"))
-    other = F.slice(names.nickname_variants(c("first")), 1, variants)
-    two = base.select("*", F.explode(F.transform(other, lambda v: F.concat(c("last"), F.lit(" "), v))).alias("search_term"), F.lit("TIER_2_NICKNAME").alias("tier"))
-    two = two.filter(c("search_term") != c("term1"))
-    named = parties.withColumn("party_name", F.trim(F.concat("party_last", F.lit(" "), F.coalesce("party_first", F.lit("")))))
-    found = one.unionByName(two).join(named, c("search_term") == c("party_name"))
+    other = F.transform(names.nickname_variants(c("first")), lambda v: F.struct(v.alias("nick"), names.searched(c("last"), v).alias("term")))
+    fresh = F.filter(other, lambda o: o["term"] != c("term1"))
+    two = base.withColumn("o", F.explode(F.slice(fresh, 1, variants))).select(*base.columns, c("o.term").alias("search_term"), F.concat(F.lit("TIER_2_NICK_"), "o.nick").alias("tier"))
+    named = parties.withColumn("party_name", F.upper(F.trim(F.concat("party_last", F.lit(" "), F.coalesce("party_first", F.lit(""))))))
+    found = beginning_with(one.unionByName(two), named, "search_term", "party_name")
     if last_names:
-        none = base.join(found.select("lead_id").distinct(), "lead_id", "left_anti").filter(~c("last").isin(names.COMMON_DEED_SURNAMES))
-        three = none.select("*", c("last").alias("search_term"), F.lit("TIER_3_LASTNAME_ONLY").alias("tier"))
-        found = found.unionByName(three.join(named, c("search_term") == c("party_last")))
+        none = base.join(found.select("lead_id").distinct(), "lead_id", "left_anti").filter(~F.upper(F.trim("last")).isin(names.COMMON_DEED_SURNAMES))
+        three = none.select("*", names.searched(c("last"), F.lit("")).alias("search_term"), F.lit("TIER_3_RARE_LN_ONLY").alias("tier")).filter("search_term <> term1")
+        found = found.unionByName(beginning_with(three, named, "search_term", "party_name"))
     return found.drop("term1", "party_name")
 
 
 def by_initial(leads: DataFrame, parties: DataFrame) -> DataFrame:
-    """The earlier way: the full name, then the first initial, then a rare surname alone, stopping at the first tier with a hit."""
+    """The earlier way: the full name, then the first initial, then a rare surname alone, stopping at the first tier with a hit.
+
+    Each tier is an equi-join of the leads that none before has found anything for.
+    """
     c = F.col
-    named = parties.withColumn("initial", F.substring("party_first", 1, 1))
-    pairs = leads.join(named, c("last") == c("party_last"))
-    tier = F.when(F.coalesce(c("first") == c("party_first"), F.lit(False)), 1).when(F.coalesce(F.substring("first", 1, 1) == c("initial"), F.lit(False)), 2).when(~c("last").isin(names.COMMON_DEED_SURNAMES), 3)
-    rows = pairs.withColumn("tier_no", tier).filter("tier_no is not null").drop("initial")
-    least = rows.groupBy("lead_id").agg(F.min("tier_no").alias("tier_no"))
-    return rows.join(least, ["lead_id", "tier_no"])
+    left = leads.withColumn("initial", F.substring("first", 1, 1))
+    named = parties.withColumn("party_initial", F.substring("party_first", 1, 1))
+    tests = [(c("last") == c("party_last")) & (c("first") == c("party_first")), (c("last") == c("party_last")) & (c("initial") == c("party_initial")), c("last") == c("party_last")]
+    found = None
+    for k, test in enumerate(tests, 1):
+        some = left if k < 3 else left.filter(~c("last").isin(names.COMMON_DEED_SURNAMES))
+        hits = some.join(named, test).drop("initial", "party_initial").withColumn("tier_no", F.lit(k))
+        found = hits if found is None else found.unionByName(hits)
+        left = left.join(hits.select("lead_id").distinct(), "lead_id", "left_anti")
+    return found
 
 
 def exploded(record: DataFrame, lots: Column, parties: Column) -> DataFrame:

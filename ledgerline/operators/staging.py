@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.functions import numbers
+from ledgerline.functions import numbers, similarity
 
 
 def pack(rows: DataFrame, case: str, account: str, source: str, lot: str, loaded_at: str) -> DataFrame:
@@ -25,9 +25,28 @@ def flatten(records: DataFrame, raw: str = "RAW_RECORD") -> DataFrame:
     """The staging contract from JSON records with a case number; what cannot be read as its type is null."""
     parsed = records.select(F.try_parse_json(F.col(raw)).alias("v")).filter(F.coalesce(F.try_variant_get("v", f"$.{schemas.KEY}", "string"), F.lit("")) != "")
     text = {c: F.try_variant_get("v", f"$.{c}", "string") for c in schemas.STAGED}
-    out = {c: text[c] for c in (schemas.KEY, *schemas.TEXTS)}
-    out |= {c: F.try_to_timestamp(text[c], F.lit("yyyy-MM-dd")).cast("date") for c in schemas.DATES}
+    read = _read(text)  # documents as text: written text stays, documents are written out
+    return parsed.select(*[read.get(c, text[c]).alias(c) for c in schemas.STAGED])
+
+
+def _read(text: dict[str, Column]) -> dict[str, Column]:
+    """What is no text, from text, by column."""
+    out = {c: F.try_to_timestamp(text[c], F.lit("yyyy-MM-dd")).cast("date") for c in schemas.DATES}
     out |= {c: numbers.flag(text[c]) for c in schemas.FLAGS}
-    out |= {c: numbers.whole(text[c]) for c in schemas.NUMBERS}
-    out |= {c: text[c] for c in schemas.DOCUMENTS}  # as text: written text stays, documents are written out
-    return parsed.select(*[out[c].alias(c) for c in schemas.STAGED])
+    return out | {c: numbers.whole(text[c]) for c in schemas.NUMBERS}
+
+
+def failures(records: DataFrame, raw: str = "RAW_RECORD") -> DataFrame:
+    """Records with parsing_error: what of each cannot be read, null if all can. Nothing stops at a record that fails.
+
+    'not JSON'; 'no case number'; else the columns, in order, whose text is there and cannot be read as its type.
+    """
+    kinds = [*schemas.DATES, *schemas.FLAGS, *schemas.NUMBERS]
+
+    def reason(v: Column, text: Column) -> Column:
+        read = _read({c: text[c] for c in kinds})
+        bad = F.array_join(F.array_compact(F.array(*[F.when(text[c].isNotNull() & read[c].isNull(), F.lit(c)) for c in sorted(kinds)])), ",")
+        return F.when(v.isNull(), "not JSON").when(F.coalesce(text[schemas.KEY], F.lit("")) == "", "no case number").otherwise(F.nullif(bad, F.lit("")))
+
+    texts = lambda v: F.struct(*[F.try_variant_get(v, f"$.{c}", "string").alias(c) for c in (schemas.KEY, *kinds)])
+    return records.withColumn("parsing_error", similarity.let(F.try_parse_json(F.col(raw)), lambda v: similarity.let(texts(v), lambda text: reason(v, text))))

@@ -5,10 +5,15 @@ The texts here are plain SQL that Spark and DuckDB read alike; operators and the
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.sources import files
+
 AS_OF = "1999-06-01"
-LASTS = ["DOE", "SMITH", "O-TEST", "GARCIA", "EXAMPLE", "TEST-CASE", "LEE", "SAMPLE", "DOE JR.", "PLACEHOLDER", "SPECIMEN", "ROBINSON"]
+LASTS = ["DOE", "SMITH", "O-TEST", "GARCIA", "EXAMPLE", "TEST-CASE", "LEE", "SAMPLE", "DOE JR.", "DOE  V", "PLACEHOLDER", "SPECIMEN", "ROBINSON"]
 FIRSTS = ["JANE", "JOHN", "WILLIAM Q", "ELIZABETH", "BOB", "KATE", "ANY", "JON", "PAT"]
 TYPES = ["APPLICATION FOR PROBATE", "INDEPENDENT ADMINISTRATION", "ANCILLARY ADMINISTRATION", "DEPENDENT ADMINISTRATION", "MUNIMENT OF TITLE", "PROBATE OF WILL (INDEPENDENT)", "OTHER", "WILL DEPOSIT"]
 SUBTYPES = ["Small Estate Affidavit", "HEIRSHIP", "With Will Annexed", "", "Independent Administration", "Muniment", "Guardianship"]
@@ -68,11 +73,11 @@ SELECT k AS lead_id,
     CASE WHEN k % 3 = 0 THEN '{{"year_built":"' || CAST(1900 + k % 120 AS string) || '"}}' WHEN k % 3 = 1 THEN '[{{"type":"BASE AREA","area":100}}]' ELSE 'no document' END AS hcad_building_data_json,
     CASE WHEN k % 2 = 0 THEN 'true' WHEN k % 3 = 0 THEN '0' WHEN k % 5 = 0 THEN 'maybe' ELSE 'False' END AS needs_review_flag,
     CASE WHEN k % 4 = 0 THEN '85.5' WHEN k % 4 = 1 THEN '-2.5' WHEN k % 4 = 2 THEN 'C-' ELSE '61.49' END AS match_score_total,
-    {pick(SUBDIVISIONS, 'k')} AS rp_legal_description_text,
-    CASE WHEN k % 4 = 0 THEN '' ELSE CAST(k % 30 AS string) END AS rp_legal_block,
-    CASE CAST(k % 6 AS int) WHEN 0 THEN '' WHEN 1 THEN '5.0' WHEN 2 THEN '6-8' WHEN 3 THEN '10A' WHEN 4 THEN '5,6,7' ELSE CAST(k % 40 AS string) END AS rp_legal_lot,
-    CASE WHEN k % 5 = 0 THEN CAST(k % 9 AS string) WHEN k % 7 = 0 THEN 'nan' ELSE NULL END AS rp_legal_sec,
-    CASE WHEN k % 8 = 0 THEN CAST(k % 12 AS string) ELSE '' END AS rp_legal_tract,
+    {pick(SUBDIVISIONS, 'k + c')} AS rp_legal_description_text,
+    CASE WHEN (k + c) % 4 = 0 THEN '' ELSE CAST((k + c) % 30 AS string) END AS rp_legal_block,
+    CASE CAST((k + c) % 6 AS int) WHEN 0 THEN '' WHEN 1 THEN '5.0' WHEN 2 THEN '6-8' WHEN 3 THEN '10A' WHEN 4 THEN '5,6,7' ELSE CAST(k % 40 AS string) END AS rp_legal_lot,
+    CASE WHEN (k + c) % 5 = 0 THEN CAST(k % 9 AS string) WHEN k % 7 = 0 THEN 'nan' ELSE NULL END AS rp_legal_sec,
+    CASE WHEN (k + c) % 8 = 0 THEN CAST(k % 12 AS string) ELSE '' END AS rp_legal_tract,
     k, c, n
 FROM (SELECT o_orderkey AS k, o_custkey AS c, CAST(c_nationkey AS bigint) AS n, o_orderdate, o_orderstatus, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey) t
 """
@@ -84,7 +89,7 @@ SELECT l_orderkey AS lead_id, l_linenumber AS line, 'RP-' || CAST(l_orderkey AS
     {pick(['Grantor', 'Grantee', 'Trustee', 'grantor '], 'l_partkey + l_linenumber')} AS rp_party_type,
     CASE WHEN l_partkey % 3 = 0 THEN {pick(LASTS, 'o_custkey')} WHEN l_partkey % 19 = 0 THEN NULL ELSE {pick(LASTS, 'l_suppkey')} END AS party_last,
     CASE WHEN l_partkey % 4 = 0 THEN {pick(FIRSTS, 'l_orderkey')} WHEN l_partkey % 17 = 0 THEN '' ELSE {pick(FIRSTS, 'l_suppkey')} END AS party_first,
-    {pick(['TIER_1_EXACT_STD', 'TIER_2_NICKNAME', 'TIER_3_LASTNAME_ONLY', 'MANUAL'], 'l_suppkey')} AS rp_search_tier,
+    {pick(['TIER_1_EXACT_STD', 'TIER_2_NICK_BOB', 'TIER_3_RARE_LN_ONLY', 'MANUAL'], 'l_suppkey')} AS rp_search_tier,
     CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE {pick(SUBDIVISIONS, 'l_partkey')} END AS legal_text,
     CASE WHEN l_quantity < 10 THEN '' WHEN l_quantity < 20 THEN CAST(l_linenumber AS string) || '-' || CAST(l_linenumber + 2 AS string) WHEN l_quantity < 30 THEN '8-6' WHEN l_quantity < 40 THEN '5, 6,7' ELSE '5 & 6' END AS lot,
     CASE WHEN l_partkey % 2 = 0 THEN '' ELSE CAST(l_suppkey AS string) END AS block,
@@ -94,7 +99,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 
 #: Deeds with the person of their lead: what is linked.
 PAIRS = f"""
-SELECT d.*, {pick(LASTS, 'o_custkey')} AS decedent_last, {pick(FIRSTS, 'd.lead_id')} AS decedent_first FROM ({DEEDS}) d WHERE line = 1
+SELECT d.*, {pick(LASTS, 'o_custkey')} AS decedent_last, {pick(FIRSTS, 'd.lead_id')} AS decedent_first FROM ({DEEDS}) d
 """
 
 PROPERTIES = f"""
@@ -105,6 +110,21 @@ FROM part
 """
 
 
+_SAVED: dict[tuple[str, str, str], str] = {}
+
+
+def saved(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A relation as a table: written once an application for its tables, read by all that builds on it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _SAVED:
+        path = f"{files.scratch(spark)}/{name}-{uuid.uuid4().hex}"
+        build().write.parquet(path)
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+        _SAVED[key] = path
+    return spark.read.parquet(_SAVED[key])
+
+
 def views(spark: SparkSession, sf_dir: str) -> None:
     for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)

@@ -9,25 +9,24 @@ from ledgerline.operators import relational
 from ledgerline.sources import html
 
 from . import derive
-from .linkage_q import clean_sql
+from .linkage_q import clean_sql, std_sql
 from .registry import query
 
 C = F.col
 RAW_NAMES = f"SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_partkey % 9 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN '  o''' || lower(party_last) || '   (x) ' ELSE party_last END AS last, CASE WHEN l_partkey % 5 = 0 THEN ' ' || party_first || ' III' WHEN l_partkey % 11 = 0 THEN 'MARY, ANN' ELSE party_first END AS first FROM (SELECT d.*, lead_id AS l_orderkey, line AS l_linenumber FROM ({derive.DEEDS}) d WHERE line <= 2) z"
 # An apostrophe that both dialects read: built from its number.
 RAW_NAMES = RAW_NAMES.replace("'  o'''", "'  o' || chr(39)")
-_PLAIN = lambda x: f"regexp_replace(trim(upper(regexp_replace(coalesce({x}, ''), '[^\\w\\s''-]', '', 'g'))), ' (JR|SR|I{{1,3}}|IV|V|VI{{0,3}}|IX|X)$', '')".replace("{{", "{").replace("}}", "}")
 
 
 @query("STR01 STR02 STR03 STR04 STR13", f"""WITH r AS ({RAW_NAMES}), s AS (SELECT *, trim(regexp_replace(coalesce(last, ''), '\\s+', ' ', 'g')) AS t FROM r)
-SELECT id, t AS squeezed, {clean_sql('last')} AS cleaned, trim({_PLAIN('last')} || ' ' || split_part({_PLAIN('first')}, ' ', 1)) AS searched, split_part(t, ' ', 1) AS party_last, trim(substr(t, 1 + length(split_part(t, ' ', 1)))) AS party_first, split_part(t, ' ', 1) AS first_word FROM s""")
+SELECT id, t AS squeezed, {clean_sql('last')} AS cleaned, {std_sql('last', 'first')} AS searched, split_part(t, ' ', 1) AS party_last, trim(substr(t, 1 + length(split_part(t, ' ', 1)))) AS party_first, split_part(t, ' ', 1) AS first_word FROM s""")
 def cleaned_names(spark, sf_dir):
     df = derive.relation(spark, sf_dir, RAW_NAMES)
     p = names.party(C("last"))
     return df.select("id", text.squeeze(C("last")).alias("squeezed"), names.cleaned(C("last")).alias("cleaned"), names.searched(C("last"), C("first")).alias("searched"), p["last"].alias("party_last"), p["first"].alias("party_first"), F.split_part(text.squeeze(C("last")), F.lit(" "), F.lit(1)).alias("first_word"))
 
 
-@query("STR16 STR17 STR28 STR29 STR05 STR06", f"""WITH l AS ({derive.LEADS}) SELECT lead_id, nullif(trim(coalesce(probate_lead_decedent_first, '') || ' ' || coalesce(probate_lead_decedent_last, '')), '') AS full_name, split_part(hcad_owner_full_name, ' ', -1) AS last_token,
+@query("STR16 STR17 STR28 STR29", f"""WITH l AS ({derive.LEADS}) SELECT lead_id, nullif(trim(coalesce(probate_lead_decedent_first, '') || ' ' || coalesce(probate_lead_decedent_last, '')), '') AS full_name, split_part(hcad_owner_full_name, ' ', -1) AS last_token,
     length(trim(probate_lead_decedent_first || ' ' || probate_lead_decedent_last)) - length(replace(trim(probate_lead_decedent_first || ' ' || probate_lead_decedent_last), ' ', '')) >= 1 AS two_words, probate_lead_decedent_last IN ({', '.join(repr(x) for x in names.COMMON_SURNAMES)}) AS common FROM l""")
 def name_parts(spark, sf_dir):
     df = derive.relation(spark, sf_dir, derive.LEADS)
@@ -52,7 +51,7 @@ def rounded_numbers(spark, sf_dir):
 WRITTEN = "SELECT o_orderkey AS id, CASE CAST(o_orderkey % 6 AS int) WHEN 0 THEN y || '-' || m || '-' || d WHEN 1 THEN m || '/' || d || '/' || y WHEN 2 THEN m || '-' || d || '-' || y WHEN 3 THEN y || '/' || m || '/' || d WHEN 4 THEN '13/45/2020' ELSE '' END AS written, day FROM (SELECT o_orderkey, CAST(o_orderdate AS date) AS day, substr(CAST(CAST(o_orderdate AS date) AS string), 1, 4) AS y, substr(CAST(CAST(o_orderdate AS date) AS string), 6, 2) AS m, substr(CAST(CAST(o_orderdate AS date) AS string), 9, 2) AS d FROM orders) z"
 
 
-@query("DAT02 DAT03 DAT06 NUM04 UDF01", f"""WITH w AS ({WRITTEN}), p AS (SELECT *, coalesce(try_strptime(written, '%m/%d/%Y'), try_strptime(written, '%Y-%m-%d'), try_strptime(written, '%m-%d-%Y'), try_strptime(written, '%Y/%m/%d'))::DATE AS parsed FROM w)
+@query("DAT02 DAT03 DAT06 NUM04", f"""WITH w AS ({WRITTEN}), p AS (SELECT *, coalesce(try_strptime(written, '%m/%d/%Y'), try_strptime(written, '%Y-%m-%d'), try_strptime(written, '%m-%d-%Y'), try_strptime(written, '%Y/%m/%d'))::DATE AS parsed FROM w)
 SELECT id, strftime(parsed, '%Y-%m-%d') AS parsed, abs(date_diff('day', parsed, DATE '1995-01-01'))::INTEGER AS apart FROM p""")
 def written_dates(spark, sf_dir):
     parsed = dates.parse(C("written"))
@@ -68,38 +67,60 @@ def date_ranges(spark, sf_dir):
     return df.select("id", w(C("h")[0]["first"]).alias("first_from"), w(C("h")[0]["last"]).alias("first_to"), w(C("h")[1]["first"]).alias("second_from"), w(C("h")[1]["last"]).alias("second_to"), w(F.date_sub("day", 8)).alias("week_before"), w(dates.weekday_before(C("day"))).alias("weekday"))
 
 
-LEGAL = f"SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN 'plain words only' WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN 'Lot: ' || CAST(p_size AS string) || ' Block: B' || CAST(p_partkey % 9 AS string) || ' Sec: 2 Comment: none' ELSE 'Desc: {derive.SUBDIVISIONS[0]} Lot: 5 Block: ' || CAST(p_partkey % 9 AS string) || ' Sec: 2 Related Docs' END AS t FROM part"
+# Texts and pages are built here; their twins take them apart again, with lists of their own.
+_D, _L, _B, _S = f"'Desc: {derive.SUBDIVISIONS[0]} ' || CAST(p_size AS string)", "'Lot: ' || CAST(p_size AS string)", "'Block: B' || CAST(p_partkey % 9 AS string)", "'Sec: ' || CAST(p_partkey % 4 AS string)"
+LEGAL = f"SELECT p_partkey AS id, CASE CAST(p_partkey % 8 AS int) WHEN 0 THEN 'plain words only' WHEN 1 THEN {_L} || ' ' || {_B} || ' ' || {_S} || ' Comment: none' WHEN 2 THEN {_D} || ' ' || {_L} || ' ' || {_B} || ' ' || {_S} || ' Related Docs' WHEN 3 THEN {_B} || '  ' || {_L} WHEN 4 THEN {_D} || ' ' || {_S} WHEN 5 THEN NULL WHEN 6 THEN {_S} ELSE {_S} || ' ' || {_B} END AS t FROM part"
+_PART = lambda name: f"trim(split_part(coalesce(substr(list_filter(pl, lambda x: starts_with(x, '{name}: '))[1], {len(name) + 3}), ''), 'Related Docs', 1))"
 
 
-@query("STR08", f"""WITH l AS ({LEGAL}) SELECT id, CASE WHEN t IS NULL THEN '' WHEN t LIKE 'plain%' THEN t WHEN t LIKE 'Desc%' THEN 'TEST ACRES' ELSE '' END AS description,
-    CASE WHEN t LIKE 'Lot%' THEN regexp_extract(t, 'Lot: (\\d+)', 1) WHEN t LIKE 'Desc%' THEN '5' ELSE '' END AS lot, coalesce(regexp_extract(t, 'Block: (\\w+)', 1), '') AS block, CASE WHEN t LIKE '%Sec: 2%' THEN '2' ELSE '' END AS sec FROM l""")
+@query("STR08", f"""WITH l AS ({LEGAL}), p AS (SELECT id, coalesce(t, '') AS t, list_filter(string_split(regexp_replace(coalesce(t, ''), '(Desc|Lot|Block|Sec|Comment): ', '^\\1: ', 'g'), '^'), lambda x: x <> '') AS pl FROM l),
+q AS (SELECT id, t, {_PART('Desc')} AS d, {_PART('Lot')} AS lot, {_PART('Block')} AS block, {_PART('Sec')} AS sec FROM p)
+SELECT id, CASE WHEN d = '' AND lot = '' AND block = '' THEN t ELSE d END AS description, lot, block, sec FROM q""")
 def legal_texts(spark, sf_dir):
     p = legal.parse(C("t"))
     return derive.relation(spark, sf_dir, LEGAL).select("id", p["description"].alias("description"), p["lot"].alias("lot"), p["block"].alias("block"), p["sec"].alias("sec"))
 
 
-CELLS = "SELECT p_partkey AS id, '<table><tr><td><b>DESC:</b></td><td>' || p_name || '</td></tr><tr><td>Lot:</td><td> ' || CAST(p_size AS string) || ' </td></tr><tr><td>NOTE</td><td>' || p_brand || '</td></tr><tr><td>COMMENT:</td><td>' || p_type || '</td></tr><tr><td>one cell</td></tr></table>' AS h FROM part"
+CELLS = "SELECT p_partkey AS id, '<table>' || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '<tr><td><b>DESC:</b></td><td>' || p_name || '</td></tr>' END || '<tr><td>Lot:</td><td> ' || CAST(p_size AS string) || ' </td></tr>' || CASE WHEN p_partkey % 3 = 0 THEN '<tr><td>NOTE</td><td>' || p_brand || '</td></tr><tr><td>lot:</td><td>7</td></tr>' ELSE '' END || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE '<tr><td>COMMENT:</td><td>' || p_type || '</td></tr><tr><td>Kind</td><td></td></tr><tr><td>Use</td><td>x</td></tr>' END || '<tr><td>one cell</td></tr></table>' AS h FROM part"
+_OF = lambda test: f"list_filter(kv, lambda x: {test})"
+_MORE = lambda a, name, b: f"CASE WHEN {b} = '' THEN {a} WHEN {a} = '' THEN '{name}: ' || {b} ELSE {a} || ' | {name}: ' || {b} END"
 
 
-@query("STR09", "SELECT p_partkey AS id, p_name || ' | COMMENT: ' || p_type || ' | OTHER_LEGAL: NOTE: ' || p_brand AS description, CAST(p_size AS VARCHAR) AS lot FROM part")
+@query("STR09", f"""WITH r AS ({CELLS}), k AS (SELECT id, list_filter(list_zip(list_transform(regexp_extract_all(h, '<td>(?:<b>)?([^<]*)(?:</b>)?</td><td>([^<]*)</td>', 1), lambda x: trim(x)), list_transform(regexp_extract_all(h, '<td>(?:<b>)?([^<]*)(?:</b>)?</td><td>([^<]*)</td>', 2), lambda x: trim(x))), lambda x: x[2] <> '') AS kv FROM r),
+v AS (SELECT id, coalesce({_OF("contains(upper(x[1]), 'DESC:')")}[-1][2], '') AS d, coalesce({_OF("contains(upper(x[1]), 'LOT:')")}[-1][2], '') AS lot, coalesce({_OF("contains(upper(x[1]), 'COMMENT:')")}[-1][2], '') AS c,
+    array_to_string(list_transform({_OF("NOT regexp_matches(upper(x[1]), 'DESC:|LOT:|COMMENT:')")}, lambda x: x[1] || ': ' || x[2]), ' | ') AS o FROM k), w AS (SELECT id, lot, o, {_MORE('d', 'COMMENT', 'c')} AS e FROM v)
+SELECT id, {_MORE('e', 'OTHER_LEGAL', 'o')} AS description, lot FROM w""")
 def legal_tables(spark, sf_dir):
     t = legal.table_parts(html.labelled(C("h")))
     return derive.relation(spark, sf_dir, CELLS).select("id", t["description"].alias("description"), t["lot"].alias("lot"))
 
 
-CAPTIONS = f"SELECT k AS id, probate_lead_decedent_first AS f, probate_lead_decedent_last AS l, CASE CAST(k % 4 AS int) WHEN 0 THEN 'IN THE ESTATE OF: ' || 'ANNA BERTA ' || 'EXAMPLE' || ', DECEASED' WHEN 1 THEN 'In the Matter of Anna Sample' WHEN 2 THEN 'RE ESTATE OF ANNA B SAMPLE JR.' ELSE '' END AS caption FROM ({derive.LEADS}) z"
+CAPTIONS = f"""SELECT k AS id, CASE CAST(k % 8 AS int) WHEN 0 THEN 'IN THE ESTATE OF: ANNA BERTA ' || l || ', DECEASED' WHEN 1 THEN 'In the Matter of ' || f || ' Sample' WHEN 2 THEN 'RE ESTATE OF ANNA B ' || l || ' JR.' WHEN 3 THEN '' WHEN 4 THEN 'A. Bo, Cy'
+    WHEN 5 THEN 'Estate of ' || f || ' Lee Poe Deceased' WHEN 6 THEN 'IN THE GUARDIANSHIP OF: Jon Q. Testman Sr' ELSE f END AS caption FROM (SELECT k, coalesce(probate_lead_decedent_first, '') AS f, coalesce(probate_lead_decedent_last, '') AS l FROM ({derive.LEADS}) z) y"""
+_SOFT = "array_to_string(list_transform(string_split(lower({x}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
+_RUN = r"regexp_extract_all({x}, '\b[A-Za-z][A-Za-z''’\-]+(?:\s+[A-Za-z][A-Za-z''’\-]+)+\b')"
+_PHRASES = ["IN THE CONSERVATORSHIP OF", "IN THE GUARDIANSHIP OF", "IN THE GUARDIANSHIP", "IN THE MATTER OF", "RE ESTATE OF"]
 
 
-@query("STR27", f"WITH c AS ({CAPTIONS}) SELECT id, CASE CAST(id % 4 AS int) WHEN 0 THEN 'Anna Berta' WHEN 1 THEN 'Anna' WHEN 2 THEN 'Anna B' ELSE '' END AS first, CASE CAST(id % 4 AS int) WHEN 0 THEN 'Example' WHEN 3 THEN '' ELSE 'Sample' END AS last FROM c")
+@query("STR27", f"""WITH c AS ({CAPTIONS}), a AS (SELECT id, caption, regexp_replace(trim(caption), '(?i)\\s+(?:Jr\\.?|Sr\\.?|I{{2,3}}|IV)$', '') AS t FROM c), b AS (SELECT id, CASE WHEN upper(caption) = caption THEN {_SOFT.replace('{x}', 't')} ELSE t END AS t FROM a),
+d AS (SELECT id, CASE {' '.join(f"WHEN starts_with(upper(t), '{p}') THEN regexp_replace(substr(t, {len(p) + 1}), '^[:, ]+|[:, ]+$', '', 'g')" for p in _PHRASES)} ELSE t END AS t FROM b),
+e AS (SELECT id, regexp_extract(t, '(?i)ESTATE OF[:\\s]*(.+?)(?:,|\\s+DECEASED)', 1) AS estate, list_reduce(list_prepend('', {_RUN.replace('{x}', 't')}), lambda p, q: CASE WHEN length(q) > length(p) THEN q ELSE p END) AS run,
+    list_filter(regexp_split_to_array(trim(replace(t, ',', ' ')), '\\s+'), lambda w: regexp_matches(w, '^[A-Za-z]+$') AND upper(w) NOT IN ('ESTATE', 'IN', 'THE', 'OF', 'DECEASED')) AS rest FROM d),
+f AS (SELECT id, CASE WHEN estate <> '' THEN regexp_split_to_array(trim(estate), '\\s+') WHEN run <> '' THEN regexp_split_to_array(run, '\\s+') WHEN len(rest) >= 2 THEN rest ELSE [] END AS ws FROM e)
+SELECT id, CASE WHEN len(ws) >= 2 THEN array_to_string(ws[1:len(ws) - 1], ' ') ELSE coalesce(ws[1], '') END AS first, CASE WHEN len(ws) >= 2 THEN ws[-1] ELSE '' END AS last FROM f""")
 def caption_names(spark, sf_dir):
     d = names.decedent(C("caption"))
     return derive.relation(spark, sf_dir, CAPTIONS).select("id", d["first"].alias("first"), d["last"].alias("last"))
 
 
-LABELS = "SELECT p_partkey AS id, CASE CAST(p_partkey % 6 AS int) WHEN 0 THEN 'Foundation Type:' WHEN 1 THEN ' Heating / AC ' WHEN 2 THEN 'Room: Half-Bath' WHEN 3 THEN 'Grade Adjustment (x)' WHEN 4 THEN NULL ELSE 'Cost and Design' END AS label FROM part"
+LABELS = "SELECT p_partkey AS id, CASE CAST(p_partkey % 7 AS int) WHEN 0 THEN 'Foundation Type: ' || p_name WHEN 1 THEN ' Heating / AC ' WHEN 2 THEN p_brand || ': Half-Bath' WHEN 3 THEN 'Grade Adjustment (' || p_type || ')' WHEN 4 THEN NULL WHEN 5 THEN '-' || p_name || ' / ' ELSE p_type || ' and Design' END AS label FROM part"
+_KEY = "regexp_replace(regexp_replace(trim(regexp_replace(lower(coalesce(label, '')), '[:()]', '', 'g')), '[\\s/\\-]+', '_', 'g'), '^_+|_+$', '', 'g')"
 
 
-@query("STR21", f"WITH l AS ({LABELS}) SELECT id, CASE CAST(id % 6 AS int) WHEN 0 THEN 'foundation_type' WHEN 1 THEN 'heating_ac' WHEN 2 THEN 'room_half_bath' WHEN 3 THEN 'grade_adjustment' WHEN 4 THEN '' ELSE 'cost_and_design' END AS k FROM l")
+_STANDARD = " ".join(f"WHEN contains(k, '{x}') THEN '{x}'" for x in ("foundation_type", "exterior_wall", "heating_ac", "grade_adjustment", "physical_condition"))
+
+
+@query("STR21", f"WITH l AS ({LABELS}), m AS (SELECT id, {_KEY} AS k FROM l) SELECT id, CASE {_STANDARD} ELSE k END AS k FROM m")
 def label_keys(spark, sf_dir):
     return derive.relation(spark, sf_dir, LABELS).select("id", text.label_key(C("label")).alias("k"))
 

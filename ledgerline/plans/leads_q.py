@@ -14,16 +14,18 @@ from .registry import query
 
 
 def packed(spark, sf_dir) -> DataFrame:
-    leads = derive.relation(spark, sf_dir, derive.LEADS)
-    return staging.pack(leads, "probate_lead_case_number", "hcad_account", "leads", "hcad_lot_sqft_total", "2025-06-01 00:00:00")
+    """Leads as records, packed once, as the load table."""
+    return derive.saved(spark, sf_dir, "packed_leads", lambda: staging.pack(derive.relation(spark, sf_dir, derive.LEADS), "probate_lead_case_number", "hcad_account", "leads", "hcad_lot_sqft_total", "2025-06-01 00:00:00"))
 
 
 def staged(spark, sf_dir) -> DataFrame:
-    return staging.flatten(packed(spark, sf_dir)).withColumn("lead_id", F.substring("probate_lead_case_number", 4, 20).cast("bigint"))
+    """The staging contract of all leads, flattened once, as a table."""
+    return derive.saved(spark, sf_dir, "staged_leads", lambda: staging.flatten(packed(spark, sf_dir)).withColumn("lead_id", F.substr("probate_lead_case_number", F.lit(4)).cast("bigint")))
 
 
 def scored(spark, sf_dir) -> DataFrame:
-    return rules.flat(rules.score(staged(spark, sf_dir), derive.AS_OF))
+    """Scored once, as a table: reports read the columns that they need."""
+    return derive.saved(spark, sf_dir, "scored_leads", lambda: rules.flat(rules.score(staged(spark, sf_dir), derive.AS_OF)))
 
 
 def quoted(s: str) -> str:
@@ -90,7 +92,7 @@ scored AS (SELECT *, ({' + '.join(f'r{r}_score' for r in rules.RULES)})::INTEGER
 """
 
 
-@query("JSN01 JSN02 JSN09 FLT01 NUM03 NUM04 PRJ01 PRJ06 UDF08 SRC11", f"""
+@query("JSN01 JSN02 JSN09 FLT01 NUM03 NUM04 PRJ06 UDF08 SRC11", f"""
 WITH base AS ({derive.LEADS}) SELECT lead_id, probate_lead_case_number, TRY_CAST(probate_lead_filing_date AS DATE) AS filed,
     CASE needs_review_flag WHEN 'true' THEN true WHEN '0' THEN false WHEN 'False' THEN false END AS flagged,
     TRY_CAST(match_score_total AS DECIMAL(38,0))::BIGINT AS total, TRY_CAST(hcad_lot_sqft_total AS DECIMAL(38,0))::BIGINT AS lot, TRY_CAST(hcad_bedrooms AS DECIMAL(38,0))::BIGINT AS bedrooms,
@@ -104,6 +106,24 @@ def staged_leads(spark, sf_dir):
     )
 
 
+@query("PRJ01", f"""WITH c AS (SELECT unnest(string_split('{" ".join([*schemas.TEXTS, *schemas.NUMBERS, *schemas.DOCUMENTS, *schemas.FLAGS, *schemas.DATES, schemas.KEY])}', ' ')) AS column_name)
+SELECT row_number() OVER (ORDER BY column_name)::INTEGER AS place, column_name FROM c""")
+def staged_columns(spark, sf_dir):
+    """The staged table's columns as they come: the contract's order."""
+    names = [c for c in staged(spark, sf_dir).columns if c != "lead_id"]
+    return spark.createDataFrame(list(enumerate(names, 1)), "place int, column_name string")
+
+
+@query("CTL05", f"""WITH base AS ({derive.LEADS}), f AS (SELECT lead_id, CASE WHEN lead_id % 83 = 0 THEN 'not JSON' WHEN coalesce(probate_lead_case_number, '') = '' THEN 'no case number' ELSE nullif(concat_ws(',',
+    {', '.join(f"CASE WHEN {c} IS NOT NULL AND {t} IS NULL THEN '{c}' END" for c, t in sorted([(c, f'TRY_CAST({c} AS DECIMAL(38,0))') for c in NUMERIC] + [('probate_lead_filing_date', 'TRY_CAST(probate_lead_filing_date AS DATE)'), ('needs_review_flag', "CASE WHEN needs_review_flag IN ('true', '0', 'False') THEN 1 END")]))}), '') END AS parsing_error FROM base)
+SELECT * FROM f WHERE parsing_error IS NOT NULL""")
+def record_failures(spark, sf_dir):
+    """What of each packed record cannot be read; every 83rd record is cut short."""
+    raw = packed(spark, sf_dir).withColumn("lead_id", F.get_json_object("RAW_RECORD", "$.lead_id").cast("bigint"))
+    cut = raw.withColumn("RAW_RECORD", F.when(F.col("lead_id") % 83 == 0, F.substring("RAW_RECORD", 1, 40)).otherwise(F.col("RAW_RECORD")))
+    return staging.failures(cut).select("lead_id", "parsing_error").filter("parsing_error is not null")
+
+
 @query("PRJ06 UDF08 SNK06", f"""
 WITH base AS ({derive.LEADS}) SELECT probate_lead_case_number AS case_number, hcad_account AS account, 'leads' AS source, TRY_CAST(hcad_lot_sqft_total AS DOUBLE) AS lot, hcad_owner_full_name AS owner, hcad_site_address AS site FROM base""")
 def packed_records(spark, sf_dir):

@@ -53,27 +53,27 @@ def linked(spark, sf_dir):
     return linkage.link(pairs)
 
 
-@query("SC03 SC04 SC05 SC06 SC07 STR02 DAT02 SIM02 UDF02 UDF03 UDF04 UDF05", f"WITH {FEATURES} SELECT lead_id, dl, df, pl, pf, round(last_score, 6) AS last_score, round(first_score, 6) AS first_score, days::INTEGER AS days_apart, near, role, instrument, tier FROM featured")
+@query("SC03 SC04 SC05 SC06 SC07 STR02 DAT02 SIM02 UDF02 UDF03 UDF04 UDF05", f"WITH {FEATURES} SELECT rp_file_number, dl, df, pl, pf, round(last_score, 6) AS last_score, round(first_score, 6) AS first_score, days::INTEGER AS days_apart, near, role, instrument, tier FROM featured")
 def linkage_features(spark, sf_dir):
     df = linkage.features(derive.relation(spark, sf_dir, derive.PAIRS))
     return df.select(
-        "lead_id", C("cleaned_decedent_last").alias("dl"), C("cleaned_decedent_first").alias("df"), C("cleaned_party_last").alias("pl"), C("cleaned_party_first").alias("pf"), F.round("name_last_score", 6).alias("last_score"),
+        "rp_file_number", C("cleaned_decedent_last").alias("dl"), C("cleaned_decedent_first").alias("df"), C("cleaned_party_last").alias("pl"), C("cleaned_party_first").alias("pf"), F.round("name_last_score", 6).alias("last_score"),
         F.round("name_first_score", 6).alias("first_score"), "days_apart", C("date_proximity_score").alias("near"), C("party_role_score").alias("role"), C("instrument_weight").alias("instrument"), C("search_tier_weight").alias("tier"),
     )
 
 
-@query("SC08 SC09 NUM07 NUM09 AGG16", f"WITH {FEATURES} SELECT lead_id, total, level, level <> 'Low' AS potential FROM levelled")
+@query("SC08 SC09 NUM07 NUM09 AGG16", f"WITH {FEATURES} SELECT rp_file_number, total, level, level <> 'Low' AS potential FROM levelled")
 def linkage_scores(spark, sf_dir):
-    return linked(spark, sf_dir).select("lead_id", C("match_score_total").alias("total"), C("match_confidence_level").alias("level"), C("is_potential_decedent_match").alias("potential"))
+    return linked(spark, sf_dir).select("rp_file_number", C("match_score_total").alias("total"), C("match_confidence_level").alias("level"), C("is_potential_decedent_match").alias("potential"))
 
 
 @query("SRT01 SRT04 SET07 SET08", f"""WITH {FEATURES},
-r AS (SELECT *, row_number() OVER (PARTITION BY level ORDER BY total DESC, lead_id) AS rn FROM levelled),
+r AS (SELECT *, row_number() OVER (PARTITION BY level ORDER BY total DESC, rp_file_number) AS rn FROM levelled),
 b AS (SELECT least(count_if(level = 'High'), 10) AS h, count_if(level = 'Medium') AS m, count_if(level = 'Low') AS l FROM levelled),
 q AS (SELECT h, least(m, 8, 25 - h) AS m, l FROM b), s AS (SELECT h, m, least(l, 7, 25 - h - m) AS w FROM q), z AS (SELECT h, m, greatest(w, 25 - h - m - w) AS w FROM s)
-SELECT lead_id, level, total, rn::INTEGER AS level_rank FROM r, z WHERE (level = 'High' AND rn <= h) OR (level = 'Medium' AND rn <= m) OR (level = 'Low' AND rn <= w)""")
+SELECT rp_file_number, level, total, rn::INTEGER AS level_rank FROM r, z WHERE (level = 'High' AND rn <= h) OR (level = 'Medium' AND rn <= m) OR (level = 'Low' AND rn <= w)""")
 def qa_sample(spark, sf_dir):
-    return linkage.qa_sample(linked(spark, sf_dir), "lead_id").select("lead_id", C("match_confidence_level").alias("level"), C("match_score_total").alias("total"), "level_rank")
+    return linkage.qa_sample(linked(spark, sf_dir), "rp_file_number").select("rp_file_number", C("match_confidence_level").alias("level"), C("match_score_total").alias("total"), "level_rank")
 
 
 @query("SC01", f"""WITH b AS ({derive.LEADS}), t AS (SELECT lead_id, lower(trim(probate_lead_type_desc || ' ' || probate_lead_subtype)) AS x FROM b)
@@ -97,17 +97,17 @@ for _d in "123456":
 
 
 @query("SIM01 UDF01 STR02", f"""WITH d AS ({derive.PAIRS}), w AS (SELECT DISTINCT {clean_sql('party_last')} AS name FROM d UNION SELECT DISTINCT {clean_sql('decedent_last')} FROM d),
-l AS (SELECT name, regexp_replace(split_part(split_part(name, ' ', 1), '-', 1), '[^A-Z]', '', 'g') AS t, name AS whole FROM w), c AS (SELECT name, t, {_DIGITS} AS z FROM (SELECT name, regexp_replace(name, '[^A-Z]', '', 'g') AS t FROM w))
-SELECT name, CASE WHEN name = '' THEN '' ELSE substr(t, 1, 1) || rpad(substr(replace(substr({_RUNS}, 2), '0', ''), 1, 3), 3, '0') END AS sound FROM c WHERE NOT regexp_matches(name, '[- ]')""")
+c AS (SELECT name, t, {_DIGITS} AS z FROM (SELECT name, regexp_replace(name, '[^A-Z]', 'A', 'g') AS t FROM w))
+SELECT name, CASE WHEN name = '' THEN '' ELSE substr(t, 1, 1) || rpad(substr(replace(substr({_RUNS}, 2), '0', ''), 1, 3), 3, '0') END AS sound FROM c""")
 def phonetic_keys(spark, sf_dir):
-    """Soundex of names that are one word."""
+    """Soundex of all names; what is no letter parts like letters as a vowel does."""
     d = derive.relation(spark, sf_dir, derive.PAIRS)
     names_ = d.select(names.cleaned(C("party_last")).alias("name")).union(d.select(names.cleaned(C("decedent_last")).alias("name"))).distinct()
-    return names_.filter(~C("name").rlike("[- ]")).select("name", similarity.sounds(C("name")).alias("sound"))
+    return names_.select("name", similarity.sounds(C("name")).alias("sound"))
 
 
-NAMES = "SELECT DISTINCT p_name AS name FROM part"
-NAME_PAIRS = f"SELECT a.name AS a, b.name AS b FROM ({NAMES}) a JOIN ({NAMES}) b ON substr(a.name, 1, 1) = substr(b.name, 1, 1) AND a.name < b.name"
+#: The stated set of names, of parts whose number is divisible by 50, against all names that begin alike.
+NAME_PAIRS = "SELECT a.name AS a, b.name AS b FROM (SELECT DISTINCT p_name AS name FROM part WHERE p_partkey % 50 = 0) a JOIN (SELECT DISTINCT p_name AS name FROM part) b ON substr(a.name, 1, 1) = substr(b.name, 1, 1) AND a.name <> b.name"
 
 
 @query("SIM02", f"WITH p AS ({NAME_PAIRS}) SELECT a, b, round({ratio_sql('a', 'b')}, 6) AS score FROM p")
@@ -140,14 +140,26 @@ def similar_parts(spark, sf_dir):
     return derive.relation(spark, sf_dir, NAME_PAIRS).select("a", "b", F.round(similarity.partial_ratio(C("a"), C("b")), 6).alias("score"))
 
 
-@query("JOIN06 DAT04", f"""WITH l AS ({derive.LEADS}), d AS ({derive.DEEDS}), f AS (SELECT lead_id AS filing, probate_lead_decedent_last AS last, TRY_CAST(probate_lead_filing_date AS DATE) AS filed FROM l WHERE k % 50 = 1),
-g AS (SELECT rp_file_number, party_last, rp_file_date FROM d WHERE l_partkey % 10 = 0)
-SELECT filing, rp_file_number, abs(date_diff('day', filed, rp_file_date))::INTEGER AS days FROM f JOIN g ON last = party_last AND rp_file_date BETWEEN filed - INTERVAL 365 DAY AND filed + INTERVAL 365 DAY""")
+STD = r"trim(regexp_replace(trim(upper(regexp_replace(coalesce({l}, ''), '[^\w\s''-]', '', 'g'))), '\s+(JR|SR|I|II|III|IV|V|VI|VII|VIII|IX|X)$', '') || ' ' || regexp_extract(trim(upper(regexp_replace(coalesce({f}, ''), '[^\w\s''-]', '', 'g'))), '^\S+'))"
+
+
+def std_sql(last: str, first: str) -> str:
+    """A name to search for, written out again."""
+    return STD.replace("{l}", last).replace("{f}", first)
+
+
+GRANTORS = f"SELECT rp_file_number, rp_file_date, upper(trim(coalesce(party_last, '') || ' ' || coalesce(party_first, ''))) AS party_name FROM ({derive.DEEDS}) z WHERE upper(trim(rp_party_type)) = 'GRANTOR'"
+
+
+@query("JOIN06 DAT04", f"""WITH l AS ({derive.LEADS}), g AS ({GRANTORS}),
+f AS (SELECT lead_id AS filing, {std_sql('probate_lead_decedent_last', 'probate_lead_decedent_first')} AS term, TRY_CAST(probate_lead_filing_date AS DATE) AS filed FROM l WHERE lead_id % 50 = 0)
+SELECT filing, rp_file_number, abs(date_diff('day', filed, rp_file_date))::INTEGER AS days FROM f JOIN g ON term <> '' AND starts_with(party_name, term) AND rp_file_date BETWEEN filed - INTERVAL 365 DAY AND filed + INTERVAL 365 DAY""")
 def deeds_near_filing(spark, sf_dir):
-    """A sample relation of filings against one of deeds, so that the result stays small."""
-    leads = derive.relation(spark, sf_dir, derive.LEADS).filter("k % 50 = 1").select(C("lead_id").alias("filing"), C("probate_lead_decedent_last").alias("party_last"), F.try_to_timestamp("probate_lead_filing_date", F.lit("yyyy-MM-dd")).cast("date").alias("filed"))
-    deeds = derive.relation(spark, sf_dir, derive.DEEDS).filter("l_partkey % 10 = 0").select("rp_file_number", "party_last", "rp_file_date")
-    return relational.near_dates(leads, deeds, "party_last", "filed", "rp_file_date").select("filing", "rp_file_number", dates.apart(C("rp_file_date"), C("filed")).alias("days"))
+    """Filings whose id is divisible by 50 against all grantors."""
+    term = names.searched(C("probate_lead_decedent_last"), C("probate_lead_decedent_first"))
+    leads = derive.relation(spark, sf_dir, derive.LEADS).filter("lead_id % 50 = 0").select(C("lead_id").alias("filing"), term.alias("term"), F.try_to_timestamp("probate_lead_filing_date", F.lit("yyyy-MM-dd")).cast("date").alias("filed"))
+    deeds = derive.relation(spark, sf_dir, GRANTORS)
+    return relational.near_dates(leads, deeds, "term", "party_name", "filed", "rp_file_date").select("filing", "rp_file_number", dates.apart(C("rp_file_date"), C("filed")).alias("days"))
 
 
 def _variants_sql(first: str) -> str:
@@ -166,25 +178,29 @@ def nickname_variants(spark, sf_dir):
     return derive.relation(spark, sf_dir, FIRSTS).select("first", F.array_join(names.nickname_variants(C("first")), ",").alias("variants"))
 
 
-PEOPLE = f"SELECT DISTINCT probate_lead_decedent_last AS last, split_part(probate_lead_decedent_first, ' ', 1) AS first FROM ({derive.LEADS}) z WHERE probate_lead_decedent_last IS NOT NULL AND probate_lead_decedent_first <> ''"
+PEOPLE = f"SELECT DISTINCT probate_lead_decedent_last AS last, probate_lead_decedent_first AS first FROM ({derive.LEADS}) z WHERE probate_lead_decedent_last IS NOT NULL AND probate_lead_decedent_first <> ''"
 SIGNERS = f"SELECT DISTINCT party_last, party_first FROM ({derive.DEEDS}) z WHERE party_last IS NOT NULL"
 
 
-@query("CTL01 JOIN07 FLT15 STR29 SET08", f"""WITH p AS ({PEOPLE}), d AS (SELECT *, trim(party_last || ' ' || coalesce(party_first, '')) AS party_name FROM ({SIGNERS}) y),
-v AS (SELECT last, first, last || ' ' || first AS term, 'TIER_1_EXACT_STD' AS tier FROM p UNION ALL SELECT last, first, last || ' ' || x, 'TIER_2_NICKNAME' FROM p, unnest(({_variants_sql('first')})[1:3]) t(x)),
-f AS (SELECT v.last, v.first, term, tier, party_last, party_first FROM v JOIN d ON term = party_name),
-n AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.last = p.last AND f.first = p.first) AND last NOT IN ('SMITH', 'TAYLOR', 'JOHNSON', 'WILLIAMS', 'JONES', 'BROWN', 'DAVIS', 'MILLER', 'WILSON', 'MOORE', 'ANDERSON', 'THOMAS', 'JACKSON', 'WHITE', 'HARRIS', 'MARTIN', 'THOMPSON', 'GARCIA', 'MARTINEZ', 'ROBINSON'))
-SELECT * FROM f UNION ALL SELECT n.last, n.first, n.last, 'TIER_3_LASTNAME_ONLY', d.party_last, d.party_first FROM n JOIN d ON n.last = d.party_last""")
+@query("CTL01 JOIN07 FLT15 STR29 SET08", f"""WITH p AS ({PEOPLE}), d AS (SELECT *, upper(trim(party_last || ' ' || coalesce(party_first, ''))) AS party_name FROM ({SIGNERS}) y),
+s AS (SELECT *, {std_sql('last', 'first')} AS t1 FROM p), n AS (SELECT last, first, t1, nick, {std_sql('last', 'nick')} AS term, row_number() OVER (PARTITION BY last, first ORDER BY nick) AS nth FROM s, unnest({_variants_sql('first')}) t(nick) WHERE {std_sql('last', 'nick')} <> t1),
+v AS (SELECT last, first, t1 AS term, 'TIER_1_EXACT_STD' AS tier FROM s UNION ALL SELECT last, first, term, 'TIER_2_NICK_' || nick FROM n WHERE nth <= 3),
+f AS (SELECT v.last, v.first, term, tier, party_last, party_first FROM v JOIN d ON starts_with(party_name, term) WHERE term <> ''),
+r AS (SELECT last, first, {std_sql('last', "''")} AS term, t1 FROM s WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.last = s.last AND f.first = s.first) AND upper(trim(last)) NOT IN ('SMITH', 'TAYLOR', 'JOHNSON', 'WILLIAMS', 'JONES', 'BROWN', 'DAVIS', 'MILLER', 'WILSON', 'MOORE', 'ANDERSON', 'THOMAS', 'JACKSON', 'WHITE', 'HARRIS', 'MARTIN', 'THOMPSON', 'GARCIA', 'MARTINEZ', 'ROBINSON'))
+SELECT * FROM f UNION ALL SELECT r.last, r.first, term, 'TIER_3_RARE_LN_ONLY', party_last, party_first FROM r JOIN d ON starts_with(party_name, term) WHERE term <> t1 AND term <> ''""")
 def tiered_name_search(spark, sf_dir):
     people = derive.relation(spark, sf_dir, PEOPLE).withColumn("lead_id", F.concat("last", F.lit("/"), "first"))
     found = relational.tiered_names(people, derive.relation(spark, sf_dir, SIGNERS), last_names=True)
     return found.select("last", "first", C("search_term").alias("term"), "tier", "party_last", "party_first")
 
 
-@query("CTL01", f"""WITH p AS ({PEOPLE}), d AS ({SIGNERS}), j AS (SELECT p.*, d.*, CASE WHEN first = party_first THEN 1 WHEN substr(first, 1, 1) = substr(party_first, 1, 1) THEN 2 WHEN last NOT IN ('SMITH', 'GARCIA', 'ROBINSON') THEN 3 END AS tier_no FROM p JOIN d ON last = party_last)
+FIRST_WORDS = f"SELECT DISTINCT last, split_part(first, ' ', 1) AS first FROM ({PEOPLE}) y"
+
+
+@query("CTL01", f"""WITH p AS ({FIRST_WORDS}), d AS ({SIGNERS}), j AS (SELECT p.*, d.*, CASE WHEN first = party_first THEN 1 WHEN substr(first, 1, 1) = substr(party_first, 1, 1) THEN 2 WHEN last NOT IN ('SMITH', 'GARCIA', 'ROBINSON') THEN 3 END AS tier_no FROM p JOIN d ON last = party_last)
 SELECT * FROM j WHERE tier_no IS NOT NULL QUALIFY tier_no = min(tier_no) OVER (PARTITION BY last, first)""")
 def name_search_by_initial(spark, sf_dir):
-    people = derive.relation(spark, sf_dir, PEOPLE).withColumn("lead_id", F.concat("last", F.lit("/"), "first"))
+    people = derive.relation(spark, sf_dir, FIRST_WORDS).withColumn("lead_id", F.concat("last", F.lit("/"), "first"))
     return relational.by_initial(people, derive.relation(spark, sf_dir, SIGNERS)).select("last", "first", "party_last", "party_first", "tier_no")
 
 
@@ -193,14 +209,17 @@ def _lots_sql(x: str) -> str:
     return f"CASE WHEN regexp_matches({x}, '^[0-9]+-[0-9]+$') THEN CASE WHEN split_part({x}, '-', 1)::INT <= split_part({x}, '-', 2)::INT THEN list_transform(range(split_part({x}, '-', 1)::INT, split_part({x}, '-', 2)::INT + 1), lambda q: q::VARCHAR) ELSE [{x}] END WHEN contains({x}, ',') THEN {items(',')} WHEN contains({x}, '&') THEN {items('&')} ELSE [{x}] END"
 
 
-@query("STR10 STR11 STR12 STR04 UDF10", f"""WITH d AS (SELECT *, CASE WHEN l_partkey % 5 = 0 THEN '' ELSE 'Grantor: DOE JANE Q Grantee: ' || coalesce(party_last, 'X') || ' ' || coalesce(party_first, '') || ' Grantor: LEE' END AS t FROM ({derive.DEEDS}) z WHERE line = 2),
-p AS (SELECT rp_file_number, lot, CASE WHEN t = '' THEN [['N/A', '', '']] ELSE [['Grantor', 'DOE', 'JANE Q'], ['Grantor', 'LEE', ''], ['Grantee', split_part(trim(coalesce(party_last, 'X') || ' ' || coalesce(party_first, '')), ' ', 1), trim(substr(trim(coalesce(party_last, 'X') || ' ' || coalesce(party_first, '')), 1 + length(split_part(trim(coalesce(party_last, 'X') || ' ' || coalesce(party_first, '')), ' ', 1))))]] END AS ps FROM d)
-SELECT rp_file_number, x AS lot_no, q[1] AS party_role, q[2] AS party_last, q[3] AS party_first FROM p, unnest({_lots_sql('lot')}) l(x), unnest(ps) m(q)""")
+#: Names of a deed's parties under their labels, in changing order, for deeds of orders divisible by 50.
+LABELLED = f"""SELECT rp_file_number, lot, CASE WHEN l_partkey % 5 = 0 THEN '' WHEN l_partkey % 3 = 0 THEN 'Grantor: DOE JANE Q Grantee: ' || who || ' Grantor: LEE' WHEN l_partkey % 3 = 1 THEN 'Grantee: ' || who || ' ANN Grantor: ' || CAST(l_suppkey AS string) || ' CO' ELSE 'Grantee: X Grantee: ' || who END AS names_text
+    FROM (SELECT d.*, coalesce(party_last, 'X') || ' ' || coalesce(party_first, '') AS who FROM ({derive.DEEDS}) d WHERE lead_id % 50 = 0) z"""
+
+
+@query("STR10 STR11 STR12 STR04 UDF10", f"""WITH d AS ({LABELLED}), s AS (SELECT rp_file_number, lot, list_filter(string_split(regexp_replace(names_text, '(Grantor|Grantee): ', '^\\1: ', 'g'), '^'), lambda x: trim(x) <> '') AS ps FROM d),
+p AS (SELECT rp_file_number, lot, CASE WHEN len(ps) = 0 THEN ['N/A: '] ELSE ps END AS ps FROM s), q AS (SELECT rp_file_number, lot, split_part(x, ': ', 1) AS role, trim(substr(x, length(split_part(x, ': ', 1)) + 3)) AS who FROM p, unnest(ps) u(x))
+SELECT rp_file_number, lo AS lot_no, role AS party_role, regexp_extract(who, '^\\S*') AS party_last, trim(regexp_replace(substr(who, 1 + length(regexp_extract(who, '^\\S*'))), '\\s+', ' ', 'g')) AS party_first FROM q, unnest({_lots_sql('lot')}) l(lo)""")
 def lots_and_parties(spark, sf_dir):
     """A row a deed, lot and party, from lot texts and columns of labelled names."""
-    d = derive.relation(spark, sf_dir, derive.DEEDS).filter("line = 2")
-    text = F.when(C("l_partkey") % 5 == 0, "").otherwise(F.concat(F.lit("Grantor: DOE JANE Q Grantee: "), F.coalesce("party_last", F.lit("X")), F.lit(" "), F.coalesce("party_first", F.lit("")), F.lit(" Grantor: LEE")))
-    rows = d.select("rp_file_number", "lot", text.alias("names_text"))
+    rows = derive.relation(spark, sf_dir, LABELLED)
     return relational.exploded(rows, legal.lots(C("lot")), legal.parties(C("names_text"))).select("rp_file_number", "lot_no", "party_role", "party_last", "party_first")
 
 

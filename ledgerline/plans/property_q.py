@@ -64,7 +64,8 @@ def full_legal_texts(spark, sf_dir):
     return df.select("lead_id", legal.full_text(C("rp_legal_tract"), C("rp_legal_block"), C("rp_legal_description_text"), C("rp_legal_lot"), C("rp_legal_sec")).alias("full_text"))
 
 
-SOME = "lead_id % 20 = 3"
+#: The stated set of searches: leads whose id is divisible by 50, against all properties.
+SOME = "lead_id % 50 = 0"
 HITS = f"""{QUERIED}, pr AS ({derive.PROPERTIES}),
 hi AS (SELECT q.lead_id, q.ord, q.tier, p.property_id, p.account, p.legal_text, p.owner_name FROM qs q JOIN pr p ON contains(upper(p.legal_text), q.legal_query) AND (q.owner_query IS NULL OR contains(upper(p.owner_name), q.owner_query)) WHERE q.query_state = 'READY' AND {SOME})"""
 
@@ -77,7 +78,7 @@ def property_search(spark, sf_dir):
 
 
 STATUS = f"""{HITS}, cn AS (SELECT q.lead_id, q.ord, q.tier, q.query_state, q.s, count(h.property_id) AS n, min(h.owner_name) AS owner_name FROM qs q LEFT JOIN hi h ON q.lead_id = h.lead_id AND q.tier = h.tier WHERE {SOME.replace('lead_id', 'q.lead_id')} GROUP BY ALL),
-sa AS (SELECT *, CASE WHEN query_state <> 'READY' THEN query_state WHEN lead_id % 101 = 0 THEN 'ERROR' WHEN n = 0 THEN 'NO_HITS' WHEN n = 1 THEN CASE WHEN lead_id % 2 = 0 THEN 'SINGLE_ITEM_IN_LIST' ELSE 'UNIQUE_HIT' END WHEN n > 20 THEN 'PAGINATION_TOO_LARGE' ELSE 'MULTIPLE_HITS' END AS status FROM cn)"""
+sa AS (SELECT *, CASE WHEN query_state <> 'READY' THEN query_state WHEN lead_id % 101 = 0 THEN 'ERROR' WHEN n = 0 THEN 'NO_HITS' WHEN n = 1 THEN CASE WHEN lead_id % 4 = 0 THEN 'SINGLE_ITEM_IN_LIST' ELSE 'UNIQUE_HIT' END WHEN n > 20 THEN 'PAGINATION_TOO_LARGE' ELSE 'MULTIPLE_HITS' END AS status FROM cn)"""
 
 
 def statuses(spark, sf_dir):
@@ -85,7 +86,7 @@ def statuses(spark, sf_dir):
     found = candidates.search(q, derive.relation(spark, sf_dir, derive.PROPERTIES)).groupBy("lead_id", "tier").agg(F.count("*").alias("n"), F.min("owner_name").alias("owner_name"))
     rows = q.join(found, ["lead_id", "tier"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     status = candidates.status(C("n"), C("lead_id") % 101 == 0)
-    status = F.when(C("query_state") != "READY", C("query_state")).when((status == "UNIQUE_HIT") & (C("lead_id") % 2 == 0), "SINGLE_ITEM_IN_LIST").otherwise(status)
+    status = F.when(C("query_state") != "READY", C("query_state")).when((status == "UNIQUE_HIT") & (C("lead_id") % 4 == 0), "SINGLE_ITEM_IN_LIST").otherwise(status)
     return rows.withColumn("status", status)
 
 
@@ -118,9 +119,9 @@ def tier_fallback(spark, sf_dir):
 
 
 CANDIDATES = f"""SELECT l.lead_id, p.p_partkey AS ord, CASE CAST(l.lead_id % 3 AS int) WHEN 0 THEN 'T2_ExactLegal' WHEN 1 THEN 'Fallback_Owner_SubdivisionContains' ELSE 'T1_GranteeLastName_Subdivision' END AS tier, l.rp_legal_tract, l.rp_legal_block, l.rp_legal_lot, l.rp_legal_sec, l.rp_legal_description_text,
-    l.grantee_last, l.probate_lead_decedent_last, CASE WHEN l.lead_id % 2 = 0 THEN 'High' ELSE 'Medium' END AS confidence, CASE WHEN p.p_partkey % 7 = 0 THEN NULL ELSE {derive.pick(derive.LASTS, 'p.p_partkey')} || ' ' || {derive.pick(derive.FIRSTS, 'p.p_size')} END AS owner,
+    l.grantee_last, l.probate_lead_decedent_last, CASE WHEN l.lead_id % 4 = 0 THEN 'High' ELSE 'Medium' END AS confidence, CASE WHEN p.p_partkey % 7 = 0 THEN NULL ELSE {derive.pick(derive.LASTS, 'p.p_partkey')} || ' ' || {derive.pick(derive.FIRSTS, 'p.p_size')} END AS owner,
     'LT ' || CAST(p.p_size AS string) || ' BLK ' || CAST(l.lead_id % 30 AS string) || ' ' || {derive.pick(derive.SUBDIVISIONS, 'p.p_partkey')} AS detail_legal, CAST(p.p_size AS string) || ' ' || {derive.pick(derive.SUBDIVISIONS, 'p.p_partkey')} || ' DR' AS address, p.p_partkey % 5 <> 4 AS has_detail
-    FROM ({SEARCHES}) l JOIN part p ON p.p_partkey % 40 = l.lead_id % 40 AND p.p_partkey < 200 WHERE l.lead_id % 10 = 3"""
+    FROM ({SEARCHES}) l JOIN part p ON p.p_partkey % 40 = CAST(floor(l.lead_id / 50.0) AS bigint) % 40 WHERE l.lead_id % 50 = 0"""
 _HAS = lambda name, v, n: f"CASE WHEN {v} <> '' AND contains(dl, '{name} ' || {v}) THEN {n} ELSE 0 END"
 SCORES = f"""ca AS ({CANDIDATES}),
 cb AS (SELECT *, {N('rp_legal_tract')} AS t, {N('rp_legal_block')} AS b, {N('rp_legal_lot')} AS x, {N('rp_legal_sec')} AS c, {N('rp_legal_description_text')} AS s, upper(trim(coalesce(owner, ''))) AS o, upper(trim(detail_legal)) AS dl, upper(trim(address)) AS ad,
@@ -170,16 +171,19 @@ def detail_lookup(spark, sf_dir):
     return candidates.with_details(hits, details).select("hit", C("detail_key").alias("account"), "owner")
 
 
-@query("STR26", "SELECT page_id, nullif(regexp_extract(url, '(?i)page=(\\d+)', 1), '') AS page_no, NULL::VARCHAR AS account FROM pages")
+ACCOUNT_LINKS = "SELECT page_id, url || CASE WHEN page_id % 3 = 0 THEN '?Acct=' || CAST(page_id * 7 AS string) || '&x=1' WHEN page_id % 3 = 1 THEN '?acct=&y=2' ELSE '' END AS link FROM pages"
+
+
+@query("STR26", f"WITH l AS ({ACCOUNT_LINKS}) SELECT page_id, nullif(regexp_extract(link, '(?i)acct=(\\d+)', 1), '') AS account FROM l")
 def accounts_in_links(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return pages.select("page_id", F.nullif(F.regexp_extract("url", r"(?i)page=(\d+)", 1), F.lit("")).alias("page_no"), account_in(C("url")).alias("account"))
+    spark.read.parquet(f"{sf_dir}/pages.parquet").createOrReplaceTempView("pages")
+    return spark.sql(ACCOUNT_LINKS).select("page_id", account_in(C("link")).alias("account"))
 
 
 OWNERS = f"""SELECT lead_id, CASE WHEN k % 31 = 0 THEN '' ELSE hcad_owner_full_name END AS hcad_owner_full_name, probate_lead_decedent_first AS decedent_first, probate_lead_decedent_last AS decedent_last,
     CASE WHEN k % 6 = 0 THEN NULL ELSE {derive.pick(derive.FIRSTS, 'k + k % 2')} END AS party_first, CASE WHEN k % 6 = 0 THEN NULL ELSE {derive.pick(derive.LASTS, 'c + k % 3')} END AS party_last, {derive.pick(derive.FIRSTS, 'c')} || ' ' || {derive.pick(derive.LASTS, 'k')} AS grantee, k % 4 <> 0 AS has_grantee,
     CASE WHEN k % 17 = 0 THEN 'NO_HITS' WHEN k % 19 = 0 THEN 'SUCCESS_T0_NEEDS_NAME_CONFIRM' WHEN k % 23 = 0 THEN 'ERROR_IN_TIER_X' ELSE 'SUCCESS' END AS hcad_search_status, CASE WHEN k % 29 = 0 THEN 'timeout' ELSE NULL END AS parsing_error,
-    CASE WHEN k % 2 = 0 THEN 'Grantor' ELSE 'Grantee' END AS rp_party_type FROM ({derive.LEADS}) z WHERE k % 4 = 1 OR k % 6 = 0 OR k % 40 = 2"""
+    CASE WHEN k % 2 = 0 THEN 'Grantor' ELSE 'Grantee' END AS rp_party_type FROM ({derive.LEADS}) z"""
 
 
 def owner_rows(spark, sf_dir):
@@ -187,10 +191,11 @@ def owner_rows(spark, sf_dir):
     return owners.scores(df)
 
 
-NOT_LAST = "(" + ", ".join(f"'{x}'" for x in names.NOT_SURNAMES) + ")"
+# Fixed values, written out again: what is no surname.
+NOT_LAST = "('JR', 'SR', 'II', 'III', 'IV', 'V', 'TRUST', 'ESTATE', 'EST', 'LLC', 'INC', 'LP', 'LTD', 'CO', 'BANK')"
 _W = lambda x: f"list_filter(regexp_split_to_array(upper(trim({x})), '\\s+'), lambda z: z <> '')"
-_SUR = lambda x: f"coalesce(list_filter({_W(x)}, lambda z: regexp_replace(z, '[.,]', '', 'g') NOT IN {NOT_LAST})[-1], {_W(x)}[-1], '')"
-FIRM = "[" + ", ".join(f"'{x}'" for x in names.FIRM_WORDS) + "]"
+_SUR = lambda x: f"coalesce(list_filter({_W(x)}, lambda z: z NOT IN {NOT_LAST})[-1], {_W(x)}[-1], '')"
+FIRM = "['LLC', 'INC', 'LP', 'LTD', 'CO', 'BANK', 'TRUST', 'ESTATE', 'EST']"
 OWNER_SCORES = f"""oa AS ({OWNERS}), ob AS (SELECT *, upper(trim(coalesce(hcad_owner_full_name, ''))) AS o, nullif(trim(upper(trim(coalesce(decedent_first, ''))) || ' ' || upper(trim(coalesce(decedent_last, '')))), '') AS dn, nullif(trim(upper(trim(coalesce(party_first, ''))) || ' ' || upper(trim(coalesce(party_last, '')))), '') AS pn FROM oa),
 oc AS (SELECT *, CASE WHEN NOT list_has_any({_W('o')}, {FIRM}) AND len({_W('o')}) > 0 THEN {_W('o')}[1] ELSE {_SUR('o')} END AS og, {_SUR('dn')} AS ds, {_SUR('pn')} AS ps, {_SUR('grantee')} AS gs FROM ob),
 al AS (SELECT dn AS p, o AS q FROM oc UNION SELECT pn, o FROM oc UNION SELECT grantee, o FROM oc UNION SELECT ds, og FROM oc UNION SELECT ps, og FROM oc UNION SELECT gs, og FROM oc UNION SELECT dn, pn FROM oc UNION SELECT 'TEST CO', o FROM oc UNION SELECT 'TEST', og FROM oc),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import time
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -72,14 +73,21 @@ def check_from_metadata(spark, sf_dir):
     return quality.run(spark.read.parquet(f"{sf_dir}/part.parquet"), [("p_name", "unique"), ("p_partkey", "unique"), ("p_size", "not_null")])
 
 
-@query("DQ05 DQ06", f"SELECT * FROM (VALUES {', '.join(f'({c!r})' for c in schemas.ESSENTIAL if c not in derive.LEADS)}) t(missing)")
+ESSENTIAL = "(VALUES ('probate_lead_decedent_first'), ('probate_lead_decedent_last'), ('rp_party_type'), ('rp_file_number'), ('is_potential_decedent_match')) t(missing)"
+
+
+@query("DQ05 DQ06", f"SELECT missing FROM {ESSENTIAL} WHERE missing NOT IN (SELECT column_name FROM (DESCRIBE SELECT * FROM ({derive.LEADS}) z))")
 def check_columns(spark, sf_dir):
     df = derive.relation(spark, sf_dir, derive.LEADS)
     assert not quality.wrong_delimiter(df)
     return spark.createDataFrame([(c,) for c in quality.missing_columns(df, schemas.ESSENTIAL)], "missing string")
 
 
-@query("PRJ04 SNK05", None)
+_ZONES = ", ".join(f"('{z}', {k}, '{c}')" for z, cs in schemas.ZONES.items() for k, c in enumerate(cs))
+
+
+@query("PRJ04 SNK05", f"""WITH d AS (SELECT column_name, row_number() OVER () AS pos FROM (DESCRIBE SELECT * FROM ({derive.LEADS}) y)), z AS (SELECT * FROM (VALUES {_ZONES}) t(zone, place, column_name))
+SELECT zone, place::INTEGER AS place, column_name FROM z JOIN d USING (column_name) UNION ALL SELECT '7 Other', (row_number() OVER (ORDER BY pos) - 1)::INTEGER, column_name FROM d WHERE column_name NOT IN (SELECT column_name FROM z)""")
 def column_zones(spark, sf_dir):
     """Zones of a report's columns; also the order that ordered() puts them in."""
     leads = derive.relation(spark, sf_dir, derive.LEADS)
@@ -109,20 +117,29 @@ def nested_totals(spark, sf_dir):
     return own.select("id", land["lot_sqft"].alias("lot_sqft"), land["land_value"].alias("land_value"), land["lines"].alias("lines"), area["base"].alias("base"), area["structure"].alias("structure"), area["garage"].alias("garage"))
 
 
-@query("SRC21", "SELECT p_partkey AS id, p_brand AS grade, '{\"room_count\":\"' || CAST(p_size AS VARCHAR) || '\"}' AS other FROM part")
+# Pages are built here; their twins take them apart again, with lists and patterns of their own.
+KEYED = "SELECT p_partkey AS id, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '<tr><td>Grade Adjustment</td><td>' || p_brand || '</td></tr>' END || '<tr><td>Room Count:</td><td>' || CAST(p_size AS string) || '</td></tr>' || CASE WHEN p_partkey % 3 = 0 THEN '<tr><td>Heating / AC</td><td>' || p_type || '</td></tr>' WHEN p_partkey % 3 = 1 THEN '<tr><td> room  count </td><td>last</td></tr>' ELSE '' END AS h FROM part"
+_KEY = "regexp_replace(regexp_replace(trim(regexp_replace(lower({x}), '[:()]', '', 'g')), '[\\s/\\-]+', '_', 'g'), '^_+|_+$', '', 'g')"
+
+
+@query("SRC21", f"""WITH r AS ({KEYED}), k AS (SELECT id, list_transform(regexp_extract_all(h, '<td>([^<]*)</td><td>([^<]*)</td>', 1), lambda x: {_KEY.replace('{x}', 'x')}) AS ks, regexp_extract_all(h, '<td>([^<]*)</td><td>([^<]*)</td>', 2) AS vs FROM r),
+p AS (SELECT id, i, ks[i] AS k, vs[i] AS v FROM k, unnest(range(1, len(ks) + 1)) t(i)), f AS (SELECT id, k, min(i) AS pos, arg_max(trim(v), i) AS v FROM p GROUP BY id, k)
+SELECT id, max(v) FILTER (k = 'grade_adjustment') AS grade, '{{' || string_agg('"' || k || '":"' || v || '"', ',' ORDER BY pos) FILTER (k <> 'grade_adjustment') || '}}' AS other FROM f GROUP BY id""")
 def known_and_other(spark, sf_dir):
-    rows = "SELECT p_partkey AS id, '<tr><td>Grade Adjustment</td><td>' || p_brand || '</td></tr><tr><td>Room Count:</td><td>' || CAST(p_size AS string) || '</td></tr>' AS h FROM part"
     s = relational.split_known(html.characteristics(C("h")), ["grade_adjustment"])
-    return derive.relation(spark, sf_dir, rows).select("id", s["known"]["grade_adjustment"].alias("grade"), s["other"].alias("other"))
+    return derive.relation(spark, sf_dir, KEYED).select("id", s["known"]["grade_adjustment"].alias("grade"), s["other"].alias("other"))
+
+
+YEARS = "SELECT p_partkey AS id, '<tr><th>' || CASE WHEN p_partkey % 2 = 0 THEN 'Building</th><th>Year Built' WHEN p_partkey % 5 = 1 THEN 'Kind</th><th>Size' ELSE ' YEAR BUILT </th><th>Kind' END || '</th></tr><tr><td>' || CAST(p_partkey % 9 AS string) || '</td><td>' || CAST(p_size AS string) || '</td></tr><tr><td>' || p_brand || '</td><td>' || p_name || '</td></tr>' AS h FROM part"
 
 
-@query("SRC20", "SELECT p_partkey AS id, CAST(p_size AS VARCHAR) || ',' || p_brand AS years FROM part")
+@query("SRC20", f"""WITH r AS ({YEARS}), s AS (SELECT id, coalesce(list_position(list_transform(regexp_extract_all(h, '<th>([^<]*)</th>', 1), lambda x: lower(trim(x))), 'year built'), 0) AS pos, list_filter(string_split(h, '<tr>'), lambda x: contains(x, '<td>')) AS trs FROM r)
+SELECT id, CASE WHEN pos = 0 THEN '' ELSE array_to_string(list_transform(trs, lambda x: trim(regexp_extract_all(x, '<td>([^<]*)</td>', 1)[pos])), ',') END AS years FROM s""")
 def column_under_header(spark, sf_dir):
-    rows = "SELECT p_partkey AS id, '<tr><th>Building</th><th>Year Built</th></tr><tr><td>1</td><td>' || CAST(p_size AS string) || '</td></tr><tr><td>2</td><td>' || p_brand || '</td></tr>' AS h FROM part"
-    return derive.relation(spark, sf_dir, rows).select("id", F.array_join(html.column_under(C("h"), "year built"), ",").alias("years"))
+    return derive.relation(spark, sf_dir, YEARS).select("id", F.array_join(html.column_under(C("h"), "year built"), ",").alias("years"))
 
 
-GRID = "SELECT l_orderkey AS page, l_linenumber * 1000 + l_suppkey AS place, l_linenumber % 3 = 1 AS is_main, l_partkey AS cell FROM lineitem WHERE l_orderkey % 4 = 0"
+GRID = "SELECT l_orderkey AS page, l_linenumber * 1000 + l_suppkey AS place, l_linenumber % 3 = 1 AS is_main, l_partkey AS cell FROM lineitem"
 
 
 @query("SRC15 WIN04", f"WITH g AS (SELECT DISTINCT * FROM ({GRID}) z) SELECT page, place, cell, sum(CASE WHEN is_main THEN 1 ELSE 0 END) OVER (PARTITION BY page ORDER BY place, cell ROWS UNBOUNDED PRECEDING)::BIGINT AS group_no FROM g")
@@ -131,34 +148,66 @@ def grid_groups(spark, sf_dir):
     return relational.groups_of_followers(g, "page", "at", C("is_main")).select("page", "place", "cell", "group_no")
 
 
-@query("SRC15 UDF10", "SELECT p_partkey AS id, 0 AS row_no, 'RP-' || CAST(p_partkey AS VARCHAR) AS first_cell, true AS is_main, 5 AS n FROM part UNION ALL SELECT p_partkey, 1, p_name, false, 1 FROM part")
+GRID_PAGES = "SELECT p_partkey AS id, '<table><tr><td>' || CASE WHEN p_partkey % 3 = 0 THEN 'RP-1</td><td>2<td>3' WHEN p_partkey % 3 = 1 THEN 'x</td><td>RM-' || CAST(p_size AS string) || '</td><td>3' ELSE 'x</td><td>2</td><td>XRP-3' END || '</td><td>4</td>' || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '<td>' || p_brand || '</td>' END || '</tr><tr><td>' || p_name || '</td></tr></table>' AS h FROM part"
+
+
+@query("SRC15 UDF10", f"""WITH r AS ({GRID_PAGES}), t AS (SELECT id, regexp_extract_all(h, '<tr>(.*?)</tr>', 1) AS trs FROM r), c AS (SELECT id, i - 1 AS row_no, list_transform(string_split(trs[i], '<td>')[2:], lambda x: trim(replace(x, '</td>', ''))) AS cs FROM t, unnest(range(1, len(trs) + 1)) u(i))
+SELECT id, row_no::INTEGER AS row_no, cs[1] AS first_cell, len(cs) >= 5 AND len(list_filter(cs[1:3], lambda x: regexp_matches(x, '^(RP-|RM-|RT-)'))) > 0 AS is_main, len(cs)::INTEGER AS n FROM c""")
 def grid_rows(spark, sf_dir):
-    rows = "SELECT p_partkey AS id, '<table><tr><td>RP-' || CAST(p_partkey AS string) || '</td><td>2<td>3</td><td>4</td><td>5</td></tr><tr><td>' || p_name || '</td></tr></table>' AS h FROM part"
-    g = html.grid_rows(derive.relation(spark, sf_dir, rows), "h")
+    g = html.grid_rows(derive.relation(spark, sf_dir, GRID_PAGES), "h")
     return g.select("id", "row_no", F.get("cells", 0).alias("first_cell"), "is_main", F.size("cells").alias("n"))
 
 
-@query("SRC17 STR26", "SELECT p_partkey AS id, CAST(p_partkey AS VARCHAR) AS account, p_name AS owner, p_retailprice AS value, CAST(p_partkey * 3 AS VARCHAR) AS linked FROM part")
+RESULT_PAGES = "SELECT p_partkey AS id, '<tr><td><a href=\"/d?' || CASE WHEN p_partkey % 5 = 0 THEN 'q=' ELSE 'acct=' END || CAST(p_partkey * 3 AS string) || '\">' || CAST(p_partkey AS string) || '</a></td><td>' || p_name || '</td><td>a</td><td>z</td><td>1,200</td><td>' || CASE WHEN p_partkey % 4 = 0 THEN 'Pending' ELSE '$' || CAST(p_retailprice AS string) END || '</td>' || CASE WHEN p_partkey % 7 = 0 THEN '' ELSE '<td>Pending</td>' END || '</tr>' AS h FROM part"
+
+
+@query("SRC17 STR26", f"""WITH r AS ({RESULT_PAGES}), c AS (SELECT id, h, list_transform(string_split(h, '<td>')[2:], lambda x: trim(regexp_replace(x, '<[^>]*>', '', 'g'))) AS cs FROM r)
+SELECT id, cs[1] AS account, cs[2] AS owner, TRY_CAST(translate(cs[6], '$,', '') AS DOUBLE) AS value, nullif(regexp_extract(h, 'acct=(\\d+)', 1), '') AS linked FROM c WHERE len(cs) >= 7""")
 def candidate_pages(spark, sf_dir):
-    rows = "SELECT p_partkey AS id, '<tr><td><a href=\"/d?acct=' || CAST(p_partkey * 3 AS string) || '\">' || CAST(p_partkey AS string) || '</a></td><td>' || p_name || '</td><td>a</td><td>z</td><td>1,200</td><td>$' || CAST(p_retailprice AS string) || '</td><td>Pending</td></tr>' AS h FROM part"
-    c = html.candidates(derive.relation(spark, sf_dir, rows), "h")
+    c = html.candidates(derive.relation(spark, sf_dir, RESULT_PAGES), "h")
     return c.select("id", C("hcad_account_summary").alias("account"), C("hcad_owner_summary").alias("owner"), C("hcad_market_value_summary").alias("value"), C("hcad_account_url").alias("linked"))
 
 
-@query("SRC14", "SELECT p_partkey AS id, p_name AS party, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS status FROM part")
+HEADED = "SELECT p_partkey AS id, '<table><tr>' || CASE WHEN p_partkey % 3 = 0 THEN '<th>Case</th><th>Party</th><th>Status</th>' WHEN p_partkey % 3 = 1 THEN '<th>STATUS</th><th>Case</th><th>party</th>' ELSE '<th>Case</th><th>Party</th>' END || '</tr><tr><td>' || CAST(p_size AS string) || '</td><td>' || p_name || '</td>' || CASE WHEN p_partkey % 2 = 0 THEN '<td>' || p_brand || '</td>' ELSE '' END || '</tr></table>' AS h FROM part"
+_AT = lambda name: f"coalesce(cs[nullif(coalesce(list_position(hs, '{name}'), 0), 0)], '')"
+
+
+@query("SRC14", f"""WITH r AS ({HEADED}), c AS (SELECT id, list_transform(regexp_extract_all(h, '<th>([^<]*)</th>', 1), lambda x: lower(x)) AS hs, regexp_extract_all(h, '<td>([^<]*)</td>', 1) AS cs FROM r)
+SELECT id, {_AT('party')} AS party, {_AT('status')} AS status FROM c""")
 def table_rows(spark, sf_dir):
     """Cells under the headers asked for, short rows filled."""
-    rows = "SELECT p_partkey AS id, '<table><tr><th>Case</th><th>Party</th><th>Status</th></tr><tr><td>1</td><td>' || p_name || '</td>' || CASE WHEN p_partkey % 2 = 0 THEN '<td>' || p_brand || '</td>' ELSE '' END || '</tr></table>' AS h FROM part"
-    return html.rows_by_header(derive.relation(spark, sf_dir, rows), "h", ["Party", "Status"]).select("id", C("Party").alias("party"), C("Status").alias("status"))
+    return html.rows_by_header(derive.relation(spark, sf_dir, HEADED), "h", ["Party", "Status"]).select("id", C("Party").alias("party"), C("Status").alias("status"))
+
 
+_TEXT = r"regexp_replace(regexp_replace({x}, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
+for _name, _c in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+    _TEXT = f"replace({_TEXT}, '{_name}', '{_c}')"
+_TEXT = f"trim(regexp_replace({_TEXT}, '\\s+', ' ', 'g'))"
+_LINK = r"""'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'"""
 
-@query("SRC14 SRC18 UDF10", None)
+
+@query("SRC14 UDF10", f"""WITH l AS (SELECT page_id, regexp_extract_all(html, {_LINK}, 1) AS hs, regexp_extract_all(html, {_LINK}, 2) AS ts FROM pages)
+SELECT page_id, (i - 1)::INTEGER AS place, hs[i] AS href, {_TEXT.replace('{x}', 'ts[i]')} AS text FROM l, unnest(range(1, len(hs) + 1)) u(i)""")
 def page_links(spark, sf_dir):
     """Links of saved pages, which are not well formed."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return pages.select("page_id", F.posexplode(html.links(C("html"))).alias("place", "l")).select("page_id", "place", "l.href", "l.text")
 
 
+DETAILS = "SELECT p_partkey AS id, 'http://x/d?acct=' || CAST(p_partkey AS string) AS url, CASE WHEN p_partkey % 6 = 0 THEN '<p>no such account</p>' ELSE '<table><tr><td>Owner Full Name:</td><td>' || p_name || '</td></tr><tr><td>Bedrooms</td><td>' || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE CAST(p_size AS string) END || '</td></tr><tr><td>Foundation Type (main)</td><td>' || p_brand || '</td></tr><tr><td>Colour</td><td>blue</td></tr></table>' END AS h FROM part"
+
+
+@query("SRC18 CTL05", f"""WITH r AS ({DETAILS}), k AS (SELECT id, url, regexp_extract_all(h, '<td>([^<]*)</td><td>([^<]*)</td>', 1) AS ks, regexp_extract_all(h, '<td>([^<]*)</td><td>([^<]*)</td>', 2) AS vs FROM r),
+v AS (SELECT id, url, len(ks) AS n, list_filter(list_zip(ks, vs), lambda x: starts_with(x[1], 'Owner')) AS o, list_filter(list_zip(ks, vs), lambda x: starts_with(x[1], 'Bed')) AS b, list_filter(list_zip(ks, vs), lambda x: starts_with(x[1], 'Found')) AS f FROM k)
+SELECT id, nullif(o[1][2], '') AS owner, nullif(b[1][2], '') AS bedrooms, nullif(f[1][2], '') AS foundation, url AS visited, CASE WHEN n = 0 THEN 'no labelled rows' END AS parsing_error, 32 AS n_keys,
+    (CASE WHEN nullif(o[1][2], '') IS NULL THEN 0 ELSE 1 END + CASE WHEN nullif(b[1][2], '') IS NULL THEN 0 ELSE 1 END + CASE WHEN nullif(f[1][2], '') IS NULL THEN 0 ELSE 1 END + 1 + CASE WHEN n = 0 THEN 1 ELSE 0 END)::INTEGER AS n_there FROM v""")
+def detail_records(spark, sf_dir):
+    """Records of fixed keys from detail pages, some of which have nothing to read."""
+    r = html.detail(derive.relation(spark, sf_dir, DETAILS), "h", "url")
+    there = sum((F.when(C(f"record.{c}").isNotNull(), 1).otherwise(0) for c in schemas.DETAIL), F.lit(0))
+    return r.select("id", C("record.hcad_owner_full_name").alias("owner"), C("record.hcad_bedrooms").alias("bedrooms"), C("record.hcad_foundation_type").alias("foundation"), C("record.hcad_detail_url_visited").alias("visited"), "record.parsing_error", F.lit(len(schemas.DETAIL)).alias("n_keys"), there.alias("n_there"))
+
+
 PAGES = "SELECT o_custkey AS scan, o_orderkey AS page, o_orderkey % 3 AS first_key FROM orders"
 
 
@@ -167,11 +216,32 @@ def repeated_pages(spark, sf_dir):
     return relational.new_pages(derive.relation(spark, sf_dir, PAGES), "scan", "page", "first_key")
 
 
-def _folder(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerline-")
-    import uuid
+SCANS = "SELECT o_custkey % 500 AS scan, o_orderkey AS page, o_orderkey % 7 AS first_key, CASE WHEN o_orderkey % 5 < 2 THEN 0 ELSE CAST(o_orderkey % 9 AS int) END AS n FROM orders"
 
-    return f"{base}/files-{uuid.uuid4().hex}"
+
+@query("SRC16", f"""WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY scan ORDER BY page) AS nth FROM ({SCANS}) z),
+w AS (SELECT scan, page, first_key, n, nth, CASE WHEN n = 0 THEN 1 ELSE 0 END AS run FROM p WHERE nth = 1
+UNION ALL SELECT p.scan, p.page, p.first_key, p.n, p.nth, CASE WHEN p.n = 0 THEN w.run + 1 ELSE 0 END FROM w JOIN p ON p.scan = w.scan AND p.nth = w.nth + 1 WHERE p.nth <= 20 AND w.run < 2 AND NOT (p.n > 0 AND p.first_key = w.first_key))
+SELECT scan, page, n FROM w""")
+def pages_until_stop(spark, sf_dir):
+    """Pages of scans that stop at a repeated page, at two empty ones in a row, or after twenty; the twin walks from page to page."""
+    return relational.pages_read(derive.relation(spark, sf_dir, SCANS), "scan", "page", "first_key", "n", 2, 20).select("scan", "page", "n")
+
+
+@query("SNK08", f"""WITH s AS ({SOURCE}), e AS ({EXISTING}), j AS (SELECT coalesce(e.column_name, s.column_name) AS name, CASE WHEN s.column_name IS NULL THEN e.description ELSE coalesce(nullif(s.description, ''), e.description, '') END AS description,
+    CASE WHEN s.column_name IS NULL THEN ['old'] ELSE list_filter([CASE WHEN NOT is_nullable THEN 'not_null' END, CASE WHEN custom IS NOT NULL THEN 'unique' END], lambda z: z IS NOT NULL) END AS tests FROM s FULL JOIN e ON lower(s.column_name) = lower(e.column_name)),
+l AS (SELECT name, list_concat(['      - name: "' || name || '"', '        description: "' || description || '"'], CASE WHEN len(tests) = 0 THEN [] ELSE list_concat(['        tests:'], list_transform(tests, lambda x: '          - ' || x)) END) AS ls FROM j)
+SELECT unnest(list_concat(['version: 2', 'models:', '  - name: "leads"', '    columns:'], flatten(list(ls ORDER BY name)))) AS line FROM l""")
+def schema_file(spark, sf_dir):
+    """Lines of the schema file that a dry run would write."""
+    source = derive.relation(spark, sf_dir, SOURCE).withColumn("custom_tests", discovery.read_tests(C("custom")))
+    merged = discovery.merge(source, derive.relation(spark, sf_dir, EXISTING).withColumn("tests", F.array(F.lit("old"))))
+    content = discovery.write_yml(discovery.yml("leads", merged), "schema.yml", dry_run=True)
+    return spark.createDataFrame([(x,) for x in content.splitlines()], "line string")
+
+
+def _folder(spark) -> str:
+    return f"{files.scratch(spark)}/files-{uuid.uuid4().hex}"
 
 
 @query("SRC01 SRC02 SRC03 SRC04 SRC05 SNK01 SNK02 SNK03 SNK04", "SELECT o_orderkey AS id, 'a;b' || chr(10) || o_orderpriority || '\"q' AS t, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'x' END AS filled, o_custkey AS n FROM orders")
@@ -186,27 +256,23 @@ def delimited_files(spark, sf_dir):
     return one.union(two)
 
 
-@query("SRC06 SRC07 SRC08 SRC09", "SELECT 'b' AS newest, 2 AS n")
+@query("SRC06 SRC07 SRC08 SRC09", "SELECT lower(arg_max(r_name, r_regionkey)) AS newest, count(*)::INTEGER AS n FROM region")
 def newest_file(spark, sf_dir):
-    """The file changed last, samples and files of other kinds left aside."""
-    import time
-
+    """The file changed last of one a region, written in their order, samples and files of other kinds left aside."""
     at = _folder(spark)
-    for name in ("a", "b"):
-        files.write(spark.range(1).coalesce(1), f"{at}/{name}")
-        time.sleep(1.1)
-    spark.range(1).coalesce(1).write.json(f"{at}/c")
+    for r in spark.read.parquet(f"{sf_dir}/region.parquet").orderBy("r_regionkey").collect():
+        files.write(spark.range(1).coalesce(1), f"{at}/{r['r_name'].lower().replace(' ', '_')}")
+        time.sleep(0.05)
+    spark.range(1).coalesce(1).write.json(f"{at}/later")
     path = files.newest(spark, at, "*.csv", but="_QA_SAMPLE.csv")
     n = files.listing(spark, at).count()
-    return spark.createDataFrame([(path.rsplit("/", 2)[-2], n)], "newest string, n int")
+    return spark.createDataFrame([(path.rsplit("/", 2)[-2].replace("_", " "), n)], "newest string, n int")
 
 
 @query("SRC10 SRC11 SNK06 SNK07", "SELECT n_regionkey AS region, 2 * count(*) AS n FROM nation GROUP BY 1")
 def warehouse_tables(spark, sf_dir):
     """A table that is rebuilt, then appended to."""
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    import uuid
-
     name = f"nation_{uuid.uuid4().hex}"
     files.rebuild(nation, name)
     files.append(nation, name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Columns by kind. Numbers are whole, as the contract has them.
+# Columns by kind; the contract has them in the order of their names. Numbers are whole.
 DATES = "probate_lead_filing_date rp_file_date statement_date".split()
 FLAGS = "is_owner_grantee is_owner_grantor is_potential_decedent_match needs_review_flag".split()
 NUMBERS = """date_proximity_score days_apart hcad_appraised_value_summary hcad_bedrooms hcad_building_area_count
@@ -29,7 +29,7 @@ rp_grantee_full_names_list rp_instrument_type rp_legal_abstract rp_legal_descrip
 rp_party_first_name rp_party_full_name rp_party_last_name rp_party_type rp_search_tier soundex_decedent_last
 soundex_rp_party_last""".split()
 KEY = "probate_lead_case_number"
-STAGED = [KEY, *DATES, *FLAGS, *NUMBERS, *DOCUMENTS, *TEXTS]
+STAGED = sorted([KEY, *DATES, *FLAGS, *NUMBERS, *DOCUMENTS, *TEXTS])
 # Zones of a report of leads, in reading order; columns that no zone names come last.
 ZONES = {
     "1 Lead Triage": "contact_target_tier owner_contact_rationale match_confidence_level needs_review_flag review_reason match_score_total".split(),
@@ -39,4 +39,11 @@ ZONES = {
     "5 Detailed Property": "hcad_bedrooms hcad_full_bathrooms hcad_half_bathrooms hcad_total_living_area_sf hcad_total_base_sqft hcad_lot_sqft_total hcad_physical_condition hcad_foundation_type hcad_exterior_wall hcad_roof_type hcad_heating_ac exemption_code hcad_building_data_json hcad_land_data_json hcad_land_market_value_total hcad_land_line_count hcad_total_structure_sqft hcad_garage_sqft hcad_building_area_count hcad_grade_adjustment hcad_land_market_value hcad_improvement_market_value".split(),
     "6 Provenance": "probate_lead_case_number rp_file_number hcad_account hctax_account hcad_owner_match_type hcad_search_status score_hcad_vs_probate score_hcad_vs_rp_party hcad_account_summary hcad_owner_summary hcad_address_summary".split(),
 }
+# What a property's detail page gives, all of it null where the page has none.
+DETAIL = """hcad_account hcad_owner_full_name hcad_mailing_address hcad_legal_desc_detail hcad_site_address hcad_pct_ownership
+hcad_market_value_detail hcad_appraised_value_detail hcad_land_area_sf hcad_total_living_area_sf hcad_lot_sqft_total
+hcad_land_market_value_total hcad_land_line_count hcad_land_data_json hcad_total_base_sqft hcad_total_structure_sqft
+hcad_garage_sqft hcad_building_area_count hcad_building_data_json hcad_main_building_data_json hcad_foundation_type
+hcad_exterior_wall hcad_heating_ac hcad_grade_adjustment hcad_physical_condition hcad_full_bathrooms hcad_bedrooms
+hcad_land_market_value hcad_improvement_market_value hcad_appraised_history_json hcad_detail_url_visited parsing_error""".split()
 ESSENTIAL = "probate_lead_decedent_first probate_lead_decedent_last rp_party_type rp_file_number is_potential_decedent_match".split()

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +35,18 @@ def newest(spark: SparkSession, folder: str, pattern: str = "*.csv", but: str =
     return row["m"]["path"] if row["m"] else None
 
 
+def scratch(spark: SparkSession) -> str:
+    """A folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary one, in local mode only."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="ledgerline-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base
+
+
 def append(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)
 

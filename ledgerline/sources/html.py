@@ -73,6 +73,20 @@ def characteristics(html: Column) -> Column:
     return F.map_from_arrays(keys, F.transform(keys, lambda k: F.try_element_at(F.transform(F.filter(pairs, lambda r: r["key"] == k), lambda r: r["value"]), F.lit(-1))))
 
 
+def detail(pages: DataFrame, html: str, url: str) -> DataFrame:
+    """Adds record, a struct of schemas.DETAIL as text: what a page's labelled rows give by field name, the rest null.
+
+    A page without any labelled row has parsing_error; a page that fails stops no other.
+    """
+    from ledgerline import schemas
+
+    found = F.transform_keys(characteristics(F.col(html)), lambda k, v: F.when(k.startswith("hcad_"), k).otherwise(F.concat(F.lit("hcad_"), k)))
+    value = {c: F.nullif(F.try_element_at("__found", F.lit(c)), F.lit("")) for c in schemas.DETAIL}
+    value["hcad_detail_url_visited"] = F.col(url)
+    value["parsing_error"] = F.when(F.coalesce(F.size("__found"), F.lit(0)) == 0, "no labelled rows")
+    return pages.withColumn("__found", found).withColumn("record", F.struct(*[v.cast("string").alias(c) for c, v in value.items()])).drop("__found")
+
+
 def column_under(html: Column, header: str) -> Column:
     """Values of the column whose header is the one asked for."""
     rows = pieces(html, "tr")

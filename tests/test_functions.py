@@ -27,7 +27,11 @@ def lcs(a, b):
 
 def test_names(spark):
     assert column(spark, ["DOE JR.", "Doe, III", "O'TEST", "TEST-CASE", "José ", "", None, "JR", "SMITH  JONES IV"], names.cleaned) == ["DOE", "DOE", "OTEST", "TEST-CASE", "JOSÉ", "", "", "", "SMITH JONES"]
-    assert column(spark, ["JANE DOE", "DOE FAMILY TRUST", "LLC", "", None], names.surname) == ["DOE", "FAMILY", "LLC", "", ""]
+    assert column(spark, ["JANE DOE", "DOE FAMILY TRUST", "LLC", "", None, "JOHN DOE V", "JOHN DOE JR.", "JOHN DOE JR", "V"], names.surname) == ["DOE", "FAMILY", "LLC", "", "", "DOE", "JR.", "DOE", "V"]
+    who = spark.createDataFrame([(1, "Doe  Jr", "John Q"), (2, "DOE JR.", "JOHN"), (3, "O'Test-Case, III", None), (4, "Jr", "x"), (5, None, "Ann"), (6, "Doe VI", " "), (7, "Lee (x)", "MARY, ANN")], "i int, l string, f string")
+    assert [r[0] for r in who.orderBy("i").select(names.searched(C("l"), C("f"))).collect()] == ["DOE JOHN", "DOE JOHN", "O'TEST-CASE", "JR X", "ANN", "DOE", "LEE MARY"]
+    long = "IN THE MATTER OF " + "Ab " * 6000 + "Zed"
+    assert len(column(spark, [long], lambda x: names.decedent(x)["first"])[0]) == 6000 * 3 - 1
     assert column(spark, ["DOE JANE", "DOE HOLDINGS LLC", "", "DOE FAMILY TRUST"], names.owner_surname) == ["DOE", "HOLDINGS", "", "FAMILY"]
     assert column(spark, ["DOE JANE", "ACME LLC", "TEST CO", "TEST CO LIMITED", " ", None, "INCA DOE", "THE EST OF DOE", "DOE EST"], names.is_person) == [True, False, True, False, False, False, True, False, True]
     assert column(spark, ["Bob", "ROBERT", "NOBODY", None, "PAT"], names.nickname_variants) == [["BERT", "ROB", "ROBBIE", "ROBBY", "ROBERT"], ["BERT", "BOB", "ROB", "ROBBIE", "ROBBY"], [], [], ["PATRICIA", "PATTY", "TRICIA", "TRISH"]]

@@ -14,7 +14,61 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_contract():
-    assert len(schemas.STAGED) == len(set(schemas.STAGED)) == 114
+    assert len(schemas.STAGED) == len(set(schemas.STAGED)) == 114 and len(set(schemas.DETAIL)) == 32
+    assert schemas.STAGED[:2] == ["account_status_text", "account_to_search"] and schemas.STAGED[-1] == "total_current_taxes_due"
+
+
+def test_failures_are_recorded(spark):
+    raw = [("{broken",), ('{"probate_lead_case_number":""}',), ('{"probate_lead_case_number":"1","hcad_bedrooms":"x","statement_date":"2025-13-01","hcad_garage_sqft":"2"}',), ('{"probate_lead_case_number":"2"}',), (None,)]
+    got = [r["parsing_error"] for r in staging.failures(spark.createDataFrame(raw, "RAW_RECORD string").coalesce(1)).collect()]
+    assert got == ["not JSON", "no case number", "hcad_bedrooms,statement_date", None, "not JSON"]
+
+
+def test_tiers_of_names(spark):
+    leads = spark.createDataFrame([(1, "DOE JR.", "BOB Q"), (2, "Lee", "Bob"), (3, "ZEBRA", "NOBODY"), (4, "SMITH", "NOBODY"), (5, "DOE  V", "JOHN")], "lead_id int, last string, first string")
+    parties = spark.createDataFrame([("DOE", "BOBBY"), ("LEE", "ROBERT"), ("LEE", "ROB"), ("LEE", "ROBBIE"), ("LEE", "ROBBY"), ("ZEBRAS", "ANN"), ("SMITH", "ANN"), ("DOE", "JOHN Q")], "party_last string, party_first string")
+    got = sorted((r["lead_id"], r["search_term"], r["tier"], r["party_last"], r["party_first"]) for r in relational.tiered_names(leads, parties, last_names=True).collect())
+    assert got == [
+        (1, "DOE BOB", "TIER_1_EXACT_STD", "DOE", "BOBBY"),
+        (2, "LEE ROB", "TIER_2_NICK_ROB", "LEE", "ROB"), (2, "LEE ROB", "TIER_2_NICK_ROB", "LEE", "ROBBIE"), (2, "LEE ROB", "TIER_2_NICK_ROB", "LEE", "ROBBY"), (2, "LEE ROB", "TIER_2_NICK_ROB", "LEE", "ROBERT"),
+        (2, "LEE ROBBIE", "TIER_2_NICK_ROBBIE", "LEE", "ROBBIE"),
+        (3, "ZEBRA", "TIER_3_RARE_LN_ONLY", "ZEBRAS", "ANN"),
+        (5, "DOE JOHN", "TIER_1_EXACT_STD", "DOE", "JOHN Q"),
+    ]
+
+
+def test_pages_read_until_a_scan_stops(spark):
+    scans = {1: "aabb", 2: "ab--cd", 3: "ab-c--d", 4: "abcdefg", 5: "--a", 6: "a-a"}
+    rows = [(s, p, None if c == "-" else c, 0 if c == "-" else 3) for s, text in scans.items() for p, c in enumerate(text)]
+    kept = relational.pages_read(spark.createDataFrame(rows, "scan int, page int, k string, n int"), "scan", "page", "k", "n", 2, 5)
+    got = {s: "" for s in scans}
+    for r in kept.orderBy("scan", "page").collect():
+        got[r["scan"]] += r["k"] or "-"
+    assert got == {1: "a", 2: "ab--", 3: "ab-c-", 4: "abcde", 5: "--", 6: "a-a"}
+
+
+def test_a_twin_tells_a_broken_operator(spark, monkeypatch):
+    """Each is broken on purpose; its twin, which shares nothing with it, then gives other rows."""
+    import duckdb
+    from ledgerline.functions import names
+
+    if not os.path.isdir(SF):
+        pytest.skip("no test data")
+    con = duckdb.connect()
+    for t in ("customer", "orders", "lineitem", "part"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    breaks = {
+        "cleaned_names": (names, "SEARCH_SUFFIX", "(?U) (JR|SR)$"),
+        "tiered_name_search": (names, "NICKNAMES", {"JOHN": ["JACK"]}),
+        "caption_names": (names, "CAPTION_FILLERS", ["BO"]),
+        "owner_scores": (names, "NOT_SURNAMES", ["JR"]),
+    }
+    for name, (module, what, value) in breaks.items():
+        want = sorted(map(str, con.sql(registry.oracle_sql()[name]).fetchall()))
+        with monkeypatch.context() as m:
+            m.setattr(module, what, value)
+            rel = con.sql(registry.oracle_sql()[name]).columns
+            assert sorted(str(tuple(r)) for r in registry.queries()[name](spark, SF).select(*rel).collect()) != want, name
 
 
 def lead(spark, **own):
