@@ -121,7 +121,7 @@ def tier_fallback(spark, sf_dir):
 CANDIDATES = f"""SELECT l.lead_id, p.p_partkey AS ord, CASE CAST(l.lead_id % 3 AS int) WHEN 0 THEN 'T2_ExactLegal' WHEN 1 THEN 'Fallback_Owner_SubdivisionContains' ELSE 'T1_GranteeLastName_Subdivision' END AS tier, l.rp_legal_tract, l.rp_legal_block, l.rp_legal_lot, l.rp_legal_sec, l.rp_legal_description_text,
     l.grantee_last, l.probate_lead_decedent_last, CASE WHEN l.lead_id % 4 = 0 THEN 'High' ELSE 'Medium' END AS confidence, CASE WHEN p.p_partkey % 7 = 0 THEN NULL ELSE {derive.pick(derive.LASTS, 'p.p_partkey')} || ' ' || {derive.pick(derive.FIRSTS, 'p.p_size')} END AS owner,
     'LT ' || CAST(p.p_size AS string) || ' BLK ' || CAST(l.lead_id % 30 AS string) || ' ' || {derive.pick(derive.SUBDIVISIONS, 'p.p_partkey')} AS detail_legal, CAST(p.p_size AS string) || ' ' || {derive.pick(derive.SUBDIVISIONS, 'p.p_partkey')} || ' DR' AS address, p.p_partkey % 5 <> 4 AS has_detail
-    FROM ({SEARCHES}) l JOIN part p ON p.p_partkey % 40 = CAST(floor(l.lead_id / 50.0) AS bigint) % 40 WHERE l.lead_id % 50 = 0"""
+    FROM ({SEARCHES}) l JOIN (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) five ON true JOIN (SELECT count(*) AS parts FROM part) np ON true JOIN part p ON p.p_partkey = (l.lead_id * 7 + j * 13) % parts + 1 WHERE l.lead_id % 50 = 0"""
 _HAS = lambda name, v, n: f"CASE WHEN {v} <> '' AND contains(dl, '{name} ' || {v}) THEN {n} ELSE 0 END"
 SCORES = f"""ca AS ({CANDIDATES}),
 cb AS (SELECT *, {N('rp_legal_tract')} AS t, {N('rp_legal_block')} AS b, {N('rp_legal_lot')} AS x, {N('rp_legal_sec')} AS c, {N('rp_legal_description_text')} AS s, upper(trim(coalesce(owner, ''))) AS o, upper(trim(detail_legal)) AS dl, upper(trim(address)) AS ad,
