@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, decontam, jaccard, mixing, packing, pii, quality, sharding, suffixes, tokenfile, toxicity
+from . import common, decontam, interaction, jaccard, mixing, packing, pii, quality, sharding, suffixes, tokenfile, toxicity
 
 
 def op1_decontamination(spark, sf_dir):
@@ -45,5 +45,9 @@ def op10_sharding(spark, sf_dir):
     return sharding.assign(common.table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_personal_data, op3_repeated_strings, op4_token_file, op5_jaccard_join, op6_language_model, op7_quality_rules, op8_toxicity, op9_packing, op10_sharding)}
-ORACLES = {"op1_decontamination": decontam.ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op7_quality_rules": quality.ORACLE, "op10_sharding": sharding.ORACLE}
+def op13_filter_interactions(spark, sf_dir):
+    return interaction.audit(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_personal_data, op3_repeated_strings, op4_token_file, op5_jaccard_join, op6_language_model, op7_quality_rules, op8_toxicity, op9_packing, op10_sharding, op13_filter_interactions)}
+ORACLES = {"op1_decontamination": decontam.ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op7_quality_rules": quality.ORACLE, "op10_sharding": sharding.ORACLE, "op13_filter_interactions": interaction.ORACLE}
