@@ -59,11 +59,11 @@ def is_empty(df: DataFrame) -> bool:
         return df.isEmpty()
 
 
-def sliced(batches):
+def sliced(batches, rows: int = BATCH_ROWS):
     """Arrow batches in slices of few rows, for frames that are handed back and run under whatever settings the caller has."""
     for b in batches:
-        for at in range(0, b.num_rows, BATCH_ROWS):
-            yield b.slice(at, BATCH_ROWS)
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def pressed(raw: bytes) -> bytes:
