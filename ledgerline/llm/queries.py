@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, decontam, interaction, jaccard, mixing, neighbours, packing, pii, quality, sharding, suffixes, tokenfile, toxicity
+from . import common, decontam, interaction, jaccard, mixing, neighbours, packing, pii, quality, ranked, sharding, suffixes, tokenfile, toxicity
 
 
 def op1_decontamination(spark, sf_dir):
@@ -49,9 +49,13 @@ def op11_voronoi_search(spark, sf_dir):
     return neighbours.digest(common.table(spark, sf_dir, "embeddings"))
 
 
+def op12_ranked_search(spark, sf_dir):
+    return ranked.digest(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 def op13_filter_interactions(spark, sf_dir):
     return interaction.audit(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_personal_data, op3_repeated_strings, op4_token_file, op5_jaccard_join, op6_language_model, op7_quality_rules, op8_toxicity, op9_packing, op10_sharding, op11_voronoi_search, op13_filter_interactions)}
-ORACLES = {"op1_decontamination": decontam.ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op7_quality_rules": quality.ORACLE, "op10_sharding": sharding.ORACLE, "op11_voronoi_search": neighbours.ORACLE, "op13_filter_interactions": interaction.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_personal_data, op3_repeated_strings, op4_token_file, op5_jaccard_join, op6_language_model, op7_quality_rules, op8_toxicity, op9_packing, op10_sharding, op11_voronoi_search, op12_ranked_search, op13_filter_interactions)}
+ORACLES = {"op1_decontamination": decontam.ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op7_quality_rules": quality.ORACLE, "op10_sharding": sharding.ORACLE, "op11_voronoi_search": neighbours.ORACLE, "op12_ranked_search": ranked.ORACLE, "op13_filter_interactions": interaction.ORACLE}
