@@ -9,8 +9,10 @@ A whole corpus would need as many rounds as its longest document has bytes, so i
 short, aligned pieces, without loss. A string's anchor is the place of the least hash in it, so equal strings have
 anchors at equal offsets. Strings of one anchor whose offsets lie in one stretch of WIDTH form a cell; all of them hold
 the cell's core, so equal strings lie in cells with equal cores. Only cells whose core occurs twice matter: where two
-are equal as a whole (two 64-bit hashes, of the core and of all), all their strings are repeated; different ones with one
-core go through the construction, whose documents they are, LENGTH + WIDTH - 1 columns wide. A core with more than MEMBERS
+are equal as a whole, all their strings are repeated; different ones with one core go through the construction, whose
+documents they are, LENGTH + WIDTH - 1 columns wide. Cores are found by a rolling 64-bit hash, which only brings cells
+together: two different cores of one hash meet in a construction, which compares bytes. That cells are equal as a whole is
+decided by BLAKE2b of their bytes, 128 bits under a key drawn anew for each run, so that no text can be made to collide. A core with more than MEMBERS
 different cells is dealt further by its strings themselves: a stretch of one string is its own core, and equal cores (by a
 128-bit hash) are equal strings. The construction's sequential files are scratch of one task and are lost only with it.
 """
@@ -18,6 +20,7 @@ different cells is dealt further by its strings themselves: a stretch of one str
 from __future__ import annotations
 
 import hashlib
+import secrets
 import tempfile
 
 import numpy as np
@@ -71,8 +74,8 @@ def least(v: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[: n - w + 1], ahead[w - 1 : n])
 
 
-def cells(texts: list[bytes]):
-    """Cells of some texts: core, whole (64-bit hashes), text, first (string's start in its text), lo, hi (places in the stretch)."""
+def cells(texts: list[bytes], key: bytes = b""):
+    """Cells of some texts: core (64-bit hash), whole (two halves of a keyed 128-bit hash of the bytes), text, first (string's start in its text), lo, hi (places in the stretch)."""
     held, size, first = [], 0, 0
     for k, t in enumerate(texts):
         at = 0
@@ -81,16 +84,17 @@ def cells(texts: list[bytes]):
             size += len(held[-1][2])
             at += SLICE
             if size >= SLICE:
-                yield _cells(held)
+                yield _cells(held, key)
                 held, size = [], 0
     if held:
-        yield _cells(held)
+        yield _cells(held, key)
 
 
-def _cells(held: list[tuple[int, int, bytes]]):
+def _cells(held: list[tuple[int, int, bytes]], key: bytes):
     sizes = np.array([len(t) for _, _, t in held], np.int64)
     ends = np.cumsum(sizes)
-    b = np.frombuffer(b"".join(t for _, _, t in held), np.uint8)
+    raw = b"".join(t for _, _, t in held)
+    b = np.frombuffer(raw, np.uint8)
     n = len(b)
     up, down = _power(n + 1)
     total = np.zeros(n + 1, _U)
@@ -115,7 +119,9 @@ def _cells(held: list[tuple[int, int, bytes]]):
     a, c, lo, hi = anchor[i], stretch[i], s[i], s[j]
     left = a - WIDTH * c - (WIDTH - 1)
     core = _mix(hashes(left + WIDTH - 1, left + LENGTH) + c.astype(_U) * _U(0xA24BAED4963EE407))
-    whole = _mix(hashes(lo, hi + LENGTH) + ((lo - left) * WIDTH + hi - left).astype(_U) * _U(0xA24BAED4963EE407))
+    digests = b"".join(hashlib.blake2b(raw[x:y], digest_size=16, key=key).digest() for x, y in zip(lo.tolist(), (hi + LENGTH).tolist()))
+    whole = np.frombuffer(digests, "<u8").reshape(-1, 2).copy()
+    whole[:, 0] ^= ((lo - left) * WIDTH + hi - left).astype(_U)  # equal bytes at other places in the stretch are another cell
     which = np.searchsorted(ends, lo, "right")
     first = lo - (ends - sizes)[which] + np.array([x for _, x, _ in held], np.int64)[which]
     return core, whole, np.array([k for k, _, _ in held], np.int64)[which], first, (lo - left).astype(np.uint8), (hi - left).astype(np.uint8)
@@ -207,9 +213,9 @@ def _range_min(v: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-_ENTRY = np.dtype([("core", "<u8"), ("whole", "<u8"), ("did", "<i8"), ("first", "<u4"), ("lo", "u1"), ("hi", "u1")])
+_ENTRY = np.dtype([("core", "<u8"), ("whole", "<u8"), ("more", "<u8"), ("did", "<i8"), ("first", "<u4"), ("lo", "u1"), ("hi", "u1")])
 _PLACE = np.dtype([("did", "<i8"), ("first", "<u4"), ("lo", "u1"), ("hi", "u1")])
-_CELL = np.dtype([("core", "<u8"), ("whole", "<u8"), ("again", "u1")])
+_CELL = np.dtype([("core", "<u8"), ("whole", "<u8"), ("more", "<u8"), ("again", "u1")])
 _ASK = np.dtype([("did", "<i8"), ("group", "<u8"), ("first", "<u4"), ("lo", "u1"), ("hi", "u1"), ("how", "u1")])
 _RANGE = np.dtype([("did", "<i8"), ("lo", "<u4"), ("hi", "<u4")])
 #: What is asked for: a cell to compare with, one to decide on, one of a core with too many cells.
@@ -219,13 +225,20 @@ REPEATED, HOW = 1, 2
 CHUNKS = "chunk bigint, own boolean, bucket int, cells binary, sizes binary, cuts binary, places binary"
 
 
+def _other(x: np.ndarray) -> np.ndarray:
+    """Of sorted cells, which differ from the one before."""
+    out = np.ones(len(x), bool)
+    out[1:] = (x["core"][1:] != x["core"][:-1]) | (x["whole"][1:] != x["whole"][:-1]) | (x["more"][1:] != x["more"][:-1])
+    return out
+
+
 def _batch(rows, names, kinds):
     import pyarrow as pa
 
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names)
 
 
-def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
+def _chunks(docs: DataFrame, buckets: int, key: bytes) -> DataFrame:
     """Cells, a chunk of ENTRIES at a time: one row with where all stand (own), and for each bucket its different cells, once each.
 
     However often a cell occurs in a chunk it is sent once, so a cell that is all over the corpus is sent once a chunk.
@@ -243,14 +256,13 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
         def flush():
             e = np.concatenate(held)
             where = (e["core"] % _U(buckets)).astype(np.int64)
-            order = np.lexsort((e["whole"], e["core"], where))
+            order = np.lexsort((e["more"], e["whole"], e["core"], where))
             e, where = e[order], where[order]
-            new = np.ones(len(e), bool)
-            new[1:] = (e["core"][1:] != e["core"][:-1]) | (e["whole"][1:] != e["whole"][:-1])
+            new = _other(e)
             at = np.flatnonzero(new)
             sizes = np.diff(np.append(at, len(e)))
             cell, place = np.empty(len(at), _CELL), np.empty(len(e), _PLACE)
-            cell["core"], cell["whole"], cell["again"] = e["core"][at], e["whole"][at], sizes > 1
+            cell["core"], cell["whole"], cell["more"], cell["again"] = e["core"][at], e["whole"][at], e["more"][at], sizes > 1
             for k in _PLACE.names:
                 place[k] = e[k]
             cuts = np.searchsorted(where[at], np.arange(buckets + 1))
@@ -260,9 +272,9 @@ def _chunks(docs: DataFrame, buckets: int) -> DataFrame:
 
         for b in batches:
             dids = np.array(b.column(0).to_pylist(), np.int64)
-            for core, whole, which, first, lo, hi in cells([t or b"" for t in b.column(1).to_pylist()]):
+            for core, whole, which, first, lo, hi in cells([t or b"" for t in b.column(1).to_pylist()], key):
                 e = np.empty(len(core), _ENTRY)
-                e["core"], e["whole"], e["did"], e["first"], e["lo"], e["hi"] = core, whole, dids[which], first, lo, hi
+                e["core"], e["whole"], e["more"], e["did"], e["first"], e["lo"], e["hi"] = core, whole[:, 0], whole[:, 1], dids[which], first, lo, hi
                 held.append(e)
                 size += len(e)
                 if size >= ENTRIES:
@@ -283,12 +295,11 @@ def _replies(chunks: DataFrame) -> DataFrame:
     def solve(bucket, rows):
         parts = [np.frombuffer(raw, _CELL) for _, raw in rows]
         c = np.concatenate(parts)
-        order = np.lexsort((c["whole"], c["core"]))  # stable: of equal cells the first chunk's comes first
+        order = np.lexsort((c["more"], c["whole"], c["core"]))  # stable: of equal cells the first chunk's comes first
         c = c[order]
         new = np.ones(len(c), bool)
         new[1:] = c["core"][1:] != c["core"][:-1]
-        one = new.copy()
-        one[1:] |= c["whole"][1:] != c["whole"][:-1]
+        one = _other(c)
         kind, group = np.cumsum(one) - 1, np.cumsum(new) - 1
         single = np.bincount(kind, 1 + c["again"].astype(np.int64)) == 1
         first = np.flatnonzero(one)
@@ -490,7 +501,7 @@ def ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     spark = docs.sparkSession
     buckets = parts = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     own = docs.select(F.xxhash64("doc_id", "text").alias("did"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    chunks = common.keep(_chunks(own, buckets), "cells", by="own")
+    chunks = common.keep(_chunks(own, buckets, secrets.token_bytes(16)), "cells", by="own")
     replies = common.keep(_replies(chunks), "replies")
     common.drop(chunks, "own=false")
     decided = common.keep(_decided(chunks, replies, parts), "decided")

@@ -99,3 +99,21 @@ def test_range_minima():
     b = a + 1 + (rng.random(200) * (50 - a)).astype(int)
     b = np.minimum(b, 50)
     assert (suffixes._range_min(v, a, b) == [v[x:y].min() for x, y in zip(a, b)]).all()
+
+
+def thue_morse(pair, n=64):
+    return "".join(pair[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_texts_with_one_rolling_hash_are_told_apart(spark):
+    """Polynomial hashes modulo 2**64 collide on Thue-Morse words, whatever their base; only bytes decide."""
+    ends = "".join(chr(97 + i * 7 % 26) for i in range(72)), "".join(chr(65 + i * 11 % 26) for i in range(72))
+    texts = []
+    for turn in (str, lambda p: p[::-1]):
+        texts.append(ends[0] + "".join(thue_morse(turn(p)) for p in ("li", "Z4", "sB", "WO")) + ends[1])
+    assert len(texts[0]) == 400 and texts[0] != texts[1]
+    spread = [ends[0] + thue_morse("ab", 512) + ends[1], ends[0] + thue_morse("ba", 512) + ends[1]]
+    for pair in (texts, spread):
+        got = table(suffixes.strip(docs(spark, pair)))
+        assert [got[i + 1] for i in range(2)] == brute(pair, 400)
+    assert not any(g[1] for g in table(suffixes.strip(docs(spark, texts))).values())
