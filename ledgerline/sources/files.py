@@ -6,6 +6,7 @@ import atexit
 import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +54,13 @@ def append(df: DataFrame, table: str) -> None:
 
 def rebuild(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """A frame written to the shared folder and read back: what is built on it does not build it again, and a lost executor loses nothing."""
+    spark = df.sparkSession
+    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
