@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.operators import discovery, quality, relational
-from ledgerline.sources import files, html
+from ledgerline.sources import files, html, markup
 
 from . import derive
 from .leads_q import SCORED_SQL, packed, scored
@@ -194,6 +194,27 @@ def page_links(spark, sf_dir):
     return pages.select("page_id", F.posexplode(html.links(C("html"))).alias("place", "l")).select("page_id", "place", "l.href", "l.text")
 
 
+# Every page is put into a cell of an inner table, its cells not closed and a > in an attribute; the twin knows the cells, and takes the page's text with patterns.
+_ASK = "'<table border=\"0\" title=\"a > b\"><tr><th>Page</th><th>Link</th></tr><tr><td>' || CAST(page_id AS string) || '<td data-x=\"</td>\"><a href=\"' || url || '\">here</a> <TABLE><tr><td>Url<td>' || replace(url, '/', ' / ') || '<tr><td colspan=2>' || coalesce(html, '') || '</table>after</tr><tr><td>last</table>'"
+_OWN = r"regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'), '(?i)</?(a|b|i)(\s[^>]*)?>', '', 'g')"
+NESTED = f"SELECT page_id, {_ASK} AS h FROM pages"
+
+
+@query("SRC14 SRC15 UDF10", f"""WITH r AS (SELECT page_id, url, replace(replace({_TEXT.replace('{x}', _OWN)}, '&copy;', '©'), '&middot;', '·') AS own FROM pages)
+SELECT page_id, table_no, depth, inside_cell, row_no, n, texts, href FROM (
+    SELECT page_id, 0 AS table_no, 0 AS depth, NULL::INTEGER AS inside_cell, 0 AS row_no, 2 AS n, 'Page|Link' AS texts, NULL AS href FROM r
+    UNION ALL SELECT page_id, 0, 0, NULL, 1, 2, page_id::VARCHAR || '|here after', url FROM r
+    UNION ALL SELECT page_id, 0, 0, NULL, 2, 1, 'last', NULL FROM r
+    UNION ALL SELECT page_id, 1, 1, 1, 0, 2, 'Url|' || trim(regexp_replace(replace(url, '/', ' / '), '\\s+', ' ', 'g')), NULL FROM r
+    UNION ALL SELECT page_id, 1, 1, 1, 1, 1, own, (SELECT regexp_extract(html, '<a\\s[^>]*href="([^"]*)"', 1) FROM pages p WHERE p.page_id = r.page_id) FROM r) z""")
+def nested_tables(spark, sf_dir):
+    """Rows of tables within tables, by the table function; all pages, whole."""
+    spark.read.parquet(f"{sf_dir}/pages.parquet").createOrReplaceTempView("pages")
+    rows = markup.with_rows(spark.sql(NESTED), "h")
+    links = F.filter(F.transform("cells", lambda c: c["href"]), lambda x: x.isNotNull())
+    return rows.select("page_id", "table_no", "depth", "inside_cell", "row_no", F.size("cells").alias("n"), F.array_join(F.transform("cells", lambda c: c["text"]), "|").alias("texts"), F.get(links, 0).alias("href"))
+
+
 DETAILS = "SELECT p_partkey AS id, 'http://x/d?acct=' || CAST(p_partkey AS string) AS url, CASE WHEN p_partkey % 6 = 0 THEN '<p>no such account</p>' ELSE '<table><tr><td>Owner Full Name:</td><td>' || p_name || '</td></tr><tr><td>Bedrooms</td><td>' || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE CAST(p_size AS string) END || '</td></tr><tr><td>Foundation Type (main)</td><td>' || p_brand || '</td></tr><tr><td>Colour</td><td>blue</td></tr></table>' END AS h FROM part"
 
 
