@@ -61,6 +61,13 @@ def split(records: DataFrame, day: str, keys: list[str], whole: DataFrame | None
         large = found.filter(large).select(*at)
         if large.isEmpty():
             return done
-        left = files.kept(_halved(large), "ranges")
+        left = _halved(large)
         counts = files.kept(_halved(counts.join(large, same(counts, large, at), "left_semi"), "__day"), "days")
         level += 1
+
+
+def assigned(records: DataFrame, day: str, keys: list[str], found: DataFrame) -> DataFrame:
+    """Records with the range (first, last) that their day lies in, by equality: each range is one row a day. Records without a day are left out."""
+    days = found.select(*[F.col(k).alias(f"__{k}") for k in keys], "first", "last", F.explode(F.sequence("first", "last")).alias("__day"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys] + [F.col(day) == F.col("__day")]
+    return records.join(days, same).drop("__day", *[f"__{k}" for k in keys])

@@ -61,6 +61,11 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    goes(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def goes(spark: SparkSession, path: str) -> None:
+    """Have a folder deleted when the application ends."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
