@@ -47,7 +47,7 @@ CAPTION_FILLERS = ["ESTATE", "IN", "THE", "OF", "DECEASED"]
 # A suffix at the end of a caption, the name of an estate's person, and a run of names.
 CAPTION_SUFFIX = r"(?i)\s+(?:Jr\.?|Sr\.?|I{2,3}|IV)$"
 CAPTION_ESTATE = r"(?i)ESTATE OF[:\s]*(.+?)(?:,|\s+DECEASED)"
-CAPTION_RUN = "\\b[A-Za-z][A-Za-z'’\\-]+\u0001[A-Za-z'’\\-\u0001]+\\b"
+CAPTION_RUN = "(?U)\\b[A-Za-z][A-Za-z'’\\-]+\u0001[A-Za-z'’\\-\u0001]+\\b"
 #: Space between two words of names, which is marked first: a pattern that repeats words would go as deep as there are words.
 CAPTION_SPACE = r"(?<=[A-Za-z'’\-][A-Za-z'’\-])\s+(?=[A-Za-z][A-Za-z'’\-])"
 # What a name to search for drops, and the suffixes that its last name loses.
@@ -114,21 +114,32 @@ def nickname_variants(first: Column) -> Column:
     return F.coalesce(F.try_element_at(table, F.upper(F.trim(first))), F.array().cast("array<string>"))
 
 
-def decedent(caption: Column) -> Column:
-    """(first, last) of the person that a court caption names.
+def titled(x: Column) -> Column:
+    """A capital at the start of each run of letters, also after a hyphen or an apostrophe, the other letters small."""
+    return F.array_join(F.transform(F.regexp_extract_all(x, F.lit(r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"), F.lit(1)), lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substr(r, F.lit(2))))), "")
 
-    A suffix goes, capitals are softened, one phrase before the name goes; then: what stands after ESTATE OF; else the
-    longest run of words; else all words that are not fillers. No entity recognition is used: it needs a model.
-    """
+
+def caption_text(caption: Column) -> Column:
+    """What of a court caption may hold a name: a suffix goes, capitals are softened, one phrase before the name goes."""
     text = F.regexp_replace(F.trim(blank(caption)), CAPTION_SUFFIX, "")
-    text = F.when(F.upper(caption) == caption, F.initcap(F.lower(text))).otherwise(text)
+    text = F.when(F.upper(caption) == caption, titled(text)).otherwise(text)
     strip = lambda t, p: F.when(F.upper(t).startswith(p), F.regexp_replace(F.substr(t, F.lit(len(p) + 1)), r"^[:, ]+|[:, ]+$", ""))
-    text = F.coalesce(*[strip(text, p) for p in CAPTION_PHRASES], text)
+    return F.coalesce(*[strip(text, p) for p in CAPTION_PHRASES], text)
+
+
+def decedent(caption: Column, person: Column | None = None) -> Column:
+    """(first, last) of the person that a court caption names.
+
+    Of caption_text(): the person that a model has recognised, where one is given and not empty (operators.tagger; off by
+    default); else what stands after ESTATE OF; else the longest run of words; else all words that are not fillers.
+    """
+    text = caption_text(caption)
+    known = F.lit("") if person is None else F.coalesce(person, F.lit(""))
     estate = F.regexp_extract(text, CAPTION_ESTATE, 1)
     runs = F.regexp_extract_all(F.regexp_replace(text, CAPTION_SPACE, "\u0001"), F.lit(CAPTION_RUN), F.lit(0))
     longest = F.aggregate(runs, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
-    rest = F.filter(words(F.regexp_replace(text, ",", " ")), lambda w: w.rlike(r"^[A-Za-z]+$") & ~F.upper(w).isin(CAPTION_FILLERS))
-    chosen = F.when(estate != "", words(estate)).when(longest != "", F.split(longest, "\u0001")).when(F.size(rest) >= 2, rest).otherwise(F.array().cast("array<string>"))
+    rest = F.filter(words(F.regexp_replace(text, ",", " ")), lambda w: w.rlike(r"^\p{L}+$") & ~F.upper(w).isin(CAPTION_FILLERS))
+    chosen = F.when(known != "", words(known)).when(estate != "", words(estate)).when(longest != "", F.split(longest, "\u0001")).when(F.size(rest) >= 2, rest).otherwise(F.array().cast("array<string>"))
     two = F.size(chosen) >= 2
     first = F.when(two, F.array_join(F.slice(chosen, 1, F.greatest(F.size(chosen) - 1, F.lit(0))), " ")).otherwise(F.coalesce(F.get(chosen, 0), F.lit("")))
     return F.struct(first.alias("first"), F.when(two, F.try_element_at(chosen, F.lit(-1))).otherwise("").alias("last"))
