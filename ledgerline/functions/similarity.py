@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Longest text whose positions fit the bits of one number, with room for a carry.
+#: Positions that one number holds as bits, with room for a carry.
 BITS = 61
 
 
@@ -18,28 +18,62 @@ def let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), 0)
 
 
+def _shift(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), n)
+
+
 def common_length(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence of two texts.
 
     The shorter text's positions are bits. A sign of the longer one is added where it stands in the shorter; carries
-    move along the bits, and those left unset count the subsequence. Texts over BITS go row by row through the table.
+    move along the bits, and those left unset count the subsequence. Where each sign stands is worked out once, for the
+    signs that both have; others change nothing and are left out. A text of more than BITS positions is an array of
+    numbers, a step goes through them from the first on, and what is carried out of one is added to the next.
     """
 
-    def of(v: Column) -> Column:
-        xs, ys, n = v["xs"], v["ys"], F.size(v["xs"])
-        full = F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1
+    def masks(xs: Column, first: Column, n: Column, sign: Column) -> Column:
+        """Bits of the positions first to first + n at which a sign stands."""
+        return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0).cast("long"), lambda m, i: F.when(F.get(xs, first + i) == sign, m.bitwiseOR(_shift(i))).otherwise(m))
+
+    def one(v: Column) -> Column:
+        full = _shift(v["n"]) - 1
+        table = F.transform(v["signs"], lambda c: masks(v["xs"], F.lit(0), v["n"], c))
+
+        def of(w: Column) -> Column:
+            step = lambda bits, m: (bits + bits.bitwiseAND(m)).bitwiseOR(bits.bitwiseAND(F.bitwise_not(m))).bitwiseAND(w["full"])
+            return F.bit_count(w["full"].bitwiseAND(F.bitwise_not(F.aggregate(w["places"], w["full"], lambda bits, i: step(bits, F.get(w["table"], i)))))).cast("int")
 
-        def step(bits, y):
-            mask = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0).cast("long"), lambda m, i: F.when(F.get(xs, i) == y, m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))).otherwise(m))
-            return let(mask, lambda m: (bits + bits.bitwiseAND(m)).bitwiseOR(bits.bitwiseAND(F.bitwise_not(m))).bitwiseAND(full))
+        return let(F.struct(full.alias("full"), table.alias("table"), v["places"].alias("places")), of)
 
-        short = F.bit_count(full.bitwiseAND(F.bitwise_not(F.aggregate(ys, full, step)))).cast("int")
+    def many(v: Column) -> Column:
+        words = F.sequence(F.lit(0), F.floor((v["n"] - 1) / BITS).cast("int"))
+        size = lambda k: F.least(v["n"] - k * BITS, F.lit(BITS))
+        table = F.transform(v["signs"], lambda c: F.transform(words, lambda k: masks(v["xs"], k * BITS, size(k), c)))
+        full = F.transform(words, lambda k: _shift(size(k)) - 1)
+        start = F.struct(F.array().cast("array<bigint>").alias("bits"), F.lit(0).cast("long").alias("carry"))
 
-        def row(old, y):
-            return F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0)), lambda r, i: F.concat(r, F.array(F.when(F.get(xs, i - 1) == y, F.get(old, i - 1) + 1).otherwise(F.greatest(F.get(old, i), F.element_at(r, -1))))))
+        def add(state: Column, z: Column) -> Column:
+            """A word's bits, its mask and its full set: the sum, what goes over its end to the next word."""
+            total = z["b"] + z["b"].bitwiseAND(z["m"]) + state["carry"]
+            own = total.bitwiseOR(z["b"].bitwiseAND(F.bitwise_not(z["m"]))).bitwiseAND(z["f"])
+            return F.struct(F.concat(state["bits"], F.array(own)).alias("bits"), F.call_function("shiftright", total, F.lit(BITS)).alias("carry"))
 
-        table = F.element_at(F.aggregate(ys, F.array_repeat(F.lit(0), n + 1), row), -1)
-        return F.when(n == 0, 0).when(n <= BITS, short).otherwise(table)
+        def of(w: Column) -> Column:
+            def step(bits: Column, i: Column) -> Column:
+                named = F.zip_with(F.zip_with(bits, F.get(w["table"], i), lambda b, m: F.struct(b.alias("b"), m.alias("m"))), w["full"], lambda z, f: F.struct(z["b"].alias("b"), z["m"].alias("m"), f.alias("f")))
+                return F.aggregate(named, start, add, lambda s: s["bits"])
+
+            left = F.zip_with(F.aggregate(w["places"], w["full"], step), w["full"], lambda b, f: F.bit_count(f.bitwiseAND(F.bitwise_not(b))))
+            return F.aggregate(left, F.lit(0), lambda n, x: n + x.cast("int"))
+
+        return let(F.struct(full.alias("full"), table.alias("table"), v["places"].alias("places")), of)
+
+    def of(v: Column) -> Column:
+        # Places of the longer text's signs among those that both texts have.
+        signs = F.array_intersect(v["xs"], v["ys"])
+        places = lambda w: F.filter(F.transform(w["ys"], lambda y: F.array_position(w["signs"], y).cast("int") - 1), lambda i: i >= 0)
+        own = let(F.struct(v["xs"].alias("xs"), v["ys"].alias("ys"), signs.alias("signs")), lambda w: F.struct(w["xs"].alias("xs"), w["signs"].alias("signs"), places(w).alias("places"), F.size(w["xs"]).alias("n")))
+        return let(own, lambda w: F.when(F.size(w["signs"]) == 0, 0).when(w["n"] <= BITS, one(w)).otherwise(many(w)))
 
     ordered = let(F.struct(chars(a).alias("p"), chars(b).alias("q")), lambda v: F.when(F.size(v["p"]) <= F.size(v["q"]), F.struct(v["p"].alias("xs"), v["q"].alias("ys"))).otherwise(F.struct(v["q"].alias("xs"), v["p"].alias("ys"))))
     return F.when(a == b, F.length(a)).when(a.isNotNull() & b.isNotNull(), let(ordered, of))

@@ -85,3 +85,17 @@ def test_similarities_are_symmetric_and_bounded(spark, pairs):
     for f in (similarity.ratio, similarity.token_set_ratio, similarity.partial_ratio):
         for r in df.select(f(C("a"), C("b")).alias("p"), f(C("b"), C("a")).alias("q")).collect():
             assert r["p"] == pytest.approx(r["q"]) and -1e-9 <= r["p"] <= 100 + 1e-9
+
+
+def test_common_subsequences_over_several_words(spark):
+    """Lengths about the ends of words, signs beyond the basic plane, carries through full words."""
+    rng = random.Random(9)
+    pairs = [("x" * n, "x" * m) for n in (61, 62, 122, 123, 183) for m in (61, 200, 300)]
+    for n in (1, 60, 61, 62, 121, 122, 123, 184, 300):
+        for alphabet in ("ab", "abcdefgh 😀é"):
+            make = lambda k: "".join(rng.choice(alphabet) for _ in range(k))
+            pairs += [(make(n), make(rng.randint(1, 320))), (make(n), make(n))]
+    pairs += [("", "x" * 70), ("y" * 70, "x" * 90), (None, "x" * 70), ("ab" * 100, "ba" * 100)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    got = {r.i: r.n for r in df.select("i", similarity.common_length(F.col("a"), F.col("b")).alias("n")).collect()}
+    assert [got[i] for i in range(len(pairs))] == [None if a is None or b is None else lcs(a, b) for a, b in pairs]
