@@ -110,19 +110,39 @@ FROM part
 """
 
 
-_SAVED: dict[tuple[str, str, str], str] = {}
+_ONCE: dict[tuple[str, str, str], tuple[int, object]] = {}
+
+
+def stamp(spark: SparkSession, sf_dir: str) -> int:
+    """A number for the files below a folder: their names, sizes and times."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(at, True)
+    own = []
+    while found.hasNext():
+        f = found.next()
+        own.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(own)))
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
+    """What is made of a folder's tables, made once an application, and again where their files have changed since."""
+    key, now = (spark.sparkContext.applicationId, sf_dir, name), stamp(spark, sf_dir)
+    if key not in _ONCE or _ONCE[key][0] != now:
+        _ONCE[key] = now, build()
+    return _ONCE[key][1]
 
 
 def saved(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A relation as a table: written once an application for its tables, read by all that builds on it."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _SAVED:
+    """A relation as a table: written once, as once(), read by all that builds on it."""
+
+    def write() -> str:
         path = f"{files.scratch(spark)}/{name}-{uuid.uuid4().hex}"
         build().write.parquet(path)
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-        _SAVED[key] = path
-    return spark.read.parquet(_SAVED[key])
+        files.goes(spark, path)
+        return path
+
+    return spark.read.parquet(once(spark, sf_dir, name, write))
 
 
 def views(spark: SparkSession, sf_dir: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import legal, names
 from ledgerline.functions.text import account_in
-from ledgerline.operators import candidates, owners, relational
+from ledgerline.operators import candidates, gramindex, owners, relational
 
 from . import derive
 from .linkage_q import token_set_sql
@@ -77,6 +77,18 @@ def property_search(spark, sf_dir):
     return found.select("lead_id", "tier", "property_id")
 
 
+@query("JOIN05", f"WITH {HITS} SELECT lead_id, tier, property_id FROM hi")
+def indexed_search(spark, sf_dir):
+    """The same search over a stored index, written once for the tables."""
+    c = F.col
+    properties = derive.relation(spark, sf_dir, derive.PROPERTIES).select("property_id", F.upper("legal_text").alias("legal_text"), F.upper("owner_name").alias("owner_name"))
+    index = derive.once(spark, sf_dir, "gram_index", lambda: gramindex.scratch(properties, "property_id", "legal_text"))
+    ready = queried(spark, sf_dir, SOME).filter("query_state = 'READY'")
+    found = gramindex.search(index, ready.select(c("legal_query").alias("query"))).select(c("query").alias("legal_query"), c("id").alias("property_id"))
+    hits = ready.join(found, "legal_query").join(properties.select("property_id", "owner_name"), "property_id")
+    return hits.filter(c("owner_query").isNull() | c("owner_name").contains(c("owner_query"))).select("lead_id", "tier", "property_id")
+
+
 STATUS = f"""{HITS}, cn AS (SELECT q.lead_id, q.ord, q.tier, q.query_state, q.s, count(h.property_id) AS n, min(h.owner_name) AS owner_name FROM qs q LEFT JOIN hi h ON q.lead_id = h.lead_id AND q.tier = h.tier WHERE {SOME.replace('lead_id', 'q.lead_id')} GROUP BY ALL),
 sa AS (SELECT *, CASE WHEN query_state <> 'READY' THEN query_state WHEN lead_id % 101 = 0 THEN 'ERROR' WHEN n = 0 THEN 'NO_HITS' WHEN n = 1 THEN CASE WHEN lead_id % 4 = 0 THEN 'SINGLE_ITEM_IN_LIST' ELSE 'UNIQUE_HIT' END WHEN n > 20 THEN 'PAGINATION_TOO_LARGE' ELSE 'MULTIPLE_HITS' END AS status FROM cn)"""
 

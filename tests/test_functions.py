@@ -1,8 +1,6 @@
 import random
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, legal, names, numbers, similarity, text
@@ -78,9 +76,10 @@ def test_similarities_against_a_table(spark):
     assert [r[0] for r in got[:3]] == [100.0, 100.0, 0.0] and got[3][0] == pytest.approx(200 * 2 / 6)
 
 
-@settings(max_examples=15, deadline=None)
-@given(st.lists(st.tuples(st.text("ab c", max_size=9), st.text("ab c", max_size=9)), min_size=1, max_size=20))
-def test_similarities_are_symmetric_and_bounded(spark, pairs):
+def test_similarities_are_symmetric_and_bounded(spark):
+    rng = random.Random(2)
+    make = lambda: "".join(rng.choice("ab c") for _ in range(rng.randint(0, 9)))
+    pairs = [(make(), make()) for _ in range(300)]
     df = spark.createDataFrame(pairs, "a string, b string")
     for f in (similarity.ratio, similarity.token_set_ratio, similarity.partial_ratio):
         for r in df.select(f(C("a"), C("b")).alias("p"), f(C("b"), C("a")).alias("q")).collect():
