@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, names, numbers
 
+from .running import Before, Sum, running
+
 
 def ensure_columns(df: DataFrame, defaults: dict[str, tuple[str, object]]) -> DataFrame:
     """Adds columns that are missing: name -> (type, default)."""
@@ -34,31 +36,32 @@ def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def groups_of_followers(rows: DataFrame, page: str, place: str, is_main: Column) -> DataFrame:
-    """A number for each main row and the rows after it on its page; 0 before the first."""
-    upto = Window.partitionBy(page).orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("group_no", F.sum(F.when(is_main, 1).otherwise(0)).over(upto))
+    """A number for each main row and the rows after it on its page; 0 before the first. A page may have any number of rows."""
+    return running(rows, [page], [place], {"group_no": Sum(F.when(is_main, 1).otherwise(0))})
 
 
 def new_pages(pages: DataFrame, scan: str, page: str, first_key: str) -> DataFrame:
-    """Pages of a scan that do not begin like the page before."""
-    before = F.lag(first_key).over(Window.partitionBy(scan).orderBy(page))
-    return pages.withColumn("__before", before).filter(~F.col("__before").eqNullSafe(F.col(first_key)) | F.col(first_key).isNull()).drop("__before")
+    """Pages of a scan that do not begin like the page before. A scan may have any number of pages."""
+    own = running(pages, [scan], [page], {"__before": Before(F.col(first_key))})
+    return own.filter(~F.col("__before").eqNullSafe(F.col(first_key)) | F.col(first_key).isNull()).drop("__before")
 
 
 def pages_read(pages: DataFrame, scan: str, page: str, first_key: str, rows: str, empty: int, most: int) -> DataFrame:
     """The pages that a scan reads before it stops: at one that begins like the page before, at so many empty ones in a row, or after the most that it may.
 
-    A page that ends the scan is not read, but for empty ones, which are read and give nothing.
+    A page that ends the scan is not read, but for empty ones, which are read and give nothing. Pages are numbered in two
+    passes; no later one than the most that a scan may read gets into a window.
     """
+    pages = running(pages, [scan], [page], {"__nth": Sum(F.lit(1))}).filter(F.col("__nth") <= most)
     order = Window.partitionBy(scan).orderBy(page)
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     none = F.coalesce(F.col(rows), F.lit(0)) == 0
     again = F.coalesce(F.lag(first_key).over(order) == F.col(first_key), F.lit(False)) & ~none
-    numbered = pages.withColumns({"__nth": F.row_number().over(order), "__again": again, "__full": F.sum(F.when(none, 0).otherwise(1)).over(upto)})
+    numbered = pages.withColumns({"__again": again, "__full": F.sum(F.when(none, 0).otherwise(1)).over(upto)})
     run = F.sum(F.when(none, 1).otherwise(0)).over(Window.partitionBy(scan, "__full").orderBy(page).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     stops = numbered.withColumn("__run", run)
     stopped = F.max(F.when(F.col("__again") | (F.lag("__run").over(order) >= empty), 1).otherwise(0)).over(upto)
-    return stops.withColumn("__stopped", stopped).filter((F.col("__stopped") == 0) & (F.col("__nth") <= most)).drop("__nth", "__again", "__full", "__run", "__stopped")
+    return stops.withColumn("__stopped", stopped).filter(F.col("__stopped") == 0).drop("__nth", "__again", "__full", "__run", "__stopped")
 
 
 def listed(df: DataFrame, key: str, order: str, value: str, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.operators import discovery, quality, relational
+from ledgerline.operators import discovery, quality, relational, running
 from ledgerline.sources import files, html, markup
 
 from . import derive
@@ -148,6 +148,14 @@ def grid_groups(spark, sf_dir):
     return relational.groups_of_followers(g, "page", "at", C("is_main")).select("page", "place", "cell", "group_no")
 
 
+@query("SRC15 WIN04", "SELECT l_orderkey AS id, l_linenumber AS line, sum(CASE WHEN l_partkey % 11 = 0 THEN 1 ELSE 0 END) OVER (ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey ROWS UNBOUNDED PRECEDING)::BIGINT AS group_no, lag(l_suppkey) OVER (ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey) AS before FROM lineitem")
+def one_page_groups(spark, sf_dir):
+    """All lines on one page: groups and the row before, no task with more than its part of the page."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.lit(1).alias("page"), C("l_orderkey").alias("id"), C("l_linenumber").alias("line"), "l_partkey", "l_suppkey")
+    out = running.running(rows, ["page"], ["id", "line", "l_suppkey", "l_partkey"], {"group_no": running.Sum(F.when(C("l_partkey") % 11 == 0, 1).otherwise(0)), "before": running.Before(C("l_suppkey"))})
+    return out.select("id", "line", "group_no", "before")
+
+
 GRID_PAGES = "SELECT p_partkey AS id, '<table><tr><td>' || CASE WHEN p_partkey % 3 = 0 THEN 'RP-1</td><td>2<td>3' WHEN p_partkey % 3 = 1 THEN 'x</td><td>RM-' || CAST(p_size AS string) || '</td><td>3' ELSE 'x</td><td>2</td><td>XRP-3' END || '</td><td>4</td>' || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '<td>' || p_brand || '</td>' END || '</tr><tr><td>' || p_name || '</td></tr></table>' AS h FROM part"
 
 
