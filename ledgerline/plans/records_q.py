@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.operators import discovery, quality, relational, running
+from ledgerline.operators import catalog, discovery, quality, relational, running
 from ledgerline.sources import files, html, markup
 
 from . import derive
@@ -73,6 +73,28 @@ def check_from_metadata(spark, sf_dir):
     return quality.run(spark.read.parquet(f"{sf_dir}/part.parquet"), [("p_name", "unique"), ("p_partkey", "unique"), ("p_size", "not_null")])
 
 
+INCOMING = "SELECT CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN 'x-' || CAST(o_orderkey AS string) ELSE CAST(o_orderkey - o_orderkey % 5 AS string) END AS o_orderkey, CAST(o_custkey AS string) AS O_CUSTKEY, CASE WHEN o_orderkey % 31 = 0 THEN '?' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 17 = 0 THEN 'n/a' WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_totalprice AS string) END AS o_totalprice, o_orderpriority AS surplus FROM orders"
+_COUNT = lambda column, test, n: f"SELECT '{column}' AS column_name, '{test}' AS test, {n}::BIGINT AS failures FROM i"
+
+
+@query("SRC12 DQ04 DQ05", f"WITH i AS ({INCOMING}) " + " UNION ALL ".join([
+    _COUNT("o_orderkey", "type", "count(*) FILTER (o_orderkey LIKE 'x%')"), _COUNT("o_orderkey", "not_null", "count(*) - count(o_orderkey)"), _COUNT("o_orderkey", "unique", "count(o_orderkey) - count(DISTINCT o_orderkey)"),
+    _COUNT("O_CUSTKEY", "type", "0 * count(*)"), _COUNT("O_CUSTKEY", "not_null", "count(*) - count(O_CUSTKEY)"), _COUNT("o_orderstatus", "type", "0 * count(*)"), _COUNT("o_orderstatus", "accepted", "count(*) FILTER (o_orderstatus = '?')"),
+    _COUNT("o_totalprice", "type", "count(*) FILTER (o_totalprice = 'n/a')"), _COUNT("o_clerk", "present", "count(*)"), _COUNT("surplus", "known", "count(*)"), "SELECT 'o_orderkey', 'loaded', count(*) FILTER (o_orderkey NOT LIKE 'x%') FROM i",
+]))
+def check_against_catalog(spark, sf_dir):
+    """Texts are loaded into a table that the catalog describes; what breaks its description is counted by the load itself."""
+    name = f"orders_{uuid.uuid4().hex}"
+    path = f"{files.scratch(spark)}/{name}"
+    files.goes(spark, path)
+    tests = {"o_orderkey": ["not_null", "unique"], "o_custkey": ["not_null"], "o_orderstatus": ["accepted:F,O,P"]}
+    listed = ", ".join(f"""'tests.{c}' = "{t}" """ for c, t in tests.items())
+    spark.sql(f"CREATE TABLE {name} (o_orderkey BIGINT COMMENT 'number', o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_clerk STRING) USING parquet LOCATION '{path}' TBLPROPERTIES ({listed})")
+    found = catalog.load(derive.relation(spark, sf_dir, INCOMING), name)
+    loaded = spark.table(name).agg(F.count("o_orderkey").alias("failures")).select(F.lit("o_orderkey").alias("column_name"), F.lit("loaded").alias("test"), "failures")
+    return found.unionByName(loaded)
+
+
 ESSENTIAL = "(VALUES ('probate_lead_decedent_first'), ('probate_lead_decedent_last'), ('rp_party_type'), ('rp_file_number'), ('is_potential_decedent_match')) t(missing)"
 
 
