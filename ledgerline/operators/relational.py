@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, names, numbers
 
+from . import beginnings
 from .running import Before, Sum, running
 
 
@@ -84,32 +85,25 @@ def right_wins(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def beginning_with(terms: DataFrame, rows: DataFrame, term: str, name: str) -> DataFrame:
-    """terms and rows of which the name begins with the term.
+    """terms and rows of which the name begins with the term; empty and null terms find nothing.
 
-    An equi-join: each name meets the terms as its own beginnings, of the lengths that terms have (at most as many as a
-    term has characters). Empty and null terms find nothing.
+    Each different term is met once, as beginnings.matches; then the terms' own columns come by equality.
     """
-    terms = terms.filter(F.length(term) > 0)
-    lengths = sorted(r[0] for r in terms.select(F.length(term)).distinct().collect())
-    fit = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length(name))
-    starts = rows.withColumn("__start", F.explode(F.transform(fit, lambda n: F.substring(F.col(name), F.lit(1), n))))
-    return terms.join(starts, F.col(term) == F.col("__start")).drop("__start")
+    found = beginnings.matches(terms, rows, term, name).withColumnRenamed(term, "__term")
+    return terms.join(found, F.col(term) == F.col("__term")).drop("__term")
 
 
 def near_dates(leads: DataFrame, deeds: DataFrame, term: str, name: str, filed: str, recorded: str, days: int = 365) -> DataFrame:
     """Leads and deeds whose name begins with a lead's search term, recorded within so many days of the filing.
 
-    Besides the name, the sides meet on the stretch of days that a date falls in and its two neighbours, so that a name
-    with very many deeds is dealt by time as well.
+    Besides the term, the sides meet on the stretch of days that a date falls in and its two neighbours, so that a term
+    with very many leads and deeds is dealt by time as well.
     """
     number = lambda d: F.floor(F.unix_date(d) / days)
     left = leads.withColumn("__stretch", F.explode(F.array(*[number(F.col(filed)) + i for i in (-1, 0, 1)])))
-    left = left.withColumn("__term", F.concat(term, F.lit("|"), F.col("__stretch")))
-    lengths = sorted(r[0] for r in leads.filter(F.length(term) > 0).select(F.length(term)).distinct().collect())
-    fit = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length(name))
-    right = deeds.withColumn("__start", F.explode(F.transform(fit, lambda n: F.substring(F.col(name), F.lit(1), n))))
-    right = right.withColumn("__start", F.concat("__start", F.lit("|"), number(F.col(recorded))))
-    return left.filter(F.length(term) > 0).join(right, F.col("__term") == F.col("__start")).filter(dates.within(F.col(recorded), F.col(filed), days)).drop("__stretch", "__term", "__start")
+    right = beginnings.matches(leads, deeds, term, name).withColumnRenamed(term, "__term").withColumn("__recorded", number(F.col(recorded)))
+    met = left.join(right, (F.col(term) == F.col("__term")) & (F.col("__stretch") == F.col("__recorded")))
+    return met.filter(dates.within(F.col(recorded), F.col(filed), days)).drop("__stretch", "__term", "__recorded")
 
 
 def tiered_names(leads: DataFrame, parties: DataFrame, variants: int = 3, last_names: bool = False) -> DataFrame:
