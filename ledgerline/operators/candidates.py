@@ -67,28 +67,32 @@ def target(tier: Column, grantee: Column, decedent_first: Column, decedent_last:
     return F.when(tier.contains("GranteeLastName"), F.nullif(F.upper(F.trim(grantee)), F.lit(""))).when(tier.contains("DecedentLastName") | tier.contains("Fallback_Owner"), dec).otherwise(other)
 
 
-def summary_score(tier: Column, grantee_last: Column, decedent_last: Column, owner: Column, subdivision: Column, address: Column, full_legal: Column) -> Column:
-    """Owner and subdivision in equal parts; in two tiers a close legal text adds a fifth of its ratio."""
+def summary_score(tier: Column, grantee_last: Column, decedent_last: Column, owner: Column, subdivision: Column, address: Column, full_legal: Column, by=similarity) -> Column:
+    """Owner and subdivision in equal parts; in two tiers a close legal text adds a fifth of its ratio. by: what compares."""
     last = F.when(tier.contains("GranteeLastName"), F.upper(F.trim(blank(grantee_last)))).when(tier.contains("DecedentLastName") | tier.contains("Fallback_Owner"), F.upper(F.trim(blank(decedent_last)))).otherwise("")
     own, sub, addr = F.upper(F.trim(blank(owner))), no_nan(subdivision), F.upper(F.trim(blank(address)))
-    part = F.when((last != "") & (own != ""), similarity.token_set_ratio(last, own)).otherwise(0.0) * 0.5
-    part = part + F.when((sub != "") & (addr != ""), similarity.token_set_ratio(sub, addr)).otherwise(0.0) * 0.5
-    close = F.when(tier.isin(legal.TIERS[3], legal.TIERS[4]) & (blank(full_legal) != "") & (addr != ""), similarity.partial_ratio(full_legal, addr))
+    named, placed = (last != "") & (own != ""), (sub != "") & (addr != "")
+    part = F.when(named, by.token_set_ratio(F.when(named, last), F.when(named, own))).otherwise(0.0) * 0.5
+    part = part + F.when(placed, by.token_set_ratio(F.when(placed, sub), F.when(placed, addr))).otherwise(0.0) * 0.5
+    whole = tier.isin(legal.TIERS[3], legal.TIERS[4]) & (blank(full_legal) != "") & (addr != "")
+    close = F.when(whole, by.partial_ratio(F.when(whole, full_legal), F.when(whole, addr)))
     return part + F.when(close > 70, close * 0.2).otherwise(0.0)
 
 
-def detail_score(tier: Column, tract: Column, block: Column, lot: Column, section: Column, subdivision: Column, target_name: Column, detail_legal: Column, owner: Column) -> Column:
-    """Seven parts legal text to three parts owner, 0 to 100."""
+def detail_score(tier: Column, tract: Column, block: Column, lot: Column, section: Column, subdivision: Column, target_name: Column, detail_legal: Column, owner: Column, by=similarity) -> Column:
+    """Seven parts legal text to three parts owner, 0 to 100. by: what compares."""
     text, own = F.upper(F.trim(blank(detail_legal))), F.upper(F.trim(blank(owner)))
     t, b, x, s, d = map(no_nan, (tract, block, lot, section, subdivision))
     has = lambda name, v, points: F.when((v != "") & text.contains(F.concat(F.lit(f"{name} "), v)), points).otherwise(0.0)
     lots = F.when((x != "") & (text.contains(F.concat(F.lit("LT "), x)) | text.contains(F.concat(F.lit("LOT "), x))), 20.0).otherwise(0.0)
     parts = has("TR", t, 40.0) + has("BLK", b, 30.0) + lots + has("SEC", s, 10.0)
-    parts = parts + F.when((d != "") & (text != ""), similarity.token_set_ratio(d, text) / 100.0 * 30).otherwise(0.0)
+    placed = (d != "") & (text != "")
+    parts = parts + F.when(placed, by.token_set_ratio(F.when(placed, d), F.when(placed, text)) / 100.0 * 30).otherwise(0.0)
     whole = legal.full_text(tract, block, subdivision, lot, section)
-    raw = F.when(tier == legal.TIERS[6], F.when((whole != "") & (text != ""), similarity.ratio(whole, text)).otherwise(0.0)).otherwise(parts)
+    last = (tier == legal.TIERS[6]) & (whole != "") & (text != "")
+    raw = F.when(tier == legal.TIERS[6], F.when(last, by.ratio(F.when(last, whole), F.when(last, text))).otherwise(0.0)).otherwise(parts)
     legal_part = F.least(F.lit(100.0), raw / 130.0 * 100.0)
-    alike = similarity.token_set_ratio(target_name, own)
+    alike = by.token_set_ratio(target_name, own)
     alike = F.when((alike < 60) & (tier.startswith("T1_") | tier.contains("Fallback_Owner")), F.greatest(F.lit(0.0), alike - 20)).otherwise(alike)
     there = blank(target_name) != ""
     owner_part = F.when((own != "") & there, alike).when(there, 20.0).when(own != "", 30.0).otherwise(50.0)

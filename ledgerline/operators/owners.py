@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ledgerline.functions import names, numbers, similarity
 from ledgerline.functions.text import blank
 
+from .pairs import Pairs
+
 ENOUGH = 80
 # Match types in order of precedence, and search outcomes that need no review.
 SAME, DIFFERED, DEVIATED, GRANTEE, UNRELATED = "MATCH_PROBATE_DECEDENT_AS_RP_PARTY", "MATCH_PROBATE_DECEDENT_RP_PARTY_DIFFERED", "MATCH_RP_PARTY_PROBATE_DEVIATED", "MATCH_RP_GRANTEE", "HCAD_OWNER_IS_UNRELATED_THIRD_PARTY"
@@ -20,31 +22,46 @@ def full_name(first: Column, last: Column) -> Column:
     return F.nullif(F.trim(F.concat(F.upper(F.trim(blank(first))), F.lit(" "), F.upper(F.trim(blank(last))))), F.lit(""))
 
 
-def blend(name: Column, owner: Column, last_share: float) -> Column:
-    """Last names and full names in parts, to the nearest whole number, halves to even; 0 without either name."""
-    both = F.struct(names.surname(name).alias("last"), names.owner_surname(owner).alias("guess"))
-    lasts = similarity.let(both, lambda v: F.when((v["last"] != "") & (v["guess"] != ""), similarity.token_set_ratio(v["last"], v["guess"])).otherwise(0.0))
-    whole = numbers.half_even(lasts * last_share + similarity.token_set_ratio(name, owner) * (1 - last_share))
-    return F.when((blank(name) != "") & (blank(owner) != ""), whole).otherwise(0.0)
+def blend(name: Column, owner: Column, last_share: float, by=similarity) -> Column:
+    """Last names and full names in parts, to the nearest whole number, halves to even; 0 without either name. by: what compares."""
+    there = (blank(name) != "") & (blank(owner) != "")
+    last, guess = names.surname(name), names.owner_surname(owner)
+    both = there & (last != "") & (guess != "")
+    lasts = F.when(both, by.token_set_ratio(F.when(both, last), F.when(both, guess))).otherwise(0.0)
+    return F.when(there, numbers.half_even(lasts * last_share + by.token_set_ratio(F.when(there, name), F.when(there, owner)) * (1 - last_share))).otherwise(0.0)
 
 
 def scores(rows: DataFrame) -> DataFrame:
-    """The four scores of rows (hcad_owner_full_name, decedent_*, party_*, rp_grantee_full_names_list)."""
-    owner = F.upper(F.trim(blank(F.col("hcad_owner_full_name"))))
-    dead, party = full_name(F.col("decedent_first"), F.col("decedent_last")), full_name(F.col("party_first"), F.col("party_last"))
-    each = F.transform(F.coalesce("rp_grantee_full_names_list", F.array().cast("array<string>")), lambda g: blend(F.upper(F.trim(g)), owner, 0.6))
-    there = (owner != "") & F.col("hcad_search_status").isin(FOUND)
-    none = lambda x: F.when(there, x).otherwise(0.0)
-    return rows.withColumns(
-        {
-            "probate_decedent_full_name": dead,
-            "rp_party_full_name": party,
-            "score_hcad_vs_probate": none(blend(dead, owner, 0.3)),
-            "score_hcad_vs_rp_party": none(blend(party, owner, 0.3)),
-            "score_hcad_vs_best_rp_grantee": none(F.greatest(F.lit(0.0), F.array_max(each))),
-            "score_probate_vs_rp_party": none(F.coalesce(similarity.token_set_ratio(dead, party), F.lit(0.0))),
-        }
-    )
+    """The four scores of rows (hcad_owner_full_name, decedent_*, party_*, rp_grantee_full_names_list).
+
+    Names are alike over and over, so each two of them are compared once; of grantees each list with each owner.
+    """
+    names_list = F.coalesce("rp_grantee_full_names_list", F.array().cast("array<string>"))
+    base = rows.withColumns({
+        "__owner": F.upper(F.trim(blank(F.col("hcad_owner_full_name")))),
+        "probate_decedent_full_name": full_name(F.col("decedent_first"), F.col("decedent_last")),
+        "rp_party_full_name": full_name(F.col("party_first"), F.col("party_last")),
+        "__there": F.col("hcad_search_status").isin(FOUND),
+    })
+    there = F.coalesce((F.col("__owner") != "") & F.col("__there"), F.lit(False))
+    base = base.withColumn("__owner", F.when(there, F.col("__owner"))).withColumn("__list", F.when(there, names_list))
+    one = lambda g: F.upper(F.trim(g))
+    grantees = base.select(F.col("__owner").alias("__o"), F.explode("__list").alias("__g")).withColumn("__g", one(F.col("__g"))).filter("__g is not null").distinct()
+    by = Pairs()
+    best = blend(F.col("__g"), F.col("__o"), 0.6, by)
+    each = by.without(by.compared(grantees).withColumn("__best", best))
+    lists = base.select(F.col("__owner").alias("__o"), F.col("__list").alias("__l")).filter("__l is not null").distinct()
+    known = lists.withColumn("__g", F.explode("__l")).withColumn("__g", one(F.col("__g"))).join(each, ["__o", "__g"]).groupBy("__o", "__l").agg(F.max("__best").alias("__best"))
+    by = Pairs()
+    dead, party, owner = F.col("probate_decedent_full_name"), F.col("rp_party_full_name"), F.col("__owner")
+    out = {
+        "score_hcad_vs_probate": blend(dead, owner, 0.3, by),
+        "score_hcad_vs_rp_party": blend(party, owner, 0.3, by),
+        "score_hcad_vs_best_rp_grantee": F.greatest(F.lit(0.0), F.coalesce("__best", F.lit(0.0))),
+        "score_probate_vs_rp_party": F.coalesce(by.token_set_ratio(F.when(owner.isNotNull(), dead), F.when(owner.isNotNull(), party)), F.lit(0.0)),
+    }
+    met = by.compared(base).join(known, (F.col("__owner") == F.col("__o")) & (F.col("__list") == F.col("__l")), "left")
+    return by.without(met.withColumns(out)).drop("__owner", "__there", "__list", "__o", "__l", "__best")
 
 
 def match_type(scored: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from .linkage_q import clean_sql, std_sql
 from .registry import query
 
 C = F.col
-RAW_NAMES = f"SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_partkey % 9 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN '  o''' || lower(party_last) || '   (x) ' ELSE party_last END AS last, CASE WHEN l_partkey % 5 = 0 THEN ' ' || party_first || ' III' WHEN l_partkey % 11 = 0 THEN 'MARY, ANN' ELSE party_first END AS first FROM (SELECT d.*, lead_id AS l_orderkey, line AS l_linenumber FROM ({derive.DEEDS}) d WHERE line <= 2) z"
+RAW_NAMES = f"SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_partkey % 9 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN '  o''' || lower(party_last) || '   (x) ' ELSE party_last END AS last, CASE WHEN l_partkey % 5 = 0 THEN ' ' || party_first || ' III' WHEN l_partkey % 11 = 0 THEN 'MARY, ANN' ELSE party_first END AS first FROM (SELECT d.*, lead_id AS l_orderkey, line AS l_linenumber FROM ({derive.DEEDS}) d) z"
 # An apostrophe that both dialects read: built from its number.
 RAW_NAMES = RAW_NAMES.replace("'  o'''", "'  o' || chr(39)")
 
@@ -69,30 +69,49 @@ def date_ranges(spark, sf_dir):
 
 # Texts and pages are built here; their twins take them apart again, with lists of their own.
 _D, _L, _B, _S = f"'Desc: {derive.SUBDIVISIONS[0]} ' || CAST(p_size AS string)", "'Lot: ' || CAST(p_size AS string)", "'Block: B' || CAST(p_partkey % 9 AS string)", "'Sec: ' || CAST(p_partkey % 4 AS string)"
-LEGAL = f"SELECT p_partkey AS id, CASE CAST(p_partkey % 8 AS int) WHEN 0 THEN 'plain words only' WHEN 1 THEN {_L} || ' ' || {_B} || ' ' || {_S} || ' Comment: none' WHEN 2 THEN {_D} || ' ' || {_L} || ' ' || {_B} || ' ' || {_S} || ' Related Docs' WHEN 3 THEN {_B} || '  ' || {_L} WHEN 4 THEN {_D} || ' ' || {_S} WHEN 5 THEN NULL WHEN 6 THEN {_S} ELSE {_S} || ' ' || {_B} END AS t FROM part"
-_PART = lambda name: f"trim(split_part(coalesce(substr(list_filter(pl, lambda x: starts_with(x, '{name}: '))[1], {len(name) + 3}), ''), 'Related Docs', 1))"
-
-
-@query("STR08", f"""WITH l AS ({LEGAL}), p AS (SELECT id, coalesce(t, '') AS t, list_filter(string_split(regexp_replace(coalesce(t, ''), '(Desc|Lot|Block|Sec|Comment): ', '^\\1: ', 'g'), '^'), lambda x: x <> '') AS pl FROM l),
-q AS (SELECT id, t, {_PART('Desc')} AS d, {_PART('Lot')} AS lot, {_PART('Block')} AS block, {_PART('Sec')} AS sec FROM p)
-SELECT id, CASE WHEN d = '' AND lot = '' AND block = '' THEN t ELSE d END AS description, lot, block, sec FROM q""")
+_A, _V, _T, _U = "'Abstract: A-' || CAST(p_size AS string)", "'Survey: J DOE ' || CAST(p_partkey % 5 AS string)", "'Tract: ' || CAST(p_partkey % 70 AS string)", f"'Subd: {derive.SUBDIVISIONS[1]} ' || CAST(p_size AS string)"
+LEGAL = f"""SELECT p_partkey AS id, CASE CAST(p_partkey % 18 AS int) WHEN 0 THEN 'plain words only' WHEN 1 THEN {_L} || ' ' || {_B} || ' ' || {_S} || ' Comment: none' WHEN 2 THEN {_D} || ' ' || {_L} || ' ' || {_B} || ' ' || {_S} || ' Related Docs' WHEN 3 THEN {_B} || '  ' || {_L} WHEN 4 THEN {_D} || ' ' || {_S} WHEN 5 THEN NULL WHEN 6 THEN {_S} WHEN 7 THEN {_S} || ' ' || {_B}
+    WHEN 8 THEN {_U} || ' ' || {_L} || ' ' || {_B} WHEN 9 THEN {_A} || ' ' || {_V} || ' ' || {_T} WHEN 10 THEN {_T} || ' ' || {_L} WHEN 11 THEN {_V} || ' Comment: see map' WHEN 12 THEN {_S} || ' ' || {_T} WHEN 13 THEN {_D} || ' ' || {_U} || ' ' || {_A} || ' Related Docs 7' WHEN 14 THEN {_T} || ' ' || {_A} || ' ' || {_V} WHEN 15 THEN {_U} || ' Comment: x ' || {_T} WHEN 16 THEN {_L} || ' ' || {_U} ELSE 'Subdivision: ' || p_brand || ' ' || {_A} END AS t FROM part"""
+_ENDS = {"Desc": "Lot Block Sec Subd Abstract Survey Tract", "Subd": "Lot Block Sec Abstract Survey Tract", "Lot": "Block Sec Comment", "Block": "Lot Sec Comment", "Sec": "Lot Block Comment", "Abstract": "Survey Tract", "Survey": "Abstract Tract", "Tract": "Abstract Survey"}
+
+
+def _part_sql(label: str) -> str:
+    """What stands after a label up to one that ends it. Where another label stands in between, a part of words is not read, and one of any text goes on over it."""
+    ends = ", ".join(f"'{x}'" for x in _ENDS[label].split())
+    any_text = label in ("Desc", "Subd")
+    # An abstract's label ends like a tract's, and is read as one.
+    begins = "x.l IN ('Tract', 'Abstract')" if label == "Tract" else f"x.l = '{label}'"
+    upto = f"coalesce(list_min(list_transform(list_filter(ps, lambda y: y.i > x.i AND y.l IN ({ends})), lambda y: y.i)), len(ps) + 1)"
+    goes_on = "array_to_string(list_transform(ps[x.i:{upto} - 1], lambda y: CASE WHEN y.i = x.i THEN y.v ELSE y.l || ': ' || y.v END), ' ')".replace("{upto}", upto)
+    value = goes_on if any_text else f"CASE WHEN x.i = len(ps) OR ps[x.i + 1].l IN ({ends}) THEN x.v END"
+    return f"trim(split_part(coalesce(list_filter(list_transform(list_filter(ps, lambda x: {begins}), lambda x: {value}), lambda z: z IS NOT NULL)[1], ''), 'Related Docs', 1))"
+
+
+@query("STR08", f"""WITH l AS ({LEGAL}), p AS (SELECT id, coalesce(t, '') AS t, list_filter(string_split(regexp_replace(replace(coalesce(t, ''), 'Subdivision', 'Subd'), '(Desc|Lot|Block|Sec|Comment|Subd|Abstract|Survey|Tract): ', '^\\1: ', 'g'), '^'), lambda x: contains(x, ': ')) AS pl, contains(t, 'Subdivision') AS long FROM l),
+r AS (SELECT id, t, long, list_transform(pl, lambda x, i: {{'i': i, 'l': split_part(x, ': ', 1), 'v': trim(substr(x, length(split_part(x, ': ', 1)) + 3))}}) AS ps FROM p),
+q AS (SELECT id, t, {_part_sql('Desc')} AS d, {_part_sql('Lot')} AS lot, {_part_sql('Block')} AS block, {_part_sql('Sec')} AS sec, CASE WHEN long THEN 'ivision: ' ELSE '' END || {_part_sql('Subd')} AS subdivision, {_part_sql('Abstract')} AS abstract, {_part_sql('Survey')} AS survey, {_part_sql('Tract')} AS tract FROM r)
+SELECT id, CASE WHEN d || lot || block || subdivision || abstract || survey || tract = '' THEN trim(split_part(t, 'Related Docs', 1)) ELSE d END AS description, lot, block, sec, subdivision, abstract, survey, tract FROM q""")
 def legal_texts(spark, sf_dir):
+    """All eight parts. A long label is read by its short form, as the source does: what follows keeps the rest of the label."""
     p = legal.parse(C("t"))
-    return derive.relation(spark, sf_dir, LEGAL).select("id", p["description"].alias("description"), p["lot"].alias("lot"), p["block"].alias("block"), p["sec"].alias("sec"))
+    return derive.relation(spark, sf_dir, LEGAL).select("id", *[p[k].alias(k) for k in ("description", "lot", "block", "sec", "subdivision", "abstract", "survey", "tract")])
 
 
-CELLS = "SELECT p_partkey AS id, '<table>' || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '<tr><td><b>DESC:</b></td><td>' || p_name || '</td></tr>' END || '<tr><td>Lot:</td><td> ' || CAST(p_size AS string) || ' </td></tr>' || CASE WHEN p_partkey % 3 = 0 THEN '<tr><td>NOTE</td><td>' || p_brand || '</td></tr><tr><td>lot:</td><td>7</td></tr>' ELSE '' END || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE '<tr><td>COMMENT:</td><td>' || p_type || '</td></tr><tr><td>Kind</td><td></td></tr><tr><td>Use</td><td>x</td></tr>' END || '<tr><td>one cell</td></tr></table>' AS h FROM part"
-_OF = lambda test: f"list_filter(kv, lambda x: {test})"
+CELLS = "SELECT p_partkey AS id, '<table>' || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '<tr><td><b>DESC:</b></td><td>' || p_name || '</td></tr>' END || '<tr><td>Lot:</td><td> ' || CAST(p_size AS string) || ' </td></tr>' || CASE WHEN p_partkey % 3 = 0 THEN '<tr><td>NOTE</td><td>' || p_brand || '</td></tr><tr><td>lot:</td><td>7</td></tr>' ELSE '' END || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE '<tr><td>COMMENT:</td><td>' || p_type || '</td></tr><tr><td>Kind</td><td></td></tr><tr><td>Use</td><td>x</td></tr>' END || CASE CAST(p_partkey % 6 AS int) WHEN 0 THEN '<tr><td>Subdivision</td><td>' || p_brand || '</td></tr><tr><td>Block:</td><td>B2</td></tr>' WHEN 1 THEN '<tr><td>Abstract No</td><td>A-' || CAST(p_size AS string) || '</td></tr><tr><td>Survey</td><td>J DOE</td></tr><tr><td>Tract</td><td>T1</td></tr>' WHEN 2 THEN '<tr><td>Section:</td><td>4</td></tr><tr><td>Comment: 2</td><td>more</td></tr>' WHEN 3 THEN '<tr><td>Sec:</td><td>5</td></tr><tr><td>Section</td><td>none</td></tr><tr><td>Tract</td><td></td></tr>' ELSE '' END || '<tr><td>one cell</td></tr></table>' AS h FROM part"
+# Fixed values, written out again: the label's text, in this order, says what a row is.
+_KINDS = {"description": "DESC:", "block": "BLOCK:", "lot": "LOT:", "subdivision": "SUBDIV", "abstract": "ABSTRACT", "survey": "SURVEY", "tract": "TRACT", "sec": "SEC:|SECTION:", "comment": "COMMENT:"}
+_KIND = "CASE " + " ".join(f"WHEN regexp_matches(upper(x[1]), '{p}') THEN '{k}'" for k, p in _KINDS.items()) + " ELSE 'other' END"
+_OF = lambda kind: f"list_filter(kv, lambda x: x[3] = '{kind}')"
 _MORE = lambda a, name, b: f"CASE WHEN {b} = '' THEN {a} WHEN {a} = '' THEN '{name}: ' || {b} ELSE {a} || ' | {name}: ' || {b} END"
 
 
-@query("STR09", f"""WITH r AS ({CELLS}), k AS (SELECT id, list_filter(list_zip(list_transform(regexp_extract_all(h, '<td>(?:<b>)?([^<]*)(?:</b>)?</td><td>([^<]*)</td>', 1), lambda x: trim(x)), list_transform(regexp_extract_all(h, '<td>(?:<b>)?([^<]*)(?:</b>)?</td><td>([^<]*)</td>', 2), lambda x: trim(x))), lambda x: x[2] <> '') AS kv FROM r),
-v AS (SELECT id, coalesce({_OF("contains(upper(x[1]), 'DESC:')")}[-1][2], '') AS d, coalesce({_OF("contains(upper(x[1]), 'LOT:')")}[-1][2], '') AS lot, coalesce({_OF("contains(upper(x[1]), 'COMMENT:')")}[-1][2], '') AS c,
-    array_to_string(list_transform({_OF("NOT regexp_matches(upper(x[1]), 'DESC:|LOT:|COMMENT:')")}, lambda x: x[1] || ': ' || x[2]), ' | ') AS o FROM k), w AS (SELECT id, lot, o, {_MORE('d', 'COMMENT', 'c')} AS e FROM v)
-SELECT id, {_MORE('e', 'OTHER_LEGAL', 'o')} AS description, lot FROM w""")
+@query("STR09", f"""WITH r AS ({CELLS}), k AS (SELECT id, list_transform(list_filter(list_zip(list_transform(regexp_extract_all(h, '<td>(?:<b>)?([^<]*)(?:</b>)?</td><td>([^<]*)</td>', 1), lambda x: trim(x)), list_transform(regexp_extract_all(h, '<td>(?:<b>)?([^<]*)(?:</b>)?</td><td>([^<]*)</td>', 2), lambda x: trim(x))), lambda x: x[2] <> ''), lambda x: [x[1], x[2], {_KIND}]) AS kv FROM r),
+v AS (SELECT id, {', '.join(f"coalesce({_OF(x)}[-1][2], '') AS {x}" for x in _KINDS if x != 'comment')}, coalesce({_OF('comment')}[1][2], '') AS c1, coalesce({_OF('comment')}[2][2], '') AS c2, array_to_string(list_transform({_OF('other')}, lambda x: x[1] || ': ' || x[2]), ' | ') AS o FROM k),
+w AS (SELECT *, {_MORE('description', 'COMMENT', 'c1')} AS e1 FROM v), w2 AS (SELECT *, {_MORE('e1', 'COMMENT', 'c2')} AS e2 FROM w)
+SELECT id, {_MORE('e2', 'OTHER_LEGAL', 'o')} AS description, block, lot, subdivision, abstract, survey, tract, sec FROM w2""")
 def legal_tables(spark, sf_dir):
     t = legal.table_parts(html.labelled(C("h")))
-    return derive.relation(spark, sf_dir, CELLS).select("id", t["description"].alias("description"), t["lot"].alias("lot"))
+    return derive.relation(spark, sf_dir, CELLS).select("id", *[t[k].alias(k) for k in ("description", "block", "lot", "subdivision", "abstract", "survey", "tract", "sec")])
 
 
 CAPTIONS = f"""SELECT k AS id, f, l, CASE CAST(k % 13 AS int) WHEN 0 THEN 'IN THE ESTATE OF: ANNA BERTA ' || l || ', DECEASED' WHEN 1 THEN 'In the Matter of ' || f || ' Sample' WHEN 2 THEN 'RE ESTATE OF ANNA B ' || l || ' JR.' WHEN 3 THEN '' WHEN 4 THEN 'A. Bo, Cy'

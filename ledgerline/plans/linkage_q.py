@@ -209,9 +209,9 @@ def _lots_sql(x: str) -> str:
     return f"CASE WHEN regexp_matches({x}, '^[0-9]+-[0-9]+$') THEN CASE WHEN split_part({x}, '-', 1)::INT <= split_part({x}, '-', 2)::INT THEN list_transform(range(split_part({x}, '-', 1)::INT, split_part({x}, '-', 2)::INT + 1), lambda q: q::VARCHAR) ELSE [{x}] END WHEN contains({x}, ',') THEN {items(',')} WHEN contains({x}, '&') THEN {items('&')} ELSE [{x}] END"
 
 
-#: Names of a deed's parties under their labels, in changing order, for deeds of orders divisible by 50.
+#: Names of a deed's parties under their labels, in changing order.
 LABELLED = f"""SELECT rp_file_number, lot, CASE WHEN l_partkey % 5 = 0 THEN '' WHEN l_partkey % 3 = 0 THEN 'Grantor: DOE JANE Q Grantee: ' || who || ' Grantor: LEE' WHEN l_partkey % 3 = 1 THEN 'Grantee: ' || who || ' ANN Grantor: ' || CAST(l_suppkey AS string) || ' CO' ELSE 'Grantee: X Grantee: ' || who END AS names_text
-    FROM (SELECT d.*, coalesce(party_last, 'X') || ' ' || coalesce(party_first, '') AS who FROM ({derive.DEEDS}) d WHERE lead_id % 50 = 0) z"""
+    FROM (SELECT d.*, coalesce(party_last, 'X') || ' ' || coalesce(party_first, '') AS who FROM ({derive.DEEDS}) d) z"""
 
 
 @query("STR10 STR11 STR12 STR04 UDF10", f"""WITH d AS ({LABELLED}), s AS (SELECT rp_file_number, lot, list_filter(string_split(regexp_replace(names_text, '(Grantor|Grantee): ', '^\\1: ', 'g'), '^'), lambda x: trim(x) <> '') AS ps FROM d),

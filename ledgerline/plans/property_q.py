@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ledgerline.functions import legal, names
 from ledgerline.functions.text import account_in
 from ledgerline.operators import candidates, gramindex, owners, relational
+from ledgerline.operators.pairs import Pairs
 
 from . import derive
-from .linkage_q import token_set_sql
+from .linkage_q import ratio_sql, token_set_sql
 from .registry import query
 
 C = F.col
@@ -130,49 +131,53 @@ def tier_fallback(spark, sf_dir):
     return candidates.fall_back(tiers)
 
 
-CANDIDATES = f"""SELECT l.lead_id, p.p_partkey AS ord, CASE CAST(l.lead_id % 3 AS int) WHEN 0 THEN 'T2_ExactLegal' WHEN 1 THEN 'Fallback_Owner_SubdivisionContains' ELSE 'T1_GranteeLastName_Subdivision' END AS tier, l.rp_legal_tract, l.rp_legal_block, l.rp_legal_lot, l.rp_legal_sec, l.rp_legal_description_text,
-    l.grantee_last, l.probate_lead_decedent_last, CASE WHEN l.lead_id % 4 = 0 THEN 'High' ELSE 'Medium' END AS confidence, CASE WHEN p.p_partkey % 7 = 0 THEN NULL ELSE {derive.pick(derive.LASTS, 'p.p_partkey')} || ' ' || {derive.pick(derive.FIRSTS, 'p.p_size')} END AS owner,
-    'LT ' || CAST(p.p_size AS string) || ' BLK ' || CAST(l.lead_id % 30 AS string) || ' ' || {derive.pick(derive.SUBDIVISIONS, 'p.p_partkey')} AS detail_legal, CAST(p.p_size AS string) || ' ' || {derive.pick(derive.SUBDIVISIONS, 'p.p_partkey')} || ' DR' AS address, p.p_partkey % 5 <> 4 AS has_detail
-    FROM ({SEARCHES}) l JOIN (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) five ON true JOIN (SELECT count(*) AS parts FROM part) np ON true JOIN part p ON p.p_partkey = (l.lead_id * 7 + j * 13) % parts + 1 WHERE l.lead_id % 50 = 0"""
-_HAS = lambda name, v, n: f"CASE WHEN {v} <> '' AND contains(dl, '{name} ' || {v}) THEN {n} ELSE 0 END"
-SCORES = f"""ca AS ({CANDIDATES}),
-cb AS (SELECT *, {N('rp_legal_tract')} AS t, {N('rp_legal_block')} AS b, {N('rp_legal_lot')} AS x, {N('rp_legal_sec')} AS c, {N('rp_legal_description_text')} AS s, upper(trim(coalesce(owner, ''))) AS o, upper(trim(detail_legal)) AS dl, upper(trim(address)) AS ad,
+#: What a search of one tier finds, as a page of a site lists it: the first twenty hits. Each search has candidates of its own.
+CANDIDATES = f"""SELECT CAST(l.lead_id AS string) || '/' || f.tier AS search, f.tier, f.property_id AS ord, l.rp_legal_tract, l.rp_legal_block, l.rp_legal_lot, l.rp_legal_sec, l.rp_legal_description_text,
+    l.grantee_last, l.probate_lead_decedent_last, CASE WHEN l.lead_id % 4 = 0 THEN 'High' ELSE 'Medium' END AS confidence, CASE WHEN p.property_id % 7 = 0 THEN NULL ELSE p.owner_name END AS owner,
+    p.legal_text AS detail_legal, p.account || ' ' || p.legal_text || ' DR' AS address, p.property_id % 5 <> 4 AS has_detail
+    FROM (SELECT lead_id, tier, property_id, row_number() OVER (PARTITION BY lead_id, tier ORDER BY property_id) AS nth FROM found) f JOIN ({SEARCHES}) l ON l.lead_id = f.lead_id JOIN ({derive.PROPERTIES}) p ON p.property_id = f.property_id WHERE nth <= 20"""
+_HAS = lambda name, v, n: f"CASE WHEN {v} <> '' AND contains(cb.dl, '{name} ' || {v}) THEN {n} ELSE 0 END"
+_WHOLE = _J(_L("TR", "t"), _L("BLK", "b"), "CASE WHEN length(s) > 0 THEN s END", _L("LOT", "x"), _L("SEC", "c"))
+SCORES = f"""{HITS}, found AS (SELECT lead_id, tier, property_id FROM hi), ca AS ({CANDIDATES}),
+cc AS (SELECT *, {N('rp_legal_tract')} AS t, {N('rp_legal_block')} AS b, {N('rp_legal_lot')} AS x, {N('rp_legal_sec')} AS c, {N('rp_legal_description_text')} AS s, upper(trim(coalesce(owner, ''))) AS o, upper(trim(detail_legal)) AS dl, upper(trim(address)) AS ad,
     CASE WHEN tier LIKE '%GranteeLastName%' THEN upper(trim(coalesce(grantee_last, ''))) WHEN tier LIKE 'Fallback%' THEN upper(trim(coalesce(probate_lead_decedent_last, ''))) ELSE '' END AS who,
     CASE WHEN tier LIKE '%GranteeLastName%' THEN nullif(upper(trim(coalesce(grantee_last, ''))), '') ELSE nullif(upper(trim(coalesce(probate_lead_decedent_last, ''))), '') END AS tgt FROM ca),
+cb AS (SELECT *, {_WHOLE} AS whole FROM cc), wr AS (SELECT whole, dl, {ratio_sql('whole', 'dl')} AS r FROM (SELECT DISTINCT whole, dl FROM cb WHERE tier = 'T4_Subdivision_Block' AND whole <> '' AND dl <> '') y),
 al AS (SELECT who AS p, o AS q FROM cb UNION SELECT s, ad FROM cb UNION SELECT s, dl FROM cb UNION SELECT tgt, o FROM cb),
 {token_set_sql('p', 'q', 'al')},
-su AS (SELECT lead_id, ord, CASE WHEN who <> '' AND o <> '' THEN w.ts ELSE 0 END * 0.5::DOUBLE + CASE WHEN s <> '' AND ad <> '' THEN u.ts ELSE 0 END * 0.5::DOUBLE AS part FROM cb LEFT JOIN ts w ON w.a = who AND w.b = o LEFT JOIN ts u ON u.a = s AND u.b = ad),
-de AS (SELECT lead_id, ord, least(100.0, ({_HAS('TR', 'cb.t', 40.0)} + {_HAS('BLK', 'cb.b', 30.0)} + CASE WHEN x <> '' AND (contains(dl, 'LT ' || x) OR contains(dl, 'LOT ' || x)) THEN 20.0 ELSE 0 END + {_HAS('SEC', 'c', 10.0)} + CASE WHEN s <> '' THEN d.ts / 100.0 * 30 ELSE 0 END)::DOUBLE / 130.0 * 100.0) AS lp,
-    CASE WHEN o <> '' AND tgt IS NOT NULL THEN CASE WHEN n.ts < 60 AND (tier LIKE 'T1%' OR tier LIKE 'Fallback%') THEN greatest(0.0, n.ts - 20) ELSE n.ts END WHEN tgt IS NOT NULL THEN 20.0 WHEN o <> '' THEN 30.0 ELSE 50.0 END AS op FROM cb LEFT JOIN ts d ON d.a = s AND d.b = dl LEFT JOIN ts n ON n.a = tgt AND n.b = o),
-sc AS (SELECT cb.lead_id, cb.ord, cb.confidence, cb.tier, su.part AS summary, CASE WHEN has_detail THEN greatest(0.0, least(100.0, lp * 0.70::DOUBLE + op * 0.30::DOUBLE)) END AS detail FROM cb JOIN su USING (lead_id, ord) JOIN de USING (lead_id, ord))"""
+su AS (SELECT search, ord, CASE WHEN who <> '' AND o <> '' THEN w.ts ELSE 0 END * 0.5::DOUBLE + CASE WHEN s <> '' AND ad <> '' THEN u.ts ELSE 0 END * 0.5::DOUBLE AS part FROM cb LEFT JOIN ts w ON w.a = who AND w.b = o LEFT JOIN ts u ON u.a = s AND u.b = ad),
+de AS (SELECT search, ord, least(100.0, (CASE WHEN tier = 'T4_Subdivision_Block' THEN coalesce(wr.r, 0.0) ELSE ({_HAS('TR', 'cb.t', 40.0)} + {_HAS('BLK', 'cb.b', 30.0)} + CASE WHEN x <> '' AND (contains(cb.dl, 'LT ' || x) OR contains(cb.dl, 'LOT ' || x)) THEN 20.0 ELSE 0 END + {_HAS('SEC', 'c', 10.0)} + CASE WHEN s <> '' THEN d.ts / 100.0 * 30 ELSE 0 END)::DOUBLE END)::DOUBLE / 130.0 * 100.0) AS lp,
+    CASE WHEN o <> '' AND tgt IS NOT NULL THEN CASE WHEN n.ts < 60 AND (tier LIKE 'T1%' OR tier LIKE 'Fallback%') THEN greatest(0.0, n.ts - 20) ELSE n.ts END WHEN tgt IS NOT NULL THEN 20.0 WHEN o <> '' THEN 30.0 ELSE 50.0 END AS op FROM cb LEFT JOIN ts d ON d.a = s AND d.b = cb.dl LEFT JOIN ts n ON n.a = tgt AND n.b = o LEFT JOIN wr ON wr.whole = cb.whole AND wr.dl = cb.dl),
+sc AS (SELECT cb.search, cb.ord, cb.confidence, cb.tier, su.part AS summary, CASE WHEN has_detail THEN greatest(0.0, least(100.0, lp * 0.70::DOUBLE + op * 0.30::DOUBLE)) END AS detail FROM cb JOIN su USING (search, ord) JOIN de USING (search, ord))"""
 
 
 def candidate_rows(spark, sf_dir):
+    """Candidates as the search of each tier finds them, up to twenty; texts that are compared are compared once for each two of them."""
+    c, by = C, Pairs()
+    indexed_search(spark, sf_dir).createOrReplaceTempView("found")
     df = derive.relation(spark, sf_dir, CANDIDATES)
-    c = C
-    full = F.lit("")
-    summary = candidates.summary_score(c("tier"), c("grantee_last"), c("probate_lead_decedent_last"), c("owner"), c("rp_legal_description_text"), c("address"), full)
+    summary = candidates.summary_score(c("tier"), c("grantee_last"), c("probate_lead_decedent_last"), c("owner"), c("rp_legal_description_text"), c("address"), F.lit(""), by)
     none = F.lit(None).cast("string")
     who = candidates.target(c("tier"), c("grantee_last"), none, c("probate_lead_decedent_last"), none, none)
-    detail = candidates.detail_score(c("tier"), c("rp_legal_tract"), c("rp_legal_block"), c("rp_legal_lot"), c("rp_legal_sec"), c("rp_legal_description_text"), who, c("detail_legal"), c("owner"))
-    return df.select("lead_id", "ord", "confidence", "tier", summary.alias("summary"), F.when(c("has_detail"), detail).alias("detail"))
+    detail = candidates.detail_score(c("tier"), c("rp_legal_tract"), c("rp_legal_block"), c("rp_legal_lot"), c("rp_legal_sec"), c("rp_legal_description_text"), who, c("detail_legal"), c("owner"), by)
+    return by.compared(df).select("search", "ord", "confidence", "tier", summary.alias("summary"), F.when(c("has_detail"), detail).alias("detail"))
 
 
-@query("SC10 SC11 SIM03", f"WITH {SCORES} SELECT lead_id, ord, tier, round(summary, 6) AS summary, round(detail, 6) AS detail FROM sc")
+@query("SC10 SC11 SIM03", f"WITH {SCORES} SELECT search, ord, tier, round(summary, 6) AS summary, round(detail, 6) AS detail FROM sc")
 def candidate_scores(spark, sf_dir):
-    return candidate_rows(spark, sf_dir).select("lead_id", "ord", "tier", F.round("summary", 6).alias("summary"), F.round("detail", 6).alias("detail"))
+    return candidate_rows(spark, sf_dir).select("search", "ord", "tier", F.round("summary", 6).alias("summary"), F.round("detail", 6).alias("detail"))
 
 
 @query("SC12 WIN02 SRT02 SRT06", f"""WITH {SCORES},
-rk AS (SELECT *, coalesce(detail, summary) AS score, row_number() OVER (PARTITION BY lead_id ORDER BY summary DESC, ord) AS rn, lead(summary) OVER (PARTITION BY lead_id ORDER BY summary DESC, ord) AS next_summary FROM (SELECT lead_id, ord, confidence, round(summary, 6) AS summary, round(detail, 6) AS detail FROM sc)),
-cl AS (SELECT lead_id, ord, 'summary' AS chosen_by, score FROM rk WHERE rn = 1 AND summary >= 60 AND (next_summary IS NULL OR summary - next_summary >= 20)),
-t3 AS (SELECT *, row_number() OVER (PARTITION BY lead_id ORDER BY score DESC, rn) AS sn, lead(score) OVER (PARTITION BY lead_id ORDER BY score DESC, rn) AS next_score FROM rk WHERE rn <= 3 AND lead_id NOT IN (SELECT lead_id FROM cl)),
-ao AS (SELECT lead_id, ord, 'at_once' AS chosen_by, score FROM t3 WHERE detail >= 90 QUALIFY rn = min(rn) OVER (PARTITION BY lead_id)),
-ds AS (SELECT lead_id, ord, 'detail' AS chosen_by, score FROM t3 WHERE sn = 1 AND lead_id NOT IN (SELECT lead_id FROM ao) AND score >= CASE WHEN confidence = 'High' THEN 70 ELSE 50 END AND (next_score IS NULL OR score - next_score >= CASE WHEN confidence = 'High' THEN 15 ELSE 10 END))
+rk AS (SELECT *, coalesce(detail, summary) AS score, row_number() OVER (PARTITION BY search ORDER BY summary DESC, ord) AS rn, lead(summary) OVER (PARTITION BY search ORDER BY summary DESC, ord) AS next_summary FROM (SELECT search, ord, confidence, round(summary, 6) AS summary, round(detail, 6) AS detail FROM sc)),
+cl AS (SELECT search, ord, 'summary' AS chosen_by, score FROM rk WHERE rn = 1 AND summary >= 60 AND (next_summary IS NULL OR summary - next_summary >= 20)),
+t3 AS (SELECT *, row_number() OVER (PARTITION BY search ORDER BY score DESC, rn) AS sn, lead(score) OVER (PARTITION BY search ORDER BY score DESC, rn) AS next_score FROM rk WHERE rn <= 3 AND search NOT IN (SELECT search FROM cl)),
+ao AS (SELECT search, ord, 'at_once' AS chosen_by, score FROM t3 WHERE detail >= 90 QUALIFY rn = min(rn) OVER (PARTITION BY search)),
+ds AS (SELECT search, ord, 'detail' AS chosen_by, score FROM t3 WHERE sn = 1 AND search NOT IN (SELECT search FROM ao) AND score >= CASE WHEN confidence = 'High' THEN 70 ELSE 50 END AND (next_score IS NULL OR score - next_score >= CASE WHEN confidence = 'High' THEN 15 ELSE 10 END))
 SELECT * FROM cl UNION ALL SELECT * FROM ao UNION ALL SELECT * FROM ds""")
 def candidate_choice(spark, sf_dir):
     rows = candidate_rows(spark, sf_dir).withColumns({k: F.round(k, 6) for k in ("summary", "detail")})
-    return candidates.choose(rows)
+    return candidates.choose(rows, "search")
 
 
 @query("JOIN04 STR26", f"""WITH h AS (SELECT p_partkey AS hit, CASE WHEN p_partkey % 3 = 0 THEN 'http://x/d?Acct=' || CAST(p_partkey % 500 AS string) || '&y=1' WHEN p_partkey % 3 = 1 THEN 'http://x/d?acct=' ELSE NULL END AS url, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(p_partkey % 700 AS string) END AS listed FROM part)
