@@ -21,12 +21,24 @@ def pack(rows: DataFrame, case: str, account: str, source: str, lot: str, loaded
     )
 
 
+#: A number written with nothing but zeros after its point; inside a text too, where it does no harm.
+_ZEROS = r"[:,\[]\s*-?\d+\.0+\s*[,}\]]"
+
+
 def flatten(records: DataFrame, raw: str = "RAW_RECORD") -> DataFrame:
-    """The staging contract from JSON records with a case number; what cannot be read as its type is null."""
-    parsed = records.select(F.try_parse_json(F.col(raw)).alias("v")).filter(F.coalesce(F.try_variant_get("v", f"$.{schemas.KEY}", "string"), F.lit("")) != "")
-    text = {c: F.try_variant_get("v", f"$.{c}", "string") for c in schemas.STAGED}
-    read = _read(text)  # documents as text: written text stays, documents are written out
-    return parsed.select(*[read.get(c, text[c]).alias(c) for c in schemas.STAGED])
+    """The staging contract from JSON records with a case number; what cannot be read as its type is null.
+
+    A record is read once, as a struct of texts, written text as it stands and documents written out. Where a whole number
+    may be written as 5.0, its text is 5, which a variant gives; such records alone are read column by column.
+    """
+    value = F.try_parse_json(F.col(raw))
+    one_by_one = F.struct(*[F.try_variant_get(value, f"$.{c}", "string").alias(c) for c in schemas.STAGED])
+    at_once = F.from_json(F.col(raw), ", ".join(f"{c} string" for c in schemas.STAGED), {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
+    # What a variant does not take, such as a name that comes twice, is no record. inline() has the struct made once.
+    texts = records.filter(value.isNotNull()).select(F.inline(F.array(F.when(F.col(raw).rlike(_ZEROS), one_by_one).otherwise(at_once))))
+    found = texts.filter(F.coalesce(F.col(schemas.KEY), F.lit("")) != "")
+    read = _read({c: F.col(c) for c in schemas.STAGED})
+    return found.select(*[read.get(c, F.col(c)).alias(c) for c in schemas.STAGED])
 
 
 def _read(text: dict[str, Column]) -> dict[str, Column]:

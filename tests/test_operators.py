@@ -255,3 +255,18 @@ def test_flagship(spark):
     if os.path.isdir(SF):
         rows = registry.flagship(spark, SF).collect()
         assert len(rows) == 20 and rows[0]["r_score_acquisition"] >= rows[-1]["r_score_acquisition"]
+
+
+def test_staged_texts_are_those_of_a_variant(spark):
+    import json
+
+    own = ['5', '5.0', '-5.00', '1e3', '"5.0"', '"x: 5.0, y"', "true", "null", '{"b": [1, 2.50]}', "[5.0]", '""', "0.10", "123456789012345678901234567890", '"é\\n"']
+    rows = [f'{{"{schemas.KEY}": "c{i}", "hcad_owner_full_name": {v}, "hcad_bedrooms": {v}, "hcad_land_data_json": {v}}}' for i, v in enumerate(own)]
+    rows += [f'{{"{schemas.KEY}": "", "probate_name": "x"}}', f'{{"{schemas.KEY}": "a", "{schemas.KEY}": "b"}}', "not", "", None, "5", "[1]", "null", f"{{'{schemas.KEY}': 's'}}", json.dumps({schemas.KEY: None}), f'{{"{schemas.KEY}": "cut"']
+    df = spark.createDataFrame([(r,) for r in rows], "RAW_RECORD string")
+    got = staging.flatten(df)
+    assert got.columns == schemas.STAGED
+    value = F.try_parse_json("RAW_RECORD")
+    text = lambda c: F.try_variant_get(value, f"$.{c}", "string")
+    want = df.filter(F.coalesce(text(schemas.KEY), F.lit("")) != "").select(text(schemas.KEY), text("hcad_owner_full_name"), text("hcad_bedrooms").try_cast("decimal(38,0)"), text("hcad_land_data_json"))
+    assert sorted(map(tuple, got.select(schemas.KEY, "hcad_owner_full_name", "hcad_bedrooms", "hcad_land_data_json").collect())) == sorted(map(tuple, want.collect())) and want.count() == len(own)
