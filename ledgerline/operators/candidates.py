@@ -57,6 +57,7 @@ def search(queried: DataFrame, properties: DataFrame) -> DataFrame:
 
 def status(found: Column, error: Column) -> Column:
     """A search's outcome by the number of hits."""
+    # The names of outcomes, here and in fall_back().
     return F.when(error, "ERROR").when(found.isNull(), "NO_HITS_OR_UNKNOWN_PAGE").when(found == 0, "NO_HITS").when(found == 1, "UNIQUE_HIT").when(found > PAGE, "PAGINATION_TOO_LARGE").otherwise("MULTIPLE_HITS")
 
 

@@ -82,6 +82,7 @@ def review(typed: DataFrame) -> DataFrame:
     """needs_review_flag and review_reason."""
     c, kind = F.col, F.col("hcad_owner_match_type")
     known = F.coalesce(similarity.token_set_ratio(c("probate_decedent_full_name"), c("hcad_owner_full_name")) >= ENOUGH, F.lit(False))
+    # The reasons as they are shown, in order of precedence.
     reason = (
         F.when(~c("hcad_search_status").isin(BENIGN), F.concat(F.lit("HCAD Search Status: "), c("hcad_search_status")))
         .when(c("parsing_error").isNotNull(), F.concat(F.lit("HCAD Detail Page Parsing Error: "), c("parsing_error")))

@@ -35,6 +35,7 @@ def report_statistics(spark, sf_dir):
     )
 
 
+# Ranges of scores, as a report names them.
 RANGE = """CASE WHEN r_score_acquisition < 0 THEN 'Negative (< 0)' WHEN r_score_acquisition = 0 THEN 'Zero (0)' WHEN r_score_acquisition BETWEEN 1 AND 25 THEN 'Low (1-25)'
     WHEN r_score_acquisition BETWEEN 26 AND 50 THEN 'Medium (26-50)' WHEN r_score_acquisition BETWEEN 51 AND 75 THEN 'High (51-75)' WHEN r_score_acquisition > 75 THEN 'Very High (75+)' END"""
 
@@ -131,6 +132,7 @@ def report_sample(spark, sf_dir):
 # Street words that an address report looks for, in order.
 WORDS = ["STREET", "ROAD", "LANE", "DRIVE", "AVENUE", "BOULEVARD", "CIRCLE", "COURT", "PLACE"]
 A = "hcad_mailing_address"
+# What reports call odd addresses, the first that fits.
 EDGE = "CASE " + " ".join(f"WHEN {A} LIKE '%{w}%' THEN 'Has {w} word'" for w in WORDS) + f" WHEN {A} LIKE '%PKWY%' THEN 'Has PKWY' WHEN {A} LIKE '%BLVD%' THEN 'Has BLVD' WHEN #two# > 2 THEN 'Multiple 2-letter combos' WHEN {A} NOT LIKE '%TX%' THEN 'No TX in address' ELSE 'Standard format' END"
 WEIRD = f"CASE WHEN #zip# > 1 THEN 'Multiple ZIP codes' WHEN {A} LIKE '%APT%' OR {A} LIKE '%UNIT%' THEN 'Has apartment/unit' WHEN {A} LIKE '%#%' THEN 'Has # symbol' WHEN {A} LIKE '%PO BOX%' OR {A} LIKE '%P.O.%' THEN 'PO Box format' WHEN length({A}) > 100 THEN 'Very long address' WHEN #comma# > 2 THEN 'Multiple commas' ELSE 'Other weird format' END"
 ODD = f"(#zip# > 1 OR {A} LIKE '%APT%' OR {A} LIKE '%UNIT%' OR {A} LIKE '%#%' OR {A} LIKE '%PO BOX%' OR {A} LIKE '%P.O.%' OR length({A}) > 100 OR #comma# > 2)"
