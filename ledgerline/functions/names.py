@@ -50,6 +50,9 @@ CAPTION_ESTATE = r"(?i)ESTATE OF[:\s]*(.+?)(?:,|\s+DECEASED)"
 CAPTION_RUN = "(?U)\\b[A-Za-z][A-Za-z'’\\-]+\u0001[A-Za-z'’\\-\u0001]+\\b"
 #: Space between two words of names, which is marked first: a pattern that repeats words would go as deep as there are words.
 CAPTION_SPACE = r"(?<=[A-Za-z'’\-][A-Za-z'’\-])\s+(?=[A-Za-z][A-Za-z'’\-])"
+# Fixed value: a run of capitalized words, as the first edition looked for it; the space within is marked first, as above.
+CAPITALIZED = "(?U)\\b[A-Z][a-z]+(?:\u0001[A-Z][a-z]+)+\\b"
+CAPITALIZED_SPACE = r"(?<=[a-z])\s+(?=[A-Z][a-z])"
 # What a name to search for drops, and the suffixes that its last name loses.
 SEARCH_DROPS, SEARCH_SUFFIX = r"(?U)[^\w\s'-]", r"(?U)\s+(JR|SR|I{1,3}|IV|V|VI{0,3}|IX|X)$"
 
@@ -127,17 +130,19 @@ def caption_text(caption: Column) -> Column:
     return F.coalesce(*[strip(text, p) for p in CAPTION_PHRASES], text)
 
 
-def decedent(caption: Column, person: Column | None = None) -> Column:
+def decedent(caption: Column, person: Column | None = None, by_words: bool = False) -> Column:
     """(first, last) of the person that a court caption names.
 
     Of caption_text(): the person that a model has recognised, where one is given and not empty (operators.tagger; off by
     default); else what stands after ESTATE OF; else the longest run of words; else all words that are not fillers.
+    by_words: runs are measured by their words, as an earlier edition did, not by their characters; of equal ones the first.
     """
     text = caption_text(caption)
+    size = (lambda r: F.size(F.split(r, "\u0001"))) if by_words else F.length
     known = F.lit("") if person is None else F.coalesce(person, F.lit(""))
     estate = F.regexp_extract(text, CAPTION_ESTATE, 1)
     runs = F.regexp_extract_all(F.regexp_replace(text, CAPTION_SPACE, "\u0001"), F.lit(CAPTION_RUN), F.lit(0))
-    longest = F.aggregate(runs, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
+    longest = F.aggregate(runs, F.lit(""), lambda best, x: F.when((best == "") | (size(x) > size(best)), x).otherwise(best))
     rest = F.filter(words(F.regexp_replace(text, ",", " ")), lambda w: w.rlike(r"^\p{L}+$") & ~F.upper(w).isin(CAPTION_FILLERS))
     chosen = F.when(known != "", words(known)).when(estate != "", words(estate)).when(longest != "", F.split(longest, "\u0001")).when(F.size(rest) >= 2, rest).otherwise(F.array().cast("array<string>"))
     two = F.size(chosen) >= 2
@@ -145,6 +150,25 @@ def decedent(caption: Column, person: Column | None = None) -> Column:
     return F.struct(first.alias("first"), F.when(two, F.try_element_at(chosen, F.lit(-1))).otherwise("").alias("last"))
 
 
+def decedent_by_ends(style: Column, parties: Column, person: Column | None = None) -> Column:
+    """(first, last) as the first edition read them: the first and the last word alone, from a caption as it stands, else from the column of parties.
+
+    Of a text: the person recognised in the caption, if given; else what stands after ESTATE OF; else the run of capitalized
+    words with the most words, of equal ones the first.
+    """
+    known = F.lit("") if person is None else F.coalesce(person, F.lit(""))
+
+    def found(text: Column, first: Column) -> Column:
+        runs = F.transform(F.regexp_extract_all(F.regexp_replace(text, CAPITALIZED_SPACE, "\u0001"), F.lit(CAPITALIZED), F.lit(0)), lambda r: F.split(r, "\u0001"))
+        run = F.aggregate(runs, F.array().cast("array<string>"), lambda best, r: F.when(F.size(r) > F.size(best), r).otherwise(best))
+        estate = F.regexp_extract(text, CAPTION_ESTATE, 1)
+        return F.when(first != "", words(first)).when(F.trim(estate) != "", words(estate)).otherwise(run)
+
+    own, other = found(blank(style), known), found(blank(parties), F.lit(""))
+    chosen = F.when(F.size(own) > 0, own).otherwise(other)
+    return F.struct(F.coalesce(F.get(chosen, 0), F.lit("")).alias("first"), F.when(F.size(chosen) >= 2, F.try_element_at(chosen, F.lit(-1))).otherwise("").alias("last"))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 

@@ -30,7 +30,7 @@ def query(covers: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import functions_q, leads_q, linkage_q, property_q, ranges_q, records_q, reports_q, states_q  # noqa: F401
+    from . import editions_q, functions_q, leads_q, linkage_q, property_q, ranges_q, records_q, reports_q, states_q  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
