@@ -16,7 +16,10 @@ from itertools import groupby
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, StringType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ledgerline.functions import similarity
+from ledgerline.sources import files
 
 #: Outside a name, its first word, a later one.
 TAGS = ("O", "B", "I")
@@ -132,9 +135,11 @@ def fit(texts: DataFrame, words: str = "words", tags: str = "tags", rounds: int
     """
     import pyarrow as pa
 
-    sound = (F.size(words) > 0) & (F.size(words) == F.size(tags)) & F.forall(tags, lambda t: t.isNotNull() & t.isin(*TAGS)) & F.forall(words, lambda w: w.isNotNull())
-    hashed = F.xxhash64(words)
-    dealt = texts.filter(sound).select(F.col(words).alias("words"), F.col(tags).alias("tags"), F.pmod(hashed, F.lit(shards)).cast("int").alias("shard"), hashed.alias("h")).repartition(shards, "shard").sortWithinPartitions("shard", "h")
+    # Words and tags may be costly to make, and every round reads them.
+    kept = files.kept(texts.select(F.col(words).alias("words"), F.col(tags).alias("tags")), "tagged")
+    sound = (F.size("words") > 0) & (F.size("words") == F.size("tags")) & F.forall("tags", lambda t: t.isNotNull() & t.isin(*TAGS)) & F.forall("words", lambda w: w.isNotNull())
+    hashed = F.xxhash64("words")
+    dealt = kept.filter(sound).select("words", "tags", F.pmod(hashed, F.lit(shards)).cast("int").alias("shard"), hashed.alias("h")).repartition(shards, "shard").sortWithinPartitions("shard", "h")
     weights = np.zeros((SIZE + len(TAGS) + 1, len(TAGS)))
     schema = "feature int, " + ", ".join(f"t{k} double" for k in range(len(TAGS)))
 
@@ -165,15 +170,22 @@ def tagged(text: Column, names: list[Column]) -> tuple[Column, Column]:
 
     For training: of a name that comes twice the first place counts; blank names and those that are not there tag nothing.
     """
-    words = F.filter(F.split(F.trim(text), r"\s+"), lambda w: w != "")
+    split = lambda x: F.filter(F.split(F.trim(x), r"\s+"), lambda w: w != "")
+    words = split(text)
     bare = F.transform(words, lambda w: F.lower(F.regexp_replace(w, r"^[\s,.;:()]+|[\s,.;:()]+$", "")))
+
+    def first(v: Column) -> Column:
+        """Where a name's words begin among the text's; 0 where they do not stand there."""
+        n = F.size(v["own"])
+        fits = F.filter(F.sequence(F.lit(1), F.greatest(F.size(v["bare"]) - n + 1, F.lit(1))), lambda i: (n > 0) & (F.slice(v["bare"], i, n) == v["own"]))
+        return F.struct(F.coalesce(F.get(fits, 0), F.lit(0)).alias("at"), n.alias("n"))
+
     tags = F.transform(words, lambda w: F.lit("O"))
     for name in names:
-        own = F.filter(F.split(F.lower(F.trim(F.coalesce(name, F.lit("")))), r"\s+"), lambda w: w != "")
-        n = F.size(own)
-        fits = F.filter(F.sequence(F.lit(1), F.greatest(F.size(bare) - n + 1, F.lit(1))), lambda i: (n > 0) & (F.slice(bare, i, n) == own))
-        at = F.coalesce(F.get(fits, 0), F.lit(0))
-        tags = F.when(at > 0, F.transform(tags, lambda t, i: F.when(i == at - 1, "B").when((i >= at) & (i < at + n - 1), "I").otherwise(t))).otherwise(tags)
+        # Bound once: a lambda would take the text apart anew for each place.
+        own = F.struct(bare.alias("bare"), split(F.lower(F.coalesce(name, F.lit("")))).alias("own"))
+        place = similarity.let(own, first)
+        tags = similarity.let(F.struct(tags.alias("tags"), place.alias("p")), lambda v: F.when(v["p"]["at"] > 0, F.transform(v["tags"], lambda t, i: F.when(i == v["p"]["at"] - 1, "B").when((i >= v["p"]["at"]) & (i < v["p"]["at"] + v["p"]["n"] - 1), "I").otherwise(t))).otherwise(v["tags"]))
     return words, tags
 
 
