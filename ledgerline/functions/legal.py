@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import names
+from .similarity import let
 from .text import blank, no_nan, squeeze
 
 # How each part of a printed legal description begins and what ends it.
@@ -47,8 +48,8 @@ def parties(text: Column) -> Column:
         return F.struct(kind.alias("role"), who["last"].alias("last"), who["first"].alias("first"))
 
     found = F.filter(F.zip_with(roles, values, one), lambda p: p["last"] != "")
-    in_role = lambda k: F.filter(found, lambda p: p["role"] == k)
-    return F.concat(*[in_role(k) for k in ("Grantor", "Grantee", "Trustee")])
+    in_role = lambda v, k: F.filter(v, lambda p: p["role"] == k)
+    return let(found, lambda v: F.concat(*[in_role(v, k) for k in ("Grantor", "Grantee", "Trustee")]))
 
 
 def table_parts(rows: Column) -> Column:

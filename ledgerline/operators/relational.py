@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, names, numbers
+from ledgerline.functions.similarity import let
 
 from . import beginnings
 from .running import Before, Sum, running
@@ -149,7 +150,7 @@ def by_initial(leads: DataFrame, parties: DataFrame) -> DataFrame:
 def exploded(record: DataFrame, lots: Column, parties: Column) -> DataFrame:
     """A row a lot and party; without parties one row a lot, its role N/A."""
     none = F.array(F.struct(F.lit("N/A").alias("role"), F.lit("").alias("last"), F.lit("").alias("first")))
-    out = record.withColumn("lot_no", F.explode(lots)).withColumn("p", F.explode(F.when(F.size(parties) > 0, parties).otherwise(none)))
+    out = record.withColumn("lot_no", F.explode(lots)).withColumn("p", F.explode(let(parties, lambda v: F.when(F.size(v) > 0, v).otherwise(none))))
     return out.select("*", F.col("p.role").alias("party_role"), F.col("p.last").alias("party_last"), F.col("p.first").alias("party_first")).drop("p")
 
 
