@@ -118,3 +118,9 @@ def test_lateral_join_and_sql(spark):
 def test_a_long_page_is_read_once(spark):
     html = "<table>" + "<tr><td>x</td><td><i>y</i></td></tr>" * 20000 + "</table>"
     assert markup.with_rows(spark.createDataFrame([(html,)], "html string"), "html").agg(F.count("*")).first()[0] == 20000
+
+
+def test_only_references_that_end_in_a_semicolon_are_restored():
+    page = '<table><tr><td>a&amp b &amp; c &copy d&notit; &notin; &#65 &#65;&#x42;&amp<td><a href="?a=1&copy=2&amp;b=3&lt=4">x</a></table>'
+    (row,) = markup.rows(page)
+    assert [(text, href) for _, text, href in row[-1]] == [("a&amp b & c &copy d&notit; ∉ &#65 AB&amp", None), ("x", "?a=1&copy=2&b=3&lt=4")]
