@@ -95,8 +95,11 @@ class Model:
         return [r for r in runs if r]
 
 
-def _learn(rows: Iterable[tuple[list[str], list[int]]], start: np.ndarray) -> np.ndarray:
-    """One pass of the structured perceptron over some texts, from given weights: the average of the weights after each text."""
+def _learn(rows: Iterable[tuple], start: np.ndarray) -> np.ndarray:
+    """One pass of the structured perceptron over (words, tags[, times]) from given weights: the average of the weights after each text.
+
+    Copies of a text follow each other; once it is tagged rightly the others of it change nothing, and count at once.
+    """
     w, total, steps = start.copy(), np.zeros_like(start), 0
     since = np.zeros(len(start), np.int64)
 
@@ -106,10 +109,13 @@ def _learn(rows: Iterable[tuple[list[str], list[int]]], start: np.ndarray) -> np
         since[row] = steps
         w[row, tag] += by
 
-    for words, tags in rows:
-        found = features(words)
-        guess = decode(np.stack([w[f].sum(0) for f in found]), w[SIZE:])
-        if guess != tags:
+    for words, tags, *more in rows:
+        found, times = features(words), more[0] if more else 1
+        while times:
+            guess = decode(np.stack([w[f].sum(0) for f in found]), w[SIZE:])
+            if guess == tags:
+                steps += times
+                break
             before, before_guess = len(TAGS), len(TAGS)
             for f, t, g in zip(found, tags, guess):
                 if t != g:
@@ -120,13 +126,14 @@ def _learn(rows: Iterable[tuple[list[str], list[int]]], start: np.ndarray) -> np
                     add(SIZE + before, t, 1.0)
                     add(SIZE + before_guess, g, -1.0)
                 before, before_guess = t, g
-        steps += 1
+            steps += 1
+            times -= 1
     total += w * (steps - since)[:, None]
     return total / max(steps, 1)
 
 
-def fit(texts: DataFrame, words: str = "words", tags: str = "tags", rounds: int = ROUNDS, shards: int = SHARDS) -> Model:
-    """A model from texts as lists of words and of tags (names of TAGS).
+def fit(texts: DataFrame, words: str = "words", tags: str = "tags", rounds: int = ROUNDS, shards: int = SHARDS, times: str | None = None) -> Model:
+    """A model from texts as lists of words and of tags (names of TAGS). times: a column with how often a row stands for its text, once without it.
 
     Texts are dealt to shards by a hash of their words, so learning does not hang on how the table lies; equal texts go to
     one shard, each as often as it comes, and copies that fill a shard weigh no more than it does. Rows without words, or
@@ -135,17 +142,18 @@ def fit(texts: DataFrame, words: str = "words", tags: str = "tags", rounds: int
     """
     import pyarrow as pa
 
-    # Words and tags may be costly to make, and every round reads them.
-    kept = files.kept(texts.select(F.col(words).alias("words"), F.col(tags).alias("tags")), "tagged")
+    # Words and tags may be costly to make, and every round reads them; copies are one row with their number.
+    own = texts.select(F.col(words).alias("words"), F.col(tags).alias("tags"), (F.col(times) if times else F.lit(1)).cast("long").alias("times"))
+    kept = files.kept(own.groupBy("words", "tags").agg(F.sum("times").alias("times")), "tagged")
     sound = (F.size("words") > 0) & (F.size("words") == F.size("tags")) & F.forall("tags", lambda t: t.isNotNull() & t.isin(*TAGS)) & F.forall("words", lambda w: w.isNotNull())
     hashed = F.xxhash64("words")
-    dealt = kept.filter(sound).select("words", "tags", F.pmod(hashed, F.lit(shards)).cast("int").alias("shard"), hashed.alias("h")).repartition(shards, "shard").sortWithinPartitions("shard", "h")
+    dealt = kept.filter(sound).select("words", "tags", F.pmod(hashed, F.lit(shards)).cast("int").alias("shard"), "times", hashed.alias("h")).repartition(shards, "shard").sortWithinPartitions("shard", "h", "tags")
     weights = np.zeros((SIZE + len(TAGS) + 1, len(TAGS)))
     schema = "feature int, " + ", ".join(f"t{k} double" for k in range(len(TAGS)))
 
     def run(start):
         def of(batches):
-            rows = ((shard, (own, [TAGS.index(t) for t in names])) for b in batches for own, names, shard in zip(*(b.column(i).to_pylist() for i in range(3))))
+            rows = ((shard, (own, [TAGS.index(t) for t in names], n)) for b in batches for own, names, shard, n in zip(*(b.column(i).to_pylist() for i in range(4))))
             for _, own in groupby(rows, key=lambda r: r[0]):
                 changed = _learn((r for _, r in own), start) - start
                 at = np.flatnonzero(np.abs(changed).sum(1))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, legal, names, numbers, text
 from ledgerline.operators import relational, tagger
-from ledgerline.sources import html
+from ledgerline.sources import files, html
 
 from . import derive
 from .linkage_q import clean_sql, std_sql
@@ -141,13 +141,15 @@ NAMED = f"""SELECT id, CASE CAST(id % 7 AS int) WHEN 0 THEN 'Estate of ' || n ||
 
 @query("STR27")
 def recognised_names(spark, sf_dir):
-    """Names in captions with the recognition step on; it is off by default."""
+    """Names in captions with the recognition step on; it is off by default. Captions are read once for each different one, and weigh as often as they come."""
     rows = derive.relation(spark, sf_dir, NAMED)
     words, tags = tagger.tagged(C("caption"), [C("known")])
-    model = tagger.fit(rows.filter("id % 5 <> 0").select(words.alias("words"), tags.alias("tags")))
-    found = tagger.recognised(rows.withColumn("t", names.caption_text(C("caption"))), "t", model)
+    taught = rows.filter("id % 5 <> 0").groupBy("caption", "known").agg(F.count("*").alias("times"))
+    model = tagger.fit(taught.select(words.alias("words"), tags.alias("tags"), "times"), times="times")
+    each = tagger.recognised(rows.select("caption").distinct().withColumn("t", names.caption_text(C("caption"))), "t", model)
     d = names.decedent(C("caption"), C("person"))
-    return found.select("id", "caption", "known", "person", (C("id") % 5 == 0).alias("held_out"), d["first"].alias("first"), d["last"].alias("last"))
+    found = files.kept(each.select("caption", "person", d["first"].alias("first"), d["last"].alias("last")), "captions")
+    return rows.join(found, "caption").select("id", "caption", "known", "person", (C("id") % 5 == 0).alias("held_out"), "first", "last")
 
 
 LABELS = "SELECT p_partkey AS id, CASE CAST(p_partkey % 7 AS int) WHEN 0 THEN 'Foundation Type: ' || p_name WHEN 1 THEN ' Heating / AC ' WHEN 2 THEN p_brand || ': Half-Bath' WHEN 3 THEN 'Grade Adjustment (' || p_type || ')' WHEN 4 THEN NULL WHEN 5 THEN '-' || p_name || ' / ' ELSE p_type || ' and Design' END AS label FROM part"

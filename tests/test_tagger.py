@@ -87,3 +87,20 @@ def test_captions_with_hyphens_apostrophes_and_accents(spark):
     words = ["o'neil-x ß9a", "ÅSA ÖSTER", "it's 3rd"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
     assert [r[0] for r in df.select(names.titled(F.col("w"))).collect()][1:] == [w.title() for w in words][1:]
+
+
+def test_copies_weigh_as_if_each_were_read():
+    kinds = [(["Estate", "of", "Ann", "Poe"], [0, 0, 1, 2], 5), (["Notice", "to", "All"], [0, 0, 0], 3), (["Bo", "Lee"], [1, 2], 4), (["Bo", "Lee"], [0, 0], 2)]
+    start = np.zeros((tagger.SIZE + 4, 3))
+    each = [(words, tags) for words, tags, times in kinds for _ in range(times)]
+    assert np.array_equal(tagger._learn(kinds, start), tagger._learn(each, start))
+
+
+def test_copies_are_one_row_to_learn_from(spark, monkeypatch):
+    seen = []
+    kept = tagger.files.kept
+    monkeypatch.setattr(tagger.files, "kept", lambda df, name: seen.append(df.count()) or kept(df, name))
+    rows = [(["Estate", "of", "Ann", "Poe"], ["O", "O", "B", "I"]), (["Notice", "to", "All"], ["O", "O", "O"])]
+    many = tagger.fit(spark.createDataFrame(rows * 50, "words array<string>, tags array<string>"))
+    told = tagger.fit(spark.createDataFrame([(*r, 50) for r in rows], "words array<string>, tags array<string>, n long"), times="n")
+    assert seen == [2, 2] and np.array_equal(many.weights, told.weights)
