@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import beginnings
+from ledgerline.operators import beginnings, relational
 
 TERMS = ["", None, "a", "ab", "abc", "ab", "é", "ée", "😀", "b", "ba x", "zz", "￿", "a\x00"]
 
@@ -37,3 +37,14 @@ def test_rows_are_dealt_once_and_evenly(spark):
     sizes = sorted(r["count"] for r in dealt.groupBy("__range").count().collect())
     assert sum(sizes) == 20_000 and len(sizes) == 12 and sizes[-1] <= 3 * sizes[6]
     assert asked.count() <= 3 * 12
+
+
+def test_different_names_are_searched_not_deeds(spark, monkeypatch):
+    seen = []
+    matches = relational.beginnings.matches
+    monkeypatch.setattr(relational.beginnings, "matches", lambda leads, rows, term, name: seen.append(rows.count()) or matches(leads, rows, term, name))
+    leads = spark.sql("SELECT id AS filing, element_at(array('DOE', 'DOE J', ''), int(id % 3) + 1) AS term, date'2024-06-01' AS filed FROM range(9)")
+    deeds = spark.sql("SELECT id AS no, element_at(array('DOE JANE', 'ROE ANN', NULL, 'DOE'), int(id % 4) + 1) AS name, date_add(date'2022-06-01', int(id) * 30) AS at FROM range(80)")
+    got = sorted(map(tuple, relational.near_dates(leads, deeds, "term", "name", "filed", "at").select("filing", "no").collect()))
+    want = sorted((q["filing"], d["no"]) for q in leads.collect() for d in deeds.collect() if q["term"] and d["name"] and d["name"].startswith(q["term"]) and abs((d["at"] - q["filed"]).days) <= 365)
+    assert got == want and seen == [4]
