@@ -54,3 +54,11 @@ def test_properties_are_not_broadcast(spark, asked):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.findall(r"BroadcastHashJoin \[(?:property_id|legal|__legal|gram)#", plan)
     assert found.count() == 22 * 20000
+
+
+def test_customers_of_searches_are_not_broadcast(spark):
+    from ledgerline.plans.registry import queries
+
+    found = queries()["tier_fallback"](spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[o_custkey#", plan) and not re.search(r"BroadcastHashJoin \[o_custkey#", plan)
