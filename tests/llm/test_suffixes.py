@@ -117,3 +117,13 @@ def test_texts_with_one_rolling_hash_are_told_apart(spark):
         got = table(suffixes.strip(docs(spark, pair)))
         assert [got[i + 1] for i in range(2)] == brute(pair, 400)
     assert not any(g[1] for g in table(suffixes.strip(docs(spark, texts))).values())
+
+
+@pytest.mark.parametrize("seed", [8, 11, 37, 40])
+def test_a_place_in_two_cells_is_no_repeat_of_itself(spark, seed):
+    rng, out = random.Random(seed), []
+    while sum(map(len, out)) < 3400:
+        word = "".join(rng.choice("aeiou rstn") for _ in range(rng.randint(2, 8))).strip() + " "
+        out.append(word * (rng.randint(500, 1400) // len(word)) if rng.random() < 0.6 else "".join(rng.choice("abcdefghij ") for _ in range(rng.randint(50, 300))))
+    (row,) = suffixes.strip(spark.createDataFrame([(1, "".join(out))], "doc_id long, text string")).collect()
+    assert tuple(row)[1:5] == brute(["".join(out)], suffixes.LENGTH)[0]
