@@ -20,6 +20,8 @@ _PIECES = re.compile(r" ?[^ \n\t\r]+|[ \n\t\r]+(?![^ \n\t\r])|[ \n\t\r]+")
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _ENDS = ".,;:!?|"
+#: A run of these after a word is cut from it; not the apostrophe, which may be cut with the letters after it.
+_SIGNS_AFTER = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _loaded: dict[int, Encoder] = {}
 
 
@@ -65,7 +67,8 @@ class Encoder:
         self.kept = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not parts["normalizer"]
         self.special = [t["content"] for t in parts["added_tokens"]]
         self.ends = {c: self.whole(c) for c in _ENDS}
-        self.known = _Known(self._bytes_piece if self.dropped else self._piece)
+        plain = all(re.search("[A-Za-z0-9]", t) for t in self.special)  # else signs alone could be a special token
+        self.known = _Known((self._bytes_piece if plain else lambda piece: self.whole(piece.decode())) if self.dropped else self._piece)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -90,8 +93,18 @@ class Encoder:
         return self._word(piece) or self.whole(piece)
 
     def _bytes_piece(self, piece: bytes) -> bytes:
-        text = piece.decode()
-        return (self._word(text.lower()) if _LATIN.match(text) else None) or self.whole(text)
+        """A word in capitals, or with signs after it, has the ids of the plain word and of the signs: those are encoded once for all of them."""
+        core = piece.rstrip(_SIGNS_AFTER)
+        if core.isalpha():
+            plain = core.lower()
+        elif not core.isascii() and _LATIN.fullmatch(text := core.decode()):
+            plain = text.lower().encode()
+        else:
+            return self.whole(piece.decode())
+        if plain != piece:
+            return self.known[plain] + self.known[piece[len(core) :]] if len(core) < len(piece) else self.known[plain]
+        signs = plain.decode() if plain.isascii() else plain.decode("latin-1").translate(_SIGNS)
+        return array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
 
     def __call__(self, text: str) -> bytes:
         if self.dropped:

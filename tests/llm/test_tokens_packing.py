@@ -151,3 +151,13 @@ def test_plan_packs_all_and_as_well_as_a_bin_at_a_time():
         assert sorted(x for b, n in bins for x in b * n) == sorted(lengths)
         assert all(sum(b) <= cap for b, _ in bins)
         assert abs(sum(n for _, n in bins) - len(plain_best_two_fit(lengths, cap))) <= 1
+
+
+def test_words_with_signs_are_encoded_as_plain_words_once():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        run = tokens.Encoder(f.read())
+    whole, asked = run.whole, []
+    run.whole = lambda text: asked.append(text) or whole(text)
+    for text in ["oak*** Oak*** elm*** OAK. (oak) \u00c9lan$$$ \u00e9lan", "a'** a's** x-- --x a.b. A<s> x\"' \u00f1and\u00fa...! a\u2019s a\u2014 e\u0301, fin.\u0301 <|endoftext|> a<|endoftext|>", "***"]:
+        assert run(text) == whole(text)
+    assert asked.count("***") == 1 and not any(len(x) > 3 and x.endswith("***") for x in asked)
