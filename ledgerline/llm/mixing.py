@@ -5,7 +5,8 @@ counts under a hashed context inside the word, give their odds; a gate, the long
 often, picks the weights that mix them in the logistic domain; a last table, by gate and odds, refines the mixture. The
 weights learn online, a batch of words after another; once they are settled, that table is filled from all training
 words. Each word is predicted as if one occurrence of it had not been counted. For scoring all is frozen, so a text's
-score does not hang on the order of texts, and the spelling of a word that recurs is scored once.
+score does not hang on the order of texts, and the spelling of a word that recurs is scored once. Words of a batch that
+begin alike are predicted once as far as they do, with the sum of their weights.
 
 Across words, a predictor under the word before is mixed in: how often each pair of words occurs in all training text,
 by a hash of both. How far it is trusted against the spelling hangs on how often the word before was seen, and is what
@@ -44,6 +45,8 @@ CHUNK, COUNTED, LEARNED = 1 << 21, 1 << 18, 1 << 16
 #: Words of a task that counts or learns.
 TASK_WORDS = 200_000
 DELTA, RATE = 0.2, 0.15
+#: Tables of up to so many bits are looked up as a whole.
+READY = 20
 #: Gates of a table, by the logarithm of how often its context was seen; odds told apart by the last table.
 SEEN = 10
 #: Learning weighs a word by this power of its count.
@@ -58,7 +61,7 @@ _U = np.uint64
 #: Counts are looked up as two numbers of 16 bits, larger ones in proportion; their logarithms, and gates by their sum (-1 for none).
 _FULL = (1 << 16) - 1
 _LOG = np.log(np.arange(_FULL + 1) + DELTA).astype(np.float32)
-_LEVEL = np.concatenate(([-1], np.minimum(SEEN - 1, np.log2(np.arange(1, 2 * _FULL + 1) + 0.5)).astype(np.int64)))
+_LEVEL = np.concatenate(([-1], np.minimum(SEEN - 1, np.log2(np.arange(1, 2 * _FULL + 1) + 0.5)))).astype(np.int8)
 
 
 def is_held_out(doc_id) -> bool:
@@ -69,62 +72,102 @@ def words(text: bytes | None) -> list[bytes]:
     return [] if text is None else text.translate(_FOLD).split()
 
 
-def _contexts(flat: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
-    """A 64-bit context of every byte for each table. start: where the byte's word begins."""
-    at = np.arange(len(flat))
-    pos = at - start
-    x = flat.astype(_U)
+def _contexts(flat: np.ndarray, pos: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """A 64-bit context of some bytes for each table. pos: places in their words; at: places in flat."""
     back = []
     for k in range(1, 6):
-        b = np.zeros(len(x), _U)
-        b[k:] = x[:-k] + _U(1)
+        b = flat[np.maximum(at - k, 0)].astype(_U) + _U(1)
         b[pos < k] = 0
         back.append(b)
     two = back[0] | back[1] << _U(9)
     three = two | back[2] << _U(18)
     five = three | back[3] << _U(27) | back[4] << _U(36)
+    return [np.minimum(pos, 15).astype(_U), back[0], two, three, five]
+
+
+def _before(flat: np.ndarray, pos: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A 64-bit number for all bytes before each in its word. start: where the byte's word begins."""
     powers = np.cumprod(np.full(int(pos.max()) + 1 if len(pos) else 1, 0x9E3779B97F4A7C15, _U))
-    upto = np.cumsum((x + _U(1)) * powers[pos]) - (x + _U(1)) * powers[pos]
-    every = upto - upto[start]
-    return [np.minimum(pos, 15).astype(_U), back[0], two, three, five, every]
+    own = (flat.astype(_U) + _U(1)) * powers[pos]
+    upto = np.cumsum(own) - own
+    return upto - upto[start]
+
+
+def _hashed(context: np.ndarray, k: int) -> np.ndarray:
+    b = (context + _U(1)) * _U(0xD6E8FEB86659FD93 + 2 * k)
+    return b ^ (b >> _U(29))
 
 
 def offsets(bits=BITS) -> list[int]:
     return np.cumsum([0, *(1 << b for b in bits)]).tolist()
 
 
-def _bases(parts: list[bytes]):
-    """Bytes of the words with their ends, the word of each, its place, and a hash of every context."""
+def _bytes(parts: list[bytes]):
+    """Bytes of the words with their ends, the word of each, its place there, and a hash of all before."""
     joined = b"\n".join(parts) + b"\n"
     flat = np.frombuffer(joined, np.uint8)
     lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
     word = np.repeat(np.arange(len(parts)), lengths)
     start = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    bases = [(c + _U(1)) * _U(0xD6E8FEB86659FD93 + 2 * k) for k, c in enumerate(_contexts(flat, start))]
-    return flat, word, np.arange(len(flat)) - start, [b ^ (b >> _U(29)) for b in bases]
+    pos = np.arange(len(flat)) - start
+    return flat, word, pos, _hashed(_before(flat, pos, start), len(TABLES))
+
+
+def _bases(flat, pos, at) -> list[np.ndarray]:
+    """A hash of every context of some bytes, but of all before."""
+    return [_hashed(c, k) for k, c in enumerate(_contexts(flat, pos, at))]
+
+
+def _once(flat, base):
+    """Of the bytes that share a beginning (all before, and the byte) one, and which of these each byte's is."""
+    key = base + (flat + _U(1)) * _U(0xA24BAED4963EE407)
+    order = np.argsort(key)
+    new = np.diff(key[order], prepend=~key[order[:1]]) != 0
+    which = np.empty(len(key), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
+def _bits(flat, bases, bits):
+    node = np.ones(len(flat), _U)
+    for k in range(7, -1, -1):
+        bit = flat >> np.uint8(k) & np.uint8(1)
+        mark = node * _U(0xA24BAED4963EE407)
+        slots = [((b + mark) * _U(0x9FB21C651E98DF25) >> _U(64 - size)).astype(np.int64) for b, size in zip(bases, bits)]
+        yield slots, bit
+        node = node << _U(1) | bit.astype(_U)
 
 
 def steps(parts: list[bytes], bits=BITS):
     """For each bit of every byte of the words: slots (tables x bytes) and the bits; first the word of each byte, its place, the byte and a hash of all before."""
-    flat, word, pos, bases = _bases(parts)
+    flat, word, pos, base = _bytes(parts)
+    return word, pos, flat, base, _bits(flat, _bases(flat, pos, np.arange(len(flat))), bits)
+
+
+class Beginnings:
+    """Of words with their ends, the different beginnings; a beginning is a byte and all before, and is coded alike in all words that have it.
+
+    flat, pos, base: the byte, its place and a hash of all before. bits: for each bit, slots (tables x beginnings) and the bits.
+    """
 
-    def each():
-        node = np.ones(len(flat), _U)
-        for k in range(7, -1, -1):
-            bit = flat >> np.uint8(k) & np.uint8(1)
-            mark = node * _U(0xA24BAED4963EE407)
-            slots = [((b + mark) * _U(0x9FB21C651E98DF25) >> _U(64 - size)).astype(np.int64) for b, size in zip(bases, bits)]
-            yield slots, bit
-            node = node << _U(1) | bit.astype(_U)
+    def __init__(self, parts: list[bytes], bits=BITS):
+        flat, self.word, pos, base = _bytes(parts)
+        at, self.which = _once(flat, base)
+        self.flat, self.pos, self.base = flat[at], pos[at], base[at]
+        self.bits = _bits(self.flat, _bases(flat, self.pos, at), bits)
 
-    return word, pos, flat, bases[-1], each()
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """Of a number a word, the sum over the words of each beginning."""
+        return np.bincount(self.which, x.astype(np.float64)[self.word], len(self.flat))
 
 
 def looked_at(parts: list[bytes]) -> list[np.ndarray]:
     """Keys (context and node) of one in LOOKED contexts of each table."""
-    flat, _, _, bases = _bases(parts)
+    flat, _, pos, base = _bytes(parts)
+    at, _ = _once(flat, base)
+    bases, flat = _bases(flat, pos[at], at), flat[at]
     out = []
-    for b in bases[:-1]:
+    for b in bases:
         at = np.flatnonzero((b * _U(0x9FB21C651E98DF25) >> _U(40)) % _U(LOOKED) == 0)
         byte = flat[at].astype(_U)
         out.append(np.unique(np.concatenate([b[at] + (byte >> _U(8 - k) | _U(1 << k)) * _U(0xA24BAED4963EE407) for k in range(8)])))
@@ -161,9 +204,8 @@ def count(parts: list[bytes], counts: np.ndarray, tables: np.ndarray, bits=BITS)
     """Add words, each as often as counted, to tables (slots x 2)."""
     flat, first = tables.reshape(-1), offsets(bits)
     for a, b in batches_of(parts, COUNTED):
-        word, *_, each = steps(parts[a:b], bits)
-        weight = counts[a:b].astype(np.float64)[word]
-        seen = list(each)
+        own = Beginnings(parts[a:b], bits)
+        weight, seen = own.sums(counts[a:b]), list(own.bits)
         for k, size in enumerate(bits):
             at = np.concatenate([slots[k] * 2 + bit for slots, bit in seen])
             if size > 18:
@@ -203,18 +245,29 @@ class Whole:
 
 def packed(tables: np.ndarray) -> np.ndarray:
     """Counts (slots x 2) as one number of 32 bits a slot; what is there stays there."""
-    most = tables.max(axis=1, initial=1)
-    n = tables * (_FULL / np.maximum(most, _FULL))[:, None] if (most > _FULL).any() else tables
+    n = tables
+    if tables.max(initial=0) > _FULL:
+        n = tables * (_FULL / np.maximum(np.maximum(tables[:, 0], tables[:, 1]), _FULL))[:, None]
     n = np.maximum(np.rint(n), tables > 0).astype(np.uint32)
     return n[:, 0] | n[:, 1] << np.uint32(16)
 
 
+def looked_up(n: np.ndarray, bit=None):
+    """Odds of counts as packed() gives them, and their levels. bit: an occurrence of it is left out."""
+    zero, one = n & np.uint32(_FULL), n >> np.uint32(16)
+    if bit is not None:
+        one -= np.minimum(one, bit)
+        zero -= np.minimum(zero, bit ^ np.uint8(1))
+    return _LOG[one] - _LOG[zero], _LEVEL[zero + one]
+
+
 class Mixer:
     def __init__(self, tables: np.ndarray | None, weights: np.ndarray | None = None, refine: np.ndarray | None = None, bits=BITS):
         """tables: counts as packed() gives them. weights: a row a predictor, and one for a constant; a column a gate."""
         self.tables, self.bits, self.offsets = tables, bits, offsets(bits)
         self.weights = self.first_weights() if weights is None else weights
         self.refine = np.zeros((GATES * LEVELS, 2)) if refine is None else refine
+        self.ready: dict = {}
 
     @staticmethod
     def first_weights() -> np.ndarray:
@@ -233,20 +286,27 @@ class Mixer:
         odds = np.empty((PREDICTORS + 1, len(slots[0])), np.float32)
         gate = np.zeros(len(slots[0]), np.int64)
         for k in range(PREDICTORS):
-            if k < len(slots):
-                n = self.tables[slots[k] + self.offsets[k]]
+            if k < len(slots) - 1 and self.bits[k] <= READY:  # counts of the last table are asked for below OWN bytes once more
+                odds[k], level = self.of_small(k, slots[k], bit)
             else:
-                n[far] = packed(own)
-            zero, one = n & np.uint32(_FULL), n >> np.uint32(16)
-            if bit is not None:
-                one -= np.minimum(one, bit)
-                zero -= np.minimum(zero, bit ^ np.uint8(1))
-            np.subtract(_LOG[one], _LOG[zero], out=odds[k])
-            level = _LEVEL[zero + one]
-            np.copyto(gate, level + SEEN * (k + 1), where=level >= 0)
+                if k < len(slots):
+                    n = self.tables[slots[k] + self.offsets[k]]
+                else:
+                    n[far] = packed(own)
+                odds[k], level = looked_up(n, bit)
+            np.copyto(gate, level + np.int8(SEEN * (k + 1)), where=level >= 0)
         odds[-1] = 0.3
         return odds, gate
 
+    def of_small(self, k, slots, bit):
+        """looked_up() of slots of the k-th table, all of which are looked up once, with either bit left out."""
+        own = self.ready.get((k, bit is None))
+        if own is None:
+            n = self.tables[self.offsets[k] : self.offsets[k + 1]]
+            own = self.ready[k, bit is None] = looked_up(n) if bit is None else looked_up(np.repeat(n, 2), np.tile(np.array([0, 1], np.uint8), len(n)))
+        at = slots if bit is None else 2 * slots + bit
+        return own[0][at], own[1][at]
+
     def mix(self, odds, gate):
         z = np.zeros(len(gate), np.float32)
         for w, own in zip(self.weights.astype(np.float32), odds):
@@ -257,12 +317,11 @@ class Mixer:
         """Learn from training words, online; returns the weight of what was learned from."""
         total, cuts = 0.0, whole_batches(parts, LEARNED)
         for nth, at in enumerate(cuts):
-            word, pos, flat, base, each = steps([parts[i] for i in at.tolist()], self.bits)
-            often = counts[at].astype(np.float64)[word]
-            whole = Whole(base, flat, pos, often)
-            weight = often**POWER
+            own = Beginnings([parts[i] for i in at.tolist()], self.bits)
+            whole = Whole(own.base, own.flat, own.pos, own.sums(counts[at]))
+            weight = own.sums(counts[at] ** POWER)
             rate = RATE / (1 + nth / 8)
-            for k, (slots, bit) in zip(range(7, -1, -1), each):
+            for k, (slots, bit) in zip(range(7, -1, -1), own.bits):
                 odds, gate = self.inputs(slots, whole.counts(k), whole.far, bit)
                 z = self.mix(odds, gate)
                 error = weight * (bit - 1 / (1 + np.exp(-z)))
@@ -275,11 +334,10 @@ class Mixer:
     def settle(self, parts: list[bytes], counts: np.ndarray) -> None:
         """Fill the last table from training words, all of them, with the weights as they are."""
         for at in whole_batches(parts, LEARNED):
-            word, pos, flat, base, each = steps([parts[i] for i in at.tolist()], self.bits)
-            often = counts[at].astype(np.float64)[word]
-            whole = Whole(base, flat, pos, often)
-            weight = often**POWER
-            for k, (slots, bit) in zip(range(7, -1, -1), each):
+            own = Beginnings([parts[i] for i in at.tolist()], self.bits)
+            whole = Whole(own.base, own.flat, own.pos, own.sums(counts[at]))
+            weight = own.sums(counts[at] ** POWER)
+            for k, (slots, bit) in zip(range(7, -1, -1), own.bits):
                 odds, gate = self.inputs(slots, whole.counts(k), whole.far, bit)
                 cell = gate * LEVELS + self.level(self.mix(odds, gate))
                 for v in (0, 1):
@@ -298,16 +356,15 @@ class Mixer:
         refined = np.clip(np.where(seen > 0, refined, middle), -12, 12)
         counts = np.zeros(len(parts)) if counts is None else counts
         for at in whole_batches(parts, LEARNED):
-            word, pos, flat, base, each = steps([parts[i] for i in at.tolist()], self.bits)
-            often = counts[at].astype(np.float64)[word]
-            whole = Whole(base, flat, pos, often)
-            lost = np.zeros(len(word))
-            for k, (slots, bit) in zip(range(7, -1, -1), each):
+            own = Beginnings([parts[i] for i in at.tolist()], self.bits)
+            whole = Whole(own.base, own.flat, own.pos, own.sums(counts[at]))
+            lost = np.zeros(len(own.flat))
+            for k, (slots, bit) in zip(range(7, -1, -1), own.bits):
                 odds, gate = self.inputs(slots, whole.counts(k), whole.far)
                 z = self.mix(odds, gate)
                 z = (z + refined[gate * LEVELS + self.level(z)]) / 2
                 lost += np.log1p(np.exp(np.where(bit == 1, -z, z)))
-            out[at] = -np.bincount(word, lost, len(at)) / np.log(10)
+            out[at] = -np.bincount(own.word, lost[own.which], len(at)) / np.log(10)
         return out
 
 
@@ -416,8 +473,17 @@ def follows(sizes: np.ndarray, toks: np.ndarray):
     """Pairs of a word and the one before, which is the end at the start of a text: (before, word) of each distinct pair, and the pair of each token."""
     prev, ends = np.empty(len(toks), np.int64), np.cumsum(sizes)
     prev[1:], prev[ends - sizes] = toks[:-1], toks[ends - 1]
-    size = int(toks.max()) + 1
-    pairs, which = np.unique(prev * size + toks, return_inverse=True)
+    size, bits = int(toks.max()) + 1, len(toks).bit_length()
+    pairs = prev * size + toks
+    if size * size >> 63 - bits:
+        pairs, which = np.unique(pairs, return_inverse=True)
+    else:  # pairs and their places in one number, as numbers alone are sorted ten times faster
+        both = np.sort(pairs << bits | np.arange(len(pairs)))
+        pairs = both >> bits
+        new = np.diff(pairs, prepend=-1) != 0
+        which = np.empty(len(pairs), np.int64)
+        which[both & (1 << bits) - 1] = np.cumsum(new) - 1
+        pairs = pairs[new]
     return pairs // size, pairs % size, which
 
 
@@ -450,11 +516,14 @@ def _pairs(chunks: DataFrame) -> DataFrame:
 
     def solve(at, rows):
         keys = [np.cumsum(_from_planes(raw, "<u8"), dtype=_U) for _, raw, _ in rows]
-        _, which = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.zeros(int(which.max()) + 1, np.int64)
-        np.add.at(total, which, np.concatenate([_from_planes(n) for _, _, n in rows]))
+        every = np.concatenate(keys)
+        order = np.argsort(every, kind="stable")  # merges the rows, which are in order
+        every = every[order]
+        new = np.concatenate(([True], every[1:] != every[:-1]))
+        total = np.empty(len(every), np.int64)
+        total[order] = np.add.reduceat(np.concatenate([_from_planes(n) for _, _, n in rows])[order], np.flatnonzero(new))[np.cumsum(new) - 1]
         cuts = np.cumsum([0, *map(len, keys)]).tolist()
-        out = [_planes(total[which[x:y]]) for x, y in zip(cuts[:-1], cuts[1:])]
+        out = [_planes(total[x:y]) for x, y in zip(cuts[:-1], cuts[1:])]
         return _rows([(r[0], at, n) for r, n in zip(rows, out)], "chunk bigint, bucket bigint, n binary")
 
     def run(batches):

@@ -122,3 +122,77 @@ def test_last_table_has_all_words(spark):
     m.learn(known, counts)
     m.settle(known, counts)
     assert np.isclose(m.refine.sum(), 8 * 3**mixing.POWER * sum(len(w) + 1 for w in known))
+
+
+def test_beginnings_are_predicted_once(monkeypatch):
+    """Words that begin alike share the bits of their beginning; counts, weights and scores are those of all bytes, one by one."""
+    rng = random.Random(11)
+    known = sorted({w.encode() for w in made(6, 900, "abc")})
+    rng.shuffle(known)
+    counts = np.array([rng.randint(0, 9) for _ in known])
+    own = mixing.Beginnings(known)
+    prefixes = {w[: i + 1] for w in (k + b"\n" for k in known) for i in range(len(w))}
+    assert len(own.flat) == len(prefixes) < 0.5 * sum(len(w) + 1 for w in known)
+    word, pos, flat, base, each = mixing.steps(known)
+    assert all((a[own.which] == b).all() for a, b in ((own.flat, flat), (own.pos, pos), (own.base, base))) and (own.word == word).all()
+    plain = np.zeros((mixing.SLOTS, 2))
+    for (slots, bit), (few, own_bit) in zip(each, own.bits):
+        assert all((a[own.which] == b).all() for a, b in zip([*few, own_bit], [*slots, bit]))
+        for at, first in zip(slots, mixing.offsets()):
+            np.add.at(plain, (at + first, bit), counts[word])
+    tables = np.zeros((mixing.SLOTS, 2), np.float32)
+    mixing.count(known, counts, tables)
+    assert (tables == plain).all()
+    seen = []
+    whole = mixing.Mixer.inputs
+    monkeypatch.setattr(mixing.Mixer, "inputs", lambda self, slots, *rest: seen.append(len(slots[0])) or whole(self, slots, *rest))
+    m = mixing.Mixer(mixing.packed(tables))
+    m.learn(known, counts)
+    m.settle(known, counts)
+    weights, refine = m.weights.copy(), m.refine.copy()
+    together = m.score(known, counts)
+    assert sum(seen) == 3 * 8 * len(prefixes)
+
+    class Apart(mixing.Beginnings):
+        """A beginning for every byte of every word."""
+
+        def __init__(self, parts, bits=mixing.BITS):
+            self.word, self.pos, self.flat, self.base, self.bits = mixing.steps(parts, bits)
+            self.which = np.arange(len(self.flat))
+
+        def sums(self, x):
+            return np.asarray(x, float)[self.word]
+
+    monkeypatch.setattr(mixing, "Beginnings", Apart)
+    m = mixing.Mixer(mixing.packed(tables))
+    m.learn(known, counts)
+    m.settle(known, counts)
+    assert np.allclose(m.weights, weights, rtol=0, atol=1e-9) and np.allclose(m.refine, refine, rtol=1e-9)
+    assert np.allclose(m.score(known, counts), together, rtol=1e-9)
+
+
+def test_small_tables_are_looked_up_as_before(monkeypatch):
+    rng = random.Random(12)
+    known = sorted({w.encode() for w in made(9, 300)})
+    counts = np.array([rng.choice((0, 1, 2, 70000)) for _ in known])
+    tables = np.zeros((mixing.SLOTS, 2), np.float32)
+    mixing.count(known, counts, tables)
+    out = []
+    for most in (0, 30):
+        monkeypatch.setattr(mixing, "READY", most)
+        m = mixing.Mixer(mixing.packed(tables))
+        m.learn(known, counts)
+        m.settle(known, counts)
+        out.append((m.weights, m.refine, m.score(known, counts)))
+    assert all((a == b).all() for a, b in zip(*out))
+
+
+def test_pairs_however_they_are_sorted():
+    rng = np.random.default_rng(3)
+    sizes = np.array([1, 5, 1, 300, 2, 91])
+    for toks in (rng.integers(0, 7, 400), rng.integers(0, 1 << 28, 400)):  # two of 28 bits and a place do not fit one number
+        before, word, which = mixing.follows(sizes, toks)
+        ends = np.cumsum(sizes)
+        prev = np.concatenate([np.r_[toks[e - 1], toks[e - n : e - 1]] for e, n in zip(ends, sizes)])
+        assert (before[which] == prev).all() and (word[which] == toks).all()
+        assert list(zip(before.tolist(), word.tolist())) == sorted(set(zip(prev.tolist(), toks.tolist())))
