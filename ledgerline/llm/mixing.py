@@ -86,9 +86,12 @@ def _contexts(flat: np.ndarray, pos: np.ndarray, at: np.ndarray) -> list[np.ndar
 
 
 def _before(flat: np.ndarray, pos: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """A 64-bit number for all bytes before each in its word. start: where the byte's word begins."""
-    powers = np.cumprod(np.full(int(pos.max()) + 1 if len(pos) else 1, 0x9E3779B97F4A7C15, _U))
-    own = (flat.astype(_U) + _U(1)) * powers[pos]
+    """A 64-bit number for all bytes before each in its word: a sum of one for each byte and place, without the structure
+    of powers of a base, under which Thue-Morse words are alike. start: where the byte's word begins."""
+    own = (pos.astype(_U) << _U(8) | flat) * _U(0x9E3779B97F4A7C15) + _U(0xD6E8FEB86659FD93)
+    own = (own ^ own >> _U(32)) * _U(0x9FB21C651E98DF25)
+    own ^= own >> _U(29)
+    own *= _U(0xA24BAED4963EE407)
     upto = np.cumsum(own) - own
     return upto - upto[start]
 

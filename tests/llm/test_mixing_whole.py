@@ -196,3 +196,16 @@ def test_pairs_however_they_are_sorted():
         prev = np.concatenate([np.r_[toks[e - 1], toks[e - n : e - 1]] for e, n in zip(ends, sizes)])
         assert (before[which] == prev).all() and (word[which] == toks).all()
         assert list(zip(before.tolist(), word.tolist())) == sorted(set(zip(prev.tolist(), toks.tolist())))
+
+
+def test_thue_morse_words_are_not_alike():
+    one = np.array([ord("a")], np.uint8)
+    for _ in range(12):
+        one = np.concatenate([one, 195 - one])  # a and b
+    known = [one.tobytes() + b"x", (195 - one).tobytes() + b"x"]
+    own = mixing.Beginnings(known)
+    assert len(own.flat) == sum(len(w) + 1 for w in known)
+    word, pos, flat, base, _ = mixing.steps(known)
+    whole = mixing.Whole(base, flat, pos, np.array([3.0, 5.0])[word])
+    n = dict(zip(whole.far.tolist(), whole.counts(0).sum(axis=1).tolist()))
+    assert [n[len(known[0]) - 1], n[2 * len(known[0])]] == [3, 5]
