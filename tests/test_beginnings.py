@@ -48,3 +48,17 @@ def test_different_names_are_searched_not_deeds(spark, monkeypatch):
     got = sorted(map(tuple, relational.near_dates(leads, deeds, "term", "name", "filed", "at").select("filing", "no").collect()))
     want = sorted((q["filing"], d["no"]) for q in leads.collect() for d in deeds.collect() if q["term"] and d["name"] and d["name"].startswith(q["term"]) and abs((d["at"] - q["filed"]).days) <= 365)
     assert got == want and seen == [4]
+
+
+@pytest.mark.parametrize("cell,days", [(4096, 365), (7, 365), (3, 2), (1, 0)])
+def test_a_deed_meets_rows_of_leads_and_its_results_lie_together(spark, monkeypatch, cell, days):
+    monkeypatch.setattr(relational, "CELL", cell, raising=False)
+    leads = spark.sql("SELECT id AS filing, element_at(array('DOE', 'DOE J', '', NULL), int(id % 4) + 1) AS term, CASE WHEN id % 9 < 8 THEN date_add(date'1969-06-01', int(id * 37 % 800)) END AS filed FROM range(80)")
+    deeds = spark.sql("SELECT id AS no, element_at(array('DOE JANE', 'ROE ANN', NULL, 'DOE'), int(id % 4) + 1) AS name, CASE WHEN id % 11 < 10 THEN date_add(date'1968-06-06', int(id) * 10) END AS at FROM range(160)")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    rows = list(map(tuple, relational.near_dates(leads, deeds, "term", "name", "filed", "at", days).select("filing", "no", "term", "at").collect()))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = [(q["filing"], d["no"], q["term"], d["at"]) for q in leads.collect() for d in deeds.collect() if q["term"] and q["filed"] and d["name"] and d["at"] and d["name"].startswith(q["term"]) and abs((d["at"] - q["filed"]).days) <= days]
+    assert sorted(rows) == sorted(want) and want
+    if cell > 80:
+        assert sum(a[1:3] != b[1:3] for a, b in zip(rows, rows[1:])) + 1 == len({r[1:3] for r in rows})
