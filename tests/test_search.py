@@ -62,3 +62,11 @@ def test_customers_of_searches_are_not_broadcast(spark):
     found = queries()["tier_fallback"](spark, "/root/testdata/sf0.001")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"SortMergeJoin \[o_custkey#", plan) and not re.search(r"BroadcastHashJoin \[o_custkey#", plan)
+
+
+def test_searches_go_by_number_and_leads_are_gathered_before_they_are_dealt(asked, properties):
+    found = candidates.hits(asked, properties, candidates.meetings(asked, properties))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    cell = next(x for x in plan.split("\n") if "Join Inner" in x and "__asks" not in x and "__j" in x)
+    assert "__f_s" in cell and "legal_query" not in cell and "owner_query" not in cell
+    assert plan.index("explode(sequence(0, (__js") < plan.index("collect_list")
